@@ -1,0 +1,23 @@
+"""Latest row per key without a window over raw rows.
+
+``row_number() over (partition by key order by ... desc) = 1`` puts all rows
+of a key into one task. ``max_by`` over a struct ordering key is an ordinary
+aggregate with a map-side partial step, so a hot key is reduced inside every
+map task before the shuffle and only one candidate per task travels.
+Ties are broken by the full ordering struct; NULL ordering values sort
+lowest, which equals ``DESC NULLS LAST``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def latest_per_key(df: DataFrame, key, order_by, values) -> DataFrame:
+    keys = [key] if isinstance(key, str) else list(key)
+    order_by = [order_by] if isinstance(order_by, str) else list(order_by)
+    values = [values] if isinstance(values, str) else list(values)
+    picked = F.max_by(F.struct(*[F.col(v) for v in values]),
+                      F.struct(*[F.col(o) for o in order_by])).alias("__latest")
+    return df.groupBy(*keys).agg(picked).select(*keys, *[F.col(f"__latest.{v}").alias(v) for v in values])
