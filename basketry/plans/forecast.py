@@ -14,7 +14,7 @@ all series are fitted in parallel, one row per series.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.numeric import floor_at_zero, money
@@ -27,22 +27,6 @@ HORIZONS = (7, 14, 30)
 DEFAULT_ALPHAS = tuple(round(i / 100, 2) for i in range(1, 100))
 
 VALUE = "daily_net_sales"
-SERIES = "__series"
-
-
-def _keyed(df: DataFrame, keys):
-    """Internally every series has a key; a single unkeyed series gets a
-    constant one (dropped again on output), so all joins stay equi-joins."""
-    keys = list(keys)
-    if keys:
-        return df, keys
-    return df.withColumn(SERIES, F.lit("all")), [SERIES]
-
-
-def _unkeyed(df: DataFrame) -> DataFrame:
-    return df.drop(SERIES)
-
-
 def daily_series(mart: DataFrame, keys=(), date_col: str = "order_date", value_col: str = "net_sales") -> DataFrame:
     """Dense daily series per key, days without orders filled with 0."""
     s = zero_filled_daily(mart, date_col, value_col, keys, out=VALUE)
@@ -61,11 +45,12 @@ def days_without_orders(mart: DataFrame, keys=(), date_col: str = "order_date")
 def weekday_index(series: DataFrame, keys=()) -> DataFrame:
     """Mean per weekday minus the overall mean, per key (7 rows per key)."""
     keys = list(keys)
-    dow = series.withColumn("dow", F.dayofweek("date"))
-    by_dow = dow.groupBy(*keys, "dow").agg(F.avg(VALUE).alias("__dow_mean"))
-    overall = series.groupBy(*keys).agg(F.avg(VALUE).alias("__mean"))
-    j = by_dow.join(overall, keys, "inner")
-    return j.select(*keys, "dow", (F.col("__dow_mean") - F.col("__mean")).alias("dow_index"))
+    by_dow = series.groupBy(*keys, F.dayofweek("date").alias("dow")).agg(
+        F.sum(VALUE).alias("__s"), F.count(F.lit(1)).alias("__n"))
+    # The overall mean comes from the (at most 7) weekday rows of the key.
+    per_key = Window.partitionBy(*keys)
+    mean = F.sum("__s").over(per_key) / F.sum("__n").over(per_key)
+    return by_dow.select(*keys, "dow", (F.col("__s") / F.col("__n") - mean).alias("dow_index"))
 
 
 def _alphas_sql(alphas) -> str:
@@ -134,19 +119,19 @@ def _actual_rows(mart: DataFrame, keys, with_horizon: bool) -> DataFrame:
 
 def sales_forecast(mart: DataFrame, keys=(), horizon: int = 30, alphas=DEFAULT_ALPHAS) -> DataFrame:
     """Actual daily sales followed by ``horizon`` forecast days."""
-    mart, keys = _keyed(mart, keys)
+    keys = list(keys)
     series = daily_series(mart, keys)
     idx = weekday_index(series, keys)
     steps = forecast_steps(fit(series, keys, alphas), idx, keys, horizon)
     fc = steps.select(*keys, "date", F.lit(None).cast("double").alias(VALUE), "forecast_value",
                       "confidence_lower", "confidence_upper", F.lit("Forecast").alias("series_type"))
-    return _unkeyed(_actual_rows(mart, keys, False).unionByName(fc))
+    return (_actual_rows(mart, keys, False).unionByName(fc))
 
 
 def sales_forecast_all(mart: DataFrame, keys=(), horizons=HORIZONS, alphas=DEFAULT_ALPHAS) -> DataFrame:
     """Actuals plus one block of forecast rows per horizon. The longest
     horizon is forecast once and replicated for the shorter ones."""
-    mart, keys = _keyed(mart, keys)
+    keys = list(keys)
     series = daily_series(mart, keys)
     idx = weekday_index(series, keys)
     steps = forecast_steps(fit(series, keys, alphas), idx, keys, max(horizons))
@@ -154,7 +139,7 @@ def sales_forecast_all(mart: DataFrame, keys=(), horizons=HORIZONS, alphas=DEFAU
     fc = steps.select("*", hz).where(F.col("step") <= F.col("horizon")).select(
         *keys, "date", F.lit(None).cast("double").alias(VALUE), "forecast_value", "confidence_lower",
         "confidence_upper", F.lit("Forecast").alias("series_type"), "horizon")
-    return _unkeyed(_actual_rows(mart, keys, True).unionByName(fc))
+    return (_actual_rows(mart, keys, True).unionByName(fc))
 
 
 def horizon_view(forecast_all: DataFrame, horizon: int) -> DataFrame:
@@ -177,11 +162,12 @@ def backtest(mart: DataFrame, keys=(), holdouts=HORIZONS, alphas=DEFAULT_ALPHAS)
     days and score against the zero-filled actual days of the hold-out.
     All (key, hold-out) pairs are fitted together as separate series.
     ME is actual minus forecast (negative = over-forecast)."""
-    mart, keys = _keyed(mart, keys)
+    keys = list(keys)
     series = daily_series(mart, keys)
-    last = series.groupBy(*keys).agg(F.max("date").alias("__last"))
+    # A series holds one row per calendar day, so the window is bounded.
+    last = F.max("date").over(Window.partitionBy(*keys))
     hz = F.explode(F.array(*[F.lit(h).cast("bigint") for h in holdouts])).alias("holdout_days")
-    tagged = series.join(last, keys, "inner").select("*", hz)
+    tagged = series.select("*", last.alias("__last"), hz)
     tagged = tagged.withColumn("__train", F.col("date") <= F.date_sub("__last", F.col("holdout_days").cast("int")))
     k2 = [*keys, "holdout_days"]
     train = tagged.where("__train").select(*k2, "date", VALUE)
@@ -190,7 +176,7 @@ def backtest(mart: DataFrame, keys=(), holdouts=HORIZONS, alphas=DEFAULT_ALPHAS)
     steps = forecast_steps(fit(train, k2, alphas), idx, k2, max(holdouts))
     j = test.join(steps.select(*k2, "date", F.col("forecast_value").alias("forecast")), [*k2, "date"], "inner")
     e = F.col("actual") - F.col("forecast")
-    return _unkeyed(j.groupBy(*k2).agg(
+    return (j.groupBy(*k2).agg(
         F.count(F.lit(1)).alias("n"),
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
@@ -203,5 +189,5 @@ def backtest(mart: DataFrame, keys=(), holdouts=HORIZONS, alphas=DEFAULT_ALPHAS)
 
 def fitted_models(mart: DataFrame, keys=(), alphas=DEFAULT_ALPHAS) -> DataFrame:
     """The chosen parameters per series (one row per key)."""
-    mart, keys = _keyed(mart, keys)
-    return _unkeyed(fit(daily_series(mart, keys), keys, alphas))
+    keys = list(keys)
+    return (fit(daily_series(mart, keys), keys, alphas))
