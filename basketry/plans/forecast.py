@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.functions.numeric import floor_at_zero, money
+from basketry.functions.numeric import CENTS, floor_at_zero
 from basketry.operators.spine import missing_days, zero_filled_daily
 
 # 95 % two-sided normal quantile and the forecast horizons.
@@ -27,15 +27,20 @@ HORIZONS = (7, 14, 30)
 DEFAULT_ALPHAS = tuple(round(i / 100, 2) for i in range(1, 100))
 
 VALUE = "daily_net_sales"
+def _cents(c):
+    return F.round(c, 2).cast(CENTS)
+
+
 def daily_series(mart: DataFrame, keys=(), date_col: str = "order_date", value_col: str = "net_sales") -> DataFrame:
-    """Dense daily series per key, days without orders filled with 0."""
+    """Dense daily series per key, days without orders filled with 0. Values
+    are exact cents (DECIMAL), so every later sum is order-independent."""
     s = zero_filled_daily(mart, date_col, value_col, keys, out=VALUE)
-    return s.select(*keys, F.col(date_col).alias("date"), money(F.col(VALUE)).alias(VALUE))
+    return s.select(*keys, F.col(date_col).alias("date"), _cents(F.col(VALUE)).alias(VALUE))
 
 
 def daily_actuals(mart: DataFrame, keys=(), date_col: str = "order_date", value_col: str = "net_sales") -> DataFrame:
     """Only the days that have orders (no zero fill)."""
-    return mart.groupBy(*keys, F.col(date_col).alias("date")).agg(money(F.sum(value_col)).alias(VALUE))
+    return mart.groupBy(*keys, F.col(date_col).alias("date")).agg(_cents(F.sum(value_col)).alias(VALUE))
 
 
 def days_without_orders(mart: DataFrame, keys=(), date_col: str = "order_date") -> DataFrame:
@@ -49,8 +54,10 @@ def weekday_index(series: DataFrame, keys=()) -> DataFrame:
         F.sum(VALUE).alias("__s"), F.count(F.lit(1)).alias("__n"))
     # The overall mean comes from the (at most 7) weekday rows of the key.
     per_key = Window.partitionBy(*keys)
-    mean = F.sum("__s").over(per_key) / F.sum("__n").over(per_key)
-    return by_dow.select(*keys, "dow", (F.col("__s") / F.col("__n") - mean).alias("dow_index"))
+    # Exact decimal sums, converted to DOUBLE once: the index does not depend
+    # on the order in which partial sums are merged.
+    mean = F.sum("__s").over(per_key).cast("double") / F.sum("__n").over(per_key)
+    return by_dow.select(*keys, "dow", (F.col("__s").cast("double") / F.col("__n") - mean).alias("dow_index"))
 
 
 def _alphas_sql(alphas) -> str:
@@ -66,7 +73,7 @@ def fit(series: DataFrame, keys=(), alphas=DEFAULT_ALPHAS) -> DataFrame:
     idx = weekday_index(series, keys)
     s = series.withColumn("dow", F.dayofweek("date"))
     s = s.join(idx, [*keys, "dow"], "inner")
-    s = s.withColumn("__y", F.col(VALUE) - F.col("dow_index"))
+    s = s.withColumn("__y", F.col(VALUE).cast("double") - F.col("dow_index"))
     arr = s.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(F.col("date"), F.col("__y")))).alias("__pts"),
         F.max("date").alias("last_date"))
@@ -107,7 +114,7 @@ def forecast_steps(model: DataFrame, idx: DataFrame, keys=(), horizon: int = 30)
 
 def _actual_rows(mart: DataFrame, keys, with_horizon: bool) -> DataFrame:
     a = daily_actuals(mart, keys)
-    cols = [*keys, "date", VALUE,
+    cols = [*keys, "date", F.col(VALUE).cast("double").alias(VALUE),
             F.lit(None).cast("double").alias("forecast_value"),
             F.lit(None).cast("double").alias("confidence_lower"),
             F.lit(None).cast("double").alias("confidence_upper"),
@@ -171,7 +178,7 @@ def backtest(mart: DataFrame, keys=(), holdouts=HORIZONS, alphas=DEFAULT_ALPHAS)
     tagged = tagged.withColumn("__train", F.col("date") <= F.date_sub("__last", F.col("holdout_days").cast("int")))
     k2 = [*keys, "holdout_days"]
     train = tagged.where("__train").select(*k2, "date", VALUE)
-    test = tagged.where(~F.col("__train")).select(*k2, "date", F.col(VALUE).alias("actual"))
+    test = tagged.where(~F.col("__train")).select(*k2, "date", F.col(VALUE).cast("double").alias("actual"))
     idx = weekday_index(train, k2)
     steps = forecast_steps(fit(train, k2, alphas), idx, k2, max(holdouts))
     j = test.join(steps.select(*k2, "date", F.col("forecast_value").alias("forecast")), [*k2, "date"], "inner")

@@ -143,6 +143,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_forecast_all": _q(lambda m: _round_cols(fc.sales_forecast_all(m.mart_orders), _FC, 2)),
     "sales_forecast_by_segment": _q(lambda m: _round_cols(
         fc.sales_forecast(m.mart_orders, ["order_segmentation"]), _FC, 2)),
-    "forecast_models_by_segment": _q(lambda m: fc.fitted_models(m.mart_orders, ["order_segmentation"])),
-    "forecast_backtest": _q(lambda m: fc.backtest(m.mart_orders)),
+    "forecast_models_by_segment": _q(lambda m: _round_cols(
+        fc.fitted_models(m.mart_orders, ["order_segmentation"]), ["level", "sse", "sigma"], 2)),
+    "forecast_backtest": _q(lambda m: _round_cols(
+        fc.backtest(m.mart_orders), ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
+    "forecast_latest_days": _q(lambda m: _round_cols(fc.latest_days(fc.sales_forecast(m.mart_orders), 5), _FC, 2)),
+    "sales_forecast_horizon_14": _q(lambda m: _round_cols(
+        fc.horizon_view(fc.sales_forecast_all(m.mart_orders), 14), _FC, 2)),
 }

@@ -539,3 +539,124 @@ UNION ALL
 SELECT 'Forecast', CAST(h AS BIGINT), CAST(h AS BIGINT) FROM (VALUES (7), (14), (30)) t(h)
 ORDER BY 1, 2"""),
 })
+
+# -- forecast ------------------------------------------------------------------------
+# Same model as the Spark code, written as a recursive CTE: weekday index from
+# exact decimal sums, exponential smoothing for every weight of the grid, the
+# weight with the least squared one-step error (ties: smaller weight).
+
+Z95 = "CAST(1.959964 AS DOUBLE)"
+
+
+def qr(body: str) -> str:
+    return "WITH RECURSIVE " + BASE.strip() + "\n" + body
+
+
+def _k(keys, prefix=""):
+    return "".join(f"{prefix}{k}, " for k in keys)
+
+
+def _on(keys, a, b, extra):
+    conds = [f"{a}.{k} = {b}.{k}" for k in keys] + [extra]
+    return " AND ".join(conds)
+
+
+def _part(keys):
+    return f"PARTITION BY {', '.join(keys)}" if keys else ""
+
+
+def _fc_ctes(keys, holdouts=None, horizon=30) -> str:
+    """CTEs: ser (zero-filled cents), tr (training rows), ix, pts, rec, model, steps.
+    With ``holdouts`` the series are (keys, holdout_days) and training stops
+    h days before each key's last day."""
+    k = list(keys)
+    gb_keys = ", ".join(k)
+    d0 = (f"d0 AS (SELECT {_k(k)}order_date AS date, SUM(net_sales) AS v FROM mart_orders "
+          f"WHERE order_date IS NOT NULL GROUP BY {_k(k)}order_date)")
+    b0 = (f"b0 AS (SELECT {_k(k)}MIN(date) AS lo, MAX(date) AS hi FROM d0"
+          + (f" GROUP BY {gb_keys})" if k else ")"))
+    sp = (f"sp AS (SELECT {_k(k)}CAST(UNNEST(GENERATE_SERIES(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM b0)")
+    ser = (f"ser AS (SELECT {_k(k, 'sp.')}sp.date, CAST(ROUND(COALESCE(d0.v, 0), 2) AS DECIMAL(18,2)) AS v "
+           f"FROM sp LEFT JOIN d0 ON {_on(k, 'sp', 'd0', 'sp.date = d0.date')})")
+    if holdouts:
+        hs = ", ".join(f"({h})" for h in holdouts)
+        kk = k + ["holdout_days"]
+        tag = (f"tag AS (SELECT ser.*, CAST(h.h AS BIGINT) AS holdout_days, "
+               f"MAX(ser.date) OVER ({_part(k)}) AS last_date_all FROM ser, (VALUES {hs}) h(h))")
+        tr = (f"tr AS (SELECT {_k(kk)}date, v FROM tag "
+              f"WHERE date <= CAST(last_date_all - CAST(holdout_days AS INTEGER) AS DATE))")
+        pre = [d0, b0, sp, ser, tag, tr]
+    else:
+        kk = k
+        pre = [d0, b0, sp, ser, "tr AS (SELECT * FROM ser)"]
+    gk = ", ".join(kk)
+    bd = (f"bd AS (SELECT {_k(kk)}DAYOFWEEK(date) + 1 AS dow, SUM(v) AS s, COUNT(*) AS n FROM tr "
+          f"GROUP BY {_k(kk)}DAYOFWEEK(date) + 1)")
+    ix = (f"ix AS (SELECT {_k(kk)}dow, CAST(s AS DOUBLE) / n - CAST(SUM(s) OVER ({_part(kk)}) AS DOUBLE) "
+          f"/ SUM(n) OVER ({_part(kk)}) AS dow_index FROM bd)")
+    des = (f"des AS (SELECT {_k(kk, 'tr.')}tr.date, CAST(tr.v AS DOUBLE) - ix.dow_index AS y FROM tr "
+           f"JOIN ix ON {_on(kk, 'tr', 'ix', 'DAYOFWEEK(tr.date) + 1 = ix.dow')})")
+    pts = (f"pts AS (SELECT {_k(kk)}date, y, ROW_NUMBER() OVER ({_part(kk)} ORDER BY date) AS i, "
+           f"COUNT(*) OVER ({_part(kk)}) AS n, MAX(date) OVER ({_part(kk)}) AS last_date FROM des)")
+    grid = "grid AS (SELECT CAST(g AS DOUBLE) / 100 AS a FROM range(1, 100) t(g))"
+    rec = (f"rec AS (SELECT {_k(kk, 'p.')}g.a, p.i, p.n, p.last_date, p.y AS level, CAST(0 AS DOUBLE) AS sse "
+           f"FROM pts p, grid g WHERE p.i = 1 "
+           f"UNION ALL SELECT {_k(kk, 'r.')}r.a, p.i, r.n, r.last_date, r.a * p.y + (1 - r.a) * r.level, "
+           f"r.sse + (p.y - r.level) * (p.y - r.level) FROM rec r JOIN pts p ON "
+           f"{_on(kk, 'p', 'r', 'p.i = r.i + 1')})")
+    model = (f"model AS (SELECT {_k(kk)}last_date, n, a AS alpha, level, sse, "
+             f"CASE WHEN n > 1 THEN SQRT(sse / (n - 1)) END AS sigma FROM rec WHERE i = n "
+             f"QUALIFY ROW_NUMBER() OVER ({_part(kk)} ORDER BY sse, a) = 1)")
+    steps = (f"steps AS (SELECT {_k(kk, 'm.')}CAST(m.last_date + CAST(t.s AS INTEGER) AS DATE) AS date, "
+             f"CAST(t.s AS BIGINT) AS step, m.alpha, m.sigma, "
+             f"m.level + COALESCE(ix.dow_index, 0.0) AS fv FROM model m CROSS JOIN range(1, {horizon + 1}) t(s) "
+             f"LEFT JOIN ix ON {_on(kk, 'm', 'ix', 'DAYOFWEEK(m.last_date + CAST(t.s AS INTEGER)) + 1 = ix.dow')})")
+    band = (f"band AS (SELECT *, {Z95} * sigma * SQRT(1.0 + (step - 1) * alpha * alpha) AS hw FROM steps)")
+    return ", " + ",\n".join(pre + [bd, ix, des, pts, grid, rec, model, steps, band])
+
+
+def _actuals(keys, with_h):
+    h = ", CAST(NULL AS BIGINT) AS horizon" if with_h else ""
+    return (f"SELECT {_k(keys)}order_date AS date, "
+            f"ROUND(CAST(CAST(ROUND(SUM(net_sales), 2) AS DECIMAL(18,2)) AS DOUBLE), 2) AS daily_net_sales, "
+            f"CAST(NULL AS DOUBLE) AS forecast_value, CAST(NULL AS DOUBLE) AS confidence_lower, "
+            f"CAST(NULL AS DOUBLE) AS confidence_upper, 'Actual' AS series_type{h} "
+            f"FROM mart_orders GROUP BY {_k(keys)}order_date")
+
+
+def _fc_rows(keys, with_h):
+    h = ", hz.h AS horizon" if with_h else ""
+    src = "band CROSS JOIN (VALUES (CAST(7 AS BIGINT)), (14), (30)) hz(h) WHERE step <= hz.h" if with_h else "band"
+    return (f"SELECT {_k(keys)}date, CAST(NULL AS DOUBLE) AS daily_net_sales, ROUND(fv, 2) AS forecast_value, "
+            f"ROUND(CASE WHEN fv - hw < 0 THEN 0.0 ELSE fv - hw END, 2) AS confidence_lower, "
+            f"ROUND(fv + hw, 2) AS confidence_upper, 'Forecast' AS series_type{h} FROM {src}")
+
+
+ORACLE.update({
+    "sales_forecast": qr(_fc_ctes([]) + "\n" + _actuals([], False) + "\nUNION ALL\n" + _fc_rows([], False)),
+    "sales_forecast_all": qr(_fc_ctes([]) + "\n" + _actuals([], True) + "\nUNION ALL\n" + _fc_rows([], True)),
+    "sales_forecast_by_segment": qr(_fc_ctes(["order_segmentation"]) + "\n"
+                                    + _actuals(["order_segmentation"], False) + "\nUNION ALL\n"
+                                    + _fc_rows(["order_segmentation"], False)),
+    "forecast_models_by_segment": qr(_fc_ctes(["order_segmentation"]) + """
+SELECT order_segmentation, last_date, CAST(n AS BIGINT) AS n, alpha, ROUND(level, 2) AS level, ROUND(sse, 2) AS sse,
+       ROUND(sigma, 2) AS sigma
+FROM model"""),
+    "forecast_backtest": qr(_fc_ctes([], holdouts=(7, 14, 30)) + """,
+test AS (SELECT holdout_days, date, CAST(v AS DOUBLE) AS actual FROM tag
+         WHERE date > CAST(last_date_all - CAST(holdout_days AS INTEGER) AS DATE)),
+j AS (SELECT t.holdout_days, t.actual, b.fv AS forecast, t.actual - b.fv AS e
+      FROM test t JOIN band b ON t.holdout_days = b.holdout_days AND t.date = b.date)
+SELECT holdout_days, COUNT(*) AS n, ROUND(AVG(ABS(e)), 4) AS mae, ROUND(SQRT(AVG(e * e)), 4) AS rmse,
+       ROUND(AVG(ABS(e) / NULLIF(ABS(actual), 0.0)) * 100, 4) AS mape, ROUND(AVG(e), 4) AS me,
+       ROUND(SUM(actual), 4) AS actual_sum, ROUND(SUM(forecast), 4) AS forecast_sum
+FROM j GROUP BY holdout_days"""),
+})
+
+ORACLE.update({
+    "forecast_latest_days": qr(_fc_ctes([]) + ",\nu AS (" + _actuals([], False) + "\nUNION ALL\n"
+                               + _fc_rows([], False) + ")\nSELECT * FROM u ORDER BY date DESC LIMIT 5"),
+    "sales_forecast_horizon_14": qr(_fc_ctes([]) + ",\nu AS (" + _actuals([], True) + "\nUNION ALL\n"
+                                    + _fc_rows([], True) + ")\nSELECT * FROM u "
+                                    "WHERE series_type = 'Actual' OR (series_type = 'Forecast' AND horizon = 14)"),
+})

@@ -46,10 +46,8 @@ def test_matches_oracle(spark, con, name):
     assert s == d
 
 
-def test_every_query_has_oracle_or_is_iterative():
-    missing = set(ent.queries()) - set(ORACLES)
-    assert missing <= {"sales_forecast", "sales_forecast_all", "sales_forecast_by_segment",
-                       "forecast_models_by_segment", "forecast_backtest"}
+def test_every_query_has_oracle():
+    assert set(ent.queries()) == set(ORACLES)
 
 
 def test_entry_smoke(spark):
