@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The source system loads two static tables in full and has no streams,
+watermarks, late-data handling or stateful operators, so there is nothing
+to re-express with Structured Streaming. Incremental loads would reuse the
+same model functions on a ``readStream`` source inside ``foreachBatch``.
+"""
