@@ -54,24 +54,26 @@ def with_prior_orders(orders: DataFrame, months: int, customer: str = "customer_
     ``current_col`` is given, the customer's latest-day count (``NULL`` for a
     NULL customer).
 
-    Orders with a NULL date still receive their customer's current state:
-    every customer's latest day is emitted a second time with a NULL day and
-    a prior count of 0, and the join compares days NULL-safely."""
+    One left equi-join on (customer, day key, day-is-NULL): every customer's
+    latest day is emitted a second time under the NULL-day key with a prior
+    count of 0, so an order with a NULL date still receives its customer's
+    current state. The lookup side is grouped on its key (a no-op: keys are
+    already unique) so that Catalyst knows it holds one row per key and
+    removes the join from queries that use none of its columns."""
     days = day_history(orders, months, customer, date, order_id)
-    ck, dk = "__k_customer", "__k_day"
-    pairs = F.when(
-        F.col("is_last_day"),
-        F.array(
-            F.struct(F.col(date).alias(dk), F.col("prior_orders").alias("__k_prior")),
-            F.struct(F.lit(None).cast("date").alias(dk), F.lit(0).cast("bigint").alias("__k_prior")),
-        ),
-    ).otherwise(F.array(F.struct(F.col(date).alias(dk), F.col("prior_orders").alias("__k_prior"))))
-    keyed = days.select(
-        F.col(customer).alias(ck),
-        F.col("last_day_prior_orders").alias("__k_current"),
-        F.inline(pairs),
-    )
-    cond = (F.col(customer) == F.col(ck)) & F.col(date).eqNullSafe(F.col(dk))
+    null_day = F.lit("1970-01-01").cast("date")
+    entry = lambda d, is_null, prior: F.struct(
+        d.alias("__k_day"), is_null.alias("__k_day_null"), prior.alias("__k_prior"))
+    own = entry(F.col(date), F.lit(False), F.col("prior_orders"))
+    undated = entry(null_day, F.lit(True), F.lit(0).cast("bigint"))
+    pairs = F.when(F.col("is_last_day"), F.array(own, undated)).otherwise(F.array(own))
+    keyed = (days.select(F.col(customer).alias("__k_customer"),
+                         F.col("last_day_prior_orders").alias("__k_cur"), F.inline(pairs))
+             .groupBy("__k_customer", "__k_day", "__k_day_null")
+             .agg(F.max("__k_prior").alias("__k_prior"), F.max("__k_cur").alias("__k_current")))
+    cond = ((F.col(customer) == F.col("__k_customer"))
+            & (F.coalesce(F.col(date), null_day) == F.col("__k_day"))
+            & (F.col(date).isNull() == F.col("__k_day_null")))
     joined = orders.join(keyed, cond, "left")
     out_cols = [F.col(c) for c in orders.columns]
     out_cols.append(F.coalesce(F.col("__k_prior"), F.lit(0).cast("bigint")).alias(prior_col))

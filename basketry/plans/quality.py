@@ -3,8 +3,6 @@ Every check is a query returning the violating rows."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ from basketry.functions.segments import SEGMENTS, segment_sql
 from basketry.operators.checks import Check, accepted_values, not_null, relationships, unique
 from basketry.operators.latest import latest_per_key
 from basketry.plans.marts import Marts
-from basketry.plans.reports import combine_rows, orphan_lines
+from basketry.plans.reports import combine_rows, orphan_lines, union_all
 
 # Declared column checks, per relation: (relation, column, kind).
 # Fixed list of the documented contracts.
@@ -183,4 +181,4 @@ def check_summary(m: Marts) -> DataFrame:
     for c in others:
         parts.append(c.violations().agg(F.count(F.lit(1)).alias("failures")).select(
             F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "failures"))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return union_all(parts)

@@ -36,11 +36,26 @@ def _share_of_total(df: DataFrame, col: str, out: str, digits: int = 1) -> DataF
     return df.withColumn(out, F.round(safe_divide(F.col(col) * F.lit(100.0), total), digits))
 
 
+def union_all(frames) -> DataFrame:
+    """Union of many frames by name, built as a balanced tree: each union
+    step analyses only its two inputs, so building n branches costs
+    O(n log n) analysis instead of O(n^2) for a left-deep chain. Catalyst
+    flattens the tree into one n-ary Union."""
+    frames = list(frames)
+    while len(frames) > 1:
+        nxt = [frames[i].unionByName(frames[i + 1], allowMissingColumns=True)
+               for i in range(0, len(frames) - 1, 2)]
+        if len(frames) % 2:
+            nxt.append(frames[-1])
+        frames = nxt
+    return frames[0]
+
+
 def combine_rows(*frames: DataFrame) -> DataFrame:
     """Merge one-row frames with disjoint columns into one row (union of
     the rows, then a global aggregate)."""
     cols = [c for f in frames for c in f.columns]
-    merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    merged = union_all(frames)
     return merged.agg(*[F.max(c).alias(c) for c in cols])
 
 

@@ -28,17 +28,56 @@ def present(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+_MARTS: dict = {}
+
+
 def _marts(spark: SparkSession, sf_dir: str) -> Marts:
-    return Marts.from_tables(spark, sf_dir, CFG)
+    """One lazily built set of model plans per session and data folder: the
+    plans (not data) are shared by all queries, like views, so plan
+    construction and analysis are paid once. ``refresh()`` drops them."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    m = _MARTS.get(key)
+    if m is None:
+        m = _MARTS[key] = Marts.from_tables(spark, sf_dir, CFG)
+    return m
+
+
+_BUILT: dict = {}
+
+
+def _built(spark: SparkSession, sf_dir: str) -> Marts:
+    """The marts materialised once per session and data folder (written
+    under the shared folder named by ``spark.checkpoint.dir``). Reports,
+    checks, metrics and forecasts read these tables, as dashboards read the
+    published marts; the model queries themselves compute from raw."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    m = _BUILT.get(key)
+    if m is None:
+        m = _BUILT[key] = _marts(spark, sf_dir).materialize(spark)
+    return m
+
+
+def refresh() -> None:
+    _MARTS.clear()
+    _BUILT.clear()
 
 
 def _q(build: Callable[[Marts], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A model query: computed from the raw tables."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return present(build(_marts(spark, sf_dir)))
     run.__doc__ = build.__doc__
     return run
 
 
+def _r(build: Callable[[Marts], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A downstream query: reads the materialised marts."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return present(build(_built(spark, sf_dir)))
+    run.__doc__ = build.__doc__
+    return run
+
+
 _ORDERS_MEASURES = ["order_count", "total_net_sales", "average_order_value", "total_products",
                     "average_products_per_order", "unique_customers", "new_customer_orders",
                     "returning_customer_orders", "vip_orders", "new_customer_revenue",
@@ -66,88 +105,88 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_orders": _q(lambda m: m.mart_orders),
     "mart_order_lines": _q(lambda m: m.mart_order_lines),
     "mart_product_summary": _q(lambda m: m.mart_product_summary),
-    "mart_orders_presentation": _q(lambda m: m.mart_orders_presentation),
-    "mart_order_lines_presentation": _q(lambda m: m.mart_order_lines_presentation),
-    "exercise_4_orders_with_qty": _q(lambda m: m.exercise_4),
-    "exercise_6_orders_segmented": _q(lambda m: m.exercise_6),
+    "mart_orders_presentation": _r(lambda m: m.mart_orders_presentation),
+    "mart_order_lines_presentation": _r(lambda m: m.mart_order_lines_presentation),
+    "exercise_4_orders_with_qty": _r(lambda m: m.exercise_4),
+    "exercise_6_orders_segmented": _r(lambda m: m.exercise_6),
     # exercises
-    "ex1_orders_in_year": _q(lambda m: rp.orders_in_year(m.mart_orders, m.cfg)),
-    "ex2_orders_per_month": _q(lambda m: rp.orders_per_month(m.mart_orders, m.cfg)),
-    "ex3_avg_qty_per_month": _q(lambda m: rp.avg_qty_per_month(m.mart_orders, m.cfg)),
+    "ex1_orders_in_year": _r(lambda m: rp.orders_in_year(m.mart_orders, m.cfg)),
+    "ex2_orders_per_month": _r(lambda m: rp.orders_per_month(m.mart_orders, m.cfg)),
+    "ex3_avg_qty_per_month": _r(lambda m: rp.avg_qty_per_month(m.mart_orders, m.cfg)),
     # insights
-    "monthly_pattern": _q(lambda m: rp.monthly_pattern(m.mart_orders, m.cfg)),
-    "quarter_share": _q(lambda m: rp.quarter_share(m.mart_orders, m.cfg)),
-    "peak_month_ratio": _q(lambda m: rp.peak_month_ratio(m.mart_orders, m.cfg)),
-    "segment_breakdown": _q(lambda m: rp.segment_breakdown(m.mart_orders, m.cfg)),
-    "returning_vip_share": _q(lambda m: rp.returning_vip_share(m.mart_orders, m.cfg)),
-    "overall_stats": _q(lambda m: rp.overall_stats(m.mart_orders, m.cfg)),
-    "orphan_line_count": _q(lambda m: rp.orphan_line_count(m.stg_sales, m.stg_orders)),
-    "same_day_collisions": _q(lambda m: rp.same_day_collisions(m.mart_orders)),
-    "history_completeness": _q(lambda m: rp.history_completeness(m.mart_orders)),
-    "revenue_reconciliation": _q(lambda m: rp.revenue_reconciliation(m.mart_orders, m.mart_order_lines)),
-    "data_summary": _q(lambda m: rp.data_summary(m.stg_orders, m.stg_sales, m.mart_orders, m.mart_order_lines)),
-    "freshness": _q(lambda m: rp.freshness(m.mart_orders)),
+    "monthly_pattern": _r(lambda m: rp.monthly_pattern(m.mart_orders, m.cfg)),
+    "quarter_share": _r(lambda m: rp.quarter_share(m.mart_orders, m.cfg)),
+    "peak_month_ratio": _r(lambda m: rp.peak_month_ratio(m.mart_orders, m.cfg)),
+    "segment_breakdown": _r(lambda m: rp.segment_breakdown(m.mart_orders, m.cfg)),
+    "returning_vip_share": _r(lambda m: rp.returning_vip_share(m.mart_orders, m.cfg)),
+    "overall_stats": _r(lambda m: rp.overall_stats(m.mart_orders, m.cfg)),
+    "orphan_line_count": _r(lambda m: rp.orphan_line_count(m.stg_sales, m.stg_orders)),
+    "same_day_collisions": _r(lambda m: rp.same_day_collisions(m.mart_orders)),
+    "history_completeness": _r(lambda m: rp.history_completeness(m.mart_orders)),
+    "revenue_reconciliation": _r(lambda m: rp.revenue_reconciliation(m.mart_orders, m.mart_order_lines)),
+    "data_summary": _r(lambda m: rp.data_summary(m.stg_orders, m.stg_sales, m.mart_orders, m.mart_order_lines)),
+    "freshness": _r(lambda m: rp.freshness(m.mart_orders)),
     # dashboard
-    "kpi_tiles": _q(lambda m: rp.kpi_tiles(m.mart_orders_presentation)),
-    "daily_trends": _q(lambda m: rp.daily_trends(m.mart_orders)),
-    "month_contribution": _q(lambda m: rp.month_contribution(m.mart_orders)),
-    "quarter_summary": _q(lambda m: rp.quarter_summary(m.mart_orders)),
-    "sales_by_order_segment": _q(lambda m: rp.sales_by(m.mart_orders, "order_segmentation")),
-    "sales_by_customer_profile": _q(lambda m: rp.sales_by(m.mart_orders, "customer_profile")),
-    "segment_table": _q(lambda m: rp.segment_table(m.mart_orders)),
-    "top_products_by_revenue": _q(lambda m: rp.top_products(m.mart_product_summary, "revenue", m.cfg.top_n)),
-    "top_products_by_units": _q(lambda m: rp.top_products(m.mart_product_summary, "units", m.cfg.top_n)),
-    "revenue_by_product": _q(lambda m: rp.revenue_by_product(m.mart_order_lines_presentation)),
-    "units_histogram": _q(lambda m: rp.units_histogram(m.mart_order_lines_presentation,
+    "kpi_tiles": _r(lambda m: rp.kpi_tiles(m.mart_orders_presentation)),
+    "daily_trends": _r(lambda m: rp.daily_trends(m.mart_orders)),
+    "month_contribution": _r(lambda m: rp.month_contribution(m.mart_orders)),
+    "quarter_summary": _r(lambda m: rp.quarter_summary(m.mart_orders)),
+    "sales_by_order_segment": _r(lambda m: rp.sales_by(m.mart_orders, "order_segmentation")),
+    "sales_by_customer_profile": _r(lambda m: rp.sales_by(m.mart_orders, "customer_profile")),
+    "segment_table": _r(lambda m: rp.segment_table(m.mart_orders)),
+    "top_products_by_revenue": _r(lambda m: rp.top_products(m.mart_product_summary, "revenue", m.cfg.top_n)),
+    "top_products_by_units": _r(lambda m: rp.top_products(m.mart_product_summary, "units", m.cfg.top_n)),
+    "revenue_by_product": _r(lambda m: rp.revenue_by_product(m.mart_order_lines_presentation)),
+    "units_histogram": _r(lambda m: rp.units_histogram(m.mart_order_lines_presentation,
                                                        m.cfg.histogram_bucket_width)),
-    "segment_share_in_year": _q(lambda m: rp.segment_share_in_year(m.mart_orders, m.cfg)),
-    "q4_revenue_share": _q(lambda m: rp.quarter_revenue_share(m.mart_orders, 4)),
+    "segment_share_in_year": _r(lambda m: rp.segment_share_in_year(m.mart_orders, m.cfg)),
+    "q4_revenue_share": _r(lambda m: rp.quarter_revenue_share(m.mart_orders, 4)),
     # data quality
-    "dq_check_summary": _q(lambda m: dq.check_summary(m)),
-    "dq_invalid_segments": _q(lambda m: dq.invalid_segments(m.mart_orders)),
-    "dq_order_lines_grain": _q(lambda m: dq.order_lines_grain(m.mart_order_lines)),
-    "dq_order_sales_match": _q(lambda m: dq.order_sales_match(m.stg_orders, m.stg_sales)),
-    "dq_positive_product_qty": _q(lambda m: dq.positive_product_qty(m.mart_orders)),
-    "dq_lines_without_header": _q(lambda m: dq.lines_without_header(m.stg_sales, m.stg_orders)),
-    "dq_segmentation_reconciliation": _q(lambda m: dq.segmentation_reconciliation(m.mart_orders, m.cfg)),
-    "dq_profile_reconciliation": _q(lambda m: dq.profile_reconciliation(m.mart_orders, m.cfg)),
-    "dq_year_count_match": _q(lambda m: dq.year_count_match(m.mart_orders, m.stg_orders, m.cfg)),
-    "dq_segmented_year_count_match": _q(lambda m: dq.segmented_year_count_match(m.exercise_6, m.stg_orders, m.cfg)),
-    "dq_monthly_count_match": _q(lambda m: dq.monthly_count_match(m.mart_orders, m.stg_orders, m.cfg)),
-    "dq_order_grain_in_year": _q(lambda m: dq.order_grain_in_year(m.mart_orders, m.cfg)),
+    "dq_check_summary": _r(lambda m: dq.check_summary(m)),
+    "dq_invalid_segments": _r(lambda m: dq.invalid_segments(m.mart_orders)),
+    "dq_order_lines_grain": _r(lambda m: dq.order_lines_grain(m.mart_order_lines)),
+    "dq_order_sales_match": _r(lambda m: dq.order_sales_match(m.stg_orders, m.stg_sales)),
+    "dq_positive_product_qty": _r(lambda m: dq.positive_product_qty(m.mart_orders)),
+    "dq_lines_without_header": _r(lambda m: dq.lines_without_header(m.stg_sales, m.stg_orders)),
+    "dq_segmentation_reconciliation": _r(lambda m: dq.segmentation_reconciliation(m.mart_orders, m.cfg)),
+    "dq_profile_reconciliation": _r(lambda m: dq.profile_reconciliation(m.mart_orders, m.cfg)),
+    "dq_year_count_match": _r(lambda m: dq.year_count_match(m.mart_orders, m.stg_orders, m.cfg)),
+    "dq_segmented_year_count_match": _r(lambda m: dq.segmented_year_count_match(m.exercise_6, m.stg_orders, m.cfg)),
+    "dq_monthly_count_match": _r(lambda m: dq.monthly_count_match(m.mart_orders, m.stg_orders, m.cfg)),
+    "dq_order_grain_in_year": _r(lambda m: dq.order_grain_in_year(m.mart_orders, m.cfg)),
     # metric layer
-    "metrics_orders_by_month": _q(lambda m: explore(
+    "metrics_orders_by_month": _r(lambda m: explore(
         sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain"], _ORDERS_MEASURES,
         params={"date_granularity": "month"})),
-    "metrics_orders_by_week": _q(lambda m: explore(
+    "metrics_orders_by_week": _r(lambda m: explore(
         sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain"],
         ["order_count", "total_net_sales", "unique_customers"], params={"date_granularity": "week"})),
-    "metrics_orders_by_segment_profile": _q(lambda m: explore(
+    "metrics_orders_by_segment_profile": _r(lambda m: explore(
         sm.orders_view(m.cfg), m.mart_orders, ["order_segmentation", "customer_profile"],
         ["order_count", "total_net_sales", "average_order_value", "average_products_per_order",
          "unique_customers"])),
-    "metrics_lines_by_product": _q(lambda m: explore(
+    "metrics_lines_by_product": _r(lambda m: explore(
         sm.order_lines_view(m.cfg), m.mart_order_lines, ["product_id"], _LINE_MEASURES)),
-    "metrics_lines_by_quarter_segment": _q(lambda m: explore(
+    "metrics_lines_by_quarter_segment": _r(lambda m: explore(
         sm.order_lines_view(m.cfg), m.mart_order_lines, ["order_date_quarter", "order_segmentation"],
         ["total_net_sales", "total_quantity", "order_count", "unique_products"])),
-    "metrics_vip_revenue_by_quarter": _q(lambda m: sm.focus_metric(
+    "metrics_vip_revenue_by_quarter": _r(lambda m: sm.focus_metric(
         sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain"], "revenue", "VIP",
         {"date_granularity": "quarter"})),
     # time series and forecast
-    "daily_sales_zero_filled": _q(lambda m: fc.daily_series(m.mart_orders)),
-    "daily_sales_actuals": _q(lambda m: fc.daily_actuals(m.mart_orders)),
-    "days_without_orders": _q(lambda m: fc.days_without_orders(m.mart_orders)),
-    "forecast_row_counts": _q(lambda m: fc.row_counts(fc.sales_forecast_all(m.mart_orders))),
-    "sales_forecast": _q(lambda m: _round_cols(fc.sales_forecast(m.mart_orders), _FC, 2)),
-    "sales_forecast_all": _q(lambda m: _round_cols(fc.sales_forecast_all(m.mart_orders), _FC, 2)),
-    "sales_forecast_by_segment": _q(lambda m: _round_cols(
+    "daily_sales_zero_filled": _r(lambda m: fc.daily_series(m.mart_orders)),
+    "daily_sales_actuals": _r(lambda m: fc.daily_actuals(m.mart_orders)),
+    "days_without_orders": _r(lambda m: fc.days_without_orders(m.mart_orders)),
+    "forecast_row_counts": _r(lambda m: fc.row_counts(fc.sales_forecast_all(m.mart_orders))),
+    "sales_forecast": _r(lambda m: _round_cols(fc.sales_forecast(m.mart_orders), _FC, 2)),
+    "sales_forecast_all": _r(lambda m: _round_cols(fc.sales_forecast_all(m.mart_orders), _FC, 2)),
+    "sales_forecast_by_segment": _r(lambda m: _round_cols(
         fc.sales_forecast(m.mart_orders, ["order_segmentation"]), _FC, 2)),
-    "forecast_models_by_segment": _q(lambda m: _round_cols(
+    "forecast_models_by_segment": _r(lambda m: _round_cols(
         fc.fitted_models(m.mart_orders, ["order_segmentation"]), ["level", "sse", "sigma"], 2)),
-    "forecast_backtest": _q(lambda m: _round_cols(
+    "forecast_backtest": _r(lambda m: _round_cols(
         fc.backtest(m.mart_orders), ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
-    "forecast_latest_days": _q(lambda m: _round_cols(fc.latest_days(fc.sales_forecast(m.mart_orders), 5), _FC, 2)),
-    "sales_forecast_horizon_14": _q(lambda m: _round_cols(
+    "forecast_latest_days": _r(lambda m: _round_cols(fc.latest_days(fc.sales_forecast(m.mart_orders), 5), _FC, 2)),
+    "sales_forecast_horizon_14": _r(lambda m: _round_cols(
         fc.horizon_view(fc.sales_forecast_all(m.mart_orders), 14), _FC, 2)),
 }

@@ -46,6 +46,16 @@ def test_no_cartesian_products(spark):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
-def test_product_summary_single_scan_of_lines(m):
-    plan = _plan(m.mart_product_summary)
-    assert plan.count("lineitem.parquet") == 1
+def test_product_summary_join_adds_no_shuffle(spark, m):
+    """Sums and distinct counts are two aggregates joined on product_id; the
+    only product_id exchanges are the aggregates' own."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = m.mart_product_summary._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan
+    assert "Exchange" not in plan  # sparkPlan is before exchanges are planned
+    import re
+    phys = m.mart_product_summary._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(product_id#\d+L, \d+\)", phys)) <= 2
