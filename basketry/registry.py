@@ -173,6 +173,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_vip_revenue_by_quarter": _r(lambda m: sm.focus_metric(
         sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain"], "revenue", "VIP",
         {"date_granularity": "quarter"})),
+    "dashboard_filtered_kpis": _r(lambda m: rp.kpi_tiles(m.mart_orders_presentation.where(sm.dashboard_filter(
+        date_from=m.cfg.two_year_start, date_to=m.cfg.year_end, profile="VIP", complete_only=True)))),
+    "drill_vip_orders_in_year": _r(lambda m: sm.drill(m.mart_orders, sm.dashboard_filter(
+        date_from=m.cfg.year_start, date_to=m.cfg.year_end, segment="VIP"), sm.ORDER_DETAIL)),
+    "drill_new_customer_lines_in_year": _r(lambda m: sm.drill(m.mart_order_lines, sm.dashboard_filter(
+        date_from=m.cfg.year_start, date_to=m.cfg.year_end, segment="New"), sm.LINE_DETAIL)),
     # time series and forecast
     "daily_sales_zero_filled": _r(lambda m: fc.daily_series(m.mart_orders)),
     "daily_sales_actuals": _r(lambda m: fc.daily_actuals(m.mart_orders)),

@@ -65,9 +65,12 @@ def read_table(spark: SparkSession, path: str, columns=None) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def with_load_observation(df: DataFrame, name: str = "load"):
-    """Attach row count / date range metrics that are filled in while the
-    write runs (no second scan)."""
+def with_load_observation(df: DataFrame, name: str = "load", date_col: str | None = None):
+    """Attach row count (and date range) metrics that are filled in while the
+    write runs, so the load profile needs no second scan."""
     from pyspark.sql import Observation
     obs = Observation(name)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    if date_col:
+        metrics += [F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date")]
+    return df.observe(obs, *metrics), obs
