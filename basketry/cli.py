@@ -24,7 +24,12 @@ def _session():
 
 def _marts(spark, args):
     from basketry.plans.marts import Marts
+    from basketry.session import size_session
     from basketry.sources.readers import load_orders, load_sales
+    if args.size:
+        src = [f"{args.tables}/orders.parquet", f"{args.tables}/lineitem.parquet"] if args.tables \
+            else [f"{args.raw}/raw_orders", f"{args.raw}/raw_sales"]
+        size_session(spark, src)
     cfg = DRIVER_CONFIG if (args.config == "driver" or (args.config is None and args.tables)) else REFERENCE_CONFIG
     if args.tables:
         return Marts.from_tables(spark, args.tables, cfg)
@@ -96,6 +101,8 @@ def main(argv=None) -> int:
         src.add_argument("--raw")
         src.add_argument("--tables")
         sp.add_argument("--config", choices=["reference", "driver"])
+        sp.add_argument("--size", action="store_true",
+                        help="size shuffle partitions and scan splits from the input size")
         if name == "build":
             sp.add_argument("--dest")
         if name == "forecast":

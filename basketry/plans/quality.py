@@ -46,10 +46,25 @@ def _rel(m: Marts, name: str) -> DataFrame:
 
 
 # -- singular checks -----------------------------------------------------------
+# Row-level checks are predicates, so the summary can evaluate all of them for
+# one relation in a single aggregate pass.
 
-def invalid_segments(mart: DataFrame) -> DataFrame:
+def invalid_segment_pred():
     seg = F.col("order_segmentation")
-    return mart.where(~seg.isin(*SEGMENTS) | seg.isNull())
+    return ~seg.isin(*SEGMENTS) | seg.isNull()
+
+
+def non_positive_qty_pred():
+    return (F.col("qty_product") <= 0) | F.col("qty_product").isNull()
+
+
+def segment_mismatch_pred(cfg: Config):
+    derived = F.expr(segment_sql("prior_orders_last_12_months", cfg))
+    return ~derived.eqNullSafe(F.col("order_segmentation"))
+
+
+def invalid_segments(mart: DataFrame) -> DataFrame:
+    return mart.where(invalid_segment_pred())
 
 
 def order_lines_grain(lines: DataFrame) -> DataFrame:
@@ -68,7 +83,7 @@ def order_sales_match(stg_orders: DataFrame, stg_sales: DataFrame, tolerance: fl
 
 
 def positive_product_qty(mart: DataFrame) -> DataFrame:
-    return mart.where((F.col("qty_product") <= 0) | F.col("qty_product").isNull())
+    return mart.where(non_positive_qty_pred())
 
 
 def lines_without_header(stg_sales: DataFrame, stg_orders: DataFrame) -> DataFrame:
@@ -167,18 +182,32 @@ def declared_checks(m: Marts) -> list[Check]:
 def check_summary(m: Marts) -> DataFrame:
     """One row per check: (check_name, severity, failures).
 
-    NOT NULL checks of one relation are evaluated together in one scan
-    (count_if per column); every other check is one aggregate. The branches
-    share the marts' exchanges inside the single resulting plan."""
-    parts: list[DataFrame] = []
+    Row-level checks of one relation (NOT NULL, accepted values and the
+    row-level singular checks) are evaluated together in one aggregate pass
+    (``count_if`` per predicate); key-level checks (uniqueness, grain,
+    relationships, reconciliations) are one aggregate each. The branches are
+    combined by a balanced union into one plan."""
+    cfg = m.cfg
+    row_checks: dict[str, list] = {}
     for rel, cols in NOT_NULL.items():
-        df = _rel(m, rel)
-        counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"c{i}") for i, c in enumerate(cols)])
-        pairs = ", ".join(f"'not_null:{rel}.{c}', c{i}" for i, c in enumerate(cols))
-        parts.append(counts.select(F.expr(f"stack({len(cols)}, {pairs}) AS (check_name, failures)"))
-                     .select("check_name", F.lit("error").alias("severity"), "failures"))
-    others = [c for c in declared_checks(m) if not c.name.startswith("not_null:")]
-    for c in others:
-        parts.append(c.violations().agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "failures"))
+        for c in cols:
+            row_checks.setdefault(rel, []).append((f"not_null:{rel}.{c}", "error", F.col(c).isNull()))
+    for rel, c in ACCEPTED:
+        row_checks.setdefault(rel, []).append(
+            (f"accepted_values:{rel}.{c}", "error", ~F.col(c).isin(*SEGMENTS)))
+    row_checks["mart_orders"] += [
+        ("invalid_segments", "error", invalid_segment_pred()),
+        ("positive_product_qty", "error", non_positive_qty_pred()),
+        ("segmentation_reconciliation", "error", segment_mismatch_pred(cfg)),
+    ]
+    parts: list[DataFrame] = []
+    for rel, checks in row_checks.items():
+        counts = _rel(m, rel).agg(*[F.count_if(pred).alias(f"c{i}") for i, (_, _, pred) in enumerate(checks)])
+        rows = ", ".join(f"'{name}', '{sev}', c{i}" for i, (name, sev, _) in enumerate(checks))
+        parts.append(counts.select(F.expr(f"stack({len(checks)}, {rows}) AS (check_name, severity, failures)")))
+    row_names = {name for checks in row_checks.values() for name, _, _ in checks}
+    for c in declared_checks(m):
+        if c.name not in row_names:
+            parts.append(c.violations().agg(F.count(F.lit(1)).alias("failures")).select(
+                F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "failures"))
     return union_all(parts)

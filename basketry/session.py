@@ -62,3 +62,44 @@ def shared_table_root(spark: SparkSession) -> str:
     """Folder for materialised tables: a sub-folder of the checkpoint dir."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root.rstrip("/"), "tables") if "://" not in root else root.rstrip("/") + "/tables"
+
+
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the input files (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in ([paths] if isinstance(paths, str) else paths):
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        total += path.getFileSystem(conf).getContentSummary(path).getLength()
+    return int(total)
+
+
+def partition_settings(total_input_bytes: int, target_partition_bytes: int = 256 << 20,
+                       max_partitions: int = 100_000) -> dict:
+    """Shuffle and scan sizing for a job reading ``total_input_bytes``.
+
+    Shuffle partitions are sized so that an initial partition holds about
+    ``target_partition_bytes`` of input (joins and the line-level Expand can
+    multiply it a few times, which still fits an executor's execution memory
+    and spills otherwise); AQE then coalesces small partitions to the same
+    advisory size and splits a partition of a join that exceeds 4x the median
+    (and 1 GB). Scan splits use the same target, so one task reads about one
+    partition's worth of parquet."""
+    n = max(200, min(max_partitions, -(-total_input_bytes // target_partition_bytes)))
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    }
+
+
+def size_session(spark: SparkSession, paths, target_partition_bytes: int = 256 << 20) -> dict:
+    """Apply :func:`partition_settings` for the given inputs to the session
+    (runtime SQL settings only)."""
+    conf = partition_settings(input_bytes(spark, paths), target_partition_bytes)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf

@@ -62,3 +62,21 @@ def test_materialize_writes_under_checkpoint_dir(spark):
 def test_namespace(spark):
     sinks.ensure_namespace(spark, "basketry_test_ns")
     assert "basketry_test_ns" in [d.name for d in spark.catalog.listDatabases()]
+
+
+def test_partition_settings():
+    from basketry.session import partition_settings
+    small = partition_settings(10 << 20)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    big = partition_settings(100 * (1 << 40))             # 100 TB
+    assert big["spark.sql.shuffle.partitions"] == "100000"
+    mid = partition_settings(1 << 40)                      # 1 TB -> 4096 x 256 MB
+    assert mid["spark.sql.shuffle.partitions"] == "4096"
+
+
+def test_input_bytes(spark):
+    import os
+    from basketry.session import input_bytes
+    from conftest import SF_SMALL
+    p = f"{SF_SMALL}/orders.parquet"
+    assert input_bytes(spark, p) == os.path.getsize(p)
