@@ -12,7 +12,6 @@ from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)

@@ -9,26 +9,19 @@ tables is done by a union of one-row aggregates, not by a cross join.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.config import Config
 from basketry.functions.dates import in_range, month_abbrev, month_start
 from basketry.functions.numeric import safe_divide
-from basketry.functions.segments import RETURNING, SEGMENTS, VIP
+from basketry.functions.segments import RETURNING, VIP
 
 
 def _year(mart: DataFrame, cfg: Config) -> DataFrame:
     return mart.where(in_range("order_date", cfg.year_start, cfg.year_end))
 
 
-def _pct(part, whole, digits: int = 1):
-    return F.round(safe_divide(F.col(part) * F.lit(100.0), F.col(whole)) if isinstance(part, str)
-                   else safe_divide(part * F.lit(100.0), whole), digits)
-
-
 def _share_of_total(df: DataFrame, col: str, out: str, digits: int = 1) -> DataFrame:
     """Share of the column total; ``df`` is an already aggregated frame with a
     bounded number of rows, so the global window is cheap."""

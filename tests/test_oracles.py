@@ -1,7 +1,6 @@
 """Every registered query against its DuckDB oracle on sf0.001."""
 
 import decimal
-import os
 
 import duckdb
 import pytest
