@@ -39,10 +39,10 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view",
-                root: str | None = None, cluster_by=None) -> DataFrame:
+                root: str | None = None, cluster_by=None, register_view: bool = False) -> DataFrame:
     """``view``: register a lazy temp view. ``table``: write parquet under
     ``root`` (default: the shared table folder) and return the re-read table,
-    which cuts the lineage."""
+    which cuts the lineage (a view of it is registered only on request)."""
     if kind == "view":
         df.createOrReplaceTempView(name)
         return df
@@ -54,7 +54,8 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view
     path = f"{root.rstrip('/')}/{name}"
     write_table(df, path, cluster_by=cluster_by)
     out = spark.read.parquet(path)
-    out.createOrReplaceTempView(name)
+    if register_view:
+        out.createOrReplaceTempView(name)
     return out
 
 

@@ -51,8 +51,9 @@ def test_float_ids_round_half_away(spark):
 def test_materialize_writes_under_checkpoint_dir(spark):
     from basketry.session import shared_table_root
     ro = raw_orders(spark, [(1, 10, "2026-01-01", 1.0)])
-    out = sinks.materialize(spark, ro, "test_materialized_orders", "table")
+    out = sinks.materialize(spark, ro, "test_materialized_orders", "table", register_view=True)
     assert out.count() == 1
+    assert spark.table("test_materialized_orders").count() == 1
     root = shared_table_root(spark)
     assert root.startswith(spark.sparkContext.getCheckpointDir().split("/")[0])
     sinks.materialize(spark, ro, "test_view_orders", "view")
