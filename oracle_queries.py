@@ -1,9 +1,10 @@
 """DuckDB oracle SQL for every registered query.
 
 The oracle is written independently of the Spark code, directly from the
-model definitions: the look-back is the brute-force self join on customer and
-date range, the latest profile uses ``QUALIFY row_number()``, and so on. It
-runs on the test tables registered as views (orders, lineitem, ...).
+model definitions: the look-back is a brute-force correlated count of each
+customer's earlier orders, the latest profile an ordered ``FIRST`` aggregate,
+the forecast a recursive CTE, and so on. It runs on the test tables
+registered as views (orders, lineitem, ...).
 
 Output types are fixed on both sides: money and ratios as DOUBLE (money is
 rounded to cents in DECIMAL first), counts as BIGINT, days as DATE.
@@ -60,27 +61,27 @@ stg_sales AS (
          CAST(order_id AS BIGINT) AS order_id, CAST(products_id AS BIGINT) AS product_id,
          CAST(net_sales AS DECIMAL(38,9)) AS line_net_sales, CAST(ROUND(qty) AS BIGINT) AS qty
   FROM raw_sales),
+headed_lines AS (
+  SELECT * FROM stg_sales WHERE order_id IN (SELECT order_id FROM stg_orders)),
 int_order_product_summary AS (
-  SELECT s.order_id, CAST(SUM(s.qty) AS BIGINT) AS qty_product, COUNT(*) AS product_line_count,
-         COUNT(DISTINCT s.product_id) AS distinct_product_count
-  FROM stg_sales s
-  WHERE EXISTS (SELECT 1 FROM stg_orders o WHERE o.order_id = s.order_id)
-  GROUP BY s.order_id),
+  SELECT order_id, CAST(SUM(qty) AS BIGINT) AS qty_product, COUNT(*) AS product_line_count,
+         COUNT(DISTINCT product_id) AS distinct_product_count
+  FROM headed_lines GROUP BY order_id),
 int_order_customer_history AS (
-  SELECT cur.order_id, cur.customer_id, cur.order_date, cur.net_sales,
-         COUNT(hist.order_id) AS prior_orders_last_12_months,
-         CASE WHEN cur.order_date >= {COMPLETE_FROM} THEN TRUE ELSE FALSE END AS has_complete_12_month_history
-  FROM stg_orders cur
-  LEFT JOIN stg_orders hist
-    ON cur.customer_id = hist.customer_id
-   AND hist.order_date >= CAST(cur.order_date - INTERVAL {LOOKBACK} MONTH AS DATE)
-   AND hist.order_date < cur.order_date
-  GROUP BY cur.order_id, cur.customer_id, cur.order_date, cur.net_sales),
+  -- brute force: count the earlier orders of the customer for every order
+  SELECT o.order_id, o.customer_id, o.order_date, o.net_sales,
+         (SELECT COUNT(e.order_id) FROM stg_orders e
+           WHERE e.customer_id = o.customer_id
+             AND e.order_date < o.order_date
+             AND e.order_date >= CAST(o.order_date - INTERVAL {LOOKBACK} MONTH AS DATE)
+         ) AS prior_orders_last_12_months,
+         COALESCE(o.order_date >= {COMPLETE_FROM}, FALSE) AS has_complete_12_month_history
+  FROM stg_orders o),
 latest_profile AS (
-  SELECT customer_id, {seg('prior_orders_last_12_months')} AS customer_profile
-  FROM int_order_customer_history
-  QUALIFY ROW_NUMBER() OVER (PARTITION BY customer_id
-                             ORDER BY order_date DESC NULLS LAST, order_id DESC NULLS LAST) = 1),
+  SELECT customer_id,
+         FIRST({seg('prior_orders_last_12_months')}
+               ORDER BY order_date DESC NULLS LAST, order_id DESC NULLS LAST) AS customer_profile
+  FROM int_order_customer_history GROUP BY customer_id),
 mart_orders AS (
   SELECT h.order_id, h.customer_id, h.order_date,
          CAST(EXTRACT(YEAR FROM h.order_date) AS BIGINT) AS order_year,
@@ -106,10 +107,9 @@ mart_order_lines AS (
          oa.order_segmentation, oa.customer_profile,
          COALESCE(oa.has_complete_12_month_history, FALSE) AS has_complete_12_month_history,
          {xdiv('s.line_net_sales', 's.qty')} AS revenue_per_unit
-  FROM stg_sales s
-  LEFT JOIN mart_orders oa ON s.order_id = oa.order_id
-  WHERE EXISTS (SELECT 1 FROM stg_orders o WHERE o.order_id = s.order_id)),
-product_metrics AS (
+  FROM headed_lines s
+  LEFT JOIN mart_orders oa ON s.order_id = oa.order_id),
+mart_product_summary AS (
   SELECT product_id,
          CAST(SUM(quantity) AS BIGINT) AS total_units_sold,
          ROUND(SUM(net_sales), 2) AS total_product_revenue,
@@ -120,16 +120,12 @@ product_metrics AS (
          ROUND(SUM(CASE WHEN order_segmentation = 'New' THEN net_sales ELSE 0 END), 2) AS new_customer_revenue,
          ROUND(SUM(CASE WHEN order_segmentation = 'Returning' THEN net_sales ELSE 0 END), 2) AS returning_customer_revenue,
          ROUND(SUM(CASE WHEN order_segmentation = 'VIP' THEN net_sales ELSE 0 END), 2) AS vip_revenue,
-         MIN(order_date) AS first_order_date, MAX(order_date) AS last_order_date
-  FROM mart_order_lines GROUP BY product_id),
-product_months AS (
-  SELECT product_id, COUNT(DISTINCT DATE_TRUNC('month', order_date)) AS active_months
+         MIN(order_date) AS first_order_date, MAX(order_date) AS last_order_date,
+         COUNT(DISTINCT DATE_TRUNC('month', order_date)) AS active_months,
+         {xdiv('ROUND(SUM(net_sales), 2)', "COUNT(DISTINCT DATE_TRUNC('month', order_date))")} AS avg_monthly_revenue,
+         ROUND(COUNT(DISTINCT order_id) / NULLIF(COUNT(DISTINCT DATE_TRUNC('month', order_date)), 0), 2)
+           AS avg_monthly_orders
   FROM mart_order_lines GROUP BY product_id),
-mart_product_summary AS (
-  SELECT pm.*, pom.active_months,
-         {xdiv('pm.total_product_revenue', 'pom.active_months')} AS avg_monthly_revenue,
-         ROUND(pm.orders_containing_product / NULLIF(pom.active_months, 0), 2) AS avg_monthly_orders
-  FROM product_metrics pm LEFT JOIN product_months pom ON pm.product_id = pom.product_id),
 mart_orders_presentation AS (
   SELECT order_date, order_year, order_month, order_month_start, net_sales, qty_product,
          product_line_count, distinct_product_count, order_segmentation, customer_profile,
