@@ -215,17 +215,21 @@ def daily_trends(mart: DataFrame) -> DataFrame:
 
 
 def month_contribution(mart: DataFrame) -> DataFrame:
-    """Revenue and orders per month with year subtotals and the grand total
-    (rollup), each with its share of the grand total."""
-    r = mart.rollup("order_year", "order_month").agg(
+    """Revenue and orders per month with half-year and year subtotals and the
+    grand total (rollup), each with its share of the grand total. The rollup
+    output has at most 19 rows per year, so the total is taken by a window
+    over that small frame."""
+    half = F.when(F.col("order_month") <= 6, F.lit(1)).otherwise(F.lit(2)).cast("bigint")
+    r = mart.withColumn("order_half", half).rollup("order_year", "order_half", "order_month").agg(
         F.sum("net_sales").alias("revenue"), F.count(F.lit(1)).alias("orders"),
         F.grouping_id().alias("gid"))
     grand = Window.partitionBy()
-    tot_rev = F.max(F.when(F.col("gid") == 3, F.col("revenue"))).over(grand)
-    tot_ord = F.max(F.when(F.col("gid") == 3, F.col("orders"))).over(grand)
-    level = F.when(F.col("gid") == 0, "month").when(F.col("gid") == 1, "year").otherwise("total")
+    tot_rev = F.max(F.when(F.col("gid") == 7, F.col("revenue"))).over(grand)
+    tot_ord = F.max(F.when(F.col("gid") == 7, F.col("orders"))).over(grand)
+    level = (F.when(F.col("gid") == 0, "month").when(F.col("gid") == 1, "half")
+             .when(F.col("gid") == 3, "year").otherwise("total"))
     return r.select(
-        level.alias("level"), "order_year", "order_month",
+        level.alias("level"), "order_year", "order_half", "order_month",
         F.round("revenue", 2).alias("revenue"),
         F.round(safe_divide(F.col("revenue") * F.lit(100.0), tot_rev), 1).alias("revenue_pct"),
         "orders",

@@ -316,11 +316,14 @@ SELECT order_date, {money('SUM(net_sales)')} AS net_sales, COUNT(*) AS orders,
        {money(xdiv('SUM(net_sales)', 'COUNT(*)'))} AS average_order_value
 FROM mart_orders GROUP BY order_date"""),
     "month_contribution": q(f"""
-, r AS (SELECT order_year, order_month, SUM(net_sales) AS revenue, COUNT(*) AS orders,
-               GROUPING(order_year, order_month) AS gid
-        FROM mart_orders GROUP BY ROLLUP (order_year, order_month)),
-t AS (SELECT revenue AS tot_rev, orders AS tot_ord FROM r WHERE gid = 3)
-SELECT CASE gid WHEN 0 THEN 'month' WHEN 1 THEN 'year' ELSE 'total' END AS level, order_year, order_month,
+, r AS (SELECT order_year, order_half, order_month, SUM(net_sales) AS revenue, COUNT(*) AS orders,
+               GROUPING(order_year, order_half, order_month) AS gid
+        FROM (SELECT *, CAST(CASE WHEN order_month <= 6 THEN 1 ELSE 2 END AS BIGINT) AS order_half
+              FROM mart_orders)
+        GROUP BY ROLLUP (order_year, order_half, order_month)),
+t AS (SELECT revenue AS tot_rev, orders AS tot_ord FROM r WHERE gid = 7)
+SELECT CASE gid WHEN 0 THEN 'month' WHEN 1 THEN 'half' WHEN 3 THEN 'year' ELSE 'total' END AS level,
+       order_year, order_half, order_month,
        {money('revenue')} AS revenue, {pct('revenue', 'tot_rev')} AS revenue_pct,
        orders, {pct('orders', 'tot_ord')} AS orders_pct
 FROM r, t"""),
