@@ -6,7 +6,6 @@ scripts and tests; production jobs pass their own session in.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -60,8 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def shared_table_root(spark: SparkSession) -> str:
     """Folder for materialised tables: a sub-folder of the checkpoint dir."""
-    root = ensure_checkpoint_dir(spark)
-    return os.path.join(root.rstrip("/"), "tables") if "://" not in root else root.rstrip("/") + "/tables"
+    return ensure_checkpoint_dir(spark).rstrip("/") + "/tables"
 
 
 def input_bytes(spark: SparkSession, paths) -> int:
