@@ -161,6 +161,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_orders_by_week": _r(lambda m: explore(
         sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain"],
         ["order_count", "total_net_sales", "unique_customers"], params={"date_granularity": "week"})),
+    "metrics_orders_by_day": _r(lambda m: explore(
+        sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain"],
+        ["order_count", "total_net_sales", "average_order_value", "total_products"],
+        params={"date_granularity": "day"})),
+    "metrics_orders_by_quarter_segment": _r(lambda m: explore(
+        sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain", "order_segmentation"],
+        ["order_count", "total_net_sales", "unique_customers", "average_products_per_order"],
+        params={"date_granularity": "quarter"})),
+    "metrics_lines_by_month_profile": _r(lambda m: explore(
+        sm.order_lines_view(m.cfg), m.mart_order_lines, ["order_date_month", "customer_profile"],
+        ["total_net_sales", "total_quantity", "order_count", "unique_customers", "average_revenue_per_unit",
+         "average_quantity_per_order"])),
     "metrics_orders_by_segment_profile": _r(lambda m: explore(
         sm.orders_view(m.cfg), m.mart_orders, ["order_segmentation", "customer_profile"],
         ["order_count", "total_net_sales", "average_order_value", "average_products_per_order",

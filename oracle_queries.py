@@ -678,3 +678,24 @@ FROM year_orders WHERE order_segmentation = 'VIP'"""),
 SELECT order_id, product_id, order_date, quantity, {money('net_sales')} AS net_sales, order_segmentation
 FROM mart_order_lines WHERE order_date >= {Y0} AND order_date < {Y1} AND order_segmentation = 'New'"""),
 })
+
+ORACLE.update({
+    "metrics_orders_by_day": q(f"""
+SELECT CAST(order_date AS VARCHAR) AS order_date_at_selected_grain, COUNT(*) AS order_count,
+       {money('SUM(net_sales)')} AS total_net_sales,
+       {money(xdiv('SUM(net_sales)', 'COUNT(net_sales)'))} AS average_order_value,
+       CAST(SUM(qty_product) AS BIGINT) AS total_products
+FROM mart_orders GROUP BY order_date"""),
+    "metrics_orders_by_quarter_segment": q(f"""
+SELECT CAST(CAST(DATE_TRUNC('quarter', order_date) AS DATE) AS VARCHAR) AS order_date_at_selected_grain,
+       order_segmentation, COUNT(*) AS order_count, {money('SUM(net_sales)')} AS total_net_sales,
+       COUNT(DISTINCT customer_id) AS unique_customers, AVG(qty_product) AS average_products_per_order
+FROM mart_orders GROUP BY 1, 2"""),
+    "metrics_lines_by_month_profile": q(f"""
+SELECT CAST(DATE_TRUNC('month', order_date) AS DATE) AS order_date_month, customer_profile,
+       {money('SUM(net_sales)')} AS total_net_sales, CAST(SUM(quantity) AS BIGINT) AS total_quantity,
+       COUNT(DISTINCT order_id) AS order_count, COUNT(DISTINCT customer_id) AS unique_customers,
+       {money(xdiv('SUM(net_sales)', 'SUM(quantity)'))} AS average_revenue_per_unit,
+       CAST(SUM(quantity) AS DOUBLE) / NULLIF(COUNT(DISTINCT order_id), 0) AS average_quantity_per_order
+FROM mart_order_lines GROUP BY 1, 2"""),
+})
