@@ -28,6 +28,8 @@ def con():
 
 
 ORACLES = ent.oracle_sql()
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "int": "INTEGER"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -35,10 +37,13 @@ def test_matches_oracle(spark, con, name):
     df = ent.queries()[name](spark, SF_SMALL)
     cols = df.columns
     s_rows = [tuple(r) for r in df.collect()]
-    res = con.execute(ORACLES[name])
-    d_cols = [d[0] for d in res.description]
-    d_rows = res.fetchall()
+    rel = con.sql(ORACLES[name])
+    d_cols, d_types = rel.columns, [str(t) for t in rel.types]
+    d_rows = rel.fetchall()
     assert sorted(cols) == sorted(d_cols)
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema.fields}
+    assert s_types == dict(zip(d_cols, d_types))
     order = sorted(cols)
     s = sorted((tuple(_norm(r[cols.index(c)]) for c in order) for r in s_rows), key=repr)
     d = sorted((tuple(_norm(r[d_cols.index(c)]) for c in order) for r in d_rows), key=repr)
