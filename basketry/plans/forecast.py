@@ -78,15 +78,16 @@ def fit(series: DataFrame, keys=(), alphas=DEFAULT_ALPHAS) -> DataFrame:
         F.array_sort(F.collect_list(F.struct(F.col("date"), F.col("__y")))).alias("__pts"),
         F.max("date").alias("last_date"))
     arr = arr.withColumn("__ys", F.expr("transform(__pts, p -> p.__y)"))
+    # One smoothing pass per weight; the finish function emits the (sse,
+    # alpha, level) struct, so the pass is not repeated per field.
     one = (
         "aggregate(slice(__ys, 2, size(__ys) - 1), "
         "named_struct('level', __ys[0], 'sse', CAST(0 AS DOUBLE)), "
         "(acc, y) -> named_struct('level', a * y + (1 - a) * acc.level, "
-        "'sse', acc.sse + (y - acc.level) * (y - acc.level)))"
+        "'sse', acc.sse + (y - acc.level) * (y - acc.level)), "
+        "acc -> named_struct('sse', acc.sse, 'alpha', a, 'level', acc.level))"
     )
-    best = F.expr(
-        f"array_min(transform({_alphas_sql(alphas)}, a -> "
-        f"named_struct('sse', ({one}).sse, 'alpha', a, 'level', ({one}).level)))")
+    best = F.expr(f"array_min(transform({_alphas_sql(alphas)}, a -> {one}))")
     fitted = arr.select(*keys, "last_date", F.size("__ys").cast("bigint").alias("n"), best.alias("__b"))
     return fitted.select(
         *keys, "last_date", "n",
