@@ -22,6 +22,16 @@ def _session():
     return get_session()
 
 
+def _parse_vars(text: str) -> dict:
+    """``--vars '{"vip_min_prior_orders": 5, "dataset_start_date": "2025-07-09"}'``"""
+    import datetime as dt
+    raw = json.loads(text)
+    out = {}
+    for k, v in raw.items():
+        out[k] = dt.date.fromisoformat(v) if k == "dataset_start_date" else v
+    return out
+
+
 def _marts(spark, args):
     from basketry.plans.marts import Marts
     from basketry.session import size_session
@@ -31,6 +41,8 @@ def _marts(spark, args):
             else [f"{args.raw}/raw_orders", f"{args.raw}/raw_sales"]
         size_session(spark, src)
     cfg = DRIVER_CONFIG if (args.config == "driver" or (args.config is None and args.tables)) else REFERENCE_CONFIG
+    if args.vars:
+        cfg = cfg.with_(**_parse_vars(args.vars))
     if args.tables:
         return Marts.from_tables(spark, args.tables, cfg)
     return Marts(load_orders(spark, f"{args.raw}/raw_orders"), load_sales(spark, f"{args.raw}/raw_sales"), cfg)
@@ -82,7 +94,8 @@ def cmd_forecast(args) -> int:
     write_table(fc.sales_forecast(m.mart_orders, keys), f"{args.dest}/v_sales_forecast")
     write_table(fc.sales_forecast_all(m.mart_orders, keys), f"{args.dest}/v_sales_forecast_all")
     write_table(fc.backtest(m.mart_orders, keys), f"{args.dest}/forecast_backtest")
-    for r in fc.backtest(m.mart_orders, keys).collect():   # one row per series and hold-out
+    # the written scores: one row per series and hold-out
+    for r in spark.read.parquet(f"{args.dest}/forecast_backtest").collect():
         print(json.dumps(r.asDict(), default=str))
     return 0
 
@@ -101,6 +114,7 @@ def main(argv=None) -> int:
         src.add_argument("--raw")
         src.add_argument("--tables")
         sp.add_argument("--config", choices=["reference", "driver"])
+        sp.add_argument("--vars", help="JSON object overriding configuration values")
         sp.add_argument("--size", action="store_true",
                         help="size shuffle partitions and scan splits from the input size")
         if name == "build":

@@ -24,6 +24,7 @@ def test_load_build_check_forecast(spark, capsys):
     assert cli.main(["check", "--raw", f"{d}/raw", "--config", "driver"]) == 1
     assert "64 checks" in capsys.readouterr().out
     assert cli.main(["forecast", "--tables", SF_SMALL, "--dest", f"{d}/fc"]) == 0
+    assert '"holdout_days": 30' in capsys.readouterr().out
     assert spark.read.parquet(f"{d}/fc/v_sales_forecast_all").where("series_type = 'Forecast'").count() == 51
 
 
@@ -37,3 +38,10 @@ def test_register_views(spark):
                   "<> order_segmentation").first()[0]
     assert n == 0
     assert spark.sql("SELECT count(*) FROM v_sales_forecast WHERE series_type = 'Forecast'").first()[0] == 30
+
+
+def test_vars_override():
+    from basketry.cli import _parse_vars
+    import datetime as dt
+    v = _parse_vars('{"vip_min_prior_orders": 5, "dataset_start_date": "2024-01-01"}')
+    assert v == {"vip_min_prior_orders": 5, "dataset_start_date": dt.date(2024, 1, 1)}
