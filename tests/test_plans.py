@@ -59,3 +59,17 @@ def test_product_summary_join_adds_no_shuffle(spark, m):
     import re
     phys = m.mart_product_summary._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning\(product_id#\d+L, \d+\)", phys)) <= 2
+
+
+def test_lines_aggregated_before_meeting_headers(spark, m):
+    """A hot order must be reduced map-side. For large inputs (no broadcast)
+    the semi join with the headers stays above the per-order aggregate;
+    Catalyst pushes it below only when the headers can be broadcast, where
+    the semi join is a map-side filter."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        opt = m.order_product_summary.select("*")._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    semi = opt.index("Join LeftSemi")
+    assert "Aggregate [order_id" in opt[semi:]     # child of the semi join: runs first
