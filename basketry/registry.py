@@ -200,8 +200,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sales_forecast_all": _r(lambda m: _round_cols(fc.sales_forecast_all(m.mart_orders), _FC, 2)),
     "sales_forecast_by_segment": _r(lambda m: _round_cols(
         fc.sales_forecast(m.mart_orders, ["order_segmentation"]), _FC, 2)),
+    # sse is presented unrounded: it is bit-identical across engines, while a
+    # two-digit round of a value above 2**53 / 100 is not exact in every engine.
     "forecast_models_by_segment": _r(lambda m: _round_cols(
-        fc.fitted_models(m.mart_orders, ["order_segmentation"]), ["level", "sse", "sigma"], 2)),
+        fc.fitted_models(m.mart_orders, ["order_segmentation"]), ["level", "sigma"], 2)),
     "forecast_backtest": _r(lambda m: _round_cols(
         fc.backtest(m.mart_orders), ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
     "forecast_latest_days": _r(lambda m: _round_cols(fc.latest_days(fc.sales_forecast(m.mart_orders), 5), _FC, 2)),

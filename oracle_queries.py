@@ -638,7 +638,7 @@ ORACLE.update({
                                     + _actuals(["order_segmentation"], False) + "\nUNION ALL\n"
                                     + _fc_rows(["order_segmentation"], False)),
     "forecast_models_by_segment": qr(_fc_ctes(["order_segmentation"]) + """
-SELECT order_segmentation, last_date, CAST(n AS BIGINT) AS n, alpha, ROUND(level, 2) AS level, ROUND(sse, 2) AS sse,
+SELECT order_segmentation, last_date, CAST(n AS BIGINT) AS n, alpha, ROUND(level, 2) AS level, sse,
        ROUND(sigma, 2) AS sigma
 FROM model"""),
     "forecast_backtest": qr(_fc_ctes([], holdouts=(7, 14, 30)) + """,
