@@ -273,7 +273,8 @@ class Marts:
             spark, self.order_product_summary, "int_order_product_summary", "table", root)
         out.__dict__["mart_orders"] = materialize(
             spark, mart_orders(self.stg_orders, self.stg_sales, self.cfg, out.order_product_summary),
-            "mart_orders", "table", root, cluster_by=cluster(["customer_id", "order_segmentation"]))
+            "mart_orders", "table", root, cluster_by=cluster(["customer_id", "order_segmentation"]),
+            tiebreak="order_id")
         # The history model has the same rows and columns as the order mart
         # (a projection), so it is written from the written mart instead of
         # recomputing the look-back. The mart's files are already range
@@ -288,7 +289,7 @@ class Marts:
             spark, history, "int_order_customer_history", "table", root)
         out.__dict__["mart_order_lines"] = materialize(
             spark, mart_order_lines(self.stg_sales, out.mart_orders), "mart_order_lines", "table", root,
-            cluster_by=cluster(["product_id", "customer_id"]))
+            cluster_by=cluster(["product_id", "customer_id"]), tiebreak=["order_id", "order_date"])
         out.__dict__["mart_product_summary"] = materialize(
             spark, mart_product_summary(out.mart_order_lines), "mart_product_summary", "table", root,
             cluster_by=cluster(["product_id"]))

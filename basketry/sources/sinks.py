@@ -12,21 +12,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def cluster(df: DataFrame, keys, num_partitions: int | None = None) -> DataFrame:
+def cluster(df: DataFrame, keys, num_partitions: int | None = None, tiebreak=None) -> DataFrame:
     """Co-locate rows by ``keys``: range partitioning keeps file min/max
     statistics tight, so later filters on the keys skip files and row groups.
-    Range bounds are sampled, so a hot key is split across files rather than
-    landing in one task."""
+
+    Range bounds cannot split a single key value, so a key holding a large
+    share of the rows would land in one write task. ``tiebreak`` (a unique
+    column, e.g. the row's id) is appended as the last range key: files stay
+    ordered by ``keys`` first, and a hot key spans as many partitions as its
+    size needs."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    parts = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-             else df.repartitionByRange(*keys))
-    return parts.sortWithinPartitions(*keys)
+    extra = [tiebreak] if isinstance(tiebreak, str) else list(tiebreak or [])
+    range_keys = keys + [k for k in extra if k not in keys]
+    parts = (df.repartitionByRange(num_partitions, *range_keys) if num_partitions
+             else df.repartitionByRange(*range_keys))
+    return parts.sortWithinPartitions(*range_keys)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
-                cluster_by=None, partition_by=None, num_partitions: int | None = None) -> None:
+                cluster_by=None, partition_by=None, num_partitions: int | None = None,
+                tiebreak=None) -> None:
     """Truncate-and-write (``overwrite``) or append."""
-    out = cluster(df, cluster_by, num_partitions) if cluster_by else df
+    out = cluster(df, cluster_by, num_partitions, tiebreak) if cluster_by else df
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
@@ -39,7 +46,8 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
 
 
 def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view",
-                root: str | None = None, cluster_by=None, register_view: bool = False) -> DataFrame:
+                root: str | None = None, cluster_by=None, register_view: bool = False,
+                tiebreak=None) -> DataFrame:
     """``view``: register a lazy temp view. ``table``: write parquet under
     ``root`` (default: the shared table folder) and return the re-read table,
     which cuts the lineage (a view of it is registered only on request)."""
@@ -52,7 +60,7 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view
         from basketry.session import shared_table_root
         root = shared_table_root(spark)
     path = f"{root.rstrip('/')}/{name}"
-    write_table(df, path, cluster_by=cluster_by)
+    write_table(df, path, cluster_by=cluster_by, tiebreak=tiebreak)
     out = spark.read.parquet(path)
     if register_view:
         out.createOrReplaceTempView(name)

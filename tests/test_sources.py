@@ -81,3 +81,24 @@ def test_input_bytes(spark):
     from conftest import SF_SMALL
     p = f"{SF_SMALL}/orders.parquet"
     assert input_bytes(spark, p) == os.path.getsize(p)
+
+
+def test_cluster_splits_hot_key(spark):
+    """A key holding half the rows spreads over several range partitions when
+    a unique tie-break is appended; each partition stays sorted by the key."""
+    from pyspark.sql import functions as F
+    df = spark.range(0, 4000).select(
+        F.when(F.col("id") % 2 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), F.col("id"))
+    plain = sinks.cluster(df, "k", 8)
+    split = sinks.cluster(df, "k", 8, tiebreak="id")
+    def max_share(d):
+        sizes = d.withColumn("p", F.spark_partition_id()).where("k = -1").groupBy("p").count().collect()
+        return max(r["count"] for r in sizes), len(sizes)
+    assert max_share(plain) == (2000, 1)
+    biggest, n_parts = max_share(split)
+    assert n_parts > 1 and biggest < 2000
+    rows = split.withColumn("p", F.spark_partition_id()).collect()
+    by_part = {}
+    for r in rows:
+        by_part.setdefault(r.p, []).append((r.k, r.id))
+    assert all(v == sorted(v) for v in by_part.values())
