@@ -68,3 +68,40 @@ def test_hot_customer_day_table_is_bounded(skewed):
     hot = days.where(F.col("customer_id") == HOT)
     n_days = skewed.stg_orders.where(F.col("customer_id") == HOT).select("order_date").distinct().count()
     assert hot.count() == n_days
+
+
+def test_hot_order_line_join_is_split(spark):
+    """An order holding a third of all lines: the join of lines with order
+    attributes is split by adaptive execution (several map tasks are needed
+    for a split, so the fixture is spread over 8), and the result equals the
+    unsplit one."""
+    ro = raw_orders_from_tables(spark, SF_SMALL)
+    hot = ro.agg(F.min("orders_id")).first()[0]
+    rs = (raw_sales_from_tables(spark, SF_SMALL).repartition(8)
+          .withColumn("order_id", F.when(F.rand(7) < 0.34, F.lit(hot)).otherwise(F.col("order_id"))))
+    rs = spark.createDataFrame(rs.collect(), rs.schema)      # fix the random draw
+    rs = rs.repartition(8)
+
+    def lines_summary():
+        df = Marts(ro, rs, DRIVER_CONFIG).mart_order_lines
+        rows = df.collect()
+        return df, (len(rows), sum(r.quantity for r in rows), sum(1 for r in rows if r.order_id == hot))
+
+    _, expected = lines_summary()
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2048",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df, got = lines_summary()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == expected
+    assert expected[2] > expected[0] // 4
+    assert "skewed" in plan
