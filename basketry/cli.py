@@ -67,7 +67,7 @@ def cmd_load(args) -> int:
 def cmd_build(args) -> int:
     spark = _session()
     built = _marts(spark, args).materialize(spark, args.dest)
-    print(json.dumps({"tables": built.root}))
+    print(json.dumps({"tables": built.root, "rows": built.row_counts}))
     return 0
 
 

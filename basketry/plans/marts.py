@@ -199,6 +199,7 @@ class Marts:
         cfg.validate()
         self.raw_orders, self.raw_sales, self.cfg = raw_orders, raw_sales, cfg
         self.root = None  # folder of the materialised tables, if any
+        self.row_counts: dict = {}  # rows written per table (write-time metrics)
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, cfg: Config) -> "Marts":
@@ -293,4 +294,6 @@ class Marts:
         out.__dict__["mart_product_summary"] = materialize(
             spark, mart_product_summary(out.mart_order_lines), "mart_product_summary", "table", root,
             cluster_by=cluster(["product_id"]))
+        from basketry.sources.sinks import ROW_COUNTS
+        out.row_counts = {p.rsplit("/", 1)[-1]: n for p, n in ROW_COUNTS.items() if p.startswith(root)}
         return out

@@ -31,9 +31,13 @@ def cluster(df: DataFrame, keys, num_partitions: int | None = None, tiebreak=Non
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                 cluster_by=None, partition_by=None, num_partitions: int | None = None,
-                tiebreak=None) -> None:
-    """Truncate-and-write (``overwrite``) or append."""
+                tiebreak=None, observation=None) -> None:
+    """Truncate-and-write (``overwrite``) or append. ``observation``: an
+    ``Observation`` filled with the written row count; it is attached above
+    the clustering exchange, so the range sampling pass is not counted."""
     out = cluster(df, cluster_by, num_partitions, tiebreak) if cluster_by else df
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
@@ -45,6 +49,10 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`{loc}")
 
 
+# Rows written per materialised table path, filled from write-time metrics.
+ROW_COUNTS: dict = {}
+
+
 def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view",
                 root: str | None = None, cluster_by=None, register_view: bool = False,
                 tiebreak=None) -> DataFrame:
@@ -60,7 +68,10 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view
         from basketry.session import shared_table_root
         root = shared_table_root(spark)
     path = f"{root.rstrip('/')}/{name}"
-    write_table(df, path, cluster_by=cluster_by, tiebreak=tiebreak)
+    from pyspark.sql import Observation
+    obs = Observation(f"rows_{name}")
+    write_table(df, path, cluster_by=cluster_by, tiebreak=tiebreak, observation=obs)
+    ROW_COUNTS[path] = obs.get.get("rows")
     out = spark.read.parquet(path)
     if register_view:
         out.createOrReplaceTempView(name)

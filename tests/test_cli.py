@@ -19,6 +19,7 @@ def test_load_build_check_forecast(spark, capsys):
     assert '"rows": 1500' in out
     assert cli.main(["build", "--raw", f"{d}/raw", "--config", "driver", "--dest", f"{d}/marts"]) == 0
     assert os.path.isdir(f"{d}/marts/mart_orders")
+    assert '"mart_orders": 1500' in capsys.readouterr().out
     assert spark.read.parquet(f"{d}/marts/mart_orders").count() == 1500
     # the generated data has orders without lines and repeated lines -> errors
     assert cli.main(["check", "--raw", f"{d}/raw", "--config", "driver"]) == 1
