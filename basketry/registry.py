@@ -97,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources
     "raw_orders_profile": _q(lambda m: load_profile(m.raw_orders, "date_date")),
     "raw_orders_null_counts": _q(lambda m: null_counts(m.raw_orders)),
+    "raw_sales_profile": _q(lambda m: load_profile(m.raw_sales, "date_date")),
     # staging / intermediate / marts
     "stg_orders": _q(lambda m: m.stg_orders),
     "stg_sales": _q(lambda m: m.stg_sales),

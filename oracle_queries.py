@@ -699,3 +699,8 @@ SELECT CAST(DATE_TRUNC('month', order_date) AS DATE) AS order_date_month, custom
        CAST(SUM(quantity) AS DOUBLE) / NULLIF(COUNT(DISTINCT order_id), 0) AS average_quantity_per_order
 FROM mart_order_lines GROUP BY 1, 2"""),
 })
+
+ORACLE["raw_sales_profile"] = q("""
+SELECT COUNT(*) AS row_count, CAST(6 AS BIGINT) AS column_count,
+       MIN(date_date) AS min_date, MAX(date_date) AS max_date
+FROM raw_sales""")
