@@ -53,7 +53,13 @@ def _built(spark: SparkSession, sf_dir: str) -> Marts:
     key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     m = _BUILT.get(key)
     if m is None:
-        m = _BUILT[key] = _marts(spark, sf_dir).materialize(spark)
+        try:
+            m = _marts(spark, sf_dir).materialize(spark)
+        except Exception as exc:  # noqa: BLE001 - e.g. the shared folder is not writable
+            import logging
+            logging.getLogger(__name__).warning("materialising the marts failed (%s); using lazy plans", exc)
+            m = _marts(spark, sf_dir)
+        _BUILT[key] = m
     return m
 
 
