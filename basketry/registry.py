@@ -180,6 +180,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sm.order_lines_view(m.cfg), m.mart_order_lines, ["order_date_month", "customer_profile"],
         ["total_net_sales", "total_quantity", "order_count", "unique_customers", "average_revenue_per_unit",
          "average_quantity_per_order"])),
+    "metrics_segmentation_reconciliation": _r(lambda m: explore(
+        sm.orders_view(m.cfg), m.mart_orders, ["segmentation_reconciliation", "derived_order_segmentation"],
+        ["order_count"])),
     "metrics_orders_by_segment_profile": _r(lambda m: explore(
         sm.orders_view(m.cfg), m.mart_orders, ["order_segmentation", "customer_profile"],
         ["order_count", "total_net_sales", "average_order_value", "average_products_per_order",

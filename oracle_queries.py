@@ -704,3 +704,8 @@ ORACLE["raw_sales_profile"] = q("""
 SELECT COUNT(*) AS row_count, CAST(6 AS BIGINT) AS column_count,
        MIN(date_date) AS min_date, MAX(date_date) AS max_date
 FROM raw_sales""")
+
+ORACLE["metrics_segmentation_reconciliation"] = q(f"""
+SELECT order_segmentation = {seg('prior_orders_last_12_months')} AS segmentation_reconciliation,
+       {seg('prior_orders_last_12_months')} AS derived_order_segmentation, COUNT(*) AS order_count
+FROM mart_orders GROUP BY 1, 2""")
