@@ -10,7 +10,6 @@ from basketry.config import Config
 from basketry.functions.dates import in_range
 from basketry.functions.segments import SEGMENTS, segment_sql
 from basketry.operators.checks import Check, accepted_values, not_null, relationships, unique
-from basketry.operators.latest import latest_per_key
 from basketry.plans.marts import Marts
 from basketry.plans.reports import combine_rows, orphan_lines, union_all
 
@@ -101,16 +100,31 @@ def segmentation_reconciliation(mart: DataFrame, cfg: Config) -> DataFrame:
 
 def profile_reconciliation(mart: DataFrame, cfg: Config) -> DataFrame:
     """The customer profile re-derived as the segment of each customer's
-    latest order (latest by date, then id) with a partial-aggregate
-    ``max_by``; orders whose stored profile differs."""
-    latest = latest_per_key(mart.where(F.col("customer_id").isNotNull()), "customer_id",
-                            ["order_date", "order_id"], ["order_segmentation"])
-    latest = latest.select(F.col("customer_id").alias("__c"), F.col("order_segmentation").alias("derived_profile"))
-    j = mart.join(latest, F.col("customer_id") == F.col("__c"), "left")
-    expected = F.coalesce(F.col("derived_profile"), F.col("order_segmentation"))
-    return j.where(~F.col("customer_profile").eqNullSafe(expected)).select(
-        "order_id", "customer_id", F.col("customer_profile").alias("stored_profile"),
-        expected.alias("derived_profile"))
+    latest order (latest by date, then id); orders whose stored profile
+    differs.
+
+    One aggregate per customer (partial aggregation: a customer holding a
+    large share of the orders is reduced inside every map task) yields the
+    derived profile and whether any stored profile disagrees. Only orders of
+    such customers are joined back; that side is normally empty or tiny and
+    broadcast at runtime, so no task ever holds all orders of one customer.
+    NULL customers compare with their own segment, row by row."""
+    seg, prof = F.col("order_segmentation"), F.col("customer_profile")
+    keyed = mart.where(F.col("customer_id").isNotNull())
+    per_customer = keyed.groupBy(F.col("customer_id").alias("__c")).agg(
+        F.max_by(seg, F.struct("order_date", "order_id")).alias("derived_profile"),
+        F.min(prof).alias("__lo"), F.max(prof).alias("__hi"),
+        F.count_if(prof.isNull()).alias("__nulls"))
+    disagree = per_customer.where(
+        ~F.col("__lo").eqNullSafe(F.col("derived_profile"))
+        | ~F.col("__hi").eqNullSafe(F.col("derived_profile"))
+        | (F.col("__nulls") > 0)).select("__c", "derived_profile")
+    out_cols = ["order_id", "customer_id", F.col("customer_profile").alias("stored_profile"), "derived_profile"]
+    known = (keyed.join(disagree, F.col("customer_id") == F.col("__c"), "inner")
+             .where(~prof.eqNullSafe(F.col("derived_profile"))).select(*out_cols))
+    unknown = (mart.where(F.col("customer_id").isNull() & ~prof.eqNullSafe(seg))
+               .withColumn("derived_profile", seg).select(*out_cols))
+    return union_all([known, unknown])
 
 
 def year_count_match(mart: DataFrame, stg_orders: DataFrame, cfg: Config) -> DataFrame:

@@ -103,3 +103,17 @@ def test_presentation_hash(spark, marts):
     r = marts.mart_orders_presentation.where("order_date = DATE'2026-01-05'").first()
     assert r.customer_ref == hashlib.sha256(b"10").hexdigest()
     assert "customer_id" not in marts.mart_orders_presentation.columns
+
+
+def test_profile_reconciliation_finds_wrong_rows(spark):
+    from pyspark.sql import functions as F
+    from basketry.config import DRIVER_CONFIG
+    from basketry.plans.marts import Marts as M
+    from conftest import SF_SMALL
+    mart = M.from_tables(spark, SF_SMALL, DRIVER_CONFIG).mart_orders
+    assert dq.profile_reconciliation(mart, DRIVER_CONFIG).count() == 0
+    target = mart.agg(F.min("order_id")).first()[0]
+    broken = mart.withColumn("customer_profile", F.when(F.col("order_id") == target, F.lit("Unknown"))
+                             .otherwise(F.col("customer_profile")))
+    rows = dq.profile_reconciliation(broken, DRIVER_CONFIG).collect()
+    assert [r.order_id for r in rows] == [target] and rows[0].stored_profile == "Unknown"
