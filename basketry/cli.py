@@ -6,6 +6,9 @@ forecasts. Only one-row summaries and check counts reach the driver.
     python -m basketry build --tables SF_DIR            # the generated test tables
     python -m basketry check --raw DIR | --tables SF_DIR
     python -m basketry forecast --raw DIR | --tables SF_DIR --dest DIR [--by COL]
+    python -m basketry insights --raw DIR | --tables SF_DIR
+    python -m basketry explore --raw DIR | --tables SF_DIR --measures M1,M2 [--dims D1,D2]
+                               [--view orders|order_lines] [--grain day|week|month|quarter] [--segment VIP]
 """
 
 from __future__ import annotations
@@ -100,6 +103,53 @@ def cmd_forecast(args) -> int:
     return 0
 
 
+def _print_rows(title: str, df) -> None:
+    print(f"--- {title}")
+    for r in df.collect():   # aggregated reports: a bounded number of rows
+        print("  " + json.dumps(r.asDict(), default=str))
+
+
+def cmd_insights(args) -> int:
+    """The key insight numbers of the report year (and the three exercises)."""
+    from basketry.plans import reports as rp
+    spark = _session()
+    m = _marts(spark, args).materialize(spark)
+    mo, cfg = m.mart_orders, m.cfg
+    _print_rows(f"orders in {cfg.report_year}", rp.orders_in_year(mo, cfg))
+    _print_rows("orders per month", rp.orders_per_month(mo, cfg))
+    _print_rows("mean quantity per order per month", rp.avg_qty_per_month(mo, cfg))
+    _print_rows("monthly pattern", rp.monthly_pattern(mo, cfg))
+    _print_rows("fourth quarter share", rp.quarter_share(mo, cfg))
+    _print_rows("busiest and quietest month", rp.peak_month_ratio(mo, cfg))
+    _print_rows("segments", rp.segment_breakdown(mo, cfg))
+    _print_rows("returning + VIP", rp.returning_vip_share(mo, cfg))
+    _print_rows("overall", rp.overall_stats(mo, cfg))
+    _print_rows("orphan lines", rp.orphan_line_count(m.stg_sales, m.stg_orders))
+    _print_rows("same-day orders", rp.same_day_collisions(mo))
+    _print_rows("history completeness", rp.history_completeness(mo))
+    _print_rows("revenue reconciliation", rp.revenue_reconciliation(mo, m.mart_order_lines))
+    return 0
+
+
+def cmd_explore(args) -> int:
+    """Grouped measures of one metric view, e.g.
+    ``explore --view orders --dims order_date_at_selected_grain --measures order_count,total_net_sales
+    --grain quarter --segment VIP``."""
+    from basketry.operators.explore import explore
+    from basketry.plans import semantic as sm
+    spark = _session()
+    m = _marts(spark, args).materialize(spark)
+    view = sm.orders_view(m.cfg) if args.view == "orders" else sm.order_lines_view(m.cfg)
+    df = m.mart_orders if args.view == "orders" else m.mart_order_lines
+    dims = [d for d in (args.dims or "").split(",") if d]
+    measures = [x for x in args.measures.split(",") if x]
+    params = {"date_granularity": args.grain} if args.view == "orders" else {}
+    out = explore(view, df, dims, measures, sm.segment_filter(args.segment), params)
+    _print_rows(f"{args.view}: {', '.join(measures)} by {', '.join(dims) or 'all'}",
+                out.orderBy(*dims) if dims else out)
+    return 0
+
+
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="basketry")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -108,7 +158,7 @@ def main(argv=None) -> int:
     ld.add_argument("--sales", required=True)
     ld.add_argument("--dest", required=True)
     ld.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
-    for name in ("build", "check", "forecast"):
+    for name in ("build", "check", "forecast", "insights", "explore"):
         sp = sub.add_parser(name)
         src = sp.add_mutually_exclusive_group(required=True)
         src.add_argument("--raw")
@@ -122,8 +172,15 @@ def main(argv=None) -> int:
         if name == "forecast":
             sp.add_argument("--dest", required=True)
             sp.add_argument("--by")
+        if name == "explore":
+            sp.add_argument("--view", choices=["orders", "order_lines"], default="orders")
+            sp.add_argument("--dims")
+            sp.add_argument("--measures", required=True)
+            sp.add_argument("--grain", choices=["day", "week", "month", "quarter"], default="month")
+            sp.add_argument("--segment", choices=["All", "New", "Returning", "VIP"], default="All")
     args = p.parse_args(argv)
-    return {"load": cmd_load, "build": cmd_build, "check": cmd_check, "forecast": cmd_forecast}[args.cmd](args)
+    return {"load": cmd_load, "build": cmd_build, "check": cmd_check, "forecast": cmd_forecast,
+            "insights": cmd_insights, "explore": cmd_explore}[args.cmd](args)
 
 
 if __name__ == "__main__":

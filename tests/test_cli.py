@@ -46,3 +46,13 @@ def test_vars_override():
     import datetime as dt
     v = _parse_vars('{"vip_min_prior_orders": 5, "dataset_start_date": "2024-01-01"}')
     assert v == {"vip_min_prior_orders": 5, "dataset_start_date": dt.date(2024, 1, 1)}
+
+
+def test_insights_and_explore(capsys):
+    assert cli.main(["insights", "--tables", SF_SMALL]) == 0
+    out = capsys.readouterr().out
+    assert "--- segments" in out and '"nb_orders"' in out
+    assert cli.main(["explore", "--tables", SF_SMALL, "--dims", "order_date_at_selected_grain",
+                     "--measures", "order_count,total_net_sales", "--grain", "quarter", "--segment", "VIP"]) == 0
+    out = capsys.readouterr().out
+    assert '"order_count"' in out and "-01-01" in out
