@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.numeric import CENTS, floor_at_zero
-from basketry.operators.spine import missing_days, zero_filled_daily
+from basketry.operators.spine import date_spine, missing_days
 
 # 95 % two-sided normal quantile and the forecast horizons.
 Z95 = 1.959964
@@ -31,16 +31,36 @@ def _cents(c):
     return F.round(c, 2).cast(CENTS)
 
 
+def _day_sums(mart: DataFrame, keys, date_col: str, value_col: str) -> DataFrame:
+    """The one aggregation over the order rows: exact sums per (key, day).
+    Actual rows and the zero-filled series are both derived from it, so the
+    order table is scanned and shuffled once (the identical subplans share
+    one exchange)."""
+    return mart.groupBy(*keys, F.col(date_col).alias("date")).agg(F.sum(value_col).alias("__sum"))
+
+
+def _series_from_sums(sums: DataFrame, keys) -> DataFrame:
+    dated = sums.where(F.col("date").isNotNull())
+    spine = date_spine(dated, "date", keys)
+    filled = spine.join(dated, [*keys, "date"], "left")
+    return filled.select(*keys, "date", _cents(F.coalesce(F.col("__sum"), F.lit(0))).alias(VALUE))
+
+
 def daily_series(mart: DataFrame, keys=(), date_col: str = "order_date", value_col: str = "net_sales") -> DataFrame:
     """Dense daily series per key, days without orders filled with 0. Values
     are exact cents (DECIMAL), so every later sum is order-independent."""
-    s = zero_filled_daily(mart, date_col, value_col, keys, out=VALUE)
-    return s.select(*keys, F.col(date_col).alias("date"), _cents(F.col(VALUE)).alias(VALUE))
+    keys = list(keys)
+    return _series_from_sums(_day_sums(mart, keys, date_col, value_col), keys)
+
+
+def _actuals_from_sums(sums: DataFrame, keys) -> DataFrame:
+    return sums.select(*keys, "date", _cents(F.col("__sum")).alias(VALUE))
 
 
 def daily_actuals(mart: DataFrame, keys=(), date_col: str = "order_date", value_col: str = "net_sales") -> DataFrame:
     """Only the days that have orders (no zero fill)."""
-    return mart.groupBy(*keys, F.col(date_col).alias("date")).agg(_cents(F.sum(value_col)).alias(VALUE))
+    keys = list(keys)
+    return _actuals_from_sums(_day_sums(mart, keys, date_col, value_col), keys)
 
 
 def days_without_orders(mart: DataFrame, keys=(), date_col: str = "order_date") -> DataFrame:
@@ -113,8 +133,8 @@ def forecast_steps(model: DataFrame, idx: DataFrame, keys=(), horizon: int = 30)
         floor_at_zero(value - half).alias("confidence_lower"), (value + half).alias("confidence_upper"))
 
 
-def _actual_rows(mart: DataFrame, keys, with_horizon: bool) -> DataFrame:
-    a = daily_actuals(mart, keys)
+def _actual_rows(sums: DataFrame, keys, with_horizon: bool) -> DataFrame:
+    a = _actuals_from_sums(sums, keys)
     cols = [*keys, "date", F.col(VALUE).cast("double").alias(VALUE),
             F.lit(None).cast("double").alias("forecast_value"),
             F.lit(None).cast("double").alias("confidence_lower"),
@@ -128,26 +148,28 @@ def _actual_rows(mart: DataFrame, keys, with_horizon: bool) -> DataFrame:
 def sales_forecast(mart: DataFrame, keys=(), horizon: int = 30, alphas=DEFAULT_ALPHAS) -> DataFrame:
     """Actual daily sales followed by ``horizon`` forecast days."""
     keys = list(keys)
-    series = daily_series(mart, keys)
+    sums = _day_sums(mart, keys, "order_date", "net_sales")
+    series = _series_from_sums(sums, keys)
     idx = weekday_index(series, keys)
     steps = forecast_steps(fit(series, keys, alphas), idx, keys, horizon)
     fc = steps.select(*keys, "date", F.lit(None).cast("double").alias(VALUE), "forecast_value",
                       "confidence_lower", "confidence_upper", F.lit("Forecast").alias("series_type"))
-    return (_actual_rows(mart, keys, False).unionByName(fc))
+    return _actual_rows(sums, keys, False).unionByName(fc)
 
 
 def sales_forecast_all(mart: DataFrame, keys=(), horizons=HORIZONS, alphas=DEFAULT_ALPHAS) -> DataFrame:
     """Actuals plus one block of forecast rows per horizon. The longest
     horizon is forecast once and replicated for the shorter ones."""
     keys = list(keys)
-    series = daily_series(mart, keys)
+    sums = _day_sums(mart, keys, "order_date", "net_sales")
+    series = _series_from_sums(sums, keys)
     idx = weekday_index(series, keys)
     steps = forecast_steps(fit(series, keys, alphas), idx, keys, max(horizons))
     hz = F.explode(F.array(*[F.lit(h).cast("bigint") for h in horizons])).alias("horizon")
     fc = steps.select("*", hz).where(F.col("step") <= F.col("horizon")).select(
         *keys, "date", F.lit(None).cast("double").alias(VALUE), "forecast_value", "confidence_lower",
         "confidence_upper", F.lit("Forecast").alias("series_type"), "horizon")
-    return (_actual_rows(mart, keys, True).unionByName(fc))
+    return _actual_rows(sums, keys, True).unionByName(fc)
 
 
 def horizon_view(forecast_all: DataFrame, horizon: int) -> DataFrame:
