@@ -34,8 +34,9 @@ def _read(spark: SparkSession, path: str, fmt: str, schema: StructType | None, o
     reader = spark.read.format(fmt).options(**(options or {}))
     if fmt == "csv":
         reader = reader.option("header", "true")
-        if schema is not None:
-            reader = reader.schema(schema)
+    if fmt in ("csv", "json") and schema is not None:
+        # text formats: declared schema, no inference pass over the files
+        reader = reader.schema(schema)
     return reader.load(path)
 
 

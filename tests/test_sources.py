@@ -102,3 +102,12 @@ def test_cluster_splits_hot_key(spark):
     for r in rows:
         by_part.setdefault(r.p, []).append((r.k, r.id))
     assert all(v == sorted(v) for v in by_part.values())
+
+
+def test_json_load_uses_declared_schema(spark):
+    d = tempfile.mkdtemp(prefix="basketry-json-")
+    ro = raw_orders(spark, [(1, 10, "2026-01-01", 12.5)])
+    ro.write.mode("overwrite").json(f"{d}/o")
+    back = readers.load_orders(spark, f"{d}/o", fmt="json")
+    assert back.schema == RAW_ORDERS_SCHEMA
+    assert back.first().orders_id == 1
