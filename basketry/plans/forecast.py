@@ -221,3 +221,13 @@ def fitted_models(mart: DataFrame, keys=(), alphas=DEFAULT_ALPHAS) -> DataFrame:
     """The chosen parameters per series (one row per key)."""
     keys = list(keys)
     return (fit(daily_series(mart, keys), keys, alphas))
+
+
+def with_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, attr: str,
+                   name: str) -> DataFrame:
+    """Attach one attribute of a dimension table (e.g. a customer's market
+    segment, a product's brand) as a series key. An inner equi-join: the
+    dimension side is shuffled or, when AQE measures it small, broadcast;
+    a hot key on the fact side is split by the skew-join handling."""
+    d = dim.select(F.col(dim_key).alias("__dk"), F.col(attr).alias(name))
+    return facts.join(d, F.col(fact_key) == F.col("__dk"), "inner").drop("__dk")

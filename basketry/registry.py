@@ -93,6 +93,32 @@ _LINE_MEASURES = ["total_net_sales", "total_quantity", "order_count", "unique_cu
                   "returning_customer_revenue", "vip_revenue"]
 
 
+def _by_market_segment(m: Marts, spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketry.sources.tpch import read_table
+    return fc.with_dimension(m.mart_orders, read_table(spark, sf_dir, "customer"), "customer_id", "c_custkey",
+                             "c_mktsegment", "market_segment")
+
+
+def _by_nation(m: Marts, spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketry.sources.tpch import read_table
+    cust = fc.with_dimension(read_table(spark, sf_dir, "customer"), read_table(spark, sf_dir, "nation"),
+                             "c_nationkey", "n_nationkey", "n_name", "nation")
+    return fc.with_dimension(m.mart_orders, cust, "customer_id", "c_custkey", "nation", "nation")
+
+
+def _by_brand(m: Marts, spark: SparkSession, sf_dir: str) -> DataFrame:
+    from basketry.sources.tpch import read_table
+    return fc.with_dimension(m.mart_order_lines, read_table(spark, sf_dir, "part"), "product_id", "p_partkey",
+                             "p_brand", "brand")
+
+
+def _rs(build: Callable[[Marts, SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """A downstream query that also reads dimension tables."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return present(build(_built(spark, sf_dir), spark, sf_dir))
+    return run
+
+
 def _round_cols(df: DataFrame, cols, digits: int) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
@@ -214,6 +240,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # two-digit round of a value above 2**53 / 100 is not exact in every engine.
     "forecast_models_by_segment": _r(lambda m: _round_cols(
         fc.fitted_models(m.mart_orders, ["order_segmentation"]), ["level", "sigma"], 2)),
+    "sales_forecast_by_market_segment": _rs(lambda m, s, d: _round_cols(
+        fc.sales_forecast(_by_market_segment(m, s, d), ["market_segment"]), _FC, 2)),
+    "forecast_models_by_nation": _rs(lambda m, s, d: _round_cols(
+        fc.fitted_models(_by_nation(m, s, d), ["nation"]), ["level", "sigma"], 2)),
+    "forecast_backtest_by_brand": _rs(lambda m, s, d: _round_cols(
+        fc.backtest(_by_brand(m, s, d), ["brand"]), ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
     "forecast_backtest": _r(lambda m: _round_cols(
         fc.backtest(m.mart_orders), ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
     "forecast_latest_days": _r(lambda m: _round_cols(fc.latest_days(fc.sales_forecast(m.mart_orders), 5), _FC, 2)),

@@ -564,13 +564,13 @@ def _part(keys):
     return f"PARTITION BY {', '.join(keys)}" if keys else ""
 
 
-def _fc_ctes(keys, holdouts=None, horizon=30) -> str:
+def _fc_ctes(keys, holdouts=None, horizon=30, source="mart_orders") -> str:
     """CTEs: ser (zero-filled cents), tr (training rows), ix, pts, rec, model, steps.
     With ``holdouts`` the series are (keys, holdout_days) and training stops
     h days before each key's last day."""
     k = list(keys)
     gb_keys = ", ".join(k)
-    d0 = (f"d0 AS (SELECT {_k(k)}order_date AS date, SUM(net_sales) AS v FROM mart_orders "
+    d0 = (f"d0 AS (SELECT {_k(k)}order_date AS date, SUM(net_sales) AS v FROM {source} "
           f"WHERE order_date IS NOT NULL GROUP BY {_k(k)}order_date)")
     b0 = (f"b0 AS (SELECT {_k(k)}MIN(date) AS lo, MAX(date) AS hi FROM d0"
           + (f" GROUP BY {gb_keys})" if k else ")"))
@@ -614,13 +614,13 @@ def _fc_ctes(keys, holdouts=None, horizon=30) -> str:
     return ", " + ",\n".join(pre + [bd, ix, des, pts, grid, rec, model, steps, band])
 
 
-def _actuals(keys, with_h):
+def _actuals(keys, with_h, source="mart_orders"):
     h = ", CAST(NULL AS BIGINT) AS horizon" if with_h else ""
     return (f"SELECT {_k(keys)}order_date AS date, "
             f"ROUND(CAST(CAST(ROUND(SUM(net_sales), 2) AS DECIMAL(18,2)) AS DOUBLE), 2) AS daily_net_sales, "
             f"CAST(NULL AS DOUBLE) AS forecast_value, CAST(NULL AS DOUBLE) AS confidence_lower, "
             f"CAST(NULL AS DOUBLE) AS confidence_upper, 'Actual' AS series_type{h} "
-            f"FROM mart_orders GROUP BY {_k(keys)}order_date")
+            f"FROM {source} GROUP BY {_k(keys)}order_date")
 
 
 def _fc_rows(keys, with_h):
@@ -709,3 +709,37 @@ ORACLE["metrics_segmentation_reconciliation"] = q(f"""
 SELECT order_segmentation = {seg('prior_orders_last_12_months')} AS segmentation_reconciliation,
        {seg('prior_orders_last_12_months')} AS derived_order_segmentation, COUNT(*) AS order_count
 FROM mart_orders GROUP BY 1, 2""")
+
+
+SEG_SRC = (", seg_src AS (SELECT m.*, c.c_mktsegment AS market_segment FROM mart_orders m "
+           "JOIN customer c ON m.customer_id = c.c_custkey)")
+NATION_SRC = (", nat_src AS (SELECT m.*, n.n_name AS nation FROM mart_orders m "
+              "JOIN customer c ON m.customer_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)")
+BRAND_SRC = (", brand_src AS (SELECT l.*, p.p_brand AS brand FROM mart_order_lines l "
+             "JOIN part p ON l.product_id = p.p_partkey)")
+
+
+def _backtest_tail(keys) -> str:
+    kk = keys + ["holdout_days"]
+    on = " AND ".join(f"t.{k} = b.{k}" for k in kk)
+    return f""",
+test AS (SELECT {_k(kk)}date, CAST(v AS DOUBLE) AS actual FROM tag
+         WHERE date > CAST(last_date_all - CAST(holdout_days AS INTEGER) AS DATE)),
+j AS (SELECT {_k(kk, 't.')}t.actual, b.fv AS forecast, t.actual - b.fv AS e
+      FROM test t JOIN band b ON {on} AND t.date = b.date)
+SELECT {_k(kk)}COUNT(*) AS n, ROUND(AVG(ABS(e)), 4) AS mae, ROUND(SQRT(AVG(e * e)), 4) AS rmse,
+       ROUND(AVG(ABS(e) / NULLIF(ABS(actual), 0.0)) * 100, 4) AS mape, ROUND(AVG(e), 4) AS me,
+       ROUND(SUM(actual), 4) AS actual_sum, ROUND(SUM(forecast), 4) AS forecast_sum
+FROM j GROUP BY {", ".join(kk)}"""
+
+
+ORACLE.update({
+    "sales_forecast_by_market_segment": qr(
+        SEG_SRC + _fc_ctes(["market_segment"], source="seg_src") + "\n"
+        + _actuals(["market_segment"], False, "seg_src") + "\nUNION ALL\n" + _fc_rows(["market_segment"], False)),
+    "forecast_models_by_nation": qr(NATION_SRC + _fc_ctes(["nation"], source="nat_src") + """
+SELECT nation, last_date, CAST(n AS BIGINT) AS n, alpha, ROUND(level, 2) AS level, sse, ROUND(sigma, 2) AS sigma
+FROM model"""),
+    "forecast_backtest_by_brand": qr(BRAND_SRC + _fc_ctes(["brand"], holdouts=(7, 14, 30), source="brand_src")
+                                     + _backtest_tail(["brand"])),
+})
