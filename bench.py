@@ -8,7 +8,7 @@ run of each query is reported as well (``cold`` / ``cold_total``).
 Prints one JSON line.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_REPEAT (default 2).
+     BENCH_REPEAT (default 3).
 """
 
 from __future__ import annotations
@@ -47,7 +47,7 @@ DOWNSTREAM = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     from basketry.session import get_session
     from basketry import registry
     from basketry.registry import QUERIES
