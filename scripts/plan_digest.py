@@ -18,6 +18,31 @@ from basketry.session import get_session  # noqa: E402
 MODELS = ["int_order_customer_history", "mart_orders", "mart_order_lines", "mart_product_summary",
           "ex2_orders_per_month", "kpi_tiles", "exercise_6_orders_segmented", "sales_forecast_all"]
 
+NOTES = {
+    "int_order_customer_history":
+        "Orders -> partial aggregate per (customer, day) -> exchange by customer -> range window over days "
+        "-> lookup side (one row per key, exchanged on the join keys) joined with the orders exchanged on "
+        "(customer, day). No window over raw orders; a hot customer spreads over its days.",
+    "mart_orders":
+        "The history plan above, joined on order_id with the per-order line summary; the lines are "
+        "aggregated (partial aggregates on (order, product) and order) before the semi join with the "
+        "headers, so a hot order is reduced map-side.",
+    "mart_order_lines":
+        "Lines joined once with the order attributes on order_id (existence test and lookup in one join); "
+        "the per-order summary is not computed (its join is removed because nothing uses it).",
+    "mart_product_summary":
+        "Two aggregates over the lines (additive sums; the three distinct counts via Expand) joined on "
+        "product_id; both are already partitioned on product_id, so the join adds no exchange.",
+    "ex2_orders_per_month":
+        "Reads the materialised order mart: a pushed date range and one small aggregate.",
+    "kpi_tiles": "Reads the materialised order mart: one global aggregate with a distinct count.",
+    "exercise_6_orders_segmented": "A pruned scan with the date range pushed to parquet.",
+    "sales_forecast_all":
+        "One partial aggregate per day over the materialised mart (the only step that touches the big table; "
+        "repeated identical subplans are reused at run time); the spine, weekday index, fit and steps run on "
+        "(series, day)-sized tables.",
+}
+
 KEEP = re.compile(r"(Exchange|Join|Window \[|HashAggregate|Expand|Generate|Union|Scan parquet|TakeOrdered)")
 
 
@@ -45,6 +70,8 @@ def main() -> None:
         lines = [clean(ln) for ln in plan.split("\n") if KEEP.search(ln)]
         n_ex = sum("Exchange" in ln for ln in lines)
         print(f"## {name} — {n_ex} exchanges\n")
+        if name in NOTES:
+            print(NOTES[name] + "\n")
         print("```")
         for ln in lines:
             print(ln)
