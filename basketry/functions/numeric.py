@@ -8,9 +8,10 @@ from pyspark.sql.types import DecimalType
 
 # Warehouse NUMERIC: 38 digits, 9 after the point.
 MONEY = DecimalType(38, 9)
-# Presentation type of rounded money: unscaled values stay below 2**53, so the
-# conversion to DOUBLE is exact-to-nearest in every engine.
-CENTS = DecimalType(18, 2)
+# Rounded money: cents with the full 38-digit range, so grand totals of very
+# large inputs cannot overflow (ANSI mode raises on overflow). Below 2**53
+# cents the conversion to DOUBLE is exact-to-nearest in every engine.
+CENTS = DecimalType(38, 2)
 
 
 def _c(x) -> Column:

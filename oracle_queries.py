@@ -28,7 +28,7 @@ def seg(expr: str) -> str:
 
 
 def money(expr: str) -> str:
-    return f"CAST(CAST(ROUND({expr}, 2) AS DECIMAL(18,2)) AS DOUBLE)"
+    return f"CAST(CAST(ROUND({expr}, 2) AS DECIMAL(38,2)) AS DOUBLE)"
 
 
 def xdiv(num: str, den: str) -> str:
@@ -575,7 +575,7 @@ def _fc_ctes(keys, holdouts=None, horizon=30, source="mart_orders") -> str:
     b0 = (f"b0 AS (SELECT {_k(k)}MIN(date) AS lo, MAX(date) AS hi FROM d0"
           + (f" GROUP BY {gb_keys})" if k else ")"))
     sp = (f"sp AS (SELECT {_k(k)}CAST(UNNEST(GENERATE_SERIES(lo, hi, INTERVAL 1 DAY)) AS DATE) AS date FROM b0)")
-    ser = (f"ser AS (SELECT {_k(k, 'sp.')}sp.date, CAST(ROUND(COALESCE(d0.v, 0), 2) AS DECIMAL(18,2)) AS v "
+    ser = (f"ser AS (SELECT {_k(k, 'sp.')}sp.date, CAST(ROUND(COALESCE(d0.v, 0), 2) AS DECIMAL(38,2)) AS v "
            f"FROM sp LEFT JOIN d0 ON {_on(k, 'sp', 'd0', 'sp.date = d0.date')})")
     if holdouts:
         hs = ", ".join(f"({h})" for h in holdouts)
@@ -617,7 +617,7 @@ def _fc_ctes(keys, holdouts=None, horizon=30, source="mart_orders") -> str:
 def _actuals(keys, with_h, source="mart_orders"):
     h = ", CAST(NULL AS BIGINT) AS horizon" if with_h else ""
     return (f"SELECT {_k(keys)}order_date AS date, "
-            f"ROUND(CAST(CAST(ROUND(SUM(net_sales), 2) AS DECIMAL(18,2)) AS DOUBLE), 2) AS daily_net_sales, "
+            f"ROUND(CAST(CAST(ROUND(SUM(net_sales), 2) AS DECIMAL(38,2)) AS DOUBLE), 2) AS daily_net_sales, "
             f"CAST(NULL AS DOUBLE) AS forecast_value, CAST(NULL AS DOUBLE) AS confidence_lower, "
             f"CAST(NULL AS DOUBLE) AS confidence_upper, 'Actual' AS series_type{h} "
             f"FROM {source} GROUP BY {_k(keys)}order_date")

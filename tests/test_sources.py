@@ -111,3 +111,12 @@ def test_json_load_uses_declared_schema(spark):
     back = readers.load_orders(spark, f"{d}/o", fmt="json")
     assert back.schema == RAW_ORDERS_SCHEMA
     assert back.first().orders_id == 1
+
+
+def test_money_presentation_does_not_overflow(spark):
+    """Grand totals far beyond 10**16 (very large inputs) present without an
+    ANSI overflow error."""
+    from decimal import Decimal
+    from basketry.functions.numeric import money
+    df = spark.createDataFrame([(Decimal("123456789012345678.125000000"),)], "v decimal(38,9)")
+    assert df.select(money("v").alias("m")).first().m == pytest.approx(1.2345678901234568e17)
