@@ -76,19 +76,25 @@ def main() -> None:
         registry._BUILT[(id(spark), spark.sparkContext.applicationId, sf_dir)] = built
         return dt
 
-    times, cold = {}, {}
+    times, cold, errors = {}, {}, {}
+
+    def measure(name: str, fn) -> None:
+        try:
+            cold[name] = round(fn(), 3)
+            times[name] = round(min(fn() for _ in range(max(repeat, 1))), 3)
+        except Exception as exc:  # noqa: BLE001 - report, keep measuring the rest
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+
     for name in MODELS:
-        cold[name] = round(run(name), 3)
-        times[name] = round(min(run(name) for _ in range(max(repeat, 1))), 3)
-    cold["build_marts"] = round(build(), 3)
-    times["build_marts"] = round(min(build() for _ in range(max(repeat, 1))), 3)
+        measure(name, lambda name=name: run(name))
+    measure("build_marts", build)
     for name in DOWNSTREAM:
-        cold[name] = round(run(name), 3)
-        times[name] = round(min(run(name) for _ in range(max(repeat, 1))), 3)
+        measure(name, lambda name=name: run(name))
     sf = os.path.basename(sf_dir).replace("sf", "")
     print(json.dumps({"metric": "headline_queries_total_warm", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times, "sf": sf, "cpus": cpus,
-                      "cold_total": round(sum(cold.values()), 3), "cold": cold}))
+                      "cold_total": round(sum(cold.values()), 3), "cold": cold,
+                      **({"errors": errors} if errors else {})}))
 
 
 if __name__ == "__main__":
