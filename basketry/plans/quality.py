@@ -13,8 +13,8 @@ from basketry.operators.checks import Check, accepted_values, not_null, relation
 from basketry.plans.marts import Marts
 from basketry.plans.reports import combine_rows, orphan_lines, union_all
 
-# Declared column checks, per relation: (relation, column, kind).
-# Fixed list of the documented contracts.
+# Declared column checks (fixed list of the documented contracts):
+# NOT NULL columns per relation, UNIQUE and accepted-value (relation, column).
 NOT_NULL = {
     "raw_orders": ["orders_id", "customers_id", "date_date"],
     "raw_sales": ["order_id", "products_id", "qty"],

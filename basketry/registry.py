@@ -13,6 +13,7 @@ from pyspark.sql.types import DecimalType
 
 from basketry.config import DRIVER_CONFIG as CFG
 from basketry.functions.numeric import money
+from basketry.operators.checks import null_count_summary
 from basketry.operators.explore import explore
 from basketry.plans import forecast as fc
 from basketry.plans import quality as dq
@@ -176,6 +177,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q4_revenue_share": _r(lambda m: rp.quarter_revenue_share(m.mart_orders, 4)),
     # data quality
     "dq_check_summary": _r(lambda m: dq.check_summary(m)),
+    "dq_mart_orders_null_profile": _r(lambda m: null_count_summary(m.mart_orders, m.mart_orders.columns,
+                                                                   "mart_orders")),
     "dq_invalid_segments": _r(lambda m: dq.invalid_segments(m.mart_orders)),
     "dq_order_lines_grain": _r(lambda m: dq.order_lines_grain(m.mart_order_lines)),
     "dq_order_sales_match": _r(lambda m: dq.order_sales_match(m.stg_orders, m.stg_sales)),

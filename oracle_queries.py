@@ -743,3 +743,34 @@ FROM model"""),
     "forecast_backtest_by_brand": qr(BRAND_SRC + _fc_ctes(["brand"], holdouts=(7, 14, 30), source="brand_src")
                                      + _backtest_tail(["brand"])),
 })
+
+ORACLE["dq_mart_orders_null_profile"] = q("""
+SELECT 'mart_orders' AS table_name, 'order_id' AS column_name, COUNT(*) FILTER (WHERE order_id IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'customer_id' AS column_name, COUNT(*) FILTER (WHERE customer_id IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'order_date' AS column_name, COUNT(*) FILTER (WHERE order_date IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'order_year' AS column_name, COUNT(*) FILTER (WHERE order_year IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'order_month' AS column_name, COUNT(*) FILTER (WHERE order_month IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'order_month_start' AS column_name, COUNT(*) FILTER (WHERE order_month_start IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'net_sales' AS column_name, COUNT(*) FILTER (WHERE net_sales IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'qty_product' AS column_name, COUNT(*) FILTER (WHERE qty_product IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'product_line_count' AS column_name, COUNT(*) FILTER (WHERE product_line_count IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'distinct_product_count' AS column_name, COUNT(*) FILTER (WHERE distinct_product_count IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'prior_orders_last_12_months' AS column_name, COUNT(*) FILTER (WHERE prior_orders_last_12_months IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'has_complete_12_month_history' AS column_name, COUNT(*) FILTER (WHERE has_complete_12_month_history IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'order_segmentation' AS column_name, COUNT(*) FILTER (WHERE order_segmentation IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'customer_profile' AS column_name, COUNT(*) FILTER (WHERE customer_profile IS NULL) AS null_count FROM mart_orders
+UNION ALL
+SELECT 'mart_orders' AS table_name, 'order_count' AS column_name, COUNT(*) FILTER (WHERE order_count IS NULL) AS null_count FROM mart_orders""")
