@@ -104,8 +104,9 @@ def cmd_forecast(args) -> int:
 
 
 def _print_rows(title: str, df) -> None:
+    from basketry.registry import present   # money as cents
     print(f"--- {title}")
-    for r in df.collect():   # aggregated reports: a bounded number of rows
+    for r in present(df).collect():   # aggregated reports: a bounded number of rows
         print("  " + json.dumps(r.asDict(), default=str))
 
 
