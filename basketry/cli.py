@@ -91,12 +91,20 @@ def cmd_check(args) -> int:
 def cmd_forecast(args) -> int:
     from basketry.plans import forecast as fc
     from basketry.sources.sinks import write_table
+    from basketry import registry
     spark = _session()
     m = _marts(spark, args).materialize(spark)
     keys = [args.by] if args.by else []
-    write_table(fc.sales_forecast(m.mart_orders, keys), f"{args.dest}/v_sales_forecast")
-    write_table(fc.sales_forecast_all(m.mart_orders, keys), f"{args.dest}/v_sales_forecast_all")
-    write_table(fc.backtest(m.mart_orders, keys), f"{args.dest}/forecast_backtest")
+    facts = m.mart_orders
+    dims = {"market_segment": registry._by_market_segment, "nation": registry._by_nation,
+            "brand": registry._by_brand}
+    if args.by in dims:
+        if not args.tables:
+            raise SystemExit(f"--by {args.by} needs the dimension tables (--tables)")
+        facts = dims[args.by](m, spark, args.tables)
+    write_table(fc.sales_forecast(facts, keys), f"{args.dest}/v_sales_forecast")
+    write_table(fc.sales_forecast_all(facts, keys), f"{args.dest}/v_sales_forecast_all")
+    write_table(fc.backtest(facts, keys), f"{args.dest}/forecast_backtest")
     # the written scores: one row per series and hold-out
     for r in spark.read.parquet(f"{args.dest}/forecast_backtest").collect():
         print(json.dumps(r.asDict(), default=str))
@@ -172,7 +180,8 @@ def main(argv=None) -> int:
             sp.add_argument("--dest")
         if name == "forecast":
             sp.add_argument("--dest", required=True)
-            sp.add_argument("--by")
+            sp.add_argument("--by", help="series key: a mart column (e.g. order_segmentation) or "
+                                         "market_segment / nation / brand (with --tables)")
         if name == "explore":
             sp.add_argument("--view", choices=["orders", "order_lines"], default="orders")
             sp.add_argument("--dims")
