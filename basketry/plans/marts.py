@@ -286,11 +286,16 @@ class Marts:
         history = out.mart_orders.select(*history_cols)
         if clustered:
             history = history.sortWithinPartitions("customer_id")
-        out.__dict__["order_customer_history"] = materialize(
-            spark, history, "int_order_customer_history", "table", root)
-        out.__dict__["mart_order_lines"] = materialize(
-            spark, mart_order_lines(self.stg_sales, out.mart_orders), "mart_order_lines", "table", root,
-            cluster_by=cluster(["product_id", "customer_id"]), tiebreak=["order_id", "order_date"])
+        lines = mart_order_lines(self.stg_sales, out.mart_orders)
+        # Both read only the written order mart: write them as two concurrent
+        # jobs (the scheduler interleaves their tasks).
+        from concurrent.futures import ThreadPoolExecutor
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            f_hist = pool.submit(materialize, spark, history, "int_order_customer_history", "table", root)
+            f_lines = pool.submit(materialize, spark, lines, "mart_order_lines", "table", root,
+                                  cluster(["product_id", "customer_id"]), False, ["order_id", "order_date"])
+            out.__dict__["order_customer_history"] = f_hist.result()
+            out.__dict__["mart_order_lines"] = f_lines.result()
         # One row per product, already hash-partitioned on product_id by its
         # aggregates: a local sort orders every file by product without a
         # second shuffle and sampling pass.
