@@ -174,17 +174,19 @@ def data_summary(stg_orders: DataFrame, stg_sales: DataFrame, mart: DataFrame, l
     """The data-quality headline numbers in one row."""
     hdr = stg_orders.agg(F.count(F.lit(1)).alias("orders"),
                          F.countDistinct("customer_id").alias("unique_customers"))
+    # additive totals and distinct counts as separate aggregates: the decimal
+    # sum buffers stay out of the rows expanded for the distinct counts
     raw = stg_sales.agg(F.count(F.lit(1)).alias("sales_lines"),
                         F.sum("qty").alias("units_raw"),
-                        F.sum("line_net_sales").alias("revenue_raw"),
-                        F.countDistinct("product_id").alias("unique_products"),
-                        F.countDistinct("order_id").alias("orders_with_lines_raw"))
+                        F.sum("line_net_sales").alias("revenue_raw"))
+    raw_distinct = stg_sales.agg(F.countDistinct("product_id").alias("unique_products"),
+                                 F.countDistinct("order_id").alias("orders_with_lines_raw"))
     mrt = lines.agg(F.count(F.lit(1)).alias("mart_lines"),
                     F.sum("quantity").alias("units_mart"),
                     F.sum("net_sales").alias("revenue_mart"))
     orph = orphan_line_count(stg_sales, stg_orders)
     same = same_day_collisions(mart)
-    row = combine_rows(hdr, raw, mrt, orph, same)
+    row = combine_rows(hdr, raw, raw_distinct, mrt, orph, same)
     return row.withColumn("revenue_excluded", F.col("revenue_raw") - F.col("revenue_mart"))
 
 
