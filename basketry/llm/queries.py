@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from basketry.llm import mixing, sharding, url_filter
+from basketry.llm import exact_dedup, mixing, packing, quality, sharding, simhash, url_filter
 
 QUERIES = {
     "op1_url_filters": url_filter.query,
+    "op2_simhash": simhash.query,
+    "op4_quality": quality.query,
+    "op6_exact_dedup": exact_dedup.query,
+    "op7_packing": packing.query,
     "op8_sharding": sharding.query,
     "op10_mixing": mixing.query,
 }
 
 ORACLE = {
     "op1_url_filters": url_filter.SQL,
+    "op6_exact_dedup": exact_dedup.SQL,
 }

@@ -61,3 +61,11 @@ def search(bounds: list, value: Column) -> Column:
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]), F.lit(0),
         lambda low, s: F.when(F.get(table, low + s - 1) <= value, low + s).otherwise(low))
+
+
+def worker_state(name: str) -> dict:
+    """A dict that lives as long as the Python worker's process, for caches
+    that outlast one task (functions sent by value get new globals)."""
+    import types
+    home = sys.modules.setdefault("_basketry_worker_state", types.ModuleType("_basketry_worker_state"))
+    return home.__dict__.setdefault(name, {})
