@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from basketry.llm import exact_dedup, mixing, packing, quality, sharding, simhash, url_filter
+from basketry.llm import exact_dedup, fingerprint, mixing, packing, quality, sharding, simhash, url_filter
 
 QUERIES = {
     "op1_url_filters": url_filter.query,
     "op2_simhash": simhash.query,
+    "op3_fingerprints": fingerprint.query,
     "op4_quality": quality.query,
     "op6_exact_dedup": exact_dedup.query,
     "op7_packing": packing.query,
