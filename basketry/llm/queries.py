@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from basketry.llm import exact_dedup, fingerprint, mixing, packing, quality, sharding, simhash, url_filter
+from basketry.llm import exact_dedup, fingerprint, mixing, packing, quality, sharding, simhash, suffix_dedup, url_filter
 
 QUERIES = {
     "op1_url_filters": url_filter.query,
     "op2_simhash": simhash.query,
     "op3_fingerprints": fingerprint.query,
     "op4_quality": quality.query,
+    "op5_suffix_dedup": suffix_dedup.query,
     "op6_exact_dedup": exact_dedup.query,
     "op7_packing": packing.query,
     "op8_sharding": sharding.query,
@@ -17,5 +18,6 @@ QUERIES = {
 
 ORACLE = {
     "op1_url_filters": url_filter.SQL,
+    "op5_suffix_dedup": suffix_dedup.query,
     "op6_exact_dedup": exact_dedup.SQL,
 }

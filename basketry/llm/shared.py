@@ -69,3 +69,64 @@ def worker_state(name: str) -> dict:
     import types
     home = sys.modules.setdefault("_basketry_worker_state", types.ModuleType("_basketry_worker_state"))
     return home.__dict__.setdefault(name, {})
+
+
+BATCH_BYTES = 16 << 20
+
+
+def blocks_of(docs: DataFrame, blocks: int) -> DataFrame:
+    """block, payload: the documents (doc_id, text) as packed rows, each a
+    compressed list of (doc_id, bytes) from one batch. A row's id and text
+    decide its block."""
+    import pickle
+    import zlib
+
+    import pyarrow as pa
+    import zstandard
+
+    def packed(held):
+        squeeze = zstandard.ZstdCompressor(level=3)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(held), pa.int32()),
+             pa.array([squeeze.compress(pickle.dumps(x)) for x in held.values()], pa.binary())], ["block", "payload"])
+
+    def run(batches):
+        held, size = {}, 0
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                text = text.encode()
+                held.setdefault(zlib.crc32(text, zlib.crc32(str(doc_id).encode())) % blocks, []).append((doc_id, text))
+                size += len(text)
+                if size > BATCH_BYTES:
+                    yield packed(held)
+                    held, size = {}, 0
+        if held:
+            yield packed(held)
+
+    return docs.select(F.col("doc_id").cast("long"), plain_text()).mapInArrow(run, "block int, payload binary")
+
+
+def block_rows(payloads) -> list[tuple]:
+    """(doc_id, bytes) of a block's rows, by id (null last), then text: the
+    same order whenever the block is read."""
+    import pickle
+
+    import zstandard
+    expand = zstandard.ZstdDecompressor()
+    rows = [r for p in payloads for r in pickle.loads(expand.decompress(p))]
+    return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
+def squeezed(*arrays) -> bytes:
+    """Arrays and byte strings as one compressed value."""
+    import pickle
+
+    import zstandard
+    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(arrays))
+
+
+def expanded(payload: bytes) -> tuple:
+    import pickle
+
+    import zstandard
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(payload))
