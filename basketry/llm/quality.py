@@ -177,6 +177,19 @@ def scored(docs: DataFrame, model: tuple) -> DataFrame:
             .withColumn("predicted", F.when(F.col("score") >= CUT, 1).otherwise(0)))
 
 
+def accepted(docs: DataFrame, model: tuple) -> DataFrame:
+    """The rows of ``docs`` with predicted 1, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        cache, own = worker_state("quality"), shared.value
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+            yield batch.filter(pa.array([score(features(t or "", cache), own) >= CUT for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

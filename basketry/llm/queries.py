@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from basketry.llm import exact_dedup, fingerprint, mixing, packing, quality, sharding, simhash, suffix_dedup, url_filter
+from basketry.llm import exact_dedup, fingerprint, lm_scoring, mixing, packing, quality, sharding, simhash, suffix_dedup, url_filter
 
 QUERIES = {
     "op1_url_filters": url_filter.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_exact_dedup": exact_dedup.query,
     "op7_packing": packing.query,
     "op8_sharding": sharding.query,
+    "op9_lm_scoring": lm_scoring.query,
     "op10_mixing": mixing.query,
 }
 

@@ -59,14 +59,17 @@ def simhash(text: str, size: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, size: int = 4) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a signed long)."""
+    """doc_id, text_id (a hash that tells rows with one id apart), fp (the
+    fingerprint's bits as a signed long)."""
     def run(batches):
         for batch in batches:
-            fps = [simhash(t, size) for t in batch.column(1).to_pylist()]
+            fps = [simhash(t, size) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [batch.column(0), batch.column(1), pa.array(np.array(fps, np.uint64).view(np.int64))],
+                ["doc_id", "text_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), plain_text()).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(plain_text()), plain_text())
+    return rows.mapInArrow(run, "doc_id long, text_id long, fp long")
 
 
 def _flips(bits: int, most: int) -> list[np.ndarray]:
@@ -140,18 +143,22 @@ def links(fps: DataFrame, most: int = 4) -> DataFrame:
     return sent.groupBy("range").applyInPandas(run, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, size: int = 4, most: int = 4) -> DataFrame:
-    """doc_id, fingerprint (hex), component_id (the smallest doc_id that links
-    reach) of every row."""
-    rows = written(fingerprints(docs, size), "fingerprints")
+def linked(rows: DataFrame, most: int = 4) -> DataFrame:
+    """``rows`` (doc_id, fp, ...; a written table) with root (a fingerprint of
+    the component) and component_id (its smallest doc_id)."""
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = components(links(nodes.select("fp"), most))
-    grouped = nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    grouped = written(grouped, "grouped")
+    grouped = written(nodes.join(roots, nodes["fp"] == roots["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")), "grouped")
     ids = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    found = written(grouped.join(ids, "root").select("fp", "component_id"), "components")
-    return rows.join(found, "fp").select(
+    found = written(grouped.join(ids, "root").select("fp", "root", "component_id"), "components")
+    return rows.join(found, "fp")
+
+
+def near_duplicates(docs: DataFrame, size: int = 4, most: int = 4) -> DataFrame:
+    """doc_id, fingerprint (hex), component_id (the smallest doc_id that links
+    reach) of every row."""
+    return linked(written(fingerprints(docs, size), "fingerprints"), most).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
