@@ -46,7 +46,7 @@ def targets(sizes: list[tuple[str | None, int]], most: float = 3.0, weights=WEIG
     """(source, size, target), sources by code point and null last."""
     sizes = sorted(sizes, key=lambda s: (s[0] is None, s[0] or ""))
     weight = [float(weights[i % len(weights)]) for i in range(len(sizes))]
-    cap = [most * n for _, n in sizes]
+    cap = [float(most * n) for _, n in sizes]
     target, free, left = [0.0] * len(sizes), set(range(len(sizes))), float(sum(n for _, n in sizes))
     while free:
         unit = left / sum(weight[i] for i in free)

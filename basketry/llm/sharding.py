@@ -54,9 +54,10 @@ def dealt(sizes: list[tuple[int, int]], shards: int) -> list[int]:
     return shard
 
 
-def rebalanced(shard: list[int], sizes: list[tuple[int, int]], shards: int) -> list[int]:
+def rebalanced(shard: list[int], sizes: list[tuple[int, int]], shards: int, tolerance: float = 0.03) -> list[int]:
     """The next version for ``shards`` shards: slots move from the fullest
-    shard to the emptiest while that brings the two closer; all others stay."""
+    shard to the emptiest while the two differ by over ``tolerance`` of a
+    shard's mean and a move brings them closer; all others stay."""
     shard = list(shard)
     held: list[list[int]] = [[] for _ in range(shards)]
     total = [0] * shards
@@ -69,7 +70,7 @@ def rebalanced(shard: list[int], sizes: list[tuple[int, int]], shards: int) -> l
         most, least = max(range(shards), key=total.__getitem__), min(range(shards), key=total.__getitem__)
         gap = total[most] - total[least]
         fits = [s for s in held[most] if 0 < sizes[s][0] < gap]
-        if not fits:
+        if not fits or gap <= tolerance * sum(total) / shards:
             break
         slot = min(fits, key=lambda s: (abs(gap - 2 * sizes[s][0]), s))
         held[most].remove(slot)
