@@ -5,16 +5,14 @@ order is classified by its customer's rolling order history, and order,
 order-line and product marts are published. Reports, data-quality checks,
 grouped business metrics and daily sales forecasts are built on top.
 
-Every function takes and returns lazy DataFrames; nothing is collected to
-the driver. Sub-packages:
+Model functions take and return lazy DataFrames. Sub-packages:
 
 * ``sources``   – readers, schemas, sinks, the adapter for the test tables
 * ``functions`` – Column -> Column helpers (segment rule, calendar, money)
-* ``operators`` – reusable relational building blocks (lookback, latest
-                  row per key, date spine, generic checks, explore)
+* ``operators`` – reusable relational building blocks (lookback, date spine,
+                  generic checks, explore)
 * ``plans``     – the models themselves (staging, marts, reports, checks,
                   semantic layer, forecast)
-* ``streaming`` – intentionally empty, see its docstring
 """
 
 from basketry.config import Config, DRIVER_CONFIG, REFERENCE_CONFIG

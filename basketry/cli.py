@@ -1,19 +1,27 @@
 """Command line: load raw files, build the models, run the checks, write
-forecasts. Only one-row summaries and check counts reach the driver.
+forecasts. Only one-row summaries, check counts, the rows of the bounded
+reports and what ``--show N`` asks for reach the driver.
 
     python -m basketry load --orders PATH --sales PATH --dest DIR [--format csv]
     python -m basketry build --raw DIR [--dest DIR] [--config reference|driver]
     python -m basketry build --tables SF_DIR            # the generated test tables
-    python -m basketry check --raw DIR | --tables SF_DIR
-    python -m basketry forecast --raw DIR | --tables SF_DIR --dest DIR [--by COL]
-    python -m basketry insights --raw DIR | --tables SF_DIR
-    python -m basketry explore --raw DIR | --tables SF_DIR --measures M1,M2 [--dims D1,D2]
+    python -m basketry check --raw DIR | --tables SF_DIR [--marts DIR]
+    python -m basketry forecast --raw DIR | --tables SF_DIR [--marts DIR] --dest DIR [--by COL] [--show N]
+    python -m basketry insights --raw DIR | --tables SF_DIR [--marts DIR]
+    python -m basketry explore --raw DIR | --tables SF_DIR [--marts DIR] --measures M1,M2 [--dims D1,D2]
                                [--view orders|order_lines] [--grain day|week|month|quarter] [--segment VIP]
+                               [--profile VIP] [--date-from D] [--date-to D] [--complete-only]
+                               [--dest DIR] [--show N]
+
+``--marts DIR`` reads the tables that ``build --dest DIR`` wrote; without it
+the tables are built first. Shuffles and scans are sized from the input unless
+``--no-size`` is given.
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import sys
 
@@ -27,7 +35,6 @@ def _session():
 
 def _parse_vars(text: str) -> dict:
     """``--vars '{"vip_min_prior_orders": 5, "dataset_start_date": "2025-07-09"}'``"""
-    import datetime as dt
     raw = json.loads(text)
     out = {}
     for k, v in raw.items():
@@ -35,11 +42,13 @@ def _parse_vars(text: str) -> dict:
     return out
 
 
-def _marts(spark, args):
+def _marts(spark, args, build: bool = True):
+    """The models of the given source; with ``build`` their published tables,
+    read from ``--marts`` or written now."""
     from basketry.plans.marts import Marts
     from basketry.session import size_session
     from basketry.sources.readers import load_orders, load_sales
-    if args.size:
+    if not args.no_size:
         src = [f"{args.tables}/orders.parquet", f"{args.tables}/lineitem.parquet"] if args.tables \
             else [f"{args.raw}/raw_orders", f"{args.raw}/raw_sales"]
         size_session(spark, src)
@@ -47,8 +56,12 @@ def _marts(spark, args):
     if args.vars:
         cfg = cfg.with_(**_parse_vars(args.vars))
     if args.tables:
-        return Marts.from_tables(spark, args.tables, cfg)
-    return Marts(load_orders(spark, f"{args.raw}/raw_orders"), load_sales(spark, f"{args.raw}/raw_sales"), cfg)
+        m = Marts.from_tables(spark, args.tables, cfg)
+    else:
+        m = Marts(load_orders(spark, f"{args.raw}/raw_orders"), load_sales(spark, f"{args.raw}/raw_sales"), cfg)
+    if not build:
+        return m
+    return m.published(spark, args.marts) if args.marts else m.materialize(spark)
 
 
 def cmd_load(args) -> int:
@@ -58,18 +71,20 @@ def cmd_load(args) -> int:
     for name, path, loader in (("raw_orders", args.orders, readers.load_orders),
                                ("raw_sales", args.sales, readers.load_sales)):
         df = loader(spark, path, fmt=args.format)
-        if name == "raw_orders":
-            readers.warn_on_nulls(df, ["date_date", "customers_id", "orders_id", "net_sales"])
-        observed, obs = sinks.with_load_observation(df, name, "date_date")
+        watched = ["date_date", "customers_id", "orders_id", "net_sales"] if name == "raw_orders" else []
+        observed, obs = sinks.with_load_observation(df, name, "date_date", watched)
         sinks.write_table(observed, f"{args.dest}/{name}")
-        summary[name] = {**obs.get, "columns": len(df.columns)}
+        got = dict(obs.get)
+        nulls = {c: got.pop(f"nulls_{c}") for c in watched}
+        readers.warn_on_null_counts(nulls)
+        summary[name] = {**got, "columns": len(df.columns)}
     print(json.dumps(summary, default=str))
     return 0
 
 
 def cmd_build(args) -> int:
     spark = _session()
-    built = _marts(spark, args).materialize(spark, args.dest)
+    built = _marts(spark, args, build=False).materialize(spark, args.dest)
     print(json.dumps({"tables": built.root, "rows": built.row_counts}))
     return 0
 
@@ -77,8 +92,7 @@ def cmd_build(args) -> int:
 def cmd_check(args) -> int:
     from basketry.plans.quality import check_summary
     spark = _session()
-    m = _marts(spark, args)
-    rows = check_summary(m.materialize(spark)).collect()   # one row per check
+    rows = check_summary(_marts(spark, args)).collect()   # one row per check
     failed = [r for r in rows if r.severity == "error" and r.failures > 0]
     for r in sorted(rows, key=lambda r: r.check_name):
         status = "PASS" if r.failures == 0 else ("WARN" if r.severity == "warn" else "FAIL")
@@ -93,7 +107,7 @@ def cmd_forecast(args) -> int:
     from basketry.sources.sinks import write_table
     from basketry import registry
     spark = _session()
-    m = _marts(spark, args).materialize(spark)
+    m = _marts(spark, args)
     keys = [args.by] if args.by else []
     facts = m.mart_orders
     dims = {"market_segment": registry._by_market_segment, "nation": registry._by_nation,
@@ -105,8 +119,7 @@ def cmd_forecast(args) -> int:
     write_table(fc.sales_forecast(facts, keys), f"{args.dest}/v_sales_forecast")
     write_table(fc.sales_forecast_all(facts, keys), f"{args.dest}/v_sales_forecast_all")
     write_table(fc.backtest(facts, keys), f"{args.dest}/forecast_backtest")
-    # the written scores: one row per series and hold-out
-    for r in spark.read.parquet(f"{args.dest}/forecast_backtest").collect():
+    for r in spark.read.parquet(f"{args.dest}/forecast_backtest").limit(args.show).collect():
         print(json.dumps(r.asDict(), default=str))
     return 0
 
@@ -122,7 +135,7 @@ def cmd_insights(args) -> int:
     """The key insight numbers of the report year (and the three exercises)."""
     from basketry.plans import reports as rp
     spark = _session()
-    m = _marts(spark, args).materialize(spark)
+    m = _marts(spark, args)
     mo, cfg = m.mart_orders, m.cfg
     _print_rows(f"orders in {cfg.report_year}", rp.orders_in_year(mo, cfg))
     _print_rows("orders per month", rp.orders_per_month(mo, cfg))
@@ -147,15 +160,23 @@ def cmd_explore(args) -> int:
     from basketry.operators.explore import explore
     from basketry.plans import semantic as sm
     spark = _session()
-    m = _marts(spark, args).materialize(spark)
+    m = _marts(spark, args)
     view = sm.orders_view(m.cfg) if args.view == "orders" else sm.order_lines_view(m.cfg)
     df = m.mart_orders if args.view == "orders" else m.mart_order_lines
     dims = [d for d in (args.dims or "").split(",") if d]
     measures = [x for x in args.measures.split(",") if x]
     params = {"date_granularity": args.grain} if args.view == "orders" else {}
-    out = explore(view, df, dims, measures, sm.segment_filter(args.segment), params)
+    wanted = sm.dashboard_filter(
+        date_from=args.date_from, date_to=args.date_to, segment=None if args.segment == "All" else args.segment,
+        profile=args.profile, complete_only=args.complete_only)
+    out = explore(view, df, dims, measures, wanted, params)
+    if args.dest:
+        from basketry.sources.sinks import write_table
+        write_table(out, args.dest)
+        out = spark.read.parquet(args.dest)
+    # a top-n over the dimensions: --show rows reach the driver
     _print_rows(f"{args.view}: {', '.join(measures)} by {', '.join(dims) or 'all'}",
-                out.orderBy(*dims) if dims else out)
+                (out.orderBy(*dims) if dims else out).limit(args.show))
     return 0
 
 
@@ -174,8 +195,12 @@ def main(argv=None) -> int:
         src.add_argument("--tables")
         sp.add_argument("--config", choices=["reference", "driver"])
         sp.add_argument("--vars", help="JSON object overriding configuration values")
-        sp.add_argument("--size", action="store_true",
-                        help="size shuffle partitions and scan splits from the input size")
+        sp.add_argument("--no-size", action="store_true",
+                        help="keep the session's shuffle partitions and scan splits instead of sizing them from the input")
+        if name != "build":
+            sp.add_argument("--marts", help="folder of tables written by build --dest")
+        if name in ("forecast", "explore"):
+            sp.add_argument("--show", type=int, default=20, help="rows to print")
         if name == "build":
             sp.add_argument("--dest")
         if name == "forecast":
@@ -188,6 +213,11 @@ def main(argv=None) -> int:
             sp.add_argument("--measures", required=True)
             sp.add_argument("--grain", choices=["day", "week", "month", "quarter"], default="month")
             sp.add_argument("--segment", choices=["All", "New", "Returning", "VIP"], default="All")
+            sp.add_argument("--profile", choices=["New", "Returning", "VIP"])
+            sp.add_argument("--date-from", type=dt.date.fromisoformat)
+            sp.add_argument("--date-to", type=dt.date.fromisoformat, help="the day after the last")
+            sp.add_argument("--complete-only", action="store_true")
+            sp.add_argument("--dest", help="write all result rows there")
     args = p.parse_args(argv)
     return {"load": cmd_load, "build": cmd_build, "check": cmd_check, "forecast": cmd_forecast,
             "insights": cmd_insights, "explore": cmd_explore}[args.cmd](args)

@@ -11,6 +11,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys=(), plain=(), how: str = "left") -> DataFrame:
+    """Equi-join on columns of one name. A NULL in ``keys`` (the series keys)
+    equals a NULL; ``plain`` columns (days) are compared as usual. The result
+    has the left columns and the other right ones."""
+    keys, plain = list(keys), list(plain)
+    own = [c for c in right.columns if c not in keys + plain]
+    other = right.select(*[F.col(c).alias(f"__right_{c}") for c in keys + plain], *own)
+    conditions = [F.col(c).eqNullSafe(F.col(f"__right_{c}")) for c in keys]
+    conditions += [F.col(c) == F.col(f"__right_{c}") for c in plain]
+    return left.join(other, conditions, how).drop(*[f"__right_{c}" for c in keys + plain])
+
+
 def date_spine(df: DataFrame, date_col: str, keys=()) -> DataFrame:
     keys = list(keys)
     bounds = df.where(F.col(date_col).isNotNull()).groupBy(*keys).agg(
@@ -29,7 +41,7 @@ def zero_filled_daily(df: DataFrame, date_col: str, value_col: str, keys=(),
     keys = list(keys)
     daily = daily_sums(df, date_col, value_col, keys, out)
     spine = date_spine(daily, date_col, keys)
-    filled = spine.join(daily, [*keys, date_col], "left")
+    filled = join_on_keys(spine, daily, keys, [date_col])
     zero = F.lit(0).cast(daily.schema[out].dataType)
     return filled.select(*keys, date_col, F.coalesce(F.col(out), zero).alias(out))
 
@@ -38,4 +50,4 @@ def missing_days(df: DataFrame, date_col: str, keys=()) -> DataFrame:
     """Days inside [first, last] without any row."""
     keys = list(keys)
     present = df.where(F.col(date_col).isNotNull()).select(*keys, date_col).distinct()
-    return date_spine(present, date_col, keys).join(present, [*keys, date_col], "left_anti")
+    return join_on_keys(date_spine(present, date_col, keys), present, keys, [date_col], "left_anti")

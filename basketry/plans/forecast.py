@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.functions.numeric import CENTS, floor_at_zero
-from basketry.operators.spine import date_spine, missing_days
+from basketry.operators.spine import date_spine, join_on_keys, missing_days
 
 # 95 % two-sided normal quantile and the forecast horizons.
 Z95 = 1.959964
@@ -27,6 +27,9 @@ HORIZONS = (7, 14, 30)
 DEFAULT_ALPHAS = tuple(round(i / 100, 2) for i in range(1, 100))
 
 VALUE = "daily_net_sales"
+UNKNOWN = "Unknown"  # attribute of facts without a dimension row
+
+
 def _cents(c):
     return F.round(c, 2).cast(CENTS)
 
@@ -42,7 +45,7 @@ def _day_sums(mart: DataFrame, keys, date_col: str, value_col: str) -> DataFrame
 def _series_from_sums(sums: DataFrame, keys) -> DataFrame:
     dated = sums.where(F.col("date").isNotNull())
     spine = date_spine(dated, "date", keys)
-    filled = spine.join(dated, [*keys, "date"], "left")
+    filled = join_on_keys(spine, dated, keys, ["date"])
     return filled.select(*keys, "date", _cents(F.coalesce(F.col("__sum"), F.lit(0))).alias(VALUE))
 
 
@@ -92,7 +95,7 @@ def fit(series: DataFrame, keys=(), alphas=DEFAULT_ALPHAS) -> DataFrame:
     keys = list(keys)
     idx = weekday_index(series, keys)
     s = series.withColumn("dow", F.dayofweek("date"))
-    s = s.join(idx, [*keys, "dow"], "inner")
+    s = join_on_keys(s, idx, keys, ["dow"], "inner")
     s = s.withColumn("__y", F.col(VALUE).cast("double") - F.col("dow_index"))
     arr = s.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(F.col("date"), F.col("__y")))).alias("__pts"),
@@ -125,7 +128,7 @@ def forecast_steps(model: DataFrame, idx: DataFrame, keys=(), horizon: int = 30)
                          F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
     steps = steps.withColumn("date", F.date_add("last_date", F.col("step"))).withColumn(
         "dow", F.dayofweek("date"))
-    steps = steps.join(idx, [*keys, "dow"], "left")
+    steps = join_on_keys(steps, idx, keys, ["dow"])
     value = F.col("level") + F.coalesce(F.col("dow_index"), F.lit(0.0))
     half = F.lit(Z95) * F.col("sigma") * F.sqrt(F.lit(1.0) + (F.col("step") - 1) * F.col("alpha") * F.col("alpha"))
     return steps.select(
@@ -191,7 +194,8 @@ def backtest(mart: DataFrame, keys=(), holdouts=HORIZONS, alphas=DEFAULT_ALPHAS)
     """Hold out the last h days of every series, fit on the rest, forecast h
     days and score against the zero-filled actual days of the hold-out.
     All (key, hold-out) pairs are fitted together as separate series.
-    ME is actual minus forecast (negative = over-forecast)."""
+    ME is actual minus forecast (negative = over-forecast). A series without a
+    day left to train on has its row as well, with n = 0 and NULL scores."""
     keys = list(keys)
     series = daily_series(mart, keys)
     # A series holds one row per calendar day, so the window is bounded.
@@ -204,15 +208,15 @@ def backtest(mart: DataFrame, keys=(), holdouts=HORIZONS, alphas=DEFAULT_ALPHAS)
     test = tagged.where(~F.col("__train")).select(*k2, "date", F.col(VALUE).cast("double").alias("actual"))
     idx = weekday_index(train, k2)
     steps = forecast_steps(fit(train, k2, alphas), idx, k2, max(holdouts))
-    j = test.join(steps.select(*k2, "date", F.col("forecast_value").alias("forecast")), [*k2, "date"], "inner")
+    j = join_on_keys(test, steps.select(*k2, "date", F.col("forecast_value").alias("forecast")), k2, ["date"])
     e = F.col("actual") - F.col("forecast")
     return (j.groupBy(*k2).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count("forecast").alias("n"),
         F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         (F.avg(F.abs(e) / F.nullif(F.abs(F.col("actual")), F.lit(0.0))) * 100).alias("mape"),
         F.avg(e).alias("me"),
-        F.sum("actual").alias("actual_sum"),
+        F.sum(F.when(F.col("forecast").isNotNull(), F.col("actual"))).alias("actual_sum"),
         F.sum("forecast").alias("forecast_sum"),
     ))
 
@@ -226,8 +230,11 @@ def fitted_models(mart: DataFrame, keys=(), alphas=DEFAULT_ALPHAS) -> DataFrame:
 def with_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, attr: str,
                    name: str) -> DataFrame:
     """Attach one attribute of a dimension table (e.g. a customer's market
-    segment, a product's brand) as a series key. An inner equi-join: the
-    dimension side is shuffled or, when AQE measures it small, broadcast;
-    a hot key on the fact side is split by the skew-join handling."""
+    segment, a product's brand) as a series key. Facts whose key is NULL or
+    not in the dimension stay, as ``UNKNOWN``. A left equi-join on the
+    dimension's primary key: the dimension side is shuffled or, when AQE
+    measures it small, broadcast; a hot key on the fact side is split by the
+    skew-join handling."""
     d = dim.select(F.col(dim_key).alias("__dk"), F.col(attr).alias(name))
-    return facts.join(d, F.col(fact_key) == F.col("__dk"), "inner").drop("__dk")
+    return (facts.join(d, F.col(fact_key) == F.col("__dk"), "left").drop("__dk")
+            .withColumn(name, F.coalesce(name, F.lit(UNKNOWN))))

@@ -3,7 +3,7 @@ Every check is a query returning the violating rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.config import Config
@@ -12,6 +12,7 @@ from basketry.functions.segments import SEGMENTS, segment_sql
 from basketry.operators.checks import Check, accepted_values, not_null, relationships, unique
 from basketry.plans.marts import Marts
 from basketry.plans.reports import combine_rows, orphan_lines, union_all
+from basketry.plans.staging import staged_orders, staged_sales
 
 # Declared column checks (fixed list of the documented contracts):
 # NOT NULL columns per relation, UNIQUE and accepted-value (relation, column).
@@ -98,6 +99,31 @@ def segmentation_reconciliation(mart: DataFrame, cfg: Config) -> DataFrame:
         ~F.col("derived_segment").eqNullSafe(F.col("stored_segment")))
 
 
+def prior_count_reconciliation(mart: DataFrame, stg_orders: DataFrame, cfg: Config) -> DataFrame:
+    """Orders whose stored look-back count differs from a second derivation
+    from staging: the orders before the day less the orders before the start
+    of the look-back, both read off one running count per customer.
+
+    Each (customer, day) asks twice, at the day and at the look-back's start;
+    questions stand before the orders of their day, so neither counts it. A
+    customer has three rows a day of orders at most."""
+    daily = (stg_orders.where(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull())
+             .groupBy("customer_id", "order_date").agg(F.count("order_id").alias("n")))
+    start = F.add_months("order_date", -cfg.segmentation_lookback_months)
+    ask = lambda at, sign: F.struct(at.alias("at"), F.lit(0).alias("kind"), F.lit(sign).alias("sign"),
+                                    F.lit(0).cast("bigint").alias("add"))
+    add = F.struct(F.col("order_date").alias("at"), F.lit(1).alias("kind"), F.lit(0).alias("sign"), F.col("n").alias("add"))
+    events = daily.select("customer_id", "order_date", F.inline(F.array(ask(F.col("order_date"), 1), ask(start, -1), add)))
+    running = Window.partitionBy("customer_id").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    derived = (events.withColumn("before", F.sum("add").over(running)).where("kind = 0")
+               .groupBy(F.col("customer_id").alias("__c"), F.col("order_date").alias("__d"))
+               .agg(F.sum(F.col("sign") * F.col("before")).alias("derived_count")))
+    j = mart.join(derived, (F.col("customer_id") == F.col("__c")) & (F.col("order_date") == F.col("__d")), "left")
+    return j.select("order_id", F.col("prior_orders_last_12_months").alias("stored_count"),
+                    F.coalesce("derived_count", F.lit(0).cast("bigint")).alias("derived_count")).where(
+        ~F.col("stored_count").eqNullSafe(F.col("derived_count")))
+
+
 def profile_reconciliation(mart: DataFrame, cfg: Config) -> DataFrame:
     """The customer profile re-derived as the segment of each customer's
     latest order (latest by date, then id); orders whose stored profile
@@ -176,13 +202,13 @@ def declared_checks(m: Marts) -> list[Check]:
         checks.append(Check(f"accepted_values:{rel}.{c}",
                             lambda rel=rel, c=c: accepted_values(_rel(m, rel), c, SEGMENTS)))
     checks.append(Check("relationships:stg_sales.order_id", lambda: relationships(
-        m.stg_sales, "order_id", m.stg_orders, "order_id"), severity="warn"))
+        m.stg_lines, "order_id", m.stg_orders, "order_id"), severity="warn"))
     singular = [
         ("invalid_segments", lambda: invalid_segments(m.mart_orders), "error"),
         ("order_lines_grain", lambda: order_lines_grain(m.mart_order_lines), "error"),
-        ("order_sales_match", lambda: order_sales_match(m.stg_orders, m.stg_sales), "error"),
+        ("order_sales_match", lambda: order_sales_match(m.stg_orders, m.stg_lines), "error"),
         ("positive_product_qty", lambda: positive_product_qty(m.mart_orders), "error"),
-        ("lines_have_header", lambda: lines_without_header(m.stg_sales, m.stg_orders), "warn"),
+        ("lines_have_header", lambda: lines_without_header(m.stg_lines, m.stg_orders), "warn"),
         ("segmentation_reconciliation", lambda: segmentation_reconciliation(m.mart_orders, cfg), "error"),
         ("year_count_match", lambda: year_count_match(m.mart_orders, m.stg_orders, cfg), "error"),
         ("segmented_year_count_match", lambda: segmented_year_count_match(m.exercise_6, m.stg_orders, cfg), "error"),
@@ -193,35 +219,119 @@ def declared_checks(m: Marts) -> list[Check]:
     return checks
 
 
+def _orders_pass(m: Marts) -> DataFrame:
+    """One pass over the raw headers for the raw and the staged columns."""
+    raw = m.raw_orders
+    both = raw.select("*", *[c.alias(f"s_{n}") for n, c in staged_orders(raw).items()])
+    in_year = in_range("s_order_date", m.cfg.year_start, m.cfg.year_end)
+    counts = [F.count_if(F.col(c).isNull()).alias(f"null:raw_orders/{c}") for c in NOT_NULL["raw_orders"]]
+    counts += [F.count_if(F.col(f"s_{c}").isNull()).alias(f"null:stg_orders/{c}") for c in NOT_NULL["stg_orders"]]
+    counts += [F.count_if(in_year).alias("source_count"),
+               F.count_if(F.year("s_order_date") == m.cfg.report_year).alias("source_year_count")]
+    counts += [F.count_if(in_year & (F.month("s_order_date") == k)).alias(f"source_{k}") for k in range(1, 13)]
+    return both.agg(*counts)
+
+
+def _lines_pass(m: Marts) -> DataFrame:
+    raw = m.raw_lines
+    both = raw.select("*", *[c.alias(f"s_{n}") for n, c in staged_sales(raw).items()])
+    counts = [F.count_if(F.col(c).isNull()).alias(f"null:raw_sales/{c}") for c in NOT_NULL["raw_sales"]]
+    counts += [F.count_if(F.col(f"s_{c}").isNull()).alias(f"null:stg_sales/{c}") for c in NOT_NULL["stg_sales"]]
+    return both.agg(*counts)
+
+
+def _mart_pass(m: Marts) -> DataFrame:
+    """The order mart with its presentation and the report-year slice."""
+    in_year = in_range("order_date", m.cfg.year_start, m.cfg.year_end)
+    outside = lambda c: ~F.col(c).isin(*SEGMENTS)
+    counts = [F.count_if(F.col(c).isNull()).alias(f"null:{rel}/{c}")
+              for rel in ("mart_orders", "mart_orders_presentation") for c in NOT_NULL[rel]]
+    counts += [F.count_if(in_year & F.col(c).isNull()).alias(f"null:exercise_6/{c}") for c in NOT_NULL["exercise_6"]]
+    counts += [F.count_if(outside(c) & (in_year if rel == "exercise_6" else F.lit(True))).alias(f"accepted:{rel}/{c}")
+               for rel, c in ACCEPTED if rel != "mart_order_lines"]
+    counts += [F.count_if(invalid_segment_pred()).alias("invalid_segments"),
+               F.count_if(non_positive_qty_pred()).alias("positive_product_qty"),
+               F.count_if(segment_mismatch_pred(m.cfg)).alias("segmentation_reconciliation"),
+               F.count_if(in_year).alias("mart_count")]
+    counts += [F.count_if(in_year & (F.month("order_date") == k)).alias(f"mart_{k}") for k in range(1, 13)]
+    return m.mart_orders.agg(*counts)
+
+
+def _mart_lines_pass(m: Marts) -> DataFrame:
+    base = {"units_sold": "quantity"}  # the presentation's only renamed column
+    counts = [F.count_if(F.col(base.get(c, c)).isNull()).alias(f"null:{rel}/{c}")
+              for rel in ("mart_order_lines", "mart_order_lines_presentation") for c in NOT_NULL[rel]]
+    counts += [F.count_if(~F.col(c).isin(*SEGMENTS)).alias(f"accepted:{rel}/{c}")
+               for rel, c in ACCEPTED if rel == "mart_order_lines"]
+    return m.mart_order_lines.agg(*counts)
+
+
+def _per_order_pass(m: Marts) -> DataFrame:
+    """Uniqueness of the order id in four relations and the grain of the
+    report year: one aggregate per order over slim rows of all of them."""
+    in_year = in_range("order_date", m.cfg.year_start, m.cfg.year_end)
+    summary, history = m.order_product_summary, m.order_customer_history
+    frames = [
+        m.stg_orders.select("order_id", F.lit(0).alias("rel")),
+        summary.select("order_id", F.lit(1).alias("rel"), *[
+            F.col(c).isNull().cast("int").alias(f"n1_{c}") for c in NOT_NULL["order_product_summary"]]),
+        history.select("order_id", F.lit(2).alias("rel"), *[
+            F.col(c).isNull().cast("int").alias(f"n2_{c}") for c in NOT_NULL["order_customer_history"]]),
+        m.mart_orders.select("order_id", F.lit(3).alias("rel"), in_year.cast("int").alias("in_year")),
+    ]
+    flags = [(f"n1_{c}", f"null:order_product_summary/{c}") for c in NOT_NULL["order_product_summary"]]
+    flags += [(f"n2_{c}", f"null:order_customer_history/{c}") for c in NOT_NULL["order_customer_history"]]
+    per = union_all(frames).groupBy("order_id").agg(
+        *[F.count_if(F.col("rel") == k).alias(f"rows_{k}") for k in range(4)],
+        F.sum("in_year").alias("year_rows"), *[F.sum(f).alias(f) for f, _ in flags])
+    known = F.col("order_id").isNotNull()
+    return per.agg(
+        F.count_if(known & (F.col("rows_0") > 1)).alias("unique:stg_orders/order_id"),
+        F.count_if(known & (F.col("rows_1") > 1)).alias("unique:order_product_summary/order_id"),
+        F.count_if(known & (F.col("rows_2") > 1)).alias("unique:order_customer_history/order_id"),
+        F.count_if(known & (F.col("rows_3") > 1)).alias("unique:mart_orders/order_id"),
+        F.count_if(F.col("year_rows") > 1).alias("order_grain_in_year"),
+        *[F.coalesce(F.sum(f), F.lit(0)).alias(name) for f, name in flags])
+
+
+def _header_lines_pass(m: Marts, tolerance: float = 0.01) -> DataFrame:
+    """Header totals against line sums and lines without a header, from one
+    full join of the headers with one row per order of the lines."""
+    sums = m.stg_lines.groupBy(F.col("order_id").alias("__id")).agg(
+        F.sum("line_net_sales").alias("__sum"), F.count(F.lit(1)).alias("__lines"))
+    j = (m.stg_orders.select("order_id", "net_sales", F.lit(True).alias("__header"))
+         .join(sums, F.col("order_id") == F.col("__id"), "full_outer"))
+    diff = F.abs(F.coalesce("net_sales", F.lit(0)) - F.coalesce("__sum", F.lit(-1)))
+    orphan = F.col("__header").isNull()
+    count = lambda pred: F.coalesce(F.sum(F.when(pred, F.col("__lines"))), F.lit(0))
+    return j.agg(F.count_if(F.col("__header") & (diff > F.lit(tolerance))).alias("order_sales_match"),
+                 count(orphan).alias("lines_have_header"),
+                 count(orphan & F.col("__id").isNotNull()).alias("relationships:stg_sales/order_id"))
+
+
+def _product_pass(m: Marts) -> DataFrame:
+    per = m.mart_product_summary.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))
+    known = F.col("product_id").isNotNull()
+    return per.agg(F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("null:mart_product_summary/product_id"),
+                   F.count_if(known & (F.col("n") > 1)).alias("unique:mart_product_summary/product_id"))
+
+
 def check_summary(m: Marts) -> DataFrame:
     """One row per check: (check_name, severity, failures).
 
-    Row-level checks of one relation (NOT NULL, accepted values and the
-    row-level singular checks) are evaluated together in one aggregate pass
-    (``count_if`` per predicate); key-level checks (uniqueness, grain,
-    relationships, reconciliations) are one aggregate each. The branches are
-    combined by a balanced union into one plan."""
-    cfg = m.cfg
-    row_checks: dict[str, list] = {}
-    for rel, cols in NOT_NULL.items():
-        for c in cols:
-            row_checks.setdefault(rel, []).append((f"not_null:{rel}.{c}", "error", F.col(c).isNull()))
-    for rel, c in ACCEPTED:
-        row_checks.setdefault(rel, []).append(
-            (f"accepted_values:{rel}.{c}", "error", ~F.col(c).isin(*SEGMENTS)))
-    row_checks["mart_orders"] += [
-        ("invalid_segments", "error", invalid_segment_pred()),
-        ("positive_product_qty", "error", non_positive_qty_pred()),
-        ("segmentation_reconciliation", "error", segment_mismatch_pred(cfg)),
-    ]
-    parts: list[DataFrame] = []
-    for rel, checks in row_checks.items():
-        counts = _rel(m, rel).agg(*[F.count_if(pred).alias(f"c{i}") for i, (_, _, pred) in enumerate(checks)])
-        rows = ", ".join(f"'{name}', '{sev}', c{i}" for i, (name, sev, _) in enumerate(checks))
-        parts.append(counts.select(F.expr(f"stack({len(checks)}, {rows}) AS (check_name, severity, failures)")))
-    row_names = {name for checks in row_checks.values() for name, _, _ in checks}
-    for c in declared_checks(m):
-        if c.name not in row_names:
-            parts.append(c.violations().agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"), "failures"))
-    return union_all(parts)
+    Eight one-row aggregates, together twelve table scans: a relation and the
+    views of it are judged in one pass, uniqueness by one aggregate per order,
+    header totals and orphans by one join."""
+    row = combine_rows(
+        _orders_pass(m), _lines_pass(m), _mart_pass(m), _mart_lines_pass(m), _per_order_pass(m), _header_lines_pass(m),
+        _product_pass(m), order_lines_grain(m.mart_order_lines).agg(F.count(F.lit(1)).alias("order_lines_grain")))
+    apart = lambda a, b: f"CAST(`{a}` <> `{b}` AS BIGINT)"
+    value = {f"not_null:{rel}.{c}": f"`null:{rel}/{c}`" for rel, cols in NOT_NULL.items() for c in cols}
+    value |= {f"accepted_values:{rel}.{c}": f"`accepted:{rel}/{c}`" for rel, c in ACCEPTED}
+    value |= {"unique:raw_orders.orders_id": "`unique:stg_orders/order_id`",  # staging keeps rows and ids
+              "year_count_match": apart("mart_count", "source_count"),
+              "segmented_year_count_match": apart("mart_count", "source_year_count"),
+              "monthly_count_match": " + ".join(apart(f"mart_{k}", f"source_{k}") for k in range(1, 13))}
+    checks = [(c.name, c.severity) for c in declared_checks(m)]
+    rows = ", ".join(f"'{name}', '{severity}', CAST({value.get(name, '`' + name.replace('.', '/') + '`')} AS BIGINT)" for name, severity in checks)
+    return row.select(F.expr(f"stack({len(checks)}, {rows}) AS (check_name, severity, failures)"))

@@ -218,12 +218,14 @@ def daily_trends(mart: DataFrame) -> DataFrame:
 
 def month_contribution(mart: DataFrame) -> DataFrame:
     """Revenue and orders per month with half-year and year subtotals and the
-    grand total (rollup), each with its share of the grand total. The rollup
-    output has at most 19 rows per year, so the total is taken by a window
-    over that small frame."""
+    grand total (rollup), each with its share of the grand total. Orders are
+    aggregated to months first, so the rollup expands at most 13 rows per year
+    and the total is a window over at most 19."""
     half = F.when(F.col("order_month") <= 6, F.lit(1)).otherwise(F.lit(2)).cast("bigint")
-    r = mart.withColumn("order_half", half).rollup("order_year", "order_half", "order_month").agg(
-        F.sum("net_sales").alias("revenue"), F.count(F.lit(1)).alias("orders"),
+    months = mart.groupBy("order_year", "order_month").agg(
+        F.sum("net_sales").alias("revenue"), F.count(F.lit(1)).alias("orders"))
+    r = months.withColumn("order_half", half).rollup("order_year", "order_half", "order_month").agg(
+        F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"),
         F.grouping_id().alias("gid"))
     grand = Window.partitionBy()
     tot_rev = F.max(F.when(F.col("gid") == 7, F.col("revenue"))).over(grand)

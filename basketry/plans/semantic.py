@@ -35,6 +35,7 @@ def _selected_grain(params):
 
 def _timeframes():
     return {
+        "order_date_raw": Dimension("order_date_raw", lambda p=None: F.col("order_date")),
         "order_date_date": Dimension("order_date_date", lambda p=None: F.col("order_date")),
         "order_date_week": Dimension("order_date_week", lambda p=None: date_at_grain(F.col("order_date"), "week")),
         "order_date_month": Dimension("order_date_month", lambda p=None: date_at_grain(F.col("order_date"), "month")),
@@ -57,7 +58,7 @@ def orders_view(cfg: Config) -> View:
         "order_date_at_selected_grain": Dimension("order_date_at_selected_grain", _selected_grain),
         **_timeframes(),
         **{c: Dimension(c, _col(c)) for c in (
-            "qty_product", "product_line_count", "distinct_product_count", "order_segmentation",
+            "net_sales", "qty_product", "product_line_count", "distinct_product_count", "order_segmentation",
             "customer_profile", "has_complete_12_month_history", "order_id", "customer_id",
             "prior_orders_last_12_months")},
         # Hidden validation dimensions.
@@ -91,7 +92,7 @@ def order_lines_view(cfg: Config) -> View:
     dims = {
         **_timeframes(),
         **{c: Dimension(c, _col(c)) for c in (
-            "product_id", "quantity", "order_segmentation", "customer_profile",
+            "product_id", "quantity", "net_sales", "order_segmentation", "customer_profile",
             "has_complete_12_month_history", "revenue_per_unit", "order_id", "customer_id")},
     }
     measures = {
@@ -155,7 +156,8 @@ def focus_metric(view: View, df: DataFrame, dimensions, focus: str, segment: str
 # Fixed drill-down column sets.
 ORDER_DETAIL = ("order_id", "customer_id", "order_date", "net_sales", "qty_product",
                 "order_segmentation", "customer_profile")
-LINE_DETAIL = ("order_id", "product_id", "order_date", "quantity", "net_sales", "order_segmentation")
+LINE_DETAIL = ("order_id", "product_id", "order_date", "quantity", "net_sales", "revenue_per_unit",
+               "order_segmentation", "customer_profile")
 
 
 def drill(df: DataFrame, predicate, columns=ORDER_DETAIL) -> DataFrame:

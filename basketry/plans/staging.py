@@ -23,21 +23,31 @@ def _day(name: str) -> Column:
     return F.col(name).try_cast("date")
 
 
+def staged_orders(raw_orders: DataFrame) -> dict[str, Column]:
+    """Staged column -> expression over the raw headers."""
+    return {
+        "order_date": _day("date_date"),
+        "customer_id": _int64(raw_orders, "customers_id"),
+        "order_id": _int64(raw_orders, "orders_id"),
+        "net_sales": F.col("net_sales").cast(MONEY),
+    }
+
+
+def staged_sales(raw_sales: DataFrame) -> dict[str, Column]:
+    """Staged column -> expression over the raw lines."""
+    return {
+        "order_date": _day("date_date"),
+        "customer_id": _int64(raw_sales, "customer_id"),
+        "order_id": _int64(raw_sales, "order_id"),
+        "product_id": _int64(raw_sales, "products_id"),
+        "line_net_sales": F.col("net_sales").cast(MONEY),
+        "qty": _int64(raw_sales, "qty"),
+    }
+
+
 def stg_orders(raw_orders: DataFrame) -> DataFrame:
-    return raw_orders.select(
-        _day("date_date").alias("order_date"),
-        _int64(raw_orders, "customers_id").alias("customer_id"),
-        _int64(raw_orders, "orders_id").alias("order_id"),
-        F.col("net_sales").cast(MONEY).alias("net_sales"),
-    )
+    return raw_orders.select(*[c.alias(n) for n, c in staged_orders(raw_orders).items()])
 
 
 def stg_sales(raw_sales: DataFrame) -> DataFrame:
-    return raw_sales.select(
-        _day("date_date").alias("order_date"),
-        _int64(raw_sales, "customer_id").alias("customer_id"),
-        _int64(raw_sales, "order_id").alias("order_id"),
-        _int64(raw_sales, "products_id").alias("product_id"),
-        F.col("net_sales").cast(MONEY).alias("line_net_sales"),
-        _int64(raw_sales, "qty").alias("qty"),
-    )
+    return raw_sales.select(*[c.alias(n) for n, c in staged_sales(raw_sales).items()])

@@ -1,6 +1,7 @@
 """Named queries over the test tables: the inventory that the entry module
-exposes. Each entry takes (spark, sf_dir) and returns a lazy DataFrame over
-the whole tables. Output convention (shared with the SQL oracles): money is
+exposes. Each entry takes (spark, sf_dir) and returns a DataFrame over the
+whole tables: model queries lazily from the raw tables, downstream queries
+from marts that the first of them builds. Output convention (shared with the SQL oracles): money is
 rounded to cents and presented as DOUBLE."""
 
 from __future__ import annotations
@@ -15,11 +16,13 @@ from basketry.config import DRIVER_CONFIG as CFG
 from basketry.functions.numeric import money
 from basketry.operators.checks import null_count_summary
 from basketry.operators.explore import explore
+from basketry.plans import faults as ft
 from basketry.plans import forecast as fc
 from basketry.plans import quality as dq
 from basketry.plans import reports as rp
 from basketry.plans import semantic as sm
-from basketry.plans.marts import Marts
+from basketry.plans.marts import Marts, exercise_6_orders_segmented
+from basketry.session import input_version
 from basketry.sources.readers import load_profile, null_counts
 
 
@@ -30,38 +33,40 @@ def present(df: DataFrame) -> DataFrame:
 
 
 _MARTS: dict = {}
+_BUILT: dict = {}
+
+
+def _cached(cache: dict, spark: SparkSession, sf_dir: str, make) -> Marts:
+    """The cached value for this session and data folder, made anew when the
+    order or line table has been written since."""
+    folder = sf_dir.rstrip("/")
+    key = (id(spark), spark.sparkContext.applicationId, folder)
+    version = input_version(spark, [f"{folder}/orders.parquet", f"{folder}/lineitem.parquet"])
+    if key not in cache or cache[key][0] != version:
+        cache[key] = (version, make())
+    return cache[key][1]
 
 
 def _marts(spark: SparkSession, sf_dir: str) -> Marts:
     """One lazily built set of model plans per session and data folder: the
     plans (not data) are shared by all queries, like views, so plan
     construction and analysis are paid once. ``refresh()`` drops them."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    m = _MARTS.get(key)
-    if m is None:
-        m = _MARTS[key] = Marts.from_tables(spark, sf_dir, CFG)
-    return m
+    return _cached(_MARTS, spark, sf_dir, lambda: Marts.from_tables(spark, sf_dir, CFG))
 
 
-_BUILT: dict = {}
+def _built(spark: SparkSession, sf_dir: str) -> Marts:
+    """The marts materialised once per session and state of the data folder
+    (written under the shared folder named by ``spark.checkpoint.dir``).
+    Reports, checks, metrics and forecasts read these tables, as dashboards
+    read the published marts; the first of them runs the build, and an error
+    in it is raised. The model queries themselves compute from raw."""
+    return _cached(_BUILT, spark, sf_dir, lambda: _marts(spark, sf_dir).materialize(spark))
 
 
-def _built(spark: SparkSession, sf_dir: str) -> Marts:
-    """The marts materialised once per session and data folder (written
-    under the shared folder named by ``spark.checkpoint.dir``). Reports,
-    checks, metrics and forecasts read these tables, as dashboards read the
-    published marts; the model queries themselves compute from raw."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    m = _BUILT.get(key)
-    if m is None:
-        try:
-            m = _marts(spark, sf_dir).materialize(spark)
-        except Exception as exc:  # noqa: BLE001 - e.g. the shared folder is not writable
-            import logging
-            logging.getLogger(__name__).warning("materialising the marts failed (%s); using lazy plans", exc)
-            m = _marts(spark, sf_dir)
-        _BUILT[key] = m
-    return m
+def set_built(spark: SparkSession, sf_dir: str, marts: Marts) -> None:
+    """Use ``marts``, built by the caller, for the downstream queries."""
+    _BUILT.pop((id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/")), None)
+    _cached(_BUILT, spark, sf_dir, lambda: marts)
 
 
 def refresh() -> None:
@@ -107,6 +112,11 @@ def _by_nation(m: Marts, spark: SparkSession, sf_dir: str) -> DataFrame:
     return fc.with_dimension(m.mart_orders, cust, "customer_id", "c_custkey", "nation", "nation")
 
 
+def _by_customer_group(m: Marts) -> DataFrame:
+    group = F.col("customer_id") % 3
+    return m.mart_orders.withColumn("customer_group", F.when(group > 0, group.cast("string")))
+
+
 def _by_brand(m: Marts, spark: SparkSession, sf_dir: str) -> DataFrame:
     from basketry.sources.tpch import read_table
     return fc.with_dimension(m.mart_order_lines, read_table(spark, sf_dir, "part"), "product_id", "p_partkey",
@@ -154,11 +164,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "segment_breakdown": _r(lambda m: rp.segment_breakdown(m.mart_orders, m.cfg)),
     "returning_vip_share": _r(lambda m: rp.returning_vip_share(m.mart_orders, m.cfg)),
     "overall_stats": _r(lambda m: rp.overall_stats(m.mart_orders, m.cfg)),
-    "orphan_line_count": _r(lambda m: rp.orphan_line_count(m.stg_sales, m.stg_orders)),
+    "orphan_line_count": _r(lambda m: rp.orphan_line_count(m.stg_lines, m.stg_orders)),
     "same_day_collisions": _r(lambda m: rp.same_day_collisions(m.mart_orders)),
     "history_completeness": _r(lambda m: rp.history_completeness(m.mart_orders)),
     "revenue_reconciliation": _r(lambda m: rp.revenue_reconciliation(m.mart_orders, m.mart_order_lines)),
-    "data_summary": _r(lambda m: rp.data_summary(m.stg_orders, m.stg_sales, m.mart_orders, m.mart_order_lines)),
+    "data_summary": _r(lambda m: rp.data_summary(m.stg_orders, m.stg_lines, m.mart_orders, m.mart_order_lines)),
     "freshness": _r(lambda m: rp.freshness(m.mart_orders)),
     # dashboard
     "kpi_tiles": _r(lambda m: rp.kpi_tiles(m.mart_orders_presentation)),
@@ -181,15 +191,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                                                    "mart_orders")),
     "dq_invalid_segments": _r(lambda m: dq.invalid_segments(m.mart_orders)),
     "dq_order_lines_grain": _r(lambda m: dq.order_lines_grain(m.mart_order_lines)),
-    "dq_order_sales_match": _r(lambda m: dq.order_sales_match(m.stg_orders, m.stg_sales)),
+    "dq_order_sales_match": _r(lambda m: dq.order_sales_match(m.stg_orders, m.stg_lines)),
     "dq_positive_product_qty": _r(lambda m: dq.positive_product_qty(m.mart_orders)),
-    "dq_lines_without_header": _r(lambda m: dq.lines_without_header(m.stg_sales, m.stg_orders)),
+    "dq_lines_without_header": _r(lambda m: dq.lines_without_header(m.stg_lines, m.stg_orders)),
     "dq_segmentation_reconciliation": _r(lambda m: dq.segmentation_reconciliation(m.mart_orders, m.cfg)),
     "dq_profile_reconciliation": _r(lambda m: dq.profile_reconciliation(m.mart_orders, m.cfg)),
     "dq_year_count_match": _r(lambda m: dq.year_count_match(m.mart_orders, m.stg_orders, m.cfg)),
     "dq_segmented_year_count_match": _r(lambda m: dq.segmented_year_count_match(m.exercise_6, m.stg_orders, m.cfg)),
     "dq_monthly_count_match": _r(lambda m: dq.monthly_count_match(m.mart_orders, m.stg_orders, m.cfg)),
     "dq_order_grain_in_year": _r(lambda m: dq.order_grain_in_year(m.mart_orders, m.cfg)),
+    "dq_prior_count_reconciliation": _r(lambda m: dq.prior_count_reconciliation(m.mart_orders, m.stg_orders, m.cfg)),
+    # the same checks over the whole tables with faults put in
+    "faults_invalid_segments": _r(lambda m: dq.invalid_segments(ft.faulted_mart(m.mart_orders)).select(
+        "order_id", "order_segmentation")),
+    "faults_lines_without_header": _r(lambda m: dq.lines_without_header(ft.faulted_lines(m.stg_lines), m.stg_orders)),
+    "faults_orphan_line_count": _r(lambda m: rp.orphan_line_count(ft.faulted_lines(m.stg_lines), m.stg_orders)),
+    "faults_segmentation_reconciliation": _r(lambda m: dq.segmentation_reconciliation(
+        ft.faulted_mart(m.mart_orders), m.cfg)),
+    "faults_profile_reconciliation": _r(lambda m: dq.profile_reconciliation(ft.faulted_mart(m.mart_orders), m.cfg)),
+    "faults_prior_count_reconciliation": _r(lambda m: dq.prior_count_reconciliation(
+        ft.faulted_mart(m.mart_orders), m.stg_orders, m.cfg)),
+    "faults_year_count_match": _r(lambda m: dq.year_count_match(ft.faulted_mart(m.mart_orders), m.stg_orders, m.cfg)),
+    "faults_segmented_year_count_match": _r(lambda m: dq.segmented_year_count_match(
+        exercise_6_orders_segmented(ft.faulted_mart(m.mart_orders), m.cfg), m.stg_orders, m.cfg)),
+    "faults_monthly_count_match": _r(lambda m: dq.monthly_count_match(
+        ft.faulted_mart(m.mart_orders), m.stg_orders, m.cfg)),
+    "faults_order_grain_in_year": _r(lambda m: dq.order_grain_in_year(ft.faulted_mart(m.mart_orders), m.cfg)),
+    "faults_order_sales_match": _r(lambda m: dq.order_sales_match(
+        ft.faulted_headers(m.stg_orders, m.stg_lines), m.stg_lines)),
     # metric layer
     "metrics_orders_by_month": _r(lambda m: explore(
         sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain"], _ORDERS_MEASURES,
@@ -224,6 +253,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "metrics_vip_revenue_by_quarter": _r(lambda m: sm.focus_metric(
         sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain"], "revenue", "VIP",
         {"date_granularity": "quarter"})),
+    "metrics_orders_by_raw_date": _r(lambda m: explore(
+        sm.orders_view(m.cfg), m.mart_orders, ["order_date_raw"], ["order_count", "total_products"])),
+    "metrics_orders_by_date": _r(lambda m: explore(
+        sm.orders_view(m.cfg), m.mart_orders, ["order_date_date"], ["order_count", "vip_orders"])),
+    "metrics_orders_by_week_start": _r(lambda m: explore(
+        sm.orders_view(m.cfg), m.mart_orders, ["order_date_week"], ["order_count", "total_net_sales"])),
+    "metrics_lines_by_year": _r(lambda m: explore(
+        sm.order_lines_view(m.cfg), m.mart_order_lines, ["order_date_year"], ["total_net_sales", "unique_products"])),
+    "metrics_orders_by_net_sales": _r(lambda m: explore(
+        sm.orders_view(m.cfg), m.mart_orders, ["net_sales"], ["order_count", "unique_customers"])),
+    "metrics_lines_by_net_sales": _r(lambda m: explore(
+        sm.order_lines_view(m.cfg), m.mart_order_lines, ["net_sales"], ["total_quantity", "order_count"])),
+    **{f"metrics_focus_{focus}": _r(lambda m, focus=focus: sm.focus_metric(
+        sm.orders_view(m.cfg), m.mart_orders, ["order_segmentation", "customer_profile"], focus))
+       for focus in sm.METRIC_FOCUS},
+    **{f"metrics_product_focus_{focus}": _r(lambda m, focus=focus: sm.focus_metric(
+        sm.order_lines_view(m.cfg), m.mart_order_lines, ["product_id"], focus, "Returning"))
+       for focus in sm.PRODUCT_METRIC_FOCUS},
     "dashboard_filtered_kpis": _r(lambda m: rp.kpi_tiles(m.mart_orders_presentation.where(sm.dashboard_filter(
         date_from=m.cfg.two_year_start, date_to=m.cfg.year_end, profile="VIP", complete_only=True)))),
     "drill_vip_orders_in_year": _r(lambda m: sm.drill(m.mart_orders, sm.dashboard_filter(
@@ -251,6 +298,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fc.backtest(_by_brand(m, s, d), ["brand"]), ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
     "forecast_backtest": _r(lambda m: _round_cols(
         fc.backtest(m.mart_orders), ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
+    # a series key that is NULL for a third of the customers, and series that
+    # are no longer than a hold-out
+    "sales_forecast_by_customer_group": _r(lambda m: _round_cols(
+        fc.sales_forecast(_by_customer_group(m), ["customer_group"]), _FC, 2)),
+    "forecast_backtest_by_month": _r(lambda m: _round_cols(
+        fc.backtest(m.mart_orders, ["order_month_start"]),
+        ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
     "forecast_latest_days": _r(lambda m: _round_cols(fc.latest_days(fc.sales_forecast(m.mart_orders), 5), _FC, 2)),
     "sales_forecast_horizon_14": _r(lambda m: _round_cols(
         fc.horizon_view(fc.sales_forecast_all(m.mart_orders), 14), _FC, 2)),

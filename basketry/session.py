@@ -45,8 +45,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session; a private folder is
-    set only when the setting is missing (local tests).
+    ``spark.checkpoint.dir`` is read from the session. A private folder is
+    made only for a local master without that setting; on a cluster a folder
+    of one machine would lose data, so a missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="basketry-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -75,8 +78,22 @@ def input_bytes(spark: SparkSession, paths) -> int:
     return int(total)
 
 
+def input_version(spark: SparkSession, paths) -> tuple:
+    """What changes when a table is written anew: path, bytes, files and
+    modification time of each (file-system metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for p in paths:
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        fs = path.getFileSystem(conf)
+        size = fs.getContentSummary(path)
+        out.append((p, size.getLength(), size.getFileCount(), fs.getFileStatus(path).getModificationTime()))
+    return tuple(out)
+
+
 def partition_settings(total_input_bytes: int, target_partition_bytes: int = 256 << 20,
-                       max_partitions: int = 100_000) -> dict:
+                       max_partitions: int | None = None) -> dict:
     """Shuffle and scan sizing for a job reading ``total_input_bytes``.
 
     Shuffle partitions are sized so that an initial partition holds about
@@ -85,8 +102,11 @@ def partition_settings(total_input_bytes: int, target_partition_bytes: int = 256
     and spills otherwise); AQE then coalesces small partitions to the same
     advisory size and splits a partition of a join that exceeds 4x the median
     (and 1 GB). Scan splits use the same target, so one task reads about one
-    partition's worth of parquet."""
-    n = max(200, min(max_partitions, -(-total_input_bytes // target_partition_bytes)))
+    partition's worth of parquet. ``max_partitions`` is the caller's limit, if
+    any."""
+    n = max(200, -(-total_input_bytes // target_partition_bytes))
+    if max_partitions is not None:
+        n = min(n, max_partitions)
     return {
         "spark.sql.shuffle.partitions": str(n),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),

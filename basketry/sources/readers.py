@@ -75,8 +75,12 @@ def load_profile(df: DataFrame, date_col: str = "date_date") -> DataFrame:
 def warn_on_nulls(df: DataFrame, columns=None) -> dict:
     """Log a warning for required columns that hold NULLs (one job, one row
     returned)."""
-    row = null_counts(df, columns).first().asDict()
-    for c, n in row.items():
+    return warn_on_null_counts(null_counts(df, columns).first().asDict())
+
+
+def warn_on_null_counts(counts: dict) -> dict:
+    """The same for counts that are known already (from the load's write)."""
+    for c, n in counts.items():
         if n:
             log.warning("column %s has %d NULL values", c, n)
-    return row
+    return counts

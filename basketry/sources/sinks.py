@@ -49,16 +49,13 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`{loc}")
 
 
-# Rows written per materialised table path, filled from write-time metrics.
-ROW_COUNTS: dict = {}
-
-
 def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view",
                 root: str | None = None, cluster_by=None, register_view: bool = False,
-                tiebreak=None) -> DataFrame:
+                tiebreak=None, counts: dict | None = None) -> DataFrame:
     """``view``: register a lazy temp view. ``table``: write parquet under
     ``root`` (default: the shared table folder) and return the re-read table,
-    which cuts the lineage (a view of it is registered only on request)."""
+    which cuts the lineage (a view of it is registered only on request).
+    ``counts`` gets the rows written, by table name."""
     if kind == "view":
         df.createOrReplaceTempView(name)
         return df
@@ -71,7 +68,8 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view
     from pyspark.sql import Observation
     obs = Observation(f"rows_{name}")
     write_table(df, path, cluster_by=cluster_by, tiebreak=tiebreak, observation=obs)
-    ROW_COUNTS[path] = obs.get.get("rows")
+    if counts is not None:
+        counts[name] = obs.get.get("rows")
     out = spark.read.parquet(path)
     if register_view:
         out.createOrReplaceTempView(name)
@@ -85,12 +83,13 @@ def read_table(spark: SparkSession, path: str, columns=None) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
-def with_load_observation(df: DataFrame, name: str = "load", date_col: str | None = None):
-    """Attach row count (and date range) metrics that are filled in while the
-    write runs, so the load profile needs no second scan."""
+def with_load_observation(df: DataFrame, name: str = "load", date_col: str | None = None, null_columns=()):
+    """Attach row count, date range and NULL count metrics that are filled in
+    while the write runs, so the load profile needs no second scan."""
     from pyspark.sql import Observation
     obs = Observation(name)
     metrics = [F.count(F.lit(1)).alias("rows")]
     if date_col:
         metrics += [F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date")]
+    metrics += [F.count_if(F.col(c).isNull()).alias(f"nulls_{c}") for c in null_columns]
     return df.observe(obs, *metrics), obs

@@ -37,20 +37,21 @@ def line_net_sales() -> F.Column:
     return F.round(price * (F.lit(1) - disc), 2).cast("double")
 
 
-def raw_sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_sales_from_tables(spark: SparkSession, sf_dir: str, headers: bool = True) -> DataFrame:
+    """The lines, with the customer and the date of their header. A plain left
+    join on the order key (unique in the table by contract), so an order with
+    a large share of the lines is split by the skew-join handling.
+
+    ``headers=False``: customer and date are NULL and there is no join, for
+    models that use neither."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", "l_discount")
-    # One header row per order key (keys are unique in the table; the
-    # aggregate states it, deterministically). Its output is already
-    # partitioned on the key the join needs, and because the lookup side is
-    # provably unique Catalyst drops the join from plans that use neither the
-    # customer nor the date of a line.
-    o = (read_table(spark, sf_dir, "orders")
-         .groupBy("o_orderkey")
-         .agg(F.max(F.struct("o_custkey", "o_orderdate")).alias("__h"))
-         .select("o_orderkey", F.col("__h.o_custkey").alias("o_custkey"),
-                 F.col("__h.o_orderdate").alias("o_orderdate")))
-    return li.join(o, li.l_orderkey == o.o_orderkey, "left").select(
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    if headers:
+        li = li.join(o, li.l_orderkey == o.o_orderkey, "left")
+    else:
+        li = li.select("*", *[F.lit(None).cast(o.schema[c].dataType).alias(c) for c in ("o_custkey", "o_orderdate")])
+    return li.select(
         F.col("o_orderdate").alias("date_date"),
         F.col("o_custkey").alias("customer_id"),
         F.col("l_orderkey").alias("order_id"),

@@ -73,7 +73,7 @@ def main() -> None:
         t0 = time.perf_counter()
         built = registry._marts(spark, sf_dir).materialize(spark)
         dt = time.perf_counter() - t0
-        registry._BUILT[(id(spark), spark.sparkContext.applicationId, sf_dir)] = built
+        registry.set_built(spark, sf_dir, built)
         return dt
 
     times, cold, errors = {}, {}, {}

@@ -264,27 +264,34 @@ SELECT COUNT(*) AS total_orders,
        {money(xdiv('SUM(net_sales)', 'COUNT(*)'))} AS aov,
        COUNT(DISTINCT customer_id) AS unique_customers
 FROM mart_orders"""),
+    # ids that only lines have, and their lines
     "orphan_line_count": q("""
-SELECT COUNT(*) AS orphan_lines
-FROM stg_sales s LEFT JOIN stg_orders o ON s.order_id = o.order_id
-WHERE o.order_id IS NULL"""),
+, headerless AS (SELECT order_id FROM stg_sales EXCEPT SELECT order_id FROM stg_orders)
+SELECT (SELECT COUNT(*) FROM stg_sales WHERE order_id IN (SELECT order_id FROM headerless))
+       + (SELECT COUNT(*) FROM stg_sales WHERE order_id IS NULL) AS orphan_lines"""),
+    # every order with the number of orders on its customer's day
     "same_day_collisions": q("""
-, multi AS (SELECT customer_id, order_date, COUNT(*) AS cnt FROM mart_orders
-            GROUP BY customer_id, order_date HAVING COUNT(*) > 1)
-SELECT COUNT(*) AS affected_groups, COUNT(DISTINCT customer_id) AS affected_customers,
-       CAST(COALESCE(SUM(cnt), 0) AS BIGINT) AS affected_rows
-FROM multi"""),
+, with_day AS (SELECT customer_id, order_date,
+                      COUNT(*) OVER (PARTITION BY customer_id, order_date) AS on_day,
+                      ROW_NUMBER() OVER (PARTITION BY customer_id, order_date) AS nth
+               FROM mart_orders)
+SELECT COUNT(*) FILTER (WHERE on_day > 1 AND nth = 1) AS affected_groups,
+       COUNT(DISTINCT CASE WHEN on_day > 1 THEN customer_id END) AS affected_customers,
+       COUNT(*) FILTER (WHERE on_day > 1) AS affected_rows
+FROM with_day"""),
     "history_completeness": q("""
 SELECT COUNT(*) FILTER (WHERE has_complete_12_month_history) AS full_history,
        COUNT(*) FILTER (WHERE NOT has_complete_12_month_history) AS partial_history,
        COUNT(*) AS total
 FROM mart_orders"""),
+    # one union of signed amounts: orders count up, lines down
     "revenue_reconciliation": q(f"""
-, o AS (SELECT SUM(net_sales) AS order_total FROM mart_orders),
-s AS (SELECT SUM(net_sales) AS sales_total FROM mart_order_lines)
-SELECT {money('order_total')} AS order_total, {money('sales_total')} AS sales_total,
-       {money('ABS(order_total - sales_total)')} AS difference
-FROM o, s"""),
+, amounts AS (SELECT net_sales AS amount, 1 AS side FROM mart_orders
+              UNION ALL SELECT net_sales, -1 FROM mart_order_lines)
+SELECT {money('SUM(amount) FILTER (WHERE side = 1)')} AS order_total,
+       {money('SUM(amount) FILTER (WHERE side = -1)')} AS sales_total,
+       {money('ABS(SUM(amount * side))')} AS difference
+FROM amounts"""),
     "data_summary": q(f"""
 , h AS (SELECT COUNT(*) AS orders, COUNT(DISTINCT customer_id) AS unique_customers FROM stg_orders),
 r AS (SELECT COUNT(*) AS sales_lines, CAST(SUM(qty) AS BIGINT) AS units_raw, SUM(line_net_sales) AS revenue_raw,
@@ -431,8 +438,31 @@ WHERE m.mart_count IS DISTINCT FROM s.source_count""",
 _SINGULAR_SEVERITY = {"lines_have_header": "warn"}
 
 
+# The declared checks, stated here on their own (fixed list of the documented contracts).
+DECLARED_NOT_NULL = """
+raw_orders: orders_id customers_id date_date
+raw_sales: order_id products_id qty
+stg_orders: order_id customer_id order_date
+stg_sales: order_id product_id qty
+order_product_summary: order_id qty_product
+order_customer_history: order_id customer_id order_date prior_orders_last_12_months
+mart_orders: order_id customer_id order_date net_sales order_segmentation customer_profile
+mart_orders_presentation: order_date net_sales
+exercise_6: order_segmentation
+mart_order_lines: order_id customer_id product_id order_date quantity net_sales order_segmentation customer_profile
+mart_order_lines_presentation: product_id order_date units_sold net_sales order_segmentation customer_profile
+mart_product_summary: product_id
+"""
+DECLARED_UNIQUE = """raw_orders.orders_id stg_orders.order_id order_product_summary.order_id
+order_customer_history.order_id mart_orders.order_id mart_product_summary.product_id"""
+DECLARED_ACCEPTED = """mart_orders.order_segmentation mart_orders.customer_profile exercise_6.order_segmentation
+mart_order_lines.order_segmentation mart_order_lines.customer_profile"""
+
+
 def _check_summary_sql() -> str:
-    from basketry.plans.quality import ACCEPTED, NOT_NULL, UNIQUE
+    NOT_NULL = {rel: cols.split() for rel, cols in (x.split(": ") for x in DECLARED_NOT_NULL.strip().splitlines())}
+    UNIQUE = [tuple(x.split(".")) for x in DECLARED_UNIQUE.split()]
+    ACCEPTED = [tuple(x.split(".")) for x in DECLARED_ACCEPTED.split()]
     parts = []
     for rel, cols in NOT_NULL.items():
         for c in cols:
@@ -556,7 +586,7 @@ def _k(keys, prefix=""):
 
 
 def _on(keys, a, b, extra):
-    conds = [f"{a}.{k} = {b}.{k}" for k in keys] + [extra]
+    conds = [f"{a}.{k} IS NOT DISTINCT FROM {b}.{k}" for k in keys] + [extra]
     return " AND ".join(conds)
 
 
@@ -675,7 +705,8 @@ SELECT order_id, customer_id, order_date, {money('net_sales')} AS net_sales, qty
        customer_profile
 FROM year_orders WHERE order_segmentation = 'VIP'"""),
     "drill_new_customer_lines_in_year": q(f"""
-SELECT order_id, product_id, order_date, quantity, {money('net_sales')} AS net_sales, order_segmentation
+SELECT order_id, product_id, order_date, quantity, {money('net_sales')} AS net_sales,
+       {money('revenue_per_unit')} AS revenue_per_unit, order_segmentation, customer_profile
 FROM mart_order_lines WHERE order_date >= {Y0} AND order_date < {Y1} AND order_segmentation = 'New'"""),
 })
 
@@ -711,25 +742,29 @@ SELECT order_segmentation = {seg('prior_orders_last_12_months')} AS segmentation
 FROM mart_orders GROUP BY 1, 2""")
 
 
-SEG_SRC = (", seg_src AS (SELECT m.*, c.c_mktsegment AS market_segment FROM mart_orders m "
-           "JOIN customer c ON m.customer_id = c.c_custkey)")
-NATION_SRC = (", nat_src AS (SELECT m.*, n.n_name AS nation FROM mart_orders m "
-              "JOIN customer c ON m.customer_id = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey)")
-BRAND_SRC = (", brand_src AS (SELECT l.*, p.p_brand AS brand FROM mart_order_lines l "
-             "JOIN part p ON l.product_id = p.p_partkey)")
+# Facts without a dimension row stay, as 'Unknown'.
+SEG_SRC = (", seg_src AS (SELECT m.*, COALESCE(c.c_mktsegment, 'Unknown') AS market_segment FROM mart_orders m "
+           "LEFT JOIN customer c ON m.customer_id = c.c_custkey)")
+NATION_SRC = (", nat_src AS (SELECT m.*, COALESCE(n.n_name, 'Unknown') AS nation FROM mart_orders m "
+              "LEFT JOIN customer c ON m.customer_id = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey)")
+BRAND_SRC = (", brand_src AS (SELECT l.*, COALESCE(p.p_brand, 'Unknown') AS brand FROM mart_order_lines l "
+             "LEFT JOIN part p ON l.product_id = p.p_partkey)")
+GROUP_SRC = (", group_src AS (SELECT *, CASE customer_id % 3 WHEN 1 THEN '1' WHEN 2 THEN '2' END AS customer_group "
+             "FROM mart_orders)")
 
 
 def _backtest_tail(keys) -> str:
     kk = keys + ["holdout_days"]
-    on = " AND ".join(f"t.{k} = b.{k}" for k in kk)
+    on = " AND ".join(f"t.{k} IS NOT DISTINCT FROM b.{k}" for k in kk)
     return f""",
 test AS (SELECT {_k(kk)}date, CAST(v AS DOUBLE) AS actual FROM tag
          WHERE date > CAST(last_date_all - CAST(holdout_days AS INTEGER) AS DATE)),
 j AS (SELECT {_k(kk, 't.')}t.actual, b.fv AS forecast, t.actual - b.fv AS e
-      FROM test t JOIN band b ON {on} AND t.date = b.date)
-SELECT {_k(kk)}COUNT(*) AS n, ROUND(AVG(ABS(e)), 4) AS mae, ROUND(SQRT(AVG(e * e)), 4) AS rmse,
+      FROM test t LEFT JOIN band b ON {on} AND t.date = b.date)
+SELECT {_k(kk)}COUNT(forecast) AS n, ROUND(AVG(ABS(e)), 4) AS mae, ROUND(SQRT(AVG(e * e)), 4) AS rmse,
        ROUND(AVG(ABS(e) / NULLIF(ABS(actual), 0.0)) * 100, 4) AS mape, ROUND(AVG(e), 4) AS me,
-       ROUND(SUM(actual), 4) AS actual_sum, ROUND(SUM(forecast), 4) AS forecast_sum
+       ROUND(SUM(actual) FILTER (WHERE forecast IS NOT NULL), 4) AS actual_sum,
+       ROUND(SUM(forecast), 4) AS forecast_sum
 FROM j GROUP BY {", ".join(kk)}"""
 
 
@@ -744,6 +779,108 @@ FROM model"""),
                                      + _backtest_tail(["brand"])),
 })
 
+ORACLE.update({
+    "sales_forecast_by_customer_group": qr(
+        GROUP_SRC + _fc_ctes(["customer_group"], source="group_src") + "\n"
+        + _actuals(["customer_group"], False, "group_src") + "\nUNION ALL\n" + _fc_rows(["customer_group"], False)),
+    "forecast_backtest_by_month": qr(_fc_ctes(["order_month_start"], holdouts=(7, 14, 30))
+                                     + _backtest_tail(["order_month_start"])),
+})
+
+# -- checks over data with faults -----------------------------------------------------
+# The rules of basketry/plans/faults.py, stated again: ids divisible by a prime.
+
+FAULTS = f"""
+, f_sales AS (SELECT CASE WHEN order_id % 97 = 0 THEN -order_id ELSE order_id END AS order_id FROM stg_sales),
+f_mart AS (
+  SELECT order_id, customer_id, order_date,
+         CASE WHEN order_id % 101 = 0 THEN 'Other' WHEN order_id % 103 = 0 THEN NULL ELSE order_segmentation END
+           AS order_segmentation,
+         CASE WHEN order_id % 107 = 0 THEN 'Other' ELSE customer_profile END AS customer_profile,
+         prior_orders_last_12_months + CAST(order_id % 109 = 0 AS BIGINT) AS prior_orders_last_12_months
+  FROM mart_orders, range(2) copy(k)
+  WHERE order_id % 113 <> 0 AND (k = 0 OR order_id % 127 = 0)),
+f_year AS (SELECT * FROM f_mart WHERE order_date >= {Y0} AND order_date < {Y1}),
+s_year AS (SELECT * FROM stg_orders WHERE order_date >= {Y0} AND order_date < {Y1}),
+f_orders AS (
+  SELECT o.order_id, CAST(COALESCE(l.s + CASE o.order_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 0.010 ELSE 0.011 END,
+                                   o.net_sales) AS DECIMAL(38,9)) AS net_sales, l.s
+  FROM stg_orders o LEFT JOIN (SELECT order_id, SUM(line_net_sales) AS s FROM stg_sales GROUP BY 1) l USING (order_id))
+"""
+
+
+def qf(body: str) -> str:
+    return q(FAULTS + "\n" + body)
+
+
+_PRIOR = """SELECT m.order_id, m.prior_orders_last_12_months AS stored_count, h.prior_orders_last_12_months AS derived_count
+FROM {mart} m JOIN int_order_customer_history h USING (order_id)
+WHERE m.prior_orders_last_12_months IS DISTINCT FROM h.prior_orders_last_12_months"""
+
+ORACLE.update({
+    "dq_prior_count_reconciliation": q(_PRIOR.format(mart="mart_orders")),
+    "faults_prior_count_reconciliation": qf(_PRIOR.format(mart="f_mart")),
+    "faults_invalid_segments": qf(f"""SELECT order_id, order_segmentation FROM f_mart
+WHERE COALESCE(order_segmentation, '') NOT IN {SEG_IN}"""),
+    "faults_lines_without_header": qf("""SELECT order_id FROM f_sales
+WHERE order_id IS NULL OR order_id NOT IN (SELECT order_id FROM stg_orders WHERE order_id IS NOT NULL)"""),
+    "faults_orphan_line_count": qf("""SELECT COUNT(*) AS orphan_lines FROM f_sales
+WHERE order_id IS NULL OR order_id NOT IN (SELECT order_id FROM stg_orders WHERE order_id IS NOT NULL)"""),
+    "faults_segmentation_reconciliation": qf(f"""SELECT order_id, derived_segment, stored_segment FROM (
+  SELECT order_id, {seg('prior_orders_last_12_months')} AS derived_segment, order_segmentation AS stored_segment
+  FROM f_mart) WHERE derived_segment IS DISTINCT FROM stored_segment"""),
+    "faults_profile_reconciliation": qf("""SELECT m.order_id, m.customer_id, m.customer_profile AS stored_profile,
+       CASE WHEN m.customer_id IS NULL THEN m.order_segmentation ELSE lp.seg END AS derived_profile
+FROM f_mart m
+LEFT JOIN (SELECT DISTINCT customer_id, LAST_VALUE(order_segmentation) OVER (
+             PARTITION BY customer_id ORDER BY order_date NULLS FIRST, order_id NULLS FIRST
+             ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS seg FROM f_mart) lp
+  ON m.customer_id = lp.customer_id
+WHERE m.customer_profile IS DISTINCT FROM CASE WHEN m.customer_id IS NULL THEN m.order_segmentation ELSE lp.seg END"""),
+    "faults_year_count_match": qf("""SELECT (SELECT COUNT(*) FROM f_year) AS mart_count,
+       (SELECT COUNT(*) FROM s_year) AS source_count
+WHERE (SELECT COUNT(*) FROM f_year) <> (SELECT COUNT(*) FROM s_year)"""),
+    "faults_segmented_year_count_match": qf("""SELECT (SELECT COUNT(*) FROM f_year) AS segmented_count,
+       (SELECT COUNT(*) FROM s_year) AS source_count
+WHERE (SELECT COUNT(*) FROM f_year) <> (SELECT COUNT(*) FROM s_year)"""),
+    "faults_monthly_count_match": qf("""SELECT month_num, NULLIF(SUM(f), 0)::BIGINT AS mart_count,
+       NULLIF(SUM(s), 0)::BIGINT AS source_count
+FROM (SELECT CAST(MONTH(order_date) AS BIGINT) AS month_num, 1 AS f, 0 AS s FROM f_year
+      UNION ALL SELECT CAST(MONTH(order_date) AS BIGINT), 0, 1 FROM s_year)
+GROUP BY month_num HAVING SUM(f) <> SUM(s)"""),
+    "faults_order_grain_in_year": qf("SELECT order_id FROM f_year WHERE order_id % 127 = 0 GROUP BY order_id"),
+    "faults_order_sales_match": qf(f"""SELECT order_id, {money('net_sales')} AS net_sales, {money('s')} AS line_net_sales
+FROM f_orders WHERE ABS(COALESCE(net_sales, 0) - COALESCE(s, -1)) > 0.01"""),
+    # metric layer: the other timeframes, the value dimension and every focus
+    "metrics_orders_by_raw_date": q("""SELECT order_date AS order_date_raw, COUNT(*) AS order_count,
+       CAST(SUM(qty_product) AS BIGINT) AS total_products FROM mart_orders GROUP BY 1"""),
+    "metrics_orders_by_date": q("""SELECT order_date AS order_date_date, COUNT(*) AS order_count,
+       COUNT(*) FILTER (WHERE order_segmentation = 'VIP') AS vip_orders FROM mart_orders GROUP BY 1"""),
+    "metrics_orders_by_week_start": q(f"""SELECT {SUNDAY_WEEK} AS order_date_week, COUNT(*) AS order_count,
+       {money('SUM(net_sales)')} AS total_net_sales FROM mart_orders GROUP BY 1"""),
+    "metrics_lines_by_year": q(f"""SELECT CAST(YEAR(order_date) AS BIGINT) AS order_date_year,
+       {money('SUM(net_sales)')} AS total_net_sales, COUNT(DISTINCT product_id) AS unique_products
+FROM mart_order_lines GROUP BY 1"""),
+    "metrics_orders_by_net_sales": q(f"""SELECT {money('net_sales')} AS net_sales, order_count, unique_customers
+FROM (SELECT net_sales, COUNT(*) AS order_count, COUNT(DISTINCT customer_id) AS unique_customers
+      FROM mart_orders GROUP BY 1)"""),
+    "metrics_lines_by_net_sales": q(f"""SELECT {money('net_sales')} AS net_sales, total_quantity, order_count
+FROM (SELECT net_sales, CAST(SUM(quantity) AS BIGINT) AS total_quantity, COUNT(DISTINCT order_id) AS order_count
+      FROM mart_order_lines GROUP BY 1)"""),
+})
+_FOCUS = {"revenue": f"{money('SUM(net_sales)')} AS total_net_sales", "orders": "COUNT(*) AS order_count",
+          "aov": f"{money(xdiv('SUM(net_sales)', 'COUNT(net_sales)'))} AS average_order_value",
+          "basket": "AVG(qty_product) AS average_products_per_order"}
+_PRODUCT_FOCUS = {"revenue": f"{money('SUM(net_sales)')} AS total_net_sales",
+                  "units": "CAST(SUM(quantity) AS BIGINT) AS total_quantity",
+                  "orders": "COUNT(DISTINCT order_id) AS order_count"}
+for _focus, _expr in _FOCUS.items():
+    ORACLE[f"metrics_focus_{_focus}"] = q(
+        f"SELECT order_segmentation, customer_profile, {_expr} FROM mart_orders GROUP BY 1, 2")
+for _focus, _expr in _PRODUCT_FOCUS.items():
+    ORACLE[f"metrics_product_focus_{_focus}"] = q(
+        f"SELECT product_id, {_expr} FROM mart_order_lines WHERE order_segmentation = 'Returning' GROUP BY 1")
+
 ORACLE["dq_mart_orders_null_profile"] = q("""
 SELECT 'mart_orders' AS table_name, 'order_id' AS column_name, COUNT(*) FILTER (WHERE order_id IS NULL) AS null_count FROM mart_orders
 UNION ALL

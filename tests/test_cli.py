@@ -5,10 +5,17 @@ import os
 import tempfile
 
 from basketry import cli
+from basketry.config import DRIVER_CONFIG as CFG
+from basketry.session import shared_table_root
 from basketry.sources.tpch import raw_orders_from_tables, raw_sales_from_tables
 from conftest import SF_SMALL
 
 
+def _folders(root):
+    path = root.removeprefix("file:")
+    return sorted(os.listdir(path)) if os.path.isdir(path) else []
+
+
 def test_load_build_check_forecast(spark, capsys):
     d = tempfile.mkdtemp(prefix="basketry-cli-")
     raw_orders_from_tables(spark, SF_SMALL).write.option("header", "true").csv(f"{d}/in_orders")
@@ -17,15 +24,31 @@ def test_load_build_check_forecast(spark, capsys):
                      "--dest", f"{d}/raw", "--format", "csv"]) == 0
     out = capsys.readouterr().out
     assert '"rows": 1500' in out
-    assert cli.main(["build", "--raw", f"{d}/raw", "--config", "driver", "--dest", f"{d}/marts"]) == 0
+    assert cli.main(["build", "--raw", f"{d}/raw", "--config", "driver", "--dest", f"{d}/marts", "--no-size"]) == 0
     assert os.path.isdir(f"{d}/marts/mart_orders")
     assert '"mart_orders": 1500' in capsys.readouterr().out
     assert spark.read.parquet(f"{d}/marts/mart_orders").count() == 1500
     # the generated data has orders without lines and repeated lines -> errors
-    assert cli.main(["check", "--raw", f"{d}/raw", "--config", "driver"]) == 1
+    # from here on the published tables are read, and nothing is built
+    source = ["--marts", f"{d}/marts", "--no-size"]
+    root = shared_table_root(spark)
+    before = _folders(root)
+    assert cli.main(["check", "--raw", f"{d}/raw", "--config", "driver", *source]) == 1
     assert "64 checks" in capsys.readouterr().out
-    assert cli.main(["forecast", "--tables", SF_SMALL, "--dest", f"{d}/fc"]) == 0
+    assert cli.main(["forecast", "--tables", SF_SMALL, "--dest", f"{d}/fc", *source]) == 0
     assert '"holdout_days": 30' in capsys.readouterr().out
+    assert cli.main(["insights", "--tables", SF_SMALL, *source]) == 0
+    out = capsys.readouterr().out
+    assert "--- segments" in out and '"nb_orders"' in out
+    assert cli.main(["explore", "--tables", SF_SMALL, "--dims", "order_id", "--measures", "total_net_sales",
+                     "--dest", f"{d}/by_order", "--show", "3", *source]) == 0
+    assert capsys.readouterr().out.count("total_net_sales") == 4   # the title and three rows
+    assert spark.read.parquet(f"{d}/by_order").count() == 1500
+    assert cli.main(["explore", "--tables", SF_SMALL, "--dims", "order_date_year", "--measures", "order_count",
+                     "--profile", "VIP", "--date-from", str(CFG.year_start), "--date-to", str(CFG.year_end),
+                     "--complete-only", *source]) == 0
+    assert f'"order_date_year": {CFG.report_year}' in capsys.readouterr().out
+    assert _folders(root) == before
     assert spark.read.parquet(f"{d}/fc/v_sales_forecast_all").where("series_type = 'Forecast'").count() == 51
 
 
@@ -48,11 +71,8 @@ def test_vars_override():
     assert v == {"vip_min_prior_orders": 5, "dataset_start_date": dt.date(2024, 1, 1)}
 
 
-def test_insights_and_explore(capsys):
-    assert cli.main(["insights", "--tables", SF_SMALL]) == 0
-    out = capsys.readouterr().out
-    assert "--- segments" in out and '"nb_orders"' in out
-    assert cli.main(["explore", "--tables", SF_SMALL, "--dims", "order_date_at_selected_grain",
+def test_explore_builds_without_marts(capsys):
+    assert cli.main(["explore", "--tables", SF_SMALL, "--dims", "order_date_at_selected_grain", "--no-size",
                      "--measures", "order_count,total_net_sales", "--grain", "quarter", "--segment", "VIP"]) == 0
     out = capsys.readouterr().out
     assert '"order_count"' in out and "-01-01" in out

@@ -100,3 +100,22 @@ def test_keyed_forecast(spark):
     out = fc.sales_forecast(m, ["seg"], horizon=5)
     assert out.where("series_type = 'Forecast'").groupBy("seg").count().count() == 2
     assert out.where("series_type = 'Forecast'").count() == 10
+
+
+def test_null_key_is_a_series(spark):
+    """Ten sales of 10.00 under a NULL key: their days, a model, a forecast."""
+    rows = [(dt.date(2026, 1, 1) + dt.timedelta(days=2 * i), None, 10.0) for i in range(10)]
+    m = spark.createDataFrame(rows, "order_date date, seg string, net_sales double")
+    series = fc.daily_series(m, ["seg"])
+    assert series.count() == 19 and series.agg(F.sum(fc.VALUE)).first()[0] == 100
+    assert fc.fitted_models(m, ["seg"]).first().n == 19
+    assert fc.sales_forecast(m, ["seg"], 5).where("series_type = 'Forecast' AND forecast_value IS NOT NULL").count() == 5
+    assert fc.days_without_orders(m, ["seg"]).count() == 9
+
+
+def test_short_series_keep_their_backtest_row(spark):
+    rows = [(dt.date(2026, 1, 1) + dt.timedelta(days=i), "short", 10.0) for i in range(5)]
+    rows += [(dt.date(2026, 1, 1) + dt.timedelta(days=i), "long", 10.0) for i in range(60)]
+    m = spark.createDataFrame(rows, "order_date date, seg string, net_sales double")
+    got = {(r.seg, r.holdout_days): (r.n, r.mae) for r in fc.backtest(m, ["seg"]).collect()}
+    assert got == {("short", h): (0, None) for h in (7, 14, 30)} | {("long", h): (h, 0.0) for h in (7, 14, 30)}

@@ -2,34 +2,14 @@
 
 import datetime as dt
 
-import pandas as pd
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from basketry.operators.latest import latest_per_key
 from basketry.operators.spine import missing_days, zero_filled_daily
 
 SETTINGS = settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
-rows_latest = st.lists(st.tuples(st.integers(1, 3),
-                                 st.one_of(st.none(), st.dates(dt.date(2024, 1, 1), dt.date(2024, 1, 10))),
-                                 st.integers(0, 50)),
-                       min_size=1, max_size=30, unique_by=lambda t: t[2])
-
-
-@SETTINGS
-@given(rows_latest)
-def test_latest_per_key_is_desc_nulls_last(spark, rows):
-    df = spark.createDataFrame([(k, d, i, f"v{i}") for k, d, i in rows], "k int, d date, i int, v string")
-    got = {r.k: r.v for r in latest_per_key(df, "k", ["d", "i"], ["v"]).collect()}
-    pdf = pd.DataFrame(rows, columns=["k", "d", "i"])
-    pdf["has_d"] = pdf["d"].notna()
-    pdf["d2"] = pdf["d"].fillna(dt.date(1900, 1, 1))
-    best = pdf.sort_values(["k", "has_d", "d2", "i"], ascending=[True, False, False, False]).groupby("k").head(1)
-    assert got == {int(r.k): f"v{int(r.i)}" for r in best.itertuples()}
-
-
-rows_daily = st.lists(st.tuples(st.sampled_from(["a", "b"]), st.dates(dt.date(2024, 2, 25), dt.date(2024, 3, 5)),
+rows_daily = st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.dates(dt.date(2024, 2, 25), dt.date(2024, 3, 5)),
                                 st.integers(0, 100)), min_size=1, max_size=25)
 
 

@@ -46,19 +46,42 @@ def test_no_cartesian_products(spark):
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
 
 
-def test_product_summary_join_adds_no_shuffle(spark, m):
-    """Sums and distinct counts are two aggregates joined on product_id; the
-    only product_id exchanges are the aggregates' own."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        plan = m.mart_product_summary._jdf.queryExecution().sparkPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in plan
-    assert "Exchange" not in plan  # sparkPlan is before exchanges are planned
+def _final_plan(df):
+    """The plan that ran, after adaptive execution."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def _scans(plan, column=""):
     import re
-    phys = m.mart_product_summary._jdf.queryExecution().executedPlan().toString()
-    assert len(re.findall(r"Exchange hashpartitioning\(product_id#\d+L, \d+\)", phys)) <= 2
+    return [x for x in re.findall(r"FileScan parquet \[([^]]*)\]", plan) if column in x]
+
+
+def test_product_summary_reads_the_lines_once(spark, m):
+    """In the plan that ran, joins broadcast or not."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for threshold in (old, "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            from basketry.plans.marts import mart_product_summary
+            plan = _final_plan(mart_product_summary(m.mart_order_lines.select("*")))
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        assert len(_scans(plan, "l_partkey")) == 1
+
+
+def test_staged_lines_join_plain_headers(m):
+    plan = _plan(m.stg_sales)
+    assert "SortAggregate" not in plan and "HashAggregate" not in plan
+    assert len(_scans(_plan(m.stg_lines))) == 1
+
+
+def test_check_summary_scans(spark):
+    from basketry import registry
+    from basketry.plans.quality import check_summary
+    plan = _final_plan(check_summary(registry._built(spark, SF_SMALL)))
+    assert 0 < len(_scans(plan)) <= 12
 
 
 def test_lines_aggregated_before_meeting_headers(spark, m):

@@ -70,7 +70,8 @@ def test_partition_settings():
     small = partition_settings(10 << 20)
     assert small["spark.sql.shuffle.partitions"] == "200"
     big = partition_settings(100 * (1 << 40))             # 100 TB
-    assert big["spark.sql.shuffle.partitions"] == "100000"
+    assert big["spark.sql.shuffle.partitions"] == "409600"  # no cap but the caller's
+    assert partition_settings(100 * (1 << 40), max_partitions=1000)["spark.sql.shuffle.partitions"] == "1000"
     mid = partition_settings(1 << 40)                      # 1 TB -> 4096 x 256 MB
     assert mid["spark.sql.shuffle.partitions"] == "4096"
 
