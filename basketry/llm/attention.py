@@ -4,7 +4,8 @@ One attention layer with a learned bias for each distance reads the ids before
 a place; its output and the last id's embedding give the next id's class and
 its member of the class (ids are split into ``CLASSES`` equal classes by the
 company they keep), so a place costs two small softmaxes instead of one over
-all ids. Queries, keys and values of an id are rows of tables.
+all ids. Queries, keys and values of an id are rows of tables, so after
+training the exponential of every query-key product is a table as well.
 
 Long sequences go in windows of ``CONTEXT`` + ``STRIDE`` places that overlap
 by CONTEXT, so that each place is scored once, in batches, with a causal mask.
@@ -21,7 +22,7 @@ ship(__name__)
 
 CLASSES = 32
 WIDTH, HEAD = 32, 16
-CONTEXT, STRIDE = 8, 24
+CONTEXT, STRIDE = 4, 12
 SPACE = CLASSES * CLASSES  #: ids of the model, the last one stands for all others
 LENGTH = CONTEXT + STRIDE
 MASK = np.where(np.tril(np.ones((LENGTH, LENGTH))) > 0, 0, -1e9).astype(np.float32)[CONTEXT:]
@@ -75,16 +76,30 @@ def start(order: np.ndarray, seed: int = 3) -> dict:
             "M": draw(CLASSES, WIDTH + 1, CLASSES)}
 
 
-def hidden(w: dict, x: np.ndarray) -> tuple:
+def finished(w: dict) -> dict:
+    """The weights with ``A``, the exponentials of all query-key products."""
+    return w | {"A": np.exp(w["Q"] @ w["K"].T * HEAD ** -0.5).astype(np.float32).ravel()}
+
+
+def hidden(w: dict, x: np.ndarray, keep: bool = False) -> tuple:
     """The state before each scored place, and what its gradient needs."""
     now = x[:, CONTEXT:]
-    q, k, v = w["Q"][now], w["K"][x], w["V"][x]
-    a = np.matmul(q, k.transpose(0, 2, 1))
-    a *= HEAD ** -0.5
-    a += w["D"][DISTANCE] + MASK
-    np.exp(a, out=a)
-    a /= a.sum(axis=-1, keepdims=True)
-    o = np.matmul(a, v).reshape(-1, HEAD)
+    v, q, k = w["V"][x], None, None
+    if "A" in w:
+        a = w["A"].take(now[:, :, None] * SPACE + x[:, None, :])
+        a *= np.exp(w["D"][DISTANCE] + MASK)
+    else:
+        q, k = w["Q"][now], w["K"][x]
+        q *= HEAD ** -0.5
+        a = np.matmul(q, k.transpose(0, 2, 1))
+        a += w["D"][DISTANCE] + MASK
+        np.exp(a, out=a)
+    whole = a.sum(axis=-1, keepdims=True)
+    o = np.matmul(a, v)
+    o /= whole
+    o = o.reshape(-1, HEAD)
+    if keep:
+        a /= whole
     h = np.empty((len(o), WIDTH + 1), np.float32)
     h[:, :WIDTH] = w["E"][now.ravel()]
     h[:, :WIDTH] += o @ w["O"]
@@ -99,9 +114,9 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def _exponentials(x: np.ndarray) -> np.ndarray:
-    """exp of each row but for a factor; rows far from zero are shifted."""
-    if max(x.max(), -x.min()) > 60:
+def _exponentials(x: np.ndarray, shift: bool) -> np.ndarray:
+    """exp of each row but for a factor."""
+    if shift:
         x -= x.max(axis=1, keepdims=True)
     return np.exp(x, out=x)
 
@@ -112,7 +127,10 @@ def probability(w: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     place = w["place"][y.ravel()]
     kind, member = place // CLASSES, place % CLASSES
     rows = np.arange(len(place))
-    p = _exponentials(h @ w["C"])
+    # the largest logit there can be decides if exp needs a shift
+    norm = max(np.sqrt((w["C"] ** 2).sum(axis=0).max()), np.sqrt((w["M"] ** 2).sum(axis=1).max()))
+    shift = bool(np.sqrt(np.einsum("ij,ij->i", h, h).max()) * norm > 60)
+    p = _exponentials(h @ w["C"], shift)
     out = p[rows, kind] / p.sum(axis=1)
     order = np.argsort(kind.astype(np.uint8), kind="stable")
     h, member = h[order], member[order]
@@ -120,7 +138,7 @@ def probability(w: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     inside = np.empty(len(place), np.float32)
     for c, (i, j) in enumerate(zip(cuts, cuts[1:])):
         if j > i:
-            m = _exponentials(h[i:j] @ w["M"][c])
+            m = _exponentials(h[i:j] @ w["M"][c], shift)
             inside[i:j] = m[rows[:j - i], member[i:j]] / m.sum(axis=1)
     out[order] *= inside
     return out.reshape(y.shape)
@@ -139,7 +157,7 @@ def _scatter(shape: tuple, ids: np.ndarray, grads: np.ndarray) -> np.ndarray:
 def gradient(w: dict, x: np.ndarray, y: np.ndarray, counts: np.ndarray) -> tuple[float, dict]:
     """Mean negative log probability of the places that count, and its
     gradient."""
-    h, (now, q, k, v, a, o) = hidden(w, x)
+    h, (now, q, k, v, a, o) = hidden(w, x, keep=True)  # q is scaled
     place = w["place"][y.ravel()]
     kind, member, weight = place // CLASSES, place % CLASSES, counts.ravel() / max(1, counts.sum())
     weight = weight.astype(np.float32)
@@ -169,13 +187,12 @@ def gradient(w: dict, x: np.ndarray, y: np.ndarray, counts: np.ndarray) -> tuple
     da = np.matmul(do, v.transpose(0, 2, 1))
     da = a * (da - (da * a).sum(axis=-1, keepdims=True))
     g["D"] = np.bincount(DISTANCE.ravel(), da.sum(axis=0).ravel(), LENGTH).astype(np.float32)
-    da *= HEAD ** -0.5
-    g["Q"] = _scatter(w["Q"].shape, now.ravel(), np.matmul(da, k).reshape(-1, HEAD))
+    g["Q"] = _scatter(w["Q"].shape, now.ravel(), np.matmul(da, k).reshape(-1, HEAD) * HEAD ** -0.5)
     g["K"] = _scatter(w["K"].shape, x.ravel(), np.matmul(da.transpose(0, 2, 1), q).reshape(-1, HEAD))
     return float(loss), g
 
 
-def trained(w: dict, x: np.ndarray, y: np.ndarray, counts: np.ndarray, steps: int = 1500, batch: int = 96,
+def trained(w: dict, x: np.ndarray, y: np.ndarray, counts: np.ndarray, steps: int = 1500, batch: int = 192,
             rate: float = 0.01, seed: int = 5) -> dict:
     """Adam over random batches of windows, the rate falling to zero."""
     rng = np.random.default_rng(seed)

@@ -23,7 +23,6 @@ gives an empty one; further columns are left out.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -38,50 +37,78 @@ from basketry.llm.shared import (block_rows, blocks_of, expanded, plain_text, sh
 
 ship(__name__)
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 FOLDS = 10
 END_WORD = b"\n"  #: no word has white space
 END_ID, IDS = 49407, 49408
-SAMPLE_DOCS, SAMPLE_WINDOWS = 2000, 4000
+SAMPLE_DOCS, SAMPLE_WINDOWS = 2000, 8000
 STEPS = 2000
 PAIR_SHARE = 0.05
-BATCH = 2000
+BATCH = 4000
 
 
 def is_held_out(doc_id) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % FOLDS == 0
 
 
-def _words(rows: list[tuple]) -> list[list[bytes]]:
-    return [text.lower().split() for _, text in rows]
+class _Index(dict):
+    """Word -> its number, in the order of first appearance."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def _indexed(rows: list[tuple]) -> tuple[_Index, list[np.ndarray]]:
+    """The words of a block (the end first) and each row as word numbers."""
+    index = _Index({END_WORD: 0})
+    texts = []
+    for _, text in rows:
+        words = text.lower().split()
+        texts.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
+    return index, texts
+
+
+class _Lines:
+    """Tokenizer ids of rows of word numbers."""
+
+    def __init__(self, index: _Index, ids):
+        each = [b"" if word == END_WORD else ids[word] for word in index]
+        self.size = np.array([len(x) // 4 for x in each], np.int64)
+        self.start = np.concatenate([[0], np.cumsum(self.size)[:-1]])
+        self.flat = np.frombuffer(b"".join(each), "<u4")
+
+    def of(self, words: np.ndarray) -> np.ndarray:
+        size = self.size[words]
+        before = np.cumsum(size) - size
+        return self.flat[np.repeat(self.start[words] - before, size) + np.arange(size.sum())]
 
 
 def _by_bucket(words, buckets: int) -> dict[int, list[bytes]]:
-    """The distinct words, sorted, by bucket."""
-    out: dict[int, list[bytes]] = {}
-    for word in sorted(words):
-        out.setdefault(zlib.crc32(word) % buckets, []).append(word)
-    return out
+    """The words by bucket, in the order given."""
+    words = list(words)
+    bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+    order = np.argsort(bucket, kind="stable")
+    return {int(bucket[own[0]]): [words[i] for i in own]
+            for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(own)}
 
 
 def _counted(group: pd.DataFrame, buckets: int, path: str) -> pd.DataFrame:
     """A block's words with their training counts, and the pairs of ids of
     its training documents, by bucket."""
-    rows, block, ids = block_rows(group["payload"]), int(group["block"].iloc[0]), worker_ids(path)
-    seen, counts, lines = {END_WORD}, Counter(), [np.array([END_ID], np.uint32)]
-    for (doc_id, _), words in zip(rows, _words(rows)):
-        if is_held_out(doc_id):
-            seen.update(words)
-            continue
-        counts.update(words)
-        counts[END_WORD] += 1
-        lines += [np.frombuffer(b"".join([ids[w] for w in words]), "<u4"), lines[0]]
-    seen.update(counts)
-    out = [(0, bucket, block, squeezed(b" ".join(own), np.array([counts[w] for w in own], np.int64)))
-           for bucket, own in _by_bucket(seen, buckets).items()]
-    line = np.concatenate(lines).astype(np.uint64)
-    pairs, n = np.unique(line[:-1] << np.uint64(32) | line[1:], return_counts=True)
-    bucket = ((pairs >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    rows, block = block_rows(group["payload"]), int(group["block"].iloc[0])
+    index, texts = _indexed(rows)
+    used = [words for (doc_id, _), words in zip(rows, texts) if not is_held_out(doc_id)]
+    counts = np.bincount(np.concatenate([np.zeros(len(used), np.int64), *used]), minlength=len(index))
+    out = [(0, bucket, block, squeezed(b" ".join(own), counts[[index[w] for w in own]]))
+           for bucket, own in _by_bucket(index, buckets).items()]
+    to_ids, end = _Lines(index, worker_ids(path)), np.array([END_ID], np.uint32)
+    lines = [end]
+    for words in used:
+        lines += [to_ids.of(words), end]
+    line = np.concatenate(lines)
+    pairs, n = np.unique(line[:-1] * np.uint32(IDS) + line[1:], return_counts=True)  # IDS**2 < 2**32
+    bucket = (pairs // np.uint32(IDS) % np.uint32(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         if len(own):
@@ -129,7 +156,7 @@ def vocabulary(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             total = np.zeros(IDS, np.int64)
             for payload in frame["payload"]:
                 own, n = expanded(payload)
-                total += np.bincount((own & np.uint64(0xFFFFFFFF)).astype(np.int64), n, IDS).astype(np.int64)
+                total += np.bincount(own % np.uint32(IDS), n, IDS).astype(np.int64)
             at = np.flatnonzero(total)
             yield pd.DataFrame({"id": at, "n": total[at]})
 
@@ -158,7 +185,7 @@ def pair_counts(pairs: DataFrame, model: np.ndarray) -> np.ndarray:
             total = np.zeros(net.SPACE ** 2)
             for payload in frame["payload"]:
                 own, n = expanded(payload)
-                cell = to[(own >> np.uint64(32)).astype(np.int64)] * net.SPACE + to[(own & np.uint64(0xFFFFFFFF)).astype(np.int64)]
+                cell = to[own // np.uint32(IDS)] * net.SPACE + to[own % np.uint32(IDS)]
                 total += np.bincount(cell, n, net.SPACE ** 2)
             at = np.flatnonzero(total)
             yield pd.DataFrame({"cell": at, "n": total[at].astype(np.int64)})
@@ -183,20 +210,26 @@ def train(docs: DataFrame, pairs: DataFrame, path: str, sample_docs: int = SAMPL
         for frame in frames:
             yield pd.DataFrame({"id": frame["doc_id"], "line": [ids.of(t) for t in frame["text"]]})
 
-    found = texts.select("doc_id", "text").mapInPandas(run, "id long, line binary").toArrow()
-    lines = sorted(zip(found["id"].to_pylist(), found["line"].to_pylist()))[:sample_docs]
-    w = net.start(net.classes(counts))
-    xs, ys, valid = [], [], []
-    for _, line in lines:
-        x, y, k = net.windows([model[np.frombuffer(line, "<u4")]], net.SPACE - 2)
-        if len(x) > SAMPLE_WINDOWS:  # of a very long text, windows from all of it
-            at = np.linspace(0, len(x) - 1, SAMPLE_WINDOWS).astype(np.int64)
-            x, y, k = x[at], y[at], k[at]
-        xs.append(x)
-        ys.append(y)
-        valid.append(k)
-    if xs:
-        w = net.trained(w, np.concatenate(xs), np.concatenate(ys), np.concatenate(valid), steps)
+    shared = docs.sparkSession.sparkContext.broadcast((model, counts))
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        """One task fits the bounded sample."""
+        to_model, pair_count = shared.value
+        w = net.start(net.classes(pair_count))
+        made = []
+        for _, line in sorted(zip(group["id"], group["line"]))[:sample_docs]:
+            x, y, k = net.windows([to_model[np.frombuffer(line, "<u4")]], net.SPACE - 2)
+            if len(x) > SAMPLE_WINDOWS:  # of a very long text, windows from all of it
+                at = np.linspace(0, len(x) - 1, SAMPLE_WINDOWS).astype(np.int64)
+                x, y, k = x[at], y[at], k[at]
+            made.append((x, y, k))
+        w = net.trained(w, *(np.concatenate(m) for m in zip(*made)), steps=steps)
+        return pd.DataFrame({"weights": [squeezed(w)]})
+
+    lines = texts.select("doc_id", "text").mapInPandas(run, "id long, line binary")
+    found = lines.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(fit, "weights binary").collect()
+    w = expanded(found[0]["weights"])[0] if found else net.start(net.classes(counts))
+    w = net.finished(w)
     unigram = counts.sum(axis=0) + 0.5
     unigram /= unigram.sum()
     rows, kinds = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
@@ -229,26 +262,18 @@ def log_probability(model: dict, lines: list[np.ndarray]) -> np.ndarray:
 
 def _scored(docs: pd.DataFrame, replies: pd.DataFrame, buckets: int, tokens: int, distinct: int, model: dict,
             path: str) -> pd.DataFrame:
-    rows, ids = block_rows(docs["payload"]), worker_ids(path)
-    texts = _words(rows)
-    by_bucket = _by_bucket({END_WORD}.union(*texts), buckets)
-    count = {}
+    rows = block_rows(docs["payload"])
+    index, texts = _indexed(rows)
+    by_bucket, counts = _by_bucket(index, buckets), np.zeros(len(index), np.int64)
     for bucket, payload in zip(replies["bucket"], replies["payload"]):
-        count.update(zip(by_bucket[bucket], expanded(payload)[0].tolist()))
-    place = {word: i for i, word in enumerate(count)}
-    counts = np.fromiter(count.values(), np.int64, len(count))
+        counts[[index[w] for w in by_bucket[bucket]]] = expanded(payload)[0]
     logs = np.log10((counts + 0.1) / (tokens + 0.1 * (distinct + 1)))
     known = counts > 0
-    out = []
-    for (doc_id, _), words in zip(rows, texts):
-        at = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-        end = place[END_WORD]
-        out.append((doc_id, is_held_out(doc_id), len(words) + 1, int(known[at].sum()) + int(known[end]), tokens,
-                    float(logs[at].sum() + logs[end])))
-    scores = []
+    out = [(doc_id, is_held_out(doc_id), len(words) + 1, int(known[words].sum()) + int(known[0]), tokens,
+            float(logs[words].sum() + logs[0])) for (doc_id, _), words in zip(rows, texts)]
+    to_ids, scores = _Lines(index, worker_ids(path)), []
     for i in range(0, len(texts), 500):
-        lines = [np.frombuffer(b"".join([ids[w] for w in words]), "<u4") for words in texts[i:i + 500]]
-        scores.append(log_probability(model, lines))
+        scores.append(log_probability(model, [to_ids.of(words) for words in texts[i:i + 500]]))
     frame = pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"])
     frame["score"] = np.concatenate(scores)
     return frame.astype({"doc_id": "Int64"})

@@ -37,7 +37,8 @@ ship(__name__)
 
 CONTEXT, LEAST, STEP_IDS = 2048, 256, 65_536
 END = np.array([1], "<u4").tobytes()
-MOST_CACHED = 1_500_000
+#: Words, and parts of words, that a worker keeps (about 100 MB each).
+MOST_CACHED = 600_000
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "tier int, step long")
 
@@ -55,6 +56,12 @@ class Ids(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.parts: dict[str, bytes] = {}
+        # the byte-level alphabet: printable bytes stand for themselves, the
+        # others for the code points from 256
+        printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        others = [b for b in range(256) if b not in printable]
+        sign = {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
+        self.signs = {c: "".join(sign[b] for b in chr(c).encode()) for c in range(256)}
 
     def __missing__(self, word: bytes) -> bytes:
         core = word.rstrip(b".,;:!?")
@@ -73,7 +80,10 @@ class Ids(dict):
         if ids is None:
             if len(self.parts) > MOST_CACHED:
                 self.parts.clear()
-            ids = self.parts[text] = self.encoded(text)
+            # one run of letters or of punctuation is one piece for the
+            # tokenizer's model, which is asked directly
+            pieces = self.tokenizer.model.tokenize(text.translate(self.signs))
+            ids = self.parts[text] = np.array([p.id for p in pieces], "<u4").tobytes()
         return ids
 
     def encoded(self, text: str) -> bytes:
