@@ -19,6 +19,5 @@ QUERIES = {
 
 ORACLE = {
     "op1_url_filters": url_filter.SQL,
-    "op5_suffix_dedup": suffix_dedup.query,
     "op6_exact_dedup": exact_dedup.SQL,
 }
