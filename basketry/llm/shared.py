@@ -71,7 +71,16 @@ def worker_state(name: str) -> dict:
     return home.__dict__.setdefault(name, {})
 
 
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
+SLICE_ROWS = 500
+
+
+def sliced(batches):
+    """The batches in slices of few rows, so that few texts are Python objects
+    at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
 
 
 def blocks_of(docs: DataFrame, blocks: int) -> DataFrame:
@@ -92,7 +101,7 @@ def blocks_of(docs: DataFrame, blocks: int) -> DataFrame:
 
     def run(batches):
         held, size = {}, 0
-        for batch in batches:
+        for batch in sliced(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 text = text.encode()
                 held.setdefault(zlib.crc32(text, zlib.crc32(str(doc_id).encode())) % blocks, []).append((doc_id, text))
