@@ -15,12 +15,13 @@ likeness of two fingerprints is the larger of
 * the share of common spans, estimated from the smallest hashes of both.
 
 The next document is found without a global window: rows are dealt over ranges
-of doc_id with bounds from quantiles, each range is sorted and streamed, and
-one more row per range, the first of the range below, closes the gap.
+of doc_id with bounds from quantiles, compressed by range and batch; each range
+is sorted and gone through, and one more row, the first of the range below,
+closes the gap.
 
 Edge cases: a null text is an empty one, and two empty texts are alike (1.0);
-null ids are below all others; rows with one id follow each other by the hash
-of their texts, then the texts; a single row is its own next; an empty table
+null ids are below all others; rows with one id follow each other by their
+texts; a single row is its own next; an empty table
 gives an empty one; further columns are left out.
 """
 
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.shared import plain_text, search, ship, shuffle_partitions, worker_state
+from basketry.llm.shared import expanded, plain_text, search, ship, shuffle_partitions, squeezed, worker_state
 
 ship(__name__)
 
@@ -181,33 +182,47 @@ def _row(doc_id, text: str, own: Fingerprint, following: str, next_one: Fingerpr
             likeness(own, changed), likeness(own, next_one))
 
 
-def _stream(batches):
-    """Rows in order, ranges one after the other: each row is done when the
-    one after it is there; a range ends with a row that only closes it."""
-    open_row = open_range = None  # (doc_id, text, fingerprint), its range
-    out = []
-
-    def packed():
-        columns = list(zip(*out)) or [()] * 7
-        out.clear()
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                          [c.split()[0] for c in SCHEMA.split(", ")])
+def _packed(batches):
+    """range, payload: the rows of a batch by range, compressed."""
+    for batch in batches:
+        held: dict[int, list] = {}
+        for own, closed, place, doc_id, text in zip(*(batch.column(k).to_pylist() for k in range(5))):
+            held.setdefault(own, []).append((False, -place, text, doc_id))
+            if closed is not None:
+                held.setdefault(closed, []).append((True, -place, text, doc_id))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(held), pa.int32()), pa.array([squeezed(x) for x in held.values()], pa.binary())], ["range", "payload"])
+
+
+def _rows_of(payloads: list[bytes]):
+    """The output of one range: its rows in order, each with the one after it;
+    the first of the closing rows comes after the last."""
+    rows = sorted((r for p in payloads for r in expanded(p)[0]), key=lambda r: r[:3])
+    own = None
+    for k, (closing, _, text, doc_id) in enumerate(rows):
+        if closing:
+            break
+        own = own or Fingerprint(text)
+        following = rows[k + 1][2]
+        next_one = Fingerprint(following)
+        yield _row(doc_id, text, own, following, next_one)
+        own = next_one
 
+
+def _stream(batches):
+    """A partition's ranges, one after the other."""
+    names = [c.split()[0] for c in SCHEMA.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+    made = lambda out: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(list(zip(*out)) or [()] * 7, kinds)], names)
+    open_range, held = None, []
     for batch in batches:
-        ranges, closes, ids, texts = (batch.column(k).to_pylist() for k in range(4))
-        for which, closing, doc_id, text in zip(ranges, closes, ids, texts):
-            if open_range != which:
-                open_row, open_range = None, which
-            if closing and open_row is None:  # the range is closed already
-                continue
-            own = Fingerprint(text)
-            if open_row:
-                out.append(_row(*open_row, text, own))
-            open_row = None if closing else (doc_id, text, own)
-            if len(out) >= 2000:
-                yield packed()
-    yield packed()
+        for which, payload in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if which != open_range and held:
+                yield made(list(_rows_of(held)))
+                held = []
+            open_range = which
+            held.append(payload)
+    yield made(list(_rows_of(held)))
 
 
 def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
@@ -226,13 +241,9 @@ def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     for at, end in enumerate(ends):
         closes[end["range"]] = (end["most"], ends[(at + 1) % len(ends)]["range"])
     pick = lambda k, kind: F.get(F.array(*[F.lit(c and c[k]).cast(kind) for c in closes]), F.col("range"))
-    own = F.struct(F.col("range"), F.lit(False).alias("closing"))
-    other = F.struct(pick(1, "int").alias("range"), F.lit(True).alias("closing"))
-    sent = F.when(F.col("place") == pick(0, "long"), F.array(own, other)).otherwise(F.array(own))
-    rows = docs.withColumn("to", F.explode(sent)).select("to.range", "to.closing", "doc_id", "text", "place")
-    dealt = rows.repartition("range").sortWithinPartitions(
-        "range", "closing", F.col("place").desc(), F.xxhash64("text"), "text")
-    return dealt.select("range", "closing", "doc_id", "text").mapInArrow(_stream, SCHEMA)
+    closed = F.when(F.col("place") == pick(0, "long"), pick(1, "int"))
+    packed = docs.select("range", closed, "place", "doc_id", "text").mapInArrow(_packed, "range int, payload binary")
+    return packed.repartition("range").sortWithinPartitions("range").mapInArrow(_stream, SCHEMA)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
