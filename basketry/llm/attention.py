@@ -25,6 +25,8 @@ WIDTH, HEAD = 32, 16
 CONTEXT, STRIDE = 4, 12
 SPACE = CLASSES * CLASSES  #: ids of the model, the last one stands for all others
 LENGTH = CONTEXT + STRIDE
+NONE = 65535
+BATCH, RATE = 192, 0.01  #: windows of a training step, and its rate at first
 MASK = np.where(np.tril(np.ones((LENGTH, LENGTH))) > 0, 0, -1e9).astype(np.float32)[CONTEXT:]
 DISTANCE = np.clip(np.arange(CONTEXT, LENGTH)[:, None] - np.arange(LENGTH)[None, :], 0, LENGTH - 1)
 
@@ -65,6 +67,19 @@ def windows(sequences: list[np.ndarray], end: int) -> tuple[np.ndarray, np.ndarr
     return np.concatenate(xs), np.concatenate(ys), np.concatenate(counts)
 
 
+def packed_windows(sequences: list[np.ndarray], end: int) -> np.ndarray:
+    """The windows as rows of LENGTH + 1 ids; ``NONE`` where none counts."""
+    x, y, counts = windows(sequences, end)
+    return np.concatenate([x[:, :CONTEXT + 1], np.where(counts, y, NONE)], axis=1).astype(np.uint16)
+
+
+def unpacked_windows(rows: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What :func:`windows` gave for the rows."""
+    counts = rows[:, CONTEXT + 1:] != NONE
+    ids = np.where(rows == NONE, end, rows).astype(np.int32)
+    return ids[:, :LENGTH], ids[:, CONTEXT + 1:], counts
+
+
 def start(order: np.ndarray, seed: int = 3) -> dict:
     """Fresh weights; ``order`` is the permutation of :func:`classes`."""
     rng = np.random.default_rng(seed)
@@ -192,18 +207,28 @@ def gradient(w: dict, x: np.ndarray, y: np.ndarray, counts: np.ndarray) -> tuple
     return float(loss), g
 
 
-def trained(w: dict, x: np.ndarray, y: np.ndarray, counts: np.ndarray, steps: int = 1500, batch: int = 192,
-            rate: float = 0.01, seed: int = 5) -> dict:
-    """Adam over random batches of windows, the rate falling to zero."""
-    rng = np.random.default_rng(seed)
+def moments(w: dict) -> dict:
+    """Fresh state of Adam: two moments of each weight and the steps so far."""
     names = [n for n in w if n != "place"]
-    first, second = ({n: np.zeros_like(w[n]) for n in names} for _ in range(2))
-    for step in range(1, steps + 1):
-        pick = rng.integers(0, len(x), batch)
-        _, g = gradient(w, x[pick], y[pick], counts[pick])
-        now = rate * min(1, step / 50) * (1 - step / (steps + 1)) * (1 - 0.98 ** step) ** 0.5 / (1 - 0.9 ** step)
-        for n in names:
-            first[n] += 0.1 * (g[n] - first[n])
-            second[n] += 0.02 * (g[n] * g[n] - second[n])
-            w[n] -= now * first[n] / (np.sqrt(second[n]) + 1e-8)
-    return w
+    return {"steps": 0, "first": {n: np.zeros_like(w[n]) for n in names}, "second": {n: np.zeros_like(w[n]) for n in names}}
+
+
+def trained(w: dict, state: dict, rows: np.ndarray, begin: float, upto: float, end: int, passes: int = 1, seed: int = 5) -> tuple[dict, dict]:
+    """Adam over all the ``rows`` of :func:`packed_windows`, ``passes`` times in
+    random order. begin, upto: the share of the whole training that is done
+    before and after; the rate falls to zero with it."""
+    rng = np.random.default_rng(seed)
+    w = {n: a.copy() for n, a in w.items()}
+    first, second = ({n: a.copy() for n, a in state[m].items()} for m in ("first", "second"))
+    step, each = state["steps"], -(-len(rows) // BATCH)
+    for one in range(passes):
+        for i, pick in enumerate(np.array_split(rng.permutation(len(rows)), each)):
+            step += 1
+            done = begin + (upto - begin) * (one * each + i) / (passes * each)
+            _, g = gradient(w, *unpacked_windows(rows[pick], end))
+            now = RATE * min(1, step / 50) * (1 - done) * (1 - 0.98 ** step) ** 0.5 / (1 - 0.9 ** step)
+            for n in first:
+                first[n] += 0.1 * (g[n] - first[n])
+                second[n] += 0.02 * (g[n] * g[n] - second[n])
+                w[n] -= now * first[n] / (np.sqrt(second[n]) + 1e-8)
+    return w, {"steps": step, "first": first, "second": second}

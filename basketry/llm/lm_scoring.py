@@ -5,8 +5,12 @@ gathers the count of every word and of every pair of neighbouring ids. The
 pairs give the model its vocabulary (the most frequent ids, one more for all
 others, which share it by their counts), the classes of its output, and a
 pair model that is mixed in with a small weight. The attention model itself
-(:mod:`basketry.llm.attention`) is trained on at most ``sample_docs`` whole
-training documents, those with the smallest hashes of their ids.
+(:mod:`basketry.llm.attention`) is trained on every window of every training
+document: the windows are dealt to parts of about PART_IDS ids and the parts to
+rounds, as many as the root of the parts. In a round each task goes through its
+part from the weights of the last round, and the weights are averaged, so both
+the steps and the parts of a step grow with the input. Of a small input there
+are as many passes as make ``steps`` steps.
 
 Words are counted by block of documents, summed by word, and the sums go back
 to each block that has the word, so no vocabulary is broadcast or collected.
@@ -22,18 +26,22 @@ gives an empty one; further columns are left out.
 
 from __future__ import annotations
 
+import math
+import uuid
 import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import attention as net
 from basketry.llm.packing import worker_ids
-from basketry.llm.shared import (block_rows, blocks_of, expanded, plain_text, ship, shuffle_partitions, squeezed,
-                                 text_bytes, written)
+from basketry.llm.shared import (block_rows, blocks_of, expanded, plain_text, ship, shuffle_partitions, sliced,
+                                 squeezed, text_bytes, written)
+from basketry.session import shared_table_root
 
 ship(__name__)
 
@@ -41,8 +49,8 @@ BLOCK_BYTES = 4 << 20
 FOLDS = 10
 END_WORD = b"\n"  #: no word has white space
 END_ID, IDS = 49407, 49408
-SAMPLE_DOCS, SAMPLE_WINDOWS = 2000, 8000
-STEPS = 2000
+STEPS = 2000  #: at least; a large input takes more in its one pass
+PART_IDS, CHUNK = 2_000_000, 4096  #: training ids of a task in a round, about; windows in a row
 PAIR_SHARE = 0.05
 BATCH = 4000
 
@@ -196,40 +204,95 @@ def pair_counts(pairs: DataFrame, model: np.ndarray) -> np.ndarray:
     return out.reshape(net.SPACE, net.SPACE)
 
 
-def train(docs: DataFrame, pairs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS) -> dict:
+def dealt(docs: DataFrame, model: np.ndarray, parts: int, rounds: int, path: str) -> str:
+    """The folder of a table round, part, payload: all windows of all training
+    documents, by part, in a folder per round."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        ids, to_model = worker_ids(path), shared.value
+        for batch in batches:
+            for few in sliced([batch]):
+                lines, held = [], 0
+                texts = few.column(0).to_pylist()
+                for at, text in enumerate(texts):
+                    lines.append(to_model[np.frombuffer(ids.of(text), "<u4")])
+                    held += len(lines[-1])
+                    if held < CHUNK * net.STRIDE and at + 1 < len(texts):
+                        continue
+                    rows = net.packed_windows(lines, net.SPACE - 2)
+                    payloads = [squeezed(rows[i:i + CHUNK]) for i in range(0, len(rows), CHUNK)]
+                    part = [zlib.crc32(p) % parts for p in payloads]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([p % rounds for p in part], pa.int32()), pa.array(part, pa.int32()),
+                         pa.array(payloads, pa.binary())], ["round", "part", "payload"])
+                    lines, held = [], 0
+
+    fold = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(FOLDS))
+    rows = docs.where(F.col("doc_id").isNull() | (fold != 0)).select("text").mapInArrow(
+        run, "round int, part int, payload binary")
+    folder = f"{shared_table_root(docs.sparkSession)}/llm-{uuid.uuid4().hex}/windows"
+    rows.repartition(min(parts, shuffle_partitions(docs.sparkSession)), "part").write.partitionBy("round").parquet(folder)
+    return folder
+
+
+def _added(payloads) -> bytes:
+    """The sum of (windows, steps, arrays), each weighted by its windows."""
+    whole, steps, total = 0, 0, None
+    for n, step, arrays in map(expanded, payloads):
+        whole, steps = whole + n, max(steps, step)
+        total = arrays if total is None else {k: total[k] + a for k, a in arrays.items()}
+    return squeezed(whole, steps, total)
+
+
+def averaged(weights: DataFrame, groups: int) -> tuple[int, dict] | None:
+    """(steps, arrays): the mean of the parts' arrays. The sums of ``groups``
+    groups of parts come to the driver."""
+    sums = weights.groupBy(F.pmod(F.xxhash64("part"), F.lit(groups)).alias("group")).applyInPandas(
+        lambda g: pd.DataFrame({"payload": [_added(g["payload"])]}), "payload binary").collect()
+    if not sums:
+        return None
+    whole, steps, total = expanded(_added([r["payload"] for r in sums]))
+    return steps, {k: (a / whole).astype(np.float32) for k, a in total.items()}
+
+
+def fitted(docs: DataFrame, model: np.ndarray, counts: np.ndarray, path: str, steps: int) -> dict:
+    """The attention weights after all training documents."""
+    spark = docs.sparkSession
+    w = net.start(net.classes(counts))
+    state, places = net.moments(w), int(counts.sum())
+    if not places:
+        return w
+    parts = -(-places // PART_IDS)
+    rounds = math.isqrt(parts - 1) + 1
+    passes = math.ceil(steps / (rounds * math.ceil(places / parts / net.STRIDE / net.BATCH)))
+    folder = dealt(docs, model, parts, rounds, path)
+    windows = spark.read.schema("part int, payload binary, round int").parquet(folder)
+    for turn in range(rounds):
+        shared = spark.sparkContext.broadcast((w, state))
+
+        def fit(group: pd.DataFrame) -> pd.DataFrame:
+            rows = np.concatenate([expanded(p)[0] for p in sorted(group["payload"])])
+            own, after = net.trained(*shared.value, rows, turn / rounds, (turn + 1) / rounds, net.SPACE - 2, passes)
+            arrays = {("w", k): a for k, a in own.items() if k != "place"}
+            arrays |= {(m, k): a for m in ("first", "second") for k, a in after[m].items()}
+            arrays = {k: a * np.float64(len(rows)) for k, a in arrays.items()}
+            return pd.DataFrame({"part": group["part"].iloc[:1], "payload": [squeezed(len(rows), after["steps"], arrays)]})
+
+        found = averaged(windows.where(F.col("round") == turn).groupBy("part").applyInPandas(
+            fit, "part int, payload binary"), math.isqrt(parts // rounds) + 1)
+        if found:  # no part of a small round may have windows
+            at, mean = found
+            state = {"steps": at} | {m: {k: mean[m, k] for k in state[m]} for m in ("first", "second")}
+            w = {k: a if k == "place" else mean["w", k] for k, a in w.items()}
+    return w
+
+
+def train(docs: DataFrame, pairs: DataFrame, path: str, steps: int = STEPS) -> dict:
     """The model: attention weights, vocabulary and pair model."""
     model, share = vocabulary(pairs)
     counts = pair_counts(pairs, model)
-    fold = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(FOLDS))
-    sample = (docs.where(fold != 0).select(F.col("doc_id").alias("id"))
-              .orderBy(F.xxhash64("id"), "id").limit(sample_docs).distinct())
-    texts = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("id"), "left_semi")  # 8 bytes a document
-
-    def run(frames):
-        ids = worker_ids(path)
-        for frame in frames:
-            yield pd.DataFrame({"id": frame["doc_id"], "line": [ids.of(t) for t in frame["text"]]})
-
-    shared = docs.sparkSession.sparkContext.broadcast((model, counts))
-
-    def fit(group: pd.DataFrame) -> pd.DataFrame:
-        """One task fits the bounded sample."""
-        to_model, pair_count = shared.value
-        w = net.start(net.classes(pair_count))
-        made = []
-        for _, line in sorted(zip(group["id"], group["line"]))[:sample_docs]:
-            x, y, k = net.windows([to_model[np.frombuffer(line, "<u4")]], net.SPACE - 2)
-            if len(x) > SAMPLE_WINDOWS:  # of a very long text, windows from all of it
-                at = np.linspace(0, len(x) - 1, SAMPLE_WINDOWS).astype(np.int64)
-                x, y, k = x[at], y[at], k[at]
-            made.append((x, y, k))
-        w = net.trained(w, *(np.concatenate(m) for m in zip(*made)), steps=steps)
-        return pd.DataFrame({"weights": [squeezed(w)]})
-
-    lines = texts.select("doc_id", "text").mapInPandas(run, "id long, line binary")
-    found = lines.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(fit, "weights binary").collect()
-    w = expanded(found[0]["weights"])[0] if found else net.start(net.classes(counts))
-    w = net.finished(w)
+    w = net.finished(fitted(docs, model, counts, path, steps))
     unigram = counts.sum(axis=0) + 0.5
     unigram /= unigram.sum()
     rows, kinds = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
@@ -279,7 +342,7 @@ def _scored(docs: pd.DataFrame, replies: pd.DataFrame, buckets: int, tokens: int
     return frame.astype({"doc_id": "Int64"})
 
 
-def scored(docs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS, steps: int = STEPS) -> DataFrame:
+def scored(docs: DataFrame, path: str, steps: int = STEPS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of
     every row. path: the tokenizer's file, on every executor."""
     spark = docs.sparkSession
@@ -290,7 +353,7 @@ def scored(docs: DataFrame, path: str, sample_docs: int = SAMPLE_DOCS, steps: in
     table = gathered(packed, buckets, path)
     words, pairs = table.where("kind = 0"), table.where("kind = 1")
     tokens, distinct = (int(x or 0) for x in words.agg(F.sum("tokens"), F.sum("words")).first())
-    model = spark.sparkContext.broadcast(train(docs, pairs, path, sample_docs, steps))  # a few MB at any size
+    model = spark.sparkContext.broadcast(train(docs, pairs, path, steps))  # a few MB at any size
     return (packed.groupBy("block").cogroup(words.select("block", "bucket", "payload").groupBy("block"))
             .applyInPandas(lambda d, r: _scored(d, r, buckets, tokens, distinct, model.value, path),
                            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "

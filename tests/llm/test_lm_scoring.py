@@ -81,3 +81,37 @@ def test_gradient():
         up = net.gradient(moved, x, y, counts)[0]
         moved[name][at] -= 2 * step
         assert abs((up - net.gradient(moved, x, y, counts)[0]) / (2 * step) - g[name][at]) < 0.02 * abs(g[name][at]) + 1e-4, name
+
+
+def test_every_training_id_is_dealt_once(spark, monkeypatch):
+    """All documents and all of a long one, over many parts and rounds."""
+    monkeypatch.setattr(lm, "CHUNK", 64)
+    long = " ".join(f"w{i % 977}" for i in range(150_000))  # over 96,000 ids
+    data = [(i, t) for i, t, *_ in rows()] + [(1000 + i, f"short text {i}") for i in range(2500)] + [(5001, long)]
+    docs = spark.createDataFrame([(i, t or "") for i, t in data], "doc_id long, text string").repartition(3)
+    model = (np.arange(lm.IDS) % (net.SPACE - 2)).astype(np.int32)
+    folder = lm.dealt(docs, model, 12, 4, PATH)
+    ids, want, n = lm.worker_ids(PATH), np.zeros(net.SPACE, np.int64), 0
+    for i, t in data:
+        if i is None or zlib.crc32(str(i).encode()) % 10:
+            line = model[np.frombuffer(ids.of(t or ""), "<u4")]
+            want += np.bincount(line, minlength=net.SPACE)
+            n += 1
+    want[net.SPACE - 2] += n
+    table = spark.read.parquet(folder).collect()
+    got = np.zeros(net.SPACE, np.int64)
+    for r in table:
+        _, y, counts = net.unpacked_windows(lm.expanded(r["payload"])[0], net.SPACE - 2)
+        got += np.bincount(y[counts], minlength=net.SPACE)
+    assert (got == want).all()
+    assert {r["round"] for r in table} == {0, 1, 2, 3} and all(r["part"] % 4 == r["round"] for r in table)
+
+
+def test_steps_grow_with_the_training_ids(spark, monkeypatch):
+    """More parts, more rounds; averaged weights still beat the base."""
+    monkeypatch.setattr(lm, "PART_IDS", 150_000)
+    turns, averaged = [], lm.averaged
+    monkeypatch.setattr(lm, "averaged", lambda *a: turns.append(averaged(*a)) or turns[-1])
+    got = lm.scored(spark.read.parquet(f"{SF_MID}/documents.parquet"), PATH, steps=300).where("held_out").collect()
+    assert len(turns) > 1 and turns[-1][0] >= 300 * 0.8
+    assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
