@@ -115,3 +115,16 @@ def test_steps_grow_with_the_training_ids(spark, monkeypatch):
     got = lm.scored(spark.read.parquet(f"{SF_MID}/documents.parquet"), PATH, steps=300).where("held_out").collect()
     assert len(turns) > 1 and turns[-1][0] >= 300 * 0.8
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
+
+
+def test_every_place_sees_nine_ids():
+    """The id eight places before the last one still counts at every place."""
+    w, rng = _weights(), np.random.default_rng(4)
+    line = rng.integers(0, net.SPACE - 2, 60).astype(np.int32)
+    x, y, counts = net.windows([line], net.SPACE - 2)
+    p = net.probability(w, x, y)[counts]
+    for place in range(9, 60):
+        changed = line.copy()
+        changed[place - 9] = (changed[place - 9] + 1) % (net.SPACE - 2)
+        x2, y2, _ = net.windows([changed], net.SPACE - 2)
+        assert net.probability(w, x2, y2)[counts][place] != p[place], place
