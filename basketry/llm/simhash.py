@@ -25,7 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.components import components, forest
@@ -36,6 +36,8 @@ ship(__name__)
 SEED = 42
 #: Variants that a task holds at once, about.
 VARIANTS = 2_000_000
+HOT = 8 * VARIANTS  #: a range of more goes to several tasks
+SPLIT = 8  #: bits by which a range is split again
 LEAST_PREFIX = 8
 
 
@@ -123,24 +125,101 @@ def colliding(fp: np.ndarray, left: np.ndarray, low: int, most: int) -> tuple[np
     return root[child], child
 
 
+def _dealt(group: np.ndarray, left: np.ndarray, fp: np.ndarray, at: int, upto: int) -> tuple[np.ndarray, ...]:
+    """Rows (index, left) of fingerprints split by their bits from ``at`` to
+    ``upto`` (leading bits first) with all flips they may still have there:
+    (range, index, left), by range."""
+    bits = upto - at
+    own = (fp[group] >> np.uint64(64 - upto)) & np.uint64((1 << bits) - 1)
+    ranges, index, rest = [], [], []
+    for k, masks in enumerate(_flips(bits, int(left.max(initial=0)))):
+        can = np.flatnonzero(left >= k)
+        ranges.append((own[can][:, None] ^ masks[None, :]).ravel())
+        index.append(np.repeat(group[can], len(masks)))
+        rest.append(np.repeat(left[can] - k, len(masks)))
+    ranges, index, rest = map(np.concatenate, (ranges, index, rest))
+    order = np.argsort(ranges, kind="stable")
+    return ranges[order], index[order], rest[order]
+
+
+def split_links(fp: np.ndarray, left: np.ndarray, at: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """What :func:`colliding` finds for a range of ``at`` leading bits, as a
+    spanning set; a range of more than VARIANTS variants is split by further
+    bits until each part has at most so many (or no bits are left)."""
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    todo = [(at, np.arange(len(fp)), left)]
+    while todo:
+        at, group, own = todo.pop()
+        if len(group) < 2:
+            continue
+        size = sum(math.comb(64 - at, k) * int((own >= k).sum()) for k in range((most + 1) // 2 + 1))
+        if at >= 60 or size <= VARIANTS and len(group) < 1 << 24:
+            x, y = colliding(fp[group], own, 64 - at, most)
+            a.append(group[x])
+            b.append(group[y])
+            continue
+        upto = min(60, at + SPLIT)
+        ranges, index, rest = _dealt(group, own, fp, at, upto)
+        cuts = np.flatnonzero(np.diff(ranges)) + 1
+        todo += [(upto, i, r) for i, r in zip(np.split(index, cuts), np.split(rest, cuts))]
+    return np.concatenate(a), np.concatenate(b)
+
+
+def ranges_of(rows: DataFrame, at: int, upto: int, radius: int) -> DataFrame:
+    """``rows`` (fp, left, range) with the range's bits from ``at`` to ``upto``
+    added, a row for each way to flip at most ``left`` of them."""
+    bits = upto - at
+    flips = [(int(m), k) for k, masks in enumerate(_flips(bits, radius)) for m in masks]
+    own = F.shiftrightunsigned("fp", 64 - upto).bitwiseAND(F.lit((1 << bits) - 1))
+    ways = F.filter(F.array(*[F.struct(F.lit(m).cast("long").alias("mask"), F.lit(k).alias("flipped")) for m, k in flips]),
+                    lambda f: f["flipped"] <= F.col("left"))
+    return rows.withColumn("flip", F.explode(ways)).select(
+        F.shiftleft("range", bits).bitwiseOR(own.bitwiseXOR(F.col("flip.mask"))).alias("range"),
+        "fp", (F.col("left") - F.col("flip.flipped")).alias("left"))
+
+
+def variants_of(bits: int, radius: int) -> Column:
+    """How many variants a row with ``left`` flips makes of ``bits`` bits."""
+    most = F.lit(0)
+    for k in range(radius + 1):
+        most = most + F.when(F.col("left") >= k, F.lit(math.comb(bits, k))).otherwise(F.lit(0))
+    return most.cast("long")
+
+
+def _linker(at: int, most: int):
+    """The task of a range of ``at`` leading bits."""
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        fp = group["fp"].to_numpy().view(np.uint64)
+        a, b = split_links(fp, group["left"].to_numpy(), at, most)
+        return pd.DataFrame({"a": fp[a].view(np.int64), "b": fp[b].view(np.int64)})
+    return run
+
+
 def links(fps: DataFrame, most: int = 4) -> DataFrame:
     """a, b: a spanning set of the links among the distinct ``fps`` (fp), two
-    that differ in at most ``most`` bits."""
+    that differ in at most ``most`` bits. Ranges of more than HOT variants are
+    dealt again by further leading bits, so that many tasks share them."""
     radius = (most + 1) // 2
     variants = sum(math.comb(64, k) for k in range(radius + 1))
-    prefix = min(20, max(LEAST_PREFIX, math.ceil(math.log2(max(1, fps.count() * variants / VARIANTS)))))
-    flips = [(int(m), radius - k) for k, masks in enumerate(_flips(prefix, radius)) for m in masks]
+    at = min(20, max(LEAST_PREFIX, math.ceil(math.log2(max(1, fps.count() * variants / VARIANTS)))))
+    flips = [(int(m), radius - k) for k, masks in enumerate(_flips(at, radius)) for m in masks]
     sent = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(m).alias("mask"), F.lit(r).alias("left"))
                                                 for m, r in flips])).alias("flip"))
-    sent = sent.select(F.shiftrightunsigned("fp", 64 - prefix).bitwiseXOR(F.col("flip.mask")).cast("int").alias("range"),
+    sent = sent.select(F.shiftrightunsigned("fp", 64 - at).bitwiseXOR(F.col("flip.mask")).cast("long").alias("range"),
                        "fp", F.col("flip.left").alias("left"))
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        fp = group["fp"].to_numpy().view(np.uint64)
-        a, b = colliding(fp, group["left"].to_numpy(), 64 - prefix, most)
-        return pd.DataFrame({"a": fp[a].view(np.int64), "b": fp[b].view(np.int64)})
-
-    return sent.groupBy("range").applyInPandas(run, "a long, b long")
+    found = None
+    while True:
+        sizes = sent.groupBy("range").agg(F.sum(variants_of(64 - at, radius)).alias("size"))
+        hot = written(sizes.where(F.col("size") > HOT).select("range"), "hot") if at < 60 else None
+        last = hot is None or not hot.limit(1).count()
+        cool = sent if last else sent.join(hot, "range", "left_anti")
+
+        own = cool.groupBy("range").applyInPandas(_linker(at, most), "a long, b long")
+        found = own if found is None else found.union(own)
+        if last:
+            return found
+        upto = min(60, at + SPLIT)
+        sent, at = written(ranges_of(sent.join(hot, "range", "left_semi"), at, upto, radius), "ranges"), upto
 
 
 def linked(rows: DataFrame, most: int = 4) -> DataFrame:

@@ -82,3 +82,30 @@ def test_components_of_paths_and_stars(spark):
     want = {i: 100 for i in range(100, 161)} | {i: 7 for i in [7, *range(200, 260)]} | {300: 300, 301: 300}
     assert got == want
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_hot_range_is_split(spark, monkeypatch):
+    """Fingerprints that agree in their leading 16 bits: no group writes out
+    more than VARIANTS variants, and the components are the same."""
+    rng = np.random.default_rng(7)
+    base = (0xBEEF << 48) + rng.integers(0, 1 << 20, 300, dtype=np.uint64) * np.uint64(1 << 20)
+    fp = np.unique(np.concatenate([base, base ^ np.uint64(5), base ^ np.uint64(1 << 30), base ^ np.uint64(1 << 63)]))
+    near = np.argwhere(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= 4)
+    want = forest(len(fp), near[:, 0], near[:, 1])
+    monkeypatch.setattr(sh, "VARIANTS", 20_000)
+    sizes, colliding = [], sh.colliding
+
+    def counted(own, left, low, most):
+        sizes.append(sum(sum(sh.math.comb(low, k) for k in range(n + 1)) for n in left.tolist()))
+        return colliding(own, left, low, most)
+    monkeypatch.setattr(sh, "colliding", counted)
+    a, b = sh.split_links(fp, np.full(len(fp), 2), 0, 4)
+    assert max(sizes) <= 20_000 and (forest(len(fp), a, b) == want).all()
+    monkeypatch.setattr(sh, "colliding", colliding)
+    monkeypatch.setattr(sh, "HOT", 1_000_000)
+    dealt, ranges_of = [], sh.ranges_of
+    monkeypatch.setattr(sh, "ranges_of", lambda *x: dealt.append(x[1:3]) or ranges_of(*x))
+    found = sh.links(spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long")).collect()
+    at = {int(x): i for i, x in enumerate(fp.view(np.int64))}
+    a, b = (np.array([at[r[c]] for r in found], np.int64) for c in "ab")
+    assert dealt and (forest(len(fp), a, b) == want).all()
