@@ -30,6 +30,9 @@ from basketry.llm.shared import WORD, plain_text, search, written
 
 WEIGHTS = (5, 2, 1)
 GOLDEN = 0.6180339887498949
+#: Words in a block, whatever the corpus: what a source gives differs from its
+#: target by about a block.
+BLOCK_WORDS = 64
 STRETCHES = 4096
 
 
@@ -58,14 +61,11 @@ def targets(sizes: list[tuple[str | None, int]], most: float = 3.0, weights=WEIG
     return [(s, n, t) for (s, n), t in zip(sizes, target)]
 
 
-def plan(sizes: list[tuple[str | None, int]], most: float = 3.0, block_words: int | None = None) -> list[Source]:
-    """Targets and blocks of every source. block_words: about 1,024, fewer in
-    small corpora so that a block is a small part of any target."""
-    whole = sum(n for _, n in sizes)
-    words = block_words or min(1024, max(4, whole // 50_000))
+def plan(sizes: list[tuple[str | None, int]], most: float = 3.0, block_words: int = BLOCK_WORDS) -> list[Source]:
+    """Targets and blocks of every source, of about ``block_words`` words."""
     out = []
     for name, n, target in targets(sizes, most):
-        block = -(-n // max(1, round(n / words))) if n else 1
+        block = -(-n // max(1, round(n / block_words))) if n else 1
         out.append(Source(name, n, target, block, -(-n // block)))
     return out
 
@@ -130,7 +130,7 @@ def mix(rows: DataFrame, sources: list[Source], most: int = 3) -> DataFrame:
     return taken.select(*columns, "taken").unionByName(empty.select(*columns, "taken"))
 
 
-def mixed(docs: DataFrame, most: int = 3, block_words: int | None = None) -> DataFrame:
+def mixed(docs: DataFrame, most: int = 3, block_words: int = BLOCK_WORDS) -> DataFrame:
     """:func:`mix` over documents: sizes are written once, summed by source
     (one row a source goes to the driver) and mixed."""
     rows = written(sized(docs), "sizes")

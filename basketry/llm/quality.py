@@ -9,8 +9,10 @@ coordinate descent. A logistic curve fitted to rows held back from the descent
 turns margins into scores.
 
 The model is fitted on at most ``sample_rows`` labelled rows, those with the
-smallest hashes of their ids; it has one weight a column and goes to all
-tasks. Every document is scored by its whole text.
+smallest hashes of their ids, and at most ``sample_bytes`` of their features
+(4 bytes each; rows that would go beyond are passed over). It has one weight a
+column and goes to all tasks. Every document is scored by its whole text,
+however long.
 
 Edge cases: labels are joined by doc_id, null labels and ids are left out, a
 document with several labels counts with the lowest; null texts are empty and
@@ -21,6 +23,7 @@ further columns are left out.
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
 
@@ -34,7 +37,7 @@ from basketry.llm.shared import plain_text, ship, worker_state
 ship(__name__)
 
 COLUMNS = 1 << 18
-SAMPLE_ROWS = 16_000
+SAMPLE_ROWS, SAMPLE_BYTES = 16_000, 512 << 20
 CUT = 0.3
 FOLDS = 5
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
@@ -99,12 +102,12 @@ def fitted(rows: list[np.ndarray], labels: np.ndarray, columns: int = COLUMNS, c
     held, used = order[::5], np.delete(order, np.arange(0, len(order), 5))
     if len(set(labels[used])) < 2 or len(set(labels[held])) < 2:
         held = used = order
-    scaled = {int(i): row(rows[i]) for i in used}
     w, bias, alpha = np.zeros(columns), 0.0, np.zeros(len(rows))
     rng = np.random.default_rng(seed + 1)
     for _ in range(passes):
         for i in rng.permutation(used):
-            r, x = rows[i], scaled[int(i)]
+            r = rows[i]
+            x = row(r)  # again in each pass, so that only the columns' numbers are kept
             slack = sign[i] * (w[r] @ x + bias) - 1
             new = min(max(alpha[i] - slack / 2, 0.0), caps[i])  # rows have length 1, and 1 for the intercept
             if new != alpha[i]:
@@ -138,7 +141,7 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")), F.lit(FOLDS)) == 0, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple:
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> tuple:
     """The model, from labelled rows that are not held out."""
     known = (labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col("quality").cast("int").alias("y"))
              .where(F.col("label_id").isNotNull() & F.col("y").isNotNull() & ~held_out("label_id"))
@@ -151,13 +154,26 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
         cache = worker_state("quality")
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1),
-                 pa.array([features(t, cache).tobytes() for t in batch.column(2).to_pylist()], pa.binary())],
-                ["doc_id", "y", "row"])
+                [batch.column(0), batch.column(1), batch.column(2),
+                 pa.array([features(t, cache).tobytes() for t in batch.column(3).to_pylist()], pa.binary())],
+                ["place", "doc_id", "y", "row"])
 
-    found = texts.select(F.col("doc_id").cast("long"), "y", "text").mapInArrow(run, "doc_id long, y int, row binary").toArrow()
-    rows = sorted(zip(found["doc_id"].to_pylist(), found["row"].to_pylist(), found["y"].to_pylist()))[:sample_rows]
-    return fitted([np.frombuffer(r, np.int32) for _, r, _ in rows], np.array([int(y > 0) for *_, y in rows]))
+    def fit(batches):
+        found, size = [], 0
+        for batch in batches:
+            for doc_id, y, row in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                if len(found) < sample_rows and size + len(row) <= sample_bytes:
+                    found.append((doc_id, row, y))
+                    size += len(row)
+        found.sort()
+        model = fitted([np.frombuffer(r, np.int32) for _, r, _ in found], np.array([int(y > 0) for *_, y in found]))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    # the sample is fitted in one task, in the order of its hashes; only the weights go to the driver
+    rows = texts.select(F.xxhash64(F.col("doc_id").cast("long")).alias("place"), F.col("doc_id").cast("long"), "y", "text").mapInArrow(
+        run, "place long, doc_id long, y int, row binary")
+    model = rows.repartition(1).sortWithinPartitions("place", "doc_id").mapInArrow(fit, "model binary").first()
+    return pickle.loads(model[0]) if model else fitted([], np.zeros(0, int))
 
 
 def scored(docs: DataFrame, model: tuple) -> DataFrame:

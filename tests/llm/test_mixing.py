@@ -53,3 +53,8 @@ def test_edges(spark):
     _check([(i, t, s) for i, t, _, s, _ in rows()], mx.mixed(docs).collect(), 0.02)
     assert mx.mixed(frame(spark, [])).count() == 0
     assert {r["taken"] for r in mx.mixed(frame(spark, [(1, None, "en", None, 0), (2, " ", "en", "s", 1)])).collect()} == {0}
+
+
+def test_blocks_do_not_depend_on_other_corpora():
+    small, large = mx.plan([("a", 5000), ("b", 900)]), mx.plan([("a", 5000), ("b", 900), ("c", 900_000_000)])
+    assert [(s.block, s.blocks) for s in small] == [(s.block, s.blocks) for s in large[:2]]

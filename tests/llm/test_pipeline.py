@@ -39,9 +39,23 @@ def test_stages_on_the_table(spark):
     assert sum(r["length"] for r in cp.sequences(spark, mixed, SF_SMALL).collect()) > 1000
 
 
+def test_mixed_texts_are_beginnings_of_their_originals(spark):
+    texts = {i: "".join(f"w{i}_{k}" + " \t\n\r\x0b\x0c"[(i + k) % 6] * (1 + k % 3) for k in range(30 + i)) for i in range(40)}
+    docs = frame(spark, [(i, " " * (i % 3) + t, "en", f"s{i % 3}", len(t) + i % 3) for i, t in texts.items()])
+    original = {r["doc_id"]: r["text"] for r in docs.collect()}
+    got = cp.mixed(spark, docs, SF_SMALL).collect()
+    taken = {r["doc_id"]: r["taken"] for r in mixing.mixed(docs).collect()}
+    words, parts = {}, 0
+    for r in got:
+        assert original[r["doc_id"]].startswith(r["text"]) and r["n_chars"] == len(r["text"])
+        words[r["doc_id"]] = words.get(r["doc_id"], 0) + len(split(r["text"]))
+        parts += r["text"] != original[r["doc_id"]]
+    assert words == {i: n for i, n in taken.items() if n} and parts
+
+
 def test_run_and_rerun(spark):
     a, b = (cp.run(spark, SF_SMALL) for _ in range(2))
-    assert sorted((r["doc_id"], r["start"], r["length"], r["ids_crc32"]) for r in a.collect())[:5]
+    assert a.select("doc_id").distinct().count() > 50
     assert a.groupBy("doc_id").sum("length").exceptAll(b.groupBy("doc_id").sum("length")).count() == 0
 
 

@@ -1,5 +1,7 @@
 import zlib
 
+import numpy as np
+
 from basketry.llm import quality as q
 from conftest import SF_MID
 from llm_cases import clashing, frame, rows, table
@@ -36,3 +38,41 @@ def test_edges(spark):
     assert {r["predicted"] for r in ones} == {1}
     assert q.scored(docs.limit(0), q.train(docs, labels)).count() == 0
     assert q.accepted(docs, q.train(docs, labels.limit(0))).count() == len(rows())
+
+
+def test_solver_against_the_primal(spark):
+    """Weak duality: the dual's value never exceeds the primal's, and at the
+    optimum they meet; the weights against a dense subgradient descent."""
+    rng = np.random.default_rng(5)
+    labels = np.array([i % 2 for i in range(60)])
+    rows = [np.unique(np.r_[rng.integers(0, 12, 5), 20 + 3 * y + rng.integers(0, 2, 1)]).astype(np.int32) for y in labels]
+    model = q.fitted(rows, labels, columns=32, passes=400)
+    order = np.random.default_rng(7).permutation(len(rows))
+    used = np.delete(order, np.arange(0, len(order), 5))
+    counts = np.ones((2, 32))
+    for r, y in zip(rows, labels):
+        counts[y, r] += 1
+    ratio = np.log(counts[1] / counts[1].sum()) - np.log(counts[0] / counts[0].sum())
+    x = np.zeros((60, 33))
+    for i, r in enumerate(rows):
+        x[i, r] = ratio[r] / np.sqrt((ratio[r] ** 2).sum())
+        x[i, 32] = 1
+    sign, caps = np.where(labels > 0, 1.0, -1.0), np.where(labels > 0, 0.5 / labels.mean(), 0.5 / (1 - labels.mean()))
+    loss = lambda w: 0.5 * w @ w + (caps[used] * np.maximum(0, 1 - sign[used] * (x[used] @ w))).sum()
+    w, best, mean = np.zeros(33), np.inf, np.zeros(33)
+    for t in range(1, 20_001):
+        out = sign[used] * (x[used] @ w) < 1
+        w -= (w - (caps[used] * sign[used] * out) @ x[used]) / t
+        mean += (w - mean) * 2 / (t + 1)
+        best = min(best, loss(mean))
+    ours = np.r_[np.divide(model[0][0].astype(float), ratio, out=np.zeros(32), where=ratio != 0), model[1]]
+    assert loss(ours) <= best * 1.001 + 1e-6
+
+
+def test_the_sample_is_bounded_by_bytes(spark):
+    docs = spark.createDataFrame([(i, "good words here " * (2000 if i < 3 else 1) if i % 2 else f"bad {i} stuff", "en", "s", 1)
+                                  for i in range(40)], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    whole, part = q.train(docs, labels), q.train(docs, labels, sample_bytes=200)
+    assert not np.array_equal(whole[0], part[0])
+    assert q.train(docs, labels, sample_bytes=0)[3] == 0.0  # no rows: the share is one half
