@@ -71,7 +71,8 @@ def different(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing: a document comes as often as the mix takes all of it, and once
-    more with its first words if the mix takes a part of it besides."""
+    more with its first words, as they stand, if the mix takes a part of it
+    besides (about one document a source and turn)."""
     rows = mixing.mixed(docs)
     taken = written(rows.groupBy(F.col("doc_id").alias("__doc"), F.col("h").alias("__h"), F.col("source").alias("__source"),
                                  F.col("size").alias("__size"))
@@ -85,8 +86,9 @@ def mixed(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = rows.withColumn("__part", F.explode(F.concat(
         F.array_repeat(F.lit(0), whole.cast("int")),
         F.when(part > 0, F.array(part)).otherwise(F.array().cast("array<int>")))))
-    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    first = F.array_join(F.slice(words, F.lit(1), F.greatest("__part", F.lit(1))), " ")
+    # words with the white space before them: the text's own beginning, byte for byte
+    words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    first = F.array_join(F.slice(words, F.lit(1), F.greatest("__part", F.lit(1))), "")
     rows = rows.withColumn("text", F.when(F.col("__part") > 0, first).otherwise(F.col("text")))
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
