@@ -65,3 +65,20 @@ def in_range(d, start: _dt.date, end: _dt.date) -> Column:
     pushed down to the parquet scan."""
     d = _c(d)
     return (d >= F.lit(start)) & (d < F.lit(end))
+
+
+def in_year_folders(start: _dt.date | None, end: _dt.date | None, year: str = "order_year") -> Column | None:
+    """The years of a half-open range as a predicate on the calendar year,
+    which the marts keep in folders: files of other years are not listed."""
+    out = None
+    if start is not None:
+        out = F.col(year) >= start.year
+    if end is not None:
+        last = F.col(year) <= (end - _dt.timedelta(days=1)).year
+        out = last if out is None else out & last
+    return out
+
+
+def in_dates(start: _dt.date, end: _dt.date, d: str = "order_date") -> Column:
+    """A date range over a mart: its year folders and its days."""
+    return in_year_folders(start, end) & in_range(d, start, end)

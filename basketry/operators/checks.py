@@ -21,6 +21,15 @@ class Check:
         return self.build()
 
 
+class BuildHeld(RuntimeError):
+    """A build whose row checks of severity error found something, and which
+    was not published therefore."""
+
+    def __init__(self, root: str, failing: dict):
+        super().__init__(f"not published: {failing}; tables in {root}")
+        self.root, self.failing = root, failing
+
+
 def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull())
 

@@ -7,7 +7,7 @@ Shuffle plan (per build, at any scale):
 * customer history: orders -> (customer, day) partial aggregate -> range
   window per customer over days -> join back on (customer, day); see
   :mod:`basketry.operators.lookback` for why this survives a hot customer;
-* mart_orders: history joined 1:1 with the product summary on ``order_id``;
+* mart_orders: history joined 1:1 with the lines' per-order sums on ``order_id``;
 * order lines: one inner join of lines with order attributes on
   ``order_id`` (existence test and attribute lookup in one join);
 * product summary: lines -> (product, order, customer, month) -> product, one
@@ -18,13 +18,14 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from basketry.config import Config
-from basketry.functions.dates import calendar_columns, in_range, month_start
+from basketry.functions.dates import calendar_columns, in_dates, month_start
 from basketry.functions.numeric import safe_divide
-from basketry.functions.segments import NEW, RETURNING, VIP, complete_history_flag, order_segment
+from basketry.functions.segments import NEW, RETURNING, SEGMENTS, VIP, complete_history_flag, order_segment
 from basketry.operators.lookback import with_prior_orders
 from basketry.plans.staging import stg_orders as _stg_orders, stg_sales as _stg_sales
 
@@ -33,6 +34,15 @@ def _zero():
     return F.lit(0).cast("bigint")
 
 
+def per_order(stg_sales: DataFrame) -> DataFrame:
+    """Quantity, lines and distinct products of every order id of the lines."""
+    return stg_sales.groupBy("order_id").agg(
+        F.sum("qty").alias("qty_product"),
+        F.count(F.lit(1)).alias("product_line_count"),
+        F.countDistinct("product_id").alias("distinct_product_count"),
+    )
+
+
 def order_product_summary(stg_orders: DataFrame, stg_sales: DataFrame) -> DataFrame:
     """One row per order that has a header: quantity, lines, distinct products.
 
@@ -43,12 +53,7 @@ def order_product_summary(stg_orders: DataFrame, stg_sales: DataFrame) -> DataFr
     of all lines inside every task; a semi join first would put all of that
     order's lines into one task, because the aggregate above it needs the
     same partitioning and the skew split would be skipped."""
-    per_order = stg_sales.groupBy("order_id").agg(
-        F.sum("qty").alias("qty_product"),
-        F.count(F.lit(1)).alias("product_line_count"),
-        F.countDistinct("product_id").alias("distinct_product_count"),
-    )
-    return per_order.join(stg_orders.select("order_id"), "order_id", "left_semi")
+    return per_order(stg_sales).join(stg_orders.select("order_id"), "order_id", "left_semi")
 
 
 def _history(stg_orders: DataFrame, cfg: Config, with_profile: bool) -> DataFrame:
@@ -72,10 +77,15 @@ def order_customer_history(stg_orders: DataFrame, cfg: Config) -> DataFrame:
     return _history(stg_orders, cfg, with_profile=False)
 
 
-def mart_orders(stg_orders: DataFrame, stg_sales: DataFrame, cfg: Config,
-                product_summary: DataFrame | None = None) -> DataFrame:
-    h = _history(stg_orders, cfg, with_profile=True)
-    p = product_summary if product_summary is not None else order_product_summary(stg_orders, stg_sales)
+def mart_orders(stg_orders: DataFrame, stg_sales: DataFrame, cfg: Config) -> DataFrame:
+    """The order mart from staging. The join to the headers keeps the lines'
+    sums of known orders only, so they need no existence test of their own."""
+    return orders_from_history(_history(stg_orders, cfg, with_profile=True), per_order(stg_sales), cfg)
+
+
+def orders_from_history(h: DataFrame, p: DataFrame, cfg: Config) -> DataFrame:
+    """The order mart from the history with ``__current_prior`` and the
+    per-order sums."""
     seg = order_segment("prior_orders_last_12_months", cfg)
     # The customer's current state is the segment of the prior count on the
     # customer's latest order day; a NULL customer has no such state and
@@ -178,12 +188,12 @@ def mart_order_lines_presentation(lines: DataFrame) -> DataFrame:
 
 def exercise_4_orders_with_qty(mart: DataFrame, cfg: Config) -> DataFrame:
     """Orders of the two years ending with the report year, with quantity."""
-    return mart.where(in_range("order_date", cfg.two_year_start, cfg.year_end)).select(
+    return mart.where(in_dates(cfg.two_year_start, cfg.year_end)).select(
         "order_id", "customer_id", "order_date", "net_sales", "qty_product")
 
 
 def exercise_6_orders_segmented(mart: DataFrame, cfg: Config) -> DataFrame:
-    return mart.where(in_range("order_date", cfg.year_start, cfg.year_end)).select(
+    return mart.where(in_dates(cfg.year_start, cfg.year_end)).select(
         "order_id", "customer_id", "order_date", "net_sales", "qty_product", "order_segmentation")
 
 
@@ -201,6 +211,8 @@ class Marts:
         self.raw_lines = raw_sales if raw_lines is None else raw_lines
         self.root = None  # folder of the materialised tables, if any
         self.row_counts: dict = {}  # rows written per table (write-time metrics)
+        self.layouts: dict = {}  # table -> Layout of its folders
+        self.checks: dict = {}  # results of the row checks, from the passes of the build
 
     @classmethod
     def from_tables(cls, spark: SparkSession, sf_dir: str, cfg: Config) -> "Marts":
@@ -231,7 +243,7 @@ class Marts:
 
     @cached_property
     def mart_orders(self) -> DataFrame:
-        return mart_orders(self.stg_orders, self.stg_sales, self.cfg, self.order_product_summary)
+        return mart_orders(self.stg_orders, self.stg_lines, self.cfg)
 
     @cached_property
     def mart_order_lines(self) -> DataFrame:
@@ -264,24 +276,76 @@ class Marts:
               "mart_product_summary": "mart_product_summary"}
 
     def published(self, spark: SparkSession, root: str) -> "Marts":
-        """A ``Marts`` that reads the tables an earlier build wrote to
-        ``root``; nothing is built."""
+        """A ``Marts`` that reads the tables of an earlier build; nothing is
+        built. ``root``: the folder of one build, or a destination of
+        snapshots, of which the current one is resolved now, once."""
+        from basketry.sources.layout import Layout
         from basketry.sources.sinks import read_table
+        from basketry.sources.snapshots import current
         out = Marts(self.raw_orders, self.raw_sales, self.cfg, self.raw_lines)
-        out.root = root
+        manifest = current(spark, root)
+        out.root = root if manifest is None else f"{root.rstrip('/')}/builds/{manifest['build']}"
+        if manifest is not None:
+            out.row_counts, out.checks = manifest["rows"], manifest["checks"]
+            out.layouts = {k: Layout.from_json(v) for k, v in manifest["layouts"].items()}
         for attribute, name in self.TABLES.items():
-            out.__dict__[attribute] = read_table(spark, f"{root.rstrip('/')}/{name}")
+            schema = StructType.fromJson(manifest["tables"][name]["schema"]) if manifest else None
+            folder = manifest["tables"][name]["folder"] if manifest else name
+            out.__dict__[attribute] = read_table(spark, f"{out.root.rstrip('/')}/{folder}", schema=schema)
+        return out
+
+    def manifest(self) -> dict:
+        """What a snapshot says of this build (see ``sources.snapshots``)."""
+        return {"tables": {name: {"folder": name, "schema": getattr(self, attribute).schema.jsonValue()}
+                           for attribute, name in self.TABLES.items()},
+                "rows": self.row_counts, "checks": self.checks,
+                "layouts": {k: v.to_json() for k, v in self.layouts.items()}}
+
+    def publish(self, spark: SparkSession, dest: str, gate: str = "none") -> "Marts":
+        """Build into a folder of its own under ``dest`` and publish it as the
+        current snapshot. ``gate='error'``: a build whose row checks of
+        severity error find anything is not published
+        (:class:`basketry.operators.checks.BuildHeld`); its folder stays for
+        inspection and no reader sees it."""
+        from basketry.operators.checks import BuildHeld
+        from basketry.plans.quality import failing_row_checks
+        from basketry.sources import snapshots
+        if gate not in ("none", "error"):
+            raise ValueError("gate must be 'none' or 'error'")
+        build, root = snapshots.new_build(dest)
+        out = self.materialize(spark, root)
+        failing = failing_row_checks(out.checks) if gate == "error" else {}
+        if failing:
+            raise BuildHeld(root, failing)
+        snapshots.publish(spark, dest, build, out.manifest())
         return out
 
-    def materialize(self, spark: SparkSession, root: str | None = None, clustered: bool = True) -> "Marts":
+    def slice(self, spark: SparkSession, table: str, **wanted) -> DataFrame:
+        """Rows of a clustered table by its clustering keys (a value, or a
+        (low, high) pair with both ends): only the zones that can hold them
+        are read, whichever of the keys is given."""
+        rows = spark.read.schema(StructType([*getattr(self, table).schema.fields, StructField("zone", IntegerType())])).parquet(
+            f"{self.root.rstrip('/')}/{self.TABLES[table]}")
+        return rows.where(self.layouts[table].slice(**wanted)).select(*getattr(self, table).columns)
+
+    def materialize(self, spark: SparkSession, root: str | None = None, clustered: bool = True,
+                    rows_per_zone: int | None = None) -> "Marts":
         """Write the table-materialised models (intermediate models and
         marts) under ``root`` (default: the shared table folder named by
-        ``spark.checkpoint.dir``) with their clustering keys, and return a
+        ``spark.checkpoint.dir``) in their clustered layout, and return a
         ``Marts`` whose models read those tables. Views stay lazy. Writing
         cuts the lineage: a lost executor later costs a re-read, not a
-        rebuild."""
+        rebuild.
+
+        Every join and aggregate runs once: the bounds of the layouts come
+        from one pass over each raw source, which counts the sources' NULLs
+        as well; the row checks of a table are counted while it is written
+        (``checks``), above its last exchange."""
         import uuid
+        from concurrent.futures import ThreadPoolExecutor
+        from basketry.plans import quality as dq
         from basketry.session import shared_table_root
+        from basketry.sources.layout import ROWS_PER_ZONE, Layout, rank_of
         from basketry.sources.sinks import materialize
         if root is None:
             # a fresh folder per build: readers of an earlier build are never
@@ -291,42 +355,47 @@ class Marts:
         out.root = root
         out.__dict__["stg_orders"] = self.stg_orders
         out.__dict__["stg_sales"], out.__dict__["stg_lines"] = self.stg_sales, self.stg_lines
-        cluster = (lambda keys: keys) if clustered else (lambda keys: None)
-        counts: dict = {}
-        out.__dict__["order_product_summary"] = materialize(
-            spark, self.order_product_summary, "int_order_product_summary", "table", root, counts=counts)
-        out.__dict__["mart_orders"] = materialize(
-            spark, mart_orders(self.stg_orders, self.stg_sales, self.cfg, out.order_product_summary),
-            "mart_orders", "table", root, cluster_by=cluster(["customer_id", "order_segmentation"]),
-            tiebreak="order_id", counts=counts)
-        # The history model has the same rows and columns as the order mart
-        # (a projection), so it is written from the written mart instead of
-        # recomputing the look-back. The mart's files are already range
-        # partitioned by customer first; a local sort (no shuffle) keeps every
-        # history file ordered by customer.
-        history_cols = ["order_id", "customer_id", "order_date", "net_sales",
-                        "prior_orders_last_12_months", "has_complete_12_month_history"]
-        history = out.mart_orders.select(*history_cols)
-        if clustered:
-            history = history.sortWithinPartitions("customer_id")
-        lines = mart_order_lines(self.stg_sales, out.mart_orders)
-        # Both read only the written order mart: write them as two concurrent
-        # jobs (the scheduler interleaves their tasks).
-        from concurrent.futures import ThreadPoolExecutor
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            f_hist = pool.submit(materialize, spark, history, "int_order_customer_history", "table", root,
-                                 counts=counts)
-            f_lines = pool.submit(materialize, spark, lines, "mart_order_lines", "table", root,
-                                  cluster(["product_id", "customer_id"]), False, ["order_id", "order_date"], counts)
-            out.__dict__["order_customer_history"] = f_hist.result()
-            out.__dict__["mart_order_lines"] = f_lines.result()
+        counts, checks, metrics = out.row_counts, out.checks, dq.row_metrics(self.cfg)
+
+        def written(df, attribute, **how):
+            name = self.TABLES[attribute]
+            found: dict = {}
+            table = materialize(spark, df, name, "table", root, counts=counts, checks=found,
+                                metrics=metrics[attribute], **how)
+            out.__dict__[attribute] = table
+            checks.update(found)
+            if how.get("layout"):
+                out.layouts[attribute] = how["layout"]
+            return table
+
+        def history_of(bounds):
+            h = _history(self.stg_orders, self.cfg, with_profile=True)
+            if clustered:
+                h = h.withColumn("__rank", rank_of(bounds, F.col("customer_id"))).hint("rebalance", F.col("__rank"))
+                h = h.drop("__rank").sortWithinPartitions("customer_id")
+            return written(h, "order_customer_history")
+
+        nth = lambda key: F.row_number().over(Window.partitionBy(key).orderBy(key)).alias("__nth")
+        with ThreadPoolExecutor(max_workers=3) as pool:
+            lines_profile = pool.submit(dq.lines_profile, self)
+            # rows are dealt by the key already: numbering them takes no exchange
+            summary = pool.submit(written, self.order_product_summary.select("*", nth("order_id")),
+                                  "order_product_summary", hidden=["__nth"])
+            orders, quantiles, years = dq.orders_profile(self)
+            checks.update(orders)
+            customers = Layout.of({"customer_id": quantiles}, 0, 1).keys[0][1]
+            history = history_of(customers)
+            summary = summary.result()
+            found, products = lines_profile.result()
+            checks.update(found)
+        out.__dict__["order_customer_history"] = history.drop("__current_prior")
+        layout = lambda keys, rows: Layout.of(keys, rows, years, rows_per_zone or ROWS_PER_ZONE) if clustered else None
+        written(orders_from_history(history, summary, self.cfg), "mart_orders", layout=layout(
+            {"customer_id": customers, "order_segmentation": sorted(SEGMENTS)}, checks["rows:raw_orders"]))
+        written(mart_order_lines(self.stg_sales, out.mart_orders), "mart_order_lines", layout=layout(
+            {"product_id": products, "customer_id": customers}, checks["rows:raw_sales"]))
         # One row per product, already hash-partitioned on product_id by its
-        # aggregates: a local sort orders every file by product without a
-        # second shuffle and sampling pass.
-        summary = mart_product_summary(out.mart_order_lines)
-        if clustered:
-            summary = summary.sortWithinPartitions("product_id")
-        out.__dict__["mart_product_summary"] = materialize(
-            spark, summary, "mart_product_summary", "table", root, counts=counts)
-        out.row_counts = counts
+        # aggregates: a local sort orders every file by product.
+        products = mart_product_summary(out.mart_order_lines).select("*", nth("product_id"))
+        written(products.sortWithinPartitions("product_id") if clustered else products, "mart_product_summary", hidden=["__nth"])
         return out

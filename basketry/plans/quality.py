@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.config import Config
-from basketry.functions.dates import in_range
+from basketry.functions.dates import in_dates, in_range
 from basketry.functions.segments import SEGMENTS, segment_sql
 from basketry.operators.checks import Check, accepted_values, not_null, relationships, unique
 from basketry.plans.marts import Marts
 from basketry.plans.reports import combine_rows, orphan_lines, union_all
 from basketry.plans.staging import staged_orders, staged_sales
+from basketry.sources.layout import quantile_columns
 
 # Declared column checks (fixed list of the documented contracts):
 # NOT NULL columns per relation, UNIQUE and accepted-value (relation, column).
@@ -157,7 +158,7 @@ def year_count_match(mart: DataFrame, stg_orders: DataFrame, cfg: Config) -> Dat
     """One row when the report-year order count of the mart differs from the
     staging count."""
     row = combine_rows(
-        mart.where(in_range("order_date", cfg.year_start, cfg.year_end)).agg(F.count(F.lit(1)).alias("mart_count")),
+        mart.where(in_dates(cfg.year_start, cfg.year_end)).agg(F.count(F.lit(1)).alias("mart_count")),
         stg_orders.where(in_range("order_date", cfg.year_start, cfg.year_end)).agg(
             F.count(F.lit(1)).alias("source_count")))
     return row.where(F.col("mart_count") != F.col("source_count"))
@@ -173,16 +174,17 @@ def segmented_year_count_match(exercise_6: DataFrame, stg_orders: DataFrame, cfg
 def monthly_count_match(mart: DataFrame, stg_orders: DataFrame, cfg: Config) -> DataFrame:
     """Months of the report year whose order counts differ; a full outer join,
     so a month present on one side only is reported too."""
-    def monthly(df, name):
-        return (df.where(in_range("order_date", cfg.year_start, cfg.year_end))
+    def monthly(df, name, within):
+        return (df.where(within(cfg.year_start, cfg.year_end))
                 .groupBy(F.month("order_date").cast("bigint").alias("month_num"))
                 .agg(F.count(F.lit(1)).alias(name)))
-    j = monthly(mart, "mart_count").join(monthly(stg_orders, "source_count"), "month_num", "full_outer")
+    days = lambda a, b: in_range("order_date", a, b)
+    j = monthly(mart, "mart_count", in_dates).join(monthly(stg_orders, "source_count", days), "month_num", "full_outer")
     return j.where(~F.col("mart_count").eqNullSafe(F.col("source_count")))
 
 
 def order_grain_in_year(mart: DataFrame, cfg: Config) -> DataFrame:
-    return (mart.where(in_range("order_date", cfg.year_start, cfg.year_end))
+    return (mart.where(in_dates(cfg.year_start, cfg.year_end))
             .groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("order_id"))
 
 
@@ -219,51 +221,106 @@ def declared_checks(m: Marts) -> list[Check]:
     return checks
 
 
-def _orders_pass(m: Marts) -> DataFrame:
+def _null_counts(rel: str, column=lambda c: F.col(c)) -> list:
+    return [F.count_if(column(c).isNull()).alias(f"null:{rel}/{c}") for c in NOT_NULL[rel]]
+
+
+def _accepted_counts(rel: str, within=None) -> list:
+    outside = lambda c: ~F.col(c).isin(*SEGMENTS) if within is None else within & ~F.col(c).isin(*SEGMENTS)
+    return [F.count_if(outside(c)).alias(f"accepted:{rel}/{c}") for r, c in ACCEPTED if r == rel]
+
+
+def _orders_pass(m: Marts, *more) -> DataFrame:
     """One pass over the raw headers for the raw and the staged columns."""
     raw = m.raw_orders
     both = raw.select("*", *[c.alias(f"s_{n}") for n, c in staged_orders(raw).items()])
     in_year = in_range("s_order_date", m.cfg.year_start, m.cfg.year_end)
-    counts = [F.count_if(F.col(c).isNull()).alias(f"null:raw_orders/{c}") for c in NOT_NULL["raw_orders"]]
-    counts += [F.count_if(F.col(f"s_{c}").isNull()).alias(f"null:stg_orders/{c}") for c in NOT_NULL["stg_orders"]]
-    counts += [F.count_if(in_year).alias("source_count"),
+    counts = _null_counts("raw_orders") + _null_counts("stg_orders", lambda c: F.col(f"s_{c}"))
+    counts += [F.count(F.lit(1)).alias("rows:raw_orders"), F.count_if(in_year).alias("source_count"),
                F.count_if(F.year("s_order_date") == m.cfg.report_year).alias("source_year_count")]
     counts += [F.count_if(in_year & (F.month("s_order_date") == k)).alias(f"source_{k}") for k in range(1, 13)]
-    return both.agg(*counts)
+    return both.agg(*counts, *more)
 
 
-def _lines_pass(m: Marts) -> DataFrame:
+def _lines_pass(m: Marts, *more) -> DataFrame:
     raw = m.raw_lines
     both = raw.select("*", *[c.alias(f"s_{n}") for n, c in staged_sales(raw).items()])
-    counts = [F.count_if(F.col(c).isNull()).alias(f"null:raw_sales/{c}") for c in NOT_NULL["raw_sales"]]
-    counts += [F.count_if(F.col(f"s_{c}").isNull()).alias(f"null:stg_sales/{c}") for c in NOT_NULL["stg_sales"]]
-    return both.agg(*counts)
+    counts = _null_counts("raw_sales") + _null_counts("stg_sales", lambda c: F.col(f"s_{c}"))
+    return both.agg(F.count(F.lit(1)).alias("rows:raw_sales"), *counts, *more)
+
+
+def orders_profile(m: Marts) -> tuple[dict, list, int]:
+    """The counts of the raw and staged headers, the customers' quantiles and
+    the number of years: one pass, one row."""
+    row = _orders_pass(m, *quantile_columns("customer_id", F.col("s_customer_id")),
+                       F.year(F.min("s_order_date")).alias("first"), F.year(F.max("s_order_date")).alias("last")).first().asDict()
+    first, last, quantiles = row.pop("first"), row.pop("last"), row.pop("quantiles:customer_id")
+    return row, quantiles or [], 1 if first is None else last - first + 1
+
+
+def lines_profile(m: Marts) -> tuple[dict, list]:
+    """The counts of the raw and staged lines and the products' quantiles."""
+    row = _lines_pass(m, *quantile_columns("product_id", F.col("s_product_id"))).first().asDict()
+    quantiles = row.pop("quantiles:product_id")
+    return row, quantiles or []
+
+
+def row_metrics(cfg: Config) -> dict[str, list]:
+    """The row checks of every written table as aggregates over its rows, to
+    be counted while it is written (views of a table with the table)."""
+    in_year = in_range("order_date", cfg.year_start, cfg.year_end)
+    mart = _null_counts("mart_orders") + _null_counts("mart_orders_presentation")
+    mart += [F.count_if(in_year & F.col(c).isNull()).alias(f"null:exercise_6/{c}") for c in NOT_NULL["exercise_6"]]
+    mart += _accepted_counts("mart_orders") + _accepted_counts("exercise_6", in_year)
+    mart += [F.count_if(invalid_segment_pred()).alias("invalid_segments"),
+             F.count_if(non_positive_qty_pred()).alias("positive_product_qty"),
+             F.count_if(segment_mismatch_pred(cfg)).alias("segmentation_reconciliation"),
+             F.count_if(in_year).alias("mart_count")]
+    mart += [F.count_if(in_year & (F.month("order_date") == k)).alias(f"mart_{k}") for k in range(1, 13)]
+    base = {"units_sold": "quantity"}  # the presentation's only renamed column
+    lines = _null_counts("mart_order_lines") + _null_counts("mart_order_lines_presentation", lambda c: F.col(base.get(c, c)))
+    lines += _accepted_counts("mart_order_lines")
+    second = lambda rel, c: F.count_if(F.col(c).isNotNull() & (F.col("__nth") == 2)).alias(f"unique:{rel}/{c}")
+    return {"order_product_summary": _null_counts("order_product_summary") + [second("order_product_summary", "order_id")],
+            "order_customer_history": _null_counts("order_customer_history"),
+            "mart_orders": mart, "mart_order_lines": lines,
+            "mart_product_summary": _null_counts("mart_product_summary") + [second("mart_product_summary", "product_id")]}
+
+
+def failing_row_checks(checks: dict) -> dict:
+    """Of the results that a build has, those of declared checks that found
+    something (all of them are of severity error)."""
+    found = {k: v for k, v in checks.items() if v and k.split(":")[0] in ("null", "accepted", "unique")}
+    return found | {k: checks[k] for k in ("invalid_segments", "positive_product_qty", "segmentation_reconciliation") if checks.get(k)}
 
 
 def _mart_pass(m: Marts) -> DataFrame:
     """The order mart with its presentation and the report-year slice."""
-    in_year = in_range("order_date", m.cfg.year_start, m.cfg.year_end)
-    outside = lambda c: ~F.col(c).isin(*SEGMENTS)
-    counts = [F.count_if(F.col(c).isNull()).alias(f"null:{rel}/{c}")
-              for rel in ("mart_orders", "mart_orders_presentation") for c in NOT_NULL[rel]]
-    counts += [F.count_if(in_year & F.col(c).isNull()).alias(f"null:exercise_6/{c}") for c in NOT_NULL["exercise_6"]]
-    counts += [F.count_if(outside(c) & (in_year if rel == "exercise_6" else F.lit(True))).alias(f"accepted:{rel}/{c}")
-               for rel, c in ACCEPTED if rel != "mart_order_lines"]
-    counts += [F.count_if(invalid_segment_pred()).alias("invalid_segments"),
-               F.count_if(non_positive_qty_pred()).alias("positive_product_qty"),
-               F.count_if(segment_mismatch_pred(m.cfg)).alias("segmentation_reconciliation"),
-               F.count_if(in_year).alias("mart_count")]
-    counts += [F.count_if(in_year & (F.month("order_date") == k)).alias(f"mart_{k}") for k in range(1, 13)]
-    return m.mart_orders.agg(*counts)
+    return m.mart_orders.agg(*row_metrics(m.cfg)["mart_orders"])
 
 
 def _mart_lines_pass(m: Marts) -> DataFrame:
-    base = {"units_sold": "quantity"}  # the presentation's only renamed column
-    counts = [F.count_if(F.col(base.get(c, c)).isNull()).alias(f"null:{rel}/{c}")
-              for rel in ("mart_order_lines", "mart_order_lines_presentation") for c in NOT_NULL[rel]]
-    counts += [F.count_if(~F.col(c).isin(*SEGMENTS)).alias(f"accepted:{rel}/{c}")
-               for rel, c in ACCEPTED if rel == "mart_order_lines"]
-    return m.mart_order_lines.agg(*counts)
+    return m.mart_order_lines.agg(*row_metrics(m.cfg)["mart_order_lines"])
+
+
+def _stored_per_order_pass(m: Marts) -> DataFrame:
+    """What is left to count by order id once the row checks are stored:
+    uniqueness in the history and the mart, the grain of the report year. The
+    history has the staging's rows; should their numbers differ, the staged
+    headers are counted as well."""
+    in_year = in_range("order_date", m.cfg.year_start, m.cfg.year_end)
+    frames = [m.order_customer_history.select("order_id", F.lit(2).alias("rel")),
+              m.mart_orders.select("order_id", F.lit(3).alias("rel"), in_year.cast("int").alias("in_year"))]
+    apart = m.checks["rows:raw_orders"] != m.row_counts["int_order_customer_history"]
+    if apart:
+        frames.append(m.stg_orders.select("order_id", F.lit(0).alias("rel")))
+    per = union_all(frames).groupBy("order_id").agg(
+        *[F.count_if(F.col("rel") == k).alias(f"rows_{k}") for k in (0, 2, 3)], F.sum("in_year").alias("year_rows"))
+    twice = lambda k: F.count_if(F.col("order_id").isNotNull() & (F.col(f"rows_{k}") > 1))
+    return per.agg(twice(0 if apart else 2).alias("unique:stg_orders/order_id"),
+                   twice(2).alias("unique:order_customer_history/order_id"),
+                   twice(3).alias("unique:mart_orders/order_id"),
+                   F.count_if(F.col("year_rows") > 1).alias("order_grain_in_year"))
 
 
 def _per_order_pass(m: Marts) -> DataFrame:
@@ -319,12 +376,18 @@ def _product_pass(m: Marts) -> DataFrame:
 def check_summary(m: Marts) -> DataFrame:
     """One row per check: (check_name, severity, failures).
 
-    Eight one-row aggregates, together twelve table scans: a relation and the
-    views of it are judged in one pass, uniqueness by one aggregate per order,
-    header totals and orphans by one join."""
-    row = combine_rows(
-        _orders_pass(m), _lines_pass(m), _mart_pass(m), _mart_lines_pass(m), _per_order_pass(m), _header_lines_pass(m),
-        _product_pass(m), order_lines_grain(m.mart_order_lines).agg(F.count(F.lit(1)).alias("order_lines_grain")))
+    Of a build, the row checks are there already (``m.checks``, counted while
+    its tables were written); three one-row aggregates over five scans are
+    left: order ids of history and mart, header totals against line sums, the
+    grain of the lines. Of models that are not built, eight aggregates over
+    twelve scans: a relation and the views of it are judged in one pass."""
+    grain = order_lines_grain(m.mart_order_lines).agg(F.count(F.lit(1)).alias("order_lines_grain"))
+    if m.checks:
+        row = combine_rows(_stored_per_order_pass(m), _header_lines_pass(m), grain).withColumns(
+            {k: F.lit(v) for k, v in m.checks.items()})
+    else:
+        row = combine_rows(_orders_pass(m), _lines_pass(m), _mart_pass(m), _mart_lines_pass(m), _per_order_pass(m),
+                           _header_lines_pass(m), _product_pass(m), grain)
     apart = lambda a, b: f"CAST(`{a}` <> `{b}` AS BIGINT)"
     value = {f"not_null:{rel}.{c}": f"`null:{rel}/{c}`" for rel, cols in NOT_NULL.items() for c in cols}
     value |= {f"accepted_values:{rel}.{c}": f"`accepted:{rel}/{c}`" for rel, c in ACCEPTED}

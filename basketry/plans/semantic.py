@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.config import Config
-from basketry.functions.dates import date_at_grain
+from basketry.functions.dates import date_at_grain, in_year_folders
 from basketry.functions.numeric import safe_divide
 from basketry.functions.segments import NEW, RETURNING, VIP, order_segment
 from basketry.operators.explore import Dimension, Measure, View, explore
@@ -125,7 +125,7 @@ def segment_filter(segment: str):
 
 def dashboard_filter(date_from=None, date_to=None, segment=None, profile=None, complete_only=None):
     """The dashboard's filter bar as one predicate (``None`` = not set)."""
-    preds = []
+    preds = [] if date_from is None and date_to is None else [in_year_folders(date_from, date_to)]
     if date_from is not None:
         preds.append(F.col("order_date") >= F.lit(date_from))
     if date_to is not None:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def cluster(df: DataFrame, keys, num_partitions: int | None = None, tiebreak=None) -> DataFrame:
@@ -31,13 +32,21 @@ def cluster(df: DataFrame, keys, num_partitions: int | None = None, tiebreak=Non
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                 cluster_by=None, partition_by=None, num_partitions: int | None = None,
-                tiebreak=None, observation=None) -> None:
+                tiebreak=None, observation=None, layout=None, metrics=(), hidden=()) -> None:
     """Truncate-and-write (``overwrite``) or append. ``observation``: an
-    ``Observation`` filled with the written row count; it is attached above
-    the clustering exchange, so the range sampling pass is not counted."""
-    out = cluster(df, cluster_by, num_partitions, tiebreak) if cluster_by else df
+    ``Observation`` filled with the written row count and the aggregates in
+    ``metrics``; it is attached above the last exchange, in the stage that
+    writes, where each task counts once however often it is tried. ``layout``:
+    a :class:`basketry.sources.layout.Layout` (year and zone folders).
+    ``hidden``: columns for the metrics only, which are not written."""
+    from basketry.sources.layout import YEAR, ZONE
+    if layout is not None:
+        out, partition_by = layout.arranged(df), [YEAR, ZONE]
+    else:
+        out = cluster(df, cluster_by, num_partitions, tiebreak) if cluster_by else df
     if observation is not None:
-        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics)
+    out = out.drop(*hidden)
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
@@ -51,11 +60,13 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
 
 def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view",
                 root: str | None = None, cluster_by=None, register_view: bool = False,
-                tiebreak=None, counts: dict | None = None) -> DataFrame:
+                tiebreak=None, counts: dict | None = None, layout=None, metrics=(), hidden=(),
+                checks: dict | None = None) -> DataFrame:
     """``view``: register a lazy temp view. ``table``: write parquet under
     ``root`` (default: the shared table folder) and return the re-read table,
     which cuts the lineage (a view of it is registered only on request).
-    ``counts`` gets the rows written, by table name."""
+    ``counts`` gets the rows written, by table name; ``checks`` the values of
+    ``metrics`` (aggregates over the written rows), by their names."""
     if kind == "view":
         df.createOrReplaceTempView(name)
         return df
@@ -67,20 +78,29 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view
     path = f"{root.rstrip('/')}/{name}"
     from pyspark.sql import Observation
     obs = Observation(f"rows_{name}")
-    write_table(df, path, cluster_by=cluster_by, tiebreak=tiebreak, observation=obs)
+    write_table(df, path, cluster_by=cluster_by, tiebreak=tiebreak, observation=obs, layout=layout,
+                metrics=metrics, hidden=hidden)
     if counts is not None:
         counts[name] = obs.get.get("rows")
-    out = spark.read.parquet(path)
+    if checks is not None:
+        checks.update({k: int(v) for k, v in obs.get.items() if k != "rows"})
+    schema = StructType([f for f in df.schema.fields if f.name not in hidden])
+    out = read_table(spark, path, schema=schema)
     if register_view:
         out.createOrReplaceTempView(name)
     return out
 
 
-def read_table(spark: SparkSession, path: str, columns=None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, columns=None, schema: StructType | None = None) -> DataFrame:
     """Read a mart by path; ask only for the needed columns so the parquet
-    scan prunes the rest."""
-    df = spark.read.parquet(path)
-    return df.select(*columns) if columns else df
+    scan prunes the rest. ``schema``: the declared columns, in their order
+    and with their types (folder columns among them; no file is opened to
+    find them)."""
+    if schema is None:
+        df = spark.read.parquet(path)
+        columns = columns or [c for c in df.columns if c != "zone"]
+        return df.select(*columns)
+    return spark.read.schema(schema).parquet(path).select(*(columns or schema.names))
 
 
 def with_load_observation(df: DataFrame, name: str = "load", date_col: str | None = None, null_columns=()):
