@@ -2,19 +2,26 @@
 forecasts. Only one-row summaries, check counts, the rows of the bounded
 reports and what ``--show N`` asks for reach the driver.
 
-    python -m basketry load --orders PATH --sales PATH --dest DIR [--format csv]
-    python -m basketry build --raw DIR [--dest DIR] [--config reference|driver]
+    python -m basketry load --orders PATH --sales PATH --dest DIR [--format csv] [--namespace NAME]
+    python -m basketry build --raw DIR [--dest DIR | --publish DIR [--gate error]] [--config reference|driver]
     python -m basketry build --tables SF_DIR            # the generated test tables
+    python -m basketry builds --publish DIR [--drop] [--keep N] [--unpublished]
     python -m basketry check --raw DIR | --tables SF_DIR [--marts DIR]
     python -m basketry forecast --raw DIR | --tables SF_DIR [--marts DIR] --dest DIR [--by COL] [--show N]
     python -m basketry insights --raw DIR | --tables SF_DIR [--marts DIR]
     python -m basketry explore --raw DIR | --tables SF_DIR [--marts DIR] --measures M1,M2 [--dims D1,D2]
                                [--view orders|order_lines] [--grain day|week|month|quarter] [--segment VIP]
+                               [--metric revenue|orders|aov|basket|units] (in place of --measures)
                                [--profile VIP] [--date-from D] [--date-to D] [--complete-only]
                                [--dest DIR] [--show N]
+    python -m basketry drill --raw DIR | --tables SF_DIR [--marts DIR] [--view orders|order_lines]
+                               [--segment VIP] [--profile VIP] [--date-from D] [--date-to D] [--complete-only]
+                               [--product-id N] [--customer-id N] [--dest DIR] [--show N]
 
-``--marts DIR`` reads the tables that ``build --dest DIR`` wrote; without it
-the tables are built first. Shuffles and scans are sized from the input unless
+``--marts DIR`` reads the tables that ``build --dest DIR`` wrote, or the
+current snapshot of ``build --publish DIR``; without it the tables are built
+first. A published build appears by one write, and only if the gate lets it
+(``--gate error``: no row check of severity error finds anything). Shuffles and scans are sized from the input unless
 ``--no-size`` is given.
 """
 
@@ -68,12 +75,16 @@ def cmd_load(args) -> int:
     from basketry.sources import readers, sinks
     spark = _session()
     summary = {}
+    if args.namespace:
+        sinks.ensure_namespace(spark, args.namespace)
     for name, path, loader in (("raw_orders", args.orders, readers.load_orders),
                                ("raw_sales", args.sales, readers.load_sales)):
         df = loader(spark, path, fmt=args.format)
         watched = ["date_date", "customers_id", "orders_id", "net_sales"] if name == "raw_orders" else []
         observed, obs = sinks.with_load_observation(df, name, "date_date", watched)
         sinks.write_table(observed, f"{args.dest}/{name}")
+        if args.namespace:
+            sinks.register_table(spark, args.namespace, name, f"{args.dest}/{name}")
         got = dict(obs.get)
         nulls = {c: got.pop(f"nulls_{c}") for c in watched}
         readers.warn_on_null_counts(nulls)
@@ -83,12 +94,29 @@ def cmd_load(args) -> int:
 
 
 def cmd_build(args) -> int:
+    from basketry.operators.checks import BuildHeld
     spark = _session()
-    built = _marts(spark, args, build=False).materialize(spark, args.dest)
+    models = _marts(spark, args, build=False)
+    try:
+        built = models.publish(spark, args.publish, args.gate) if args.publish else models.materialize(spark, args.dest)
+    except BuildHeld as held:
+        print(json.dumps({"held": held.root, "failing": held.failing}))
+        return 1
     print(json.dumps({"tables": built.root, "rows": built.row_counts}))
     return 0
 
 
+def cmd_builds(args) -> int:
+    """The builds under a destination; ``--drop`` drops old ones."""
+    from basketry.sources import snapshots
+    spark = _session()
+    if args.drop:
+        print(json.dumps({"dropped": snapshots.drop_builds(spark, args.publish, args.keep, args.unpublished)}))
+    for build in snapshots.builds(spark, args.publish):
+        print(json.dumps(build))
+    return 0
+
+
 def cmd_check(args) -> int:
     from basketry.plans.quality import check_summary
     spark = _session()
@@ -153,6 +181,35 @@ def cmd_insights(args) -> int:
     return 0
 
 
+def _filter(args):
+    """The filter bar's options as one predicate, None for none."""
+    from basketry.plans import semantic as sm
+    return sm.dashboard_filter(
+        date_from=args.date_from, date_to=args.date_to, segment=None if args.segment == "All" else args.segment,
+        profile=args.profile, complete_only=args.complete_only)
+
+
+def cmd_drill(args) -> int:
+    """The rows behind a measure: the group's filters, the detail columns. A
+    product or customer is looked up in its zones of the clustered tables."""
+    from basketry.plans import semantic as sm
+    from basketry.sources.sinks import write_table
+    spark = _session()
+    m = _marts(spark, args)
+    table = "mart_orders" if args.view == "orders" else "mart_order_lines"
+    columns = sm.ORDER_DETAIL if args.view == "orders" else sm.LINE_DETAIL
+    keys = {k: v for k, v in (("customer_id", args.customer_id), ("product_id", args.product_id)) if v is not None}
+    df = m.slice(spark, table, **keys) if keys and table in m.layouts else getattr(m, table)
+    for k, v in keys.items():
+        df = df.where(df[k] == v)
+    out = sm.drill(df, _filter(args), columns)
+    if args.dest:
+        write_table(out, args.dest)
+        out = spark.read.parquet(args.dest)
+    _print_rows(f"{args.view}: rows", out.orderBy(*columns[:2]).limit(args.show))
+    return 0
+
+
 def cmd_explore(args) -> int:
     """Grouped measures of one metric view, e.g.
     ``explore --view orders --dims order_date_at_selected_grain --measures order_count,total_net_sales
@@ -164,12 +221,14 @@ def cmd_explore(args) -> int:
     view = sm.orders_view(m.cfg) if args.view == "orders" else sm.order_lines_view(m.cfg)
     df = m.mart_orders if args.view == "orders" else m.mart_order_lines
     dims = [d for d in (args.dims or "").split(",") if d]
-    measures = [x for x in args.measures.split(",") if x]
     params = {"date_granularity": args.grain} if args.view == "orders" else {}
-    wanted = sm.dashboard_filter(
-        date_from=args.date_from, date_to=args.date_to, segment=None if args.segment == "All" else args.segment,
-        profile=args.profile, complete_only=args.complete_only)
-    out = explore(view, df, dims, measures, wanted, params)
+    wanted = _filter(args)
+    if args.metric:
+        measures = [args.metric]
+        out = sm.focus_metric(view, df.where(wanted) if wanted is not None else df, dims, args.metric, args.segment, params)
+    else:
+        measures = [x for x in args.measures.split(",") if x]
+        out = explore(view, df, dims, measures, wanted, params)
     if args.dest:
         from basketry.sources.sinks import write_table
         write_table(out, args.dest)
@@ -188,7 +247,13 @@ def main(argv=None) -> int:
     ld.add_argument("--sales", required=True)
     ld.add_argument("--dest", required=True)
     ld.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
-    for name in ("build", "check", "forecast", "insights", "explore"):
+    ld.add_argument("--namespace", help="create it where it is missing and register the raw tables in it")
+    bs = sub.add_parser("builds")
+    bs.add_argument("--publish", required=True, help="destination of published builds")
+    bs.add_argument("--drop", action="store_true", help="drop all but the last --keep published builds")
+    bs.add_argument("--keep", type=int, default=1)
+    bs.add_argument("--unpublished", action="store_true", help="with --drop: also builds without a manifest")
+    for name in ("build", "check", "forecast", "insights", "explore", "drill"):
         sp = sub.add_parser(name)
         src = sp.add_mutually_exclusive_group(required=True)
         src.add_argument("--raw")
@@ -198,29 +263,38 @@ def main(argv=None) -> int:
         sp.add_argument("--no-size", action="store_true",
                         help="keep the session's shuffle partitions and scan splits instead of sizing them from the input")
         if name != "build":
-            sp.add_argument("--marts", help="folder of tables written by build --dest")
-        if name in ("forecast", "explore"):
+            sp.add_argument("--marts", help="folder of tables written by build --dest or --publish")
+        if name in ("forecast", "explore", "drill"):
             sp.add_argument("--show", type=int, default=20, help="rows to print")
         if name == "build":
-            sp.add_argument("--dest")
+            where = sp.add_mutually_exclusive_group()
+            where.add_argument("--dest")
+            where.add_argument("--publish", help="destination of snapshots: a new build appears there by one write")
+            sp.add_argument("--gate", choices=["none", "error"], default="none")
         if name == "forecast":
             sp.add_argument("--dest", required=True)
             sp.add_argument("--by", help="series key: a mart column (e.g. order_segmentation) or "
                                          "market_segment / nation / brand (with --tables)")
-        if name == "explore":
+        if name in ("explore", "drill"):
             sp.add_argument("--view", choices=["orders", "order_lines"], default="orders")
-            sp.add_argument("--dims")
-            sp.add_argument("--measures", required=True)
-            sp.add_argument("--grain", choices=["day", "week", "month", "quarter"], default="month")
             sp.add_argument("--segment", choices=["All", "New", "Returning", "VIP"], default="All")
             sp.add_argument("--profile", choices=["New", "Returning", "VIP"])
             sp.add_argument("--date-from", type=dt.date.fromisoformat)
             sp.add_argument("--date-to", type=dt.date.fromisoformat, help="the day after the last")
             sp.add_argument("--complete-only", action="store_true")
             sp.add_argument("--dest", help="write all result rows there")
+        if name == "explore":
+            sp.add_argument("--dims")
+            what = sp.add_mutually_exclusive_group(required=True)
+            what.add_argument("--measures")
+            what.add_argument("--metric", choices=["revenue", "orders", "aov", "basket", "units"])
+            sp.add_argument("--grain", choices=["day", "week", "month", "quarter"], default="month")
+        if name == "drill":
+            sp.add_argument("--product-id", type=int)
+            sp.add_argument("--customer-id", type=int)
     args = p.parse_args(argv)
     return {"load": cmd_load, "build": cmd_build, "check": cmd_check, "forecast": cmd_forecast,
-            "insights": cmd_insights, "explore": cmd_explore}[args.cmd](args)
+            "insights": cmd_insights, "explore": cmd_explore, "drill": cmd_drill, "builds": cmd_builds}[args.cmd](args)
 
 
 if __name__ == "__main__":

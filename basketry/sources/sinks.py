@@ -58,6 +58,13 @@ def ensure_namespace(spark: SparkSession, name: str, location: str | None = None
     spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`{loc}")
 
 
+def register_table(spark: SparkSession, namespace: str, name: str, path: str) -> None:
+    """Make a written folder known as ``namespace.name`` (the files stay where
+    they are)."""
+    spark.sql(f"DROP TABLE IF EXISTS `{namespace}`.`{name}`")
+    spark.sql(f"CREATE TABLE `{namespace}`.`{name}` USING PARQUET LOCATION '{path}'")
+
+
 def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view",
                 root: str | None = None, cluster_by=None, register_view: bool = False,
                 tiebreak=None, counts: dict | None = None, layout=None, metrics=(), hidden=(),

@@ -76,3 +76,33 @@ def test_explore_builds_without_marts(capsys):
                      "--measures", "order_count,total_net_sales", "--grain", "quarter", "--segment", "VIP"]) == 0
     out = capsys.readouterr().out
     assert '"order_count"' in out and "-01-01" in out
+
+
+def test_publish_drill_and_namespaces(spark, capsys, tmp_path):
+    import json
+    d, source = str(tmp_path), ["--tables", SF_SMALL, "--no-size"]
+    raw_orders_from_tables(spark, SF_SMALL).write.parquet(f"{d}/in_orders")
+    raw_sales_from_tables(spark, SF_SMALL).write.parquet(f"{d}/in_sales")
+    assert cli.main(["load", "--orders", f"{d}/in_orders", "--sales", f"{d}/in_sales", "--dest", f"{d}/raw", "--namespace", "cli_raw"]) == 0
+    assert spark.table("cli_raw.raw_orders").count() == 1500 and spark.table("cli_raw.raw_sales").count() == 6000
+    spark.sql("DROP SCHEMA cli_raw CASCADE")
+    # orders without lines fail a check of severity error: held back with the gate, published without
+    assert cli.main(["build", *source, "--publish", f"{d}/shop", "--gate", "error"]) == 1
+    assert "positive_product_qty" in capsys.readouterr().out
+    assert cli.main(["build", *source, "--publish", f"{d}/shop"]) == 0
+    capsys.readouterr()
+    assert cli.main(["builds", "--publish", f"{d}/shop"]) == 0
+    found = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    assert [(b["manifest"] is not None, b["current"]) for b in found].count((True, True)) == 1 and len(found) == 2
+    assert cli.main(["builds", "--publish", f"{d}/shop", "--drop", "--unpublished"]) == 0
+    assert len(capsys.readouterr().out.splitlines()) == 2
+    marts = ["--marts", f"{d}/shop", *source]
+    assert cli.main(["check", *marts]) == 1 and "64 checks" in capsys.readouterr().out
+    assert cli.main(["explore", *marts, "--metric", "aov", "--segment", "VIP", "--dims", "order_date_year"]) == 0
+    assert '"average_order_value"' in capsys.readouterr().out
+    product = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").groupBy("l_partkey").count().orderBy("l_partkey").first()
+    assert cli.main(["drill", *marts, "--view", "order_lines", "--product-id", str(product[0]), "--dest", f"{d}/rows"]) == 0
+    assert spark.read.parquet(f"{d}/rows").count() == product[1]
+    assert f'"product_id": {product[0]}' in capsys.readouterr().out
+    assert cli.main(["drill", *marts, "--segment", "New", "--date-from", str(CFG.year_start), "--date-to", str(CFG.year_end), "--show", "2"]) == 0
+    assert capsys.readouterr().out.count('"order_segmentation": "New"') == 2
