@@ -182,11 +182,10 @@ def cmd_insights(args) -> int:
 
 
 def _filter(args):
-    """The filter bar's options as one predicate, None for none."""
-    from basketry.plans import semantic as sm
-    return sm.dashboard_filter(
-        date_from=args.date_from, date_to=args.date_to, segment=None if args.segment == "All" else args.segment,
-        profile=args.profile, complete_only=args.complete_only)
+    """The filter bar's options."""
+    from basketry.operators.rollups import Slice
+    return Slice(args.date_from, args.date_to, None if args.segment == "All" else args.segment, args.profile,
+                 args.complete_only)
 
 
 def cmd_drill(args) -> int:
@@ -225,7 +224,7 @@ def cmd_explore(args) -> int:
     wanted = _filter(args)
     if args.metric:
         measures = [args.metric]
-        out = sm.focus_metric(view, df.where(wanted) if wanted is not None else df, dims, args.metric, args.segment, params)
+        out = sm.focus_metric(view, wanted.over(df), dims, args.metric, args.segment, params)
     else:
         measures = [x for x in args.measures.split(",") if x]
         out = explore(view, df, dims, measures, wanted, params)

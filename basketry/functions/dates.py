@@ -79,6 +79,8 @@ def in_year_folders(start: _dt.date | None, end: _dt.date | None, year: str = "o
     return out
 
 
-def in_dates(start: _dt.date, end: _dt.date, d: str = "order_date") -> Column:
-    """A date range over a mart: its year folders and its days."""
-    return in_year_folders(start, end) & in_range(d, start, end)
+def within(df, start: _dt.date, end: _dt.date, d: str = "order_date", year: str = "order_year"):
+    """The rows of a half-open date range; of a mart in year folders, only
+    those years are read."""
+    keep = in_range(d, start, end)
+    return df.where(in_year_folders(start, end, year) & keep if year in df.columns else keep)

@@ -3,7 +3,9 @@
 ``explore(view, df, dimensions, measures, filters)`` is
 ``df.where(filters).groupBy(dimensions).agg(measures)``; everything stays a
 lazy Catalyst plan. Distinct-count measures are flagged as non-additive: they
-must be recomputed at every grain, never summed from finer rows.
+are never summed from finer rows, but recomputed from the mart or counted from
+merged bitmaps. Given stored rollups, a request reads the smallest of them that
+covers it (:mod:`basketry.operators.rollups`).
 """
 
 from __future__ import annotations
@@ -13,12 +15,16 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 
+from basketry.operators.rollups import Slice, choose
+
 
 @dataclass(frozen=True)
 class Dimension:
     name: str
     expr: Callable[..., Column]          # (params) -> Column
     description: str = ""
+    columns: tuple = ()                  # of the mart that it is made of; () if only the mart has them
+    grain: Callable | None = None        # (params) -> date grain, of a date dimension
 
 
 @dataclass(frozen=True)
@@ -27,6 +33,9 @@ class Measure:
     expr: Callable[[], Column]           # aggregate Column
     additive: bool = True
     description: str = ""
+    stored: tuple = ()                   # columns of a rollup that it is made of
+    rolled: Callable[[], Column] | None = None   # aggregate over a rollup's rows
+    ids: str | None = None               # of a distinct count: the id column
 
 
 @dataclass(frozen=True)
@@ -47,7 +56,9 @@ class View:
 
 
 def explore(view: View, df: DataFrame, dimensions=(), measures=(), filters=None,
-            params: dict | None = None) -> DataFrame:
+            params: dict | None = None, rollups=()) -> DataFrame:
+    """``filters``: a Column over the mart, or a ``Slice``, which rollups
+    understand as well."""
     params = dict(params or {})
     for p in view.parameters:
         view.param(params, p)  # validate
@@ -65,9 +76,17 @@ def explore(view: View, df: DataFrame, dimensions=(), measures=(), filters=None,
         else:
             raise KeyError(f"{view.name}: unknown measure {m!r}")
     needed = list(dict.fromkeys(base + [b for m in post for b in view.derived[m][0]]))
-    src = df.where(filters) if filters is not None else df
-    aggs = [view.measures[m].expr().alias(m) for m in needed]
-    out = src.groupBy(*dims).agg(*aggs) if dims else src.agg(*aggs)
+    asked = [view.dimensions[d] for d in dimensions], [view.measures[m] for m in needed]
+    small = choose(rollups, *asked, filters, params)
+    if small is not None:
+        out = small.answer(*asked, filters, params)
+    else:
+        if isinstance(filters, Slice):
+            src = filters.over(df)
+        else:
+            src = df.where(filters) if filters is not None else df
+        aggs = [view.measures[m].expr().alias(m) for m in needed]
+        out = src.groupBy(*dims).agg(*aggs) if dims else src.agg(*aggs)
     for m in post:
         _, fn = view.derived[m]
         out = out.withColumn(m, fn())

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from basketry.config import Config
-from basketry.functions.dates import calendar_columns, in_dates, month_start
+from basketry.functions.dates import calendar_columns, month_start, within
 from basketry.functions.numeric import safe_divide
 from basketry.functions.segments import NEW, RETURNING, SEGMENTS, VIP, complete_history_flag, order_segment
 from basketry.operators.lookback import with_prior_orders
@@ -188,12 +188,12 @@ def mart_order_lines_presentation(lines: DataFrame) -> DataFrame:
 
 def exercise_4_orders_with_qty(mart: DataFrame, cfg: Config) -> DataFrame:
     """Orders of the two years ending with the report year, with quantity."""
-    return mart.where(in_dates(cfg.two_year_start, cfg.year_end)).select(
+    return within(mart, cfg.two_year_start, cfg.year_end).select(
         "order_id", "customer_id", "order_date", "net_sales", "qty_product")
 
 
 def exercise_6_orders_segmented(mart: DataFrame, cfg: Config) -> DataFrame:
-    return mart.where(in_dates(cfg.year_start, cfg.year_end)).select(
+    return within(mart, cfg.year_start, cfg.year_end).select(
         "order_id", "customer_id", "order_date", "net_sales", "qty_product", "order_segmentation")
 
 
@@ -212,6 +212,7 @@ class Marts:
         self.root = None  # folder of the materialised tables, if any
         self.row_counts: dict = {}  # rows written per table (write-time metrics)
         self.layouts: dict = {}  # table -> Layout of its folders
+        self._rollups = None
         self.checks: dict = {}  # results of the row checks, from the passes of the build
 
     @classmethod
@@ -320,6 +321,18 @@ class Marts:
         snapshots.publish(spark, dest, build, out.manifest())
         return out
 
+    def rolled(self, spark: SparkSession) -> list:
+        """The stored aggregates of this build (``semantic.ROLLUPS``), written
+        beside its tables the first time they are asked for."""
+        from basketry.operators.rollups import store
+        from basketry.plans.semantic import ROLLUPS
+        if self._rollups is None:
+            self._rollups = store(spark, ROLLUPS, self, f"{self.root.rstrip('/')}/rollups")
+        return self._rollups
+
+    def rollups_of(self, spark: SparkSession, mart: str) -> list:
+        return [s for s in self.rolled(spark) if s.rollup.mart == mart]
+
     def slice(self, spark: SparkSession, table: str, **wanted) -> DataFrame:
         """Rows of a clustered table by its clustering keys (a value, or a
         (low, high) pair with both ends): only the zones that can hold them

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.config import Config
-from basketry.functions.dates import in_dates, in_range
+from basketry.functions.dates import in_range, within
 from basketry.functions.segments import SEGMENTS, segment_sql
 from basketry.operators.checks import Check, accepted_values, not_null, relationships, unique
 from basketry.plans.marts import Marts
@@ -158,7 +158,7 @@ def year_count_match(mart: DataFrame, stg_orders: DataFrame, cfg: Config) -> Dat
     """One row when the report-year order count of the mart differs from the
     staging count."""
     row = combine_rows(
-        mart.where(in_dates(cfg.year_start, cfg.year_end)).agg(F.count(F.lit(1)).alias("mart_count")),
+        within(mart, cfg.year_start, cfg.year_end).agg(F.count(F.lit(1)).alias("mart_count")),
         stg_orders.where(in_range("order_date", cfg.year_start, cfg.year_end)).agg(
             F.count(F.lit(1)).alias("source_count")))
     return row.where(F.col("mart_count") != F.col("source_count"))
@@ -174,17 +174,16 @@ def segmented_year_count_match(exercise_6: DataFrame, stg_orders: DataFrame, cfg
 def monthly_count_match(mart: DataFrame, stg_orders: DataFrame, cfg: Config) -> DataFrame:
     """Months of the report year whose order counts differ; a full outer join,
     so a month present on one side only is reported too."""
-    def monthly(df, name, within):
-        return (df.where(within(cfg.year_start, cfg.year_end))
+    def monthly(df, name):
+        return (within(df, cfg.year_start, cfg.year_end)
                 .groupBy(F.month("order_date").cast("bigint").alias("month_num"))
                 .agg(F.count(F.lit(1)).alias(name)))
-    days = lambda a, b: in_range("order_date", a, b)
-    j = monthly(mart, "mart_count", in_dates).join(monthly(stg_orders, "source_count", days), "month_num", "full_outer")
+    j = monthly(mart, "mart_count").join(monthly(stg_orders, "source_count"), "month_num", "full_outer")
     return j.where(~F.col("mart_count").eqNullSafe(F.col("source_count")))
 
 
 def order_grain_in_year(mart: DataFrame, cfg: Config) -> DataFrame:
-    return (mart.where(in_dates(cfg.year_start, cfg.year_end))
+    return (within(mart, cfg.year_start, cfg.year_end)
             .groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("order_id"))
 
 

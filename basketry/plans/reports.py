@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from basketry.config import Config
-from basketry.functions.dates import in_dates, in_range, month_abbrev, month_start
+from basketry.functions.dates import in_range, month_abbrev, month_start, within
 from basketry.functions.numeric import safe_divide
 from basketry.functions.segments import RETURNING, VIP
 
 
 def _year(mart: DataFrame, cfg: Config) -> DataFrame:
-    return mart.where(in_dates(cfg.year_start, cfg.year_end))
+    return within(mart, cfg.year_start, cfg.year_end)
 
 
 def _share_of_total(df: DataFrame, col: str, out: str, digits: int = 1) -> DataFrame:

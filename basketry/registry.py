@@ -16,6 +16,7 @@ from basketry.config import DRIVER_CONFIG as CFG
 from basketry.functions.numeric import money
 from basketry.operators.checks import null_count_summary
 from basketry.operators.explore import explore
+from basketry.operators.rollups import Slice
 from basketry.plans import faults as ft
 from basketry.plans import forecast as fc
 from basketry.plans import quality as dq
@@ -90,6 +91,24 @@ def _r(build: Callable[[Marts], DataFrame]) -> Callable[[SparkSession, str], Dat
     return run
 
 
+def _m(view, mart: str, build: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """A metric query: ``build(view, mart, rollups)``; the smallest stored
+    aggregate that covers it is read, else the mart."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = _built(spark, sf_dir)
+        return present(build(view(m.cfg), getattr(m, mart), m.rollups_of(spark, mart)))
+    return run
+
+
+def _mo(dims, measures, grain=None):
+    return _m(sm.orders_view, "mart_orders", lambda v, df, r: explore(
+        v, df, dims, measures, params={"date_granularity": grain} if grain else None, rollups=r))
+
+
+def _ml(dims, measures):
+    return _m(sm.order_lines_view, "mart_order_lines", lambda v, df, r: explore(v, df, dims, measures, rollups=r))
+
+
 _ORDERS_MEASURES = ["order_count", "total_net_sales", "average_order_value", "total_products",
                     "average_products_per_order", "unique_customers", "new_customer_orders",
                     "returning_customer_orders", "vip_orders", "new_customer_revenue",
@@ -220,63 +239,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "faults_order_sales_match": _r(lambda m: dq.order_sales_match(
         ft.faulted_headers(m.stg_orders, m.stg_lines), m.stg_lines)),
     # metric layer
-    "metrics_orders_by_month": _r(lambda m: explore(
-        sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain"], _ORDERS_MEASURES,
-        params={"date_granularity": "month"})),
-    "metrics_orders_by_week": _r(lambda m: explore(
-        sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain"],
-        ["order_count", "total_net_sales", "unique_customers"], params={"date_granularity": "week"})),
-    "metrics_orders_by_day": _r(lambda m: explore(
-        sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain"],
-        ["order_count", "total_net_sales", "average_order_value", "total_products"],
-        params={"date_granularity": "day"})),
-    "metrics_orders_by_quarter_segment": _r(lambda m: explore(
-        sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain", "order_segmentation"],
-        ["order_count", "total_net_sales", "unique_customers", "average_products_per_order"],
-        params={"date_granularity": "quarter"})),
-    "metrics_lines_by_month_profile": _r(lambda m: explore(
-        sm.order_lines_view(m.cfg), m.mart_order_lines, ["order_date_month", "customer_profile"],
-        ["total_net_sales", "total_quantity", "order_count", "unique_customers", "average_revenue_per_unit",
-         "average_quantity_per_order"])),
-    "metrics_segmentation_reconciliation": _r(lambda m: explore(
-        sm.orders_view(m.cfg), m.mart_orders, ["segmentation_reconciliation", "derived_order_segmentation"],
-        ["order_count"])),
-    "metrics_orders_by_segment_profile": _r(lambda m: explore(
-        sm.orders_view(m.cfg), m.mart_orders, ["order_segmentation", "customer_profile"],
-        ["order_count", "total_net_sales", "average_order_value", "average_products_per_order",
-         "unique_customers"])),
-    "metrics_lines_by_product": _r(lambda m: explore(
-        sm.order_lines_view(m.cfg), m.mart_order_lines, ["product_id"], _LINE_MEASURES)),
-    "metrics_lines_by_quarter_segment": _r(lambda m: explore(
-        sm.order_lines_view(m.cfg), m.mart_order_lines, ["order_date_quarter", "order_segmentation"],
-        ["total_net_sales", "total_quantity", "order_count", "unique_products"])),
-    "metrics_vip_revenue_by_quarter": _r(lambda m: sm.focus_metric(
-        sm.orders_view(m.cfg), m.mart_orders, ["order_date_at_selected_grain"], "revenue", "VIP",
-        {"date_granularity": "quarter"})),
-    "metrics_orders_by_raw_date": _r(lambda m: explore(
-        sm.orders_view(m.cfg), m.mart_orders, ["order_date_raw"], ["order_count", "total_products"])),
-    "metrics_orders_by_date": _r(lambda m: explore(
-        sm.orders_view(m.cfg), m.mart_orders, ["order_date_date"], ["order_count", "vip_orders"])),
-    "metrics_orders_by_week_start": _r(lambda m: explore(
-        sm.orders_view(m.cfg), m.mart_orders, ["order_date_week"], ["order_count", "total_net_sales"])),
-    "metrics_lines_by_year": _r(lambda m: explore(
-        sm.order_lines_view(m.cfg), m.mart_order_lines, ["order_date_year"], ["total_net_sales", "unique_products"])),
-    "metrics_orders_by_net_sales": _r(lambda m: explore(
-        sm.orders_view(m.cfg), m.mart_orders, ["net_sales"], ["order_count", "unique_customers"])),
-    "metrics_lines_by_net_sales": _r(lambda m: explore(
-        sm.order_lines_view(m.cfg), m.mart_order_lines, ["net_sales"], ["total_quantity", "order_count"])),
-    **{f"metrics_focus_{focus}": _r(lambda m, focus=focus: sm.focus_metric(
-        sm.orders_view(m.cfg), m.mart_orders, ["order_segmentation", "customer_profile"], focus))
-       for focus in sm.METRIC_FOCUS},
-    **{f"metrics_product_focus_{focus}": _r(lambda m, focus=focus: sm.focus_metric(
-        sm.order_lines_view(m.cfg), m.mart_order_lines, ["product_id"], focus, "Returning"))
-       for focus in sm.PRODUCT_METRIC_FOCUS},
-    "dashboard_filtered_kpis": _r(lambda m: rp.kpi_tiles(m.mart_orders_presentation.where(sm.dashboard_filter(
-        date_from=m.cfg.two_year_start, date_to=m.cfg.year_end, profile="VIP", complete_only=True)))),
-    "drill_vip_orders_in_year": _r(lambda m: sm.drill(m.mart_orders, sm.dashboard_filter(
-        date_from=m.cfg.year_start, date_to=m.cfg.year_end, segment="VIP"), sm.ORDER_DETAIL)),
-    "drill_new_customer_lines_in_year": _r(lambda m: sm.drill(m.mart_order_lines, sm.dashboard_filter(
-        date_from=m.cfg.year_start, date_to=m.cfg.year_end, segment="New"), sm.LINE_DETAIL)),
+    "metrics_orders_by_month": _mo(["order_date_at_selected_grain"], _ORDERS_MEASURES, "month"),
+    "metrics_orders_by_week": _mo(["order_date_at_selected_grain"], ["order_count", "total_net_sales", "unique_customers"], "week"),
+    "metrics_orders_by_day": _mo(["order_date_at_selected_grain"], [
+        "order_count", "total_net_sales", "average_order_value", "total_products"], "day"),
+    "metrics_orders_by_quarter_segment": _mo(["order_date_at_selected_grain", "order_segmentation"], [
+        "order_count", "total_net_sales", "unique_customers", "average_products_per_order"], "quarter"),
+    "metrics_lines_by_month_profile": _ml(["order_date_month", "customer_profile"], [
+        "total_net_sales", "total_quantity", "order_count", "unique_customers", "average_revenue_per_unit",
+        "average_quantity_per_order"]),
+    "metrics_segmentation_reconciliation": _mo(
+        ["segmentation_reconciliation", "derived_order_segmentation"], ["order_count"]),
+    "metrics_orders_by_segment_profile": _mo(["order_segmentation", "customer_profile"], [
+        "order_count", "total_net_sales", "average_order_value", "average_products_per_order", "unique_customers"]),
+    "metrics_lines_by_product": _ml(["product_id"], _LINE_MEASURES),
+    "metrics_lines_by_quarter_segment": _ml(["order_date_quarter", "order_segmentation"], [
+        "total_net_sales", "total_quantity", "order_count", "unique_products"]),
+    "metrics_vip_revenue_by_quarter": _m(sm.orders_view, "mart_orders", lambda v, df, r: sm.focus_metric(
+        v, df, ["order_date_at_selected_grain"], "revenue", "VIP", {"date_granularity": "quarter"}, r)),
+    "metrics_orders_by_raw_date": _mo(["order_date_raw"], ["order_count", "total_products"]),
+    "metrics_orders_by_date": _mo(["order_date_date"], ["order_count", "vip_orders"]),
+    "metrics_orders_by_week_start": _mo(["order_date_week"], ["order_count", "total_net_sales"]),
+    "metrics_lines_by_year": _ml(["order_date_year"], ["total_net_sales", "unique_products"]),
+    "metrics_orders_by_net_sales": _mo(["net_sales"], ["order_count", "unique_customers"]),
+    "metrics_lines_by_net_sales": _ml(["net_sales"], ["total_quantity", "order_count"]),
+    **{f"metrics_focus_{focus}": _m(sm.orders_view, "mart_orders", lambda v, df, r, focus=focus: sm.focus_metric(
+        v, df, ["order_segmentation", "customer_profile"], focus, rollups=r)) for focus in sm.METRIC_FOCUS},
+    **{f"metrics_product_focus_{focus}": _m(sm.order_lines_view, "mart_order_lines", lambda v, df, r, focus=focus: sm.focus_metric(
+        v, df, ["product_id"], focus, "Returning", rollups=r)) for focus in sm.PRODUCT_METRIC_FOCUS},
+    "dashboard_filtered_kpis": _r(lambda m: rp.kpi_tiles(Slice(
+        m.cfg.two_year_start, m.cfg.year_end, profile="VIP", complete_only=True).over(m.mart_orders_presentation))),
+    "drill_vip_orders_in_year": _r(lambda m: sm.drill(m.mart_orders, Slice(
+        m.cfg.year_start, m.cfg.year_end, segment="VIP"), sm.ORDER_DETAIL)),
+    "drill_new_customer_lines_in_year": _r(lambda m: sm.drill(m.mart_order_lines, Slice(
+        m.cfg.year_start, m.cfg.year_end, segment="New"), sm.LINE_DETAIL)),
     # time series and forecast
     "daily_sales_zero_filled": _r(lambda m: fc.daily_series(m.mart_orders)),
     "daily_sales_actuals": _r(lambda m: fc.daily_actuals(m.mart_orders)),
