@@ -333,6 +333,13 @@ class Marts:
     def rollups_of(self, spark: SparkSession, mart: str) -> list:
         return [s for s in self.rolled(spark) if s.rollup.mart == mart]
 
+    def orders_by_day(self, spark: SparkSession) -> DataFrame:
+        """The stored daily sums of the order mart under the mart's column
+        names, for reports that need no single order."""
+        day = next(s for s in self.rolled(spark) if s.rollup.name == "orders_by_day").sums
+        year, month, start = calendar_columns("order_date")
+        return day.select("*", year, month, start)
+
     def slice(self, spark: SparkSession, table: str, **wanted) -> DataFrame:
         """Rows of a clustered table by its clustering keys (a value, or a
         (low, high) pair with both ends): only the zones that can hold them

@@ -1,6 +1,7 @@
 """Report and insight queries over the marts.
 
-Every report is one aggregation pass over a mart (plus at most a tiny
+Every report is one aggregation pass over a mart, or, where it asks for sums
+only, over the stored aggregate by day that has the mart's column names (plus at most a tiny
 post-aggregation over a frame whose size is bounded by the calendar or by the
 number of segment labels). Shares of a total use a window over that small
 aggregated frame, never over raw rows; combining totals of two different
@@ -22,6 +23,21 @@ def _year(mart: DataFrame, cfg: Config) -> DataFrame:
     return within(mart, cfg.year_start, cfg.year_end)
 
 
+def n_orders(df: DataFrame, where=None):
+    """Number of orders (that pass ``where``): of rows of the mart, or of the
+    orders that a stored aggregate's rows stand for."""
+    if "net_sales_count" not in df.columns:
+        return F.count(F.lit(1)) if where is None else F.count_if(where)
+    orders = F.col("order_count") if where is None else F.when(where, F.col("order_count"))
+    return F.coalesce(F.sum(orders), F.lit(0)).cast("bigint")
+
+
+def _mean_quantity(df: DataFrame):
+    if "qty_product_count" not in df.columns:
+        return F.avg("qty_product")
+    return F.sum("qty_product").cast("double") / F.nullif(F.sum("qty_product_count"), F.lit(0)).cast("double")
+
+
 def _share_of_total(df: DataFrame, col: str, out: str, digits: int = 1) -> DataFrame:
     """Share of the column total; ``df`` is an already aggregated frame with a
     bounded number of rows, so the global window is cheap."""
@@ -55,17 +71,17 @@ def combine_rows(*frames: DataFrame) -> DataFrame:
 # -- exercises ------------------------------------------------------------
 
 def orders_in_year(mart: DataFrame, cfg: Config) -> DataFrame:
-    return _year(mart, cfg).agg(F.count(F.lit(1)).alias("nb_orders"))
+    return _year(mart, cfg).agg(n_orders(mart).alias("nb_orders"))
 
 
 def orders_per_month(mart: DataFrame, cfg: Config) -> DataFrame:
     return (_year(mart, cfg).groupBy(month_start("order_date").alias("order_month"))
-            .agg(F.count(F.lit(1)).alias("nb_orders")).orderBy("order_month"))
+            .agg(n_orders(mart).alias("nb_orders")).orderBy("order_month"))
 
 
 def avg_qty_per_month(mart: DataFrame, cfg: Config) -> DataFrame:
     return (_year(mart, cfg).groupBy(month_start("order_date").alias("order_month"))
-            .agg(F.round(F.avg("qty_product"), 2).alias("avg_qty_products_per_order"))
+            .agg(F.round(_mean_quantity(mart), 2).alias("avg_qty_products_per_order"))
             .orderBy("order_month"))
 
 
@@ -75,9 +91,9 @@ def monthly_pattern(mart: DataFrame, cfg: Config) -> DataFrame:
     return (_year(mart, cfg)
             .groupBy(month_abbrev("order_date").alias("month_name"),
                      F.month("order_date").cast("bigint").alias("month_num"))
-            .agg(F.count(F.lit(1)).alias("orders"),
+            .agg(n_orders(mart).alias("orders"),
                  F.sum("qty_product").alias("total_qty"),
-                 F.round(safe_divide(F.sum("qty_product").cast("double"), F.count(F.lit(1))), 2)
+                 F.round(safe_divide(F.sum("qty_product").cast("double"), n_orders(mart)), 2)
                  .alias("avg_products_per_order"),
                  F.round(F.sum("net_sales"), 2).alias("total_revenue"))
             .orderBy("month_num"))
@@ -88,8 +104,8 @@ def quarter_share(mart: DataFrame, cfg: Config, quarter: int = 4) -> DataFrame:
     (one pass with a conditional count instead of a scalar subquery)."""
     in_q = F.quarter("order_date") == quarter
     return _year(mart, cfg).agg(
-        F.count_if(in_q).alias("quarter_orders"),
-        F.round(safe_divide(F.count_if(in_q) * F.lit(100.0), F.count(F.lit(1))), 1).alias("pct_of_year"),
+        n_orders(mart, in_q).alias("quarter_orders"),
+        F.round(safe_divide(n_orders(mart, in_q) * F.lit(100.0), n_orders(mart)), 1).alias("pct_of_year"),
     )
 
 
@@ -97,7 +113,7 @@ def peak_month_ratio(mart: DataFrame, cfg: Config) -> DataFrame:
     """Busiest and quietest month of the report year and their ratio; ties go
     to the earlier month."""
     monthly = _year(mart, cfg).groupBy(F.month("order_date").cast("bigint").alias("m")).agg(
-        F.count(F.lit(1)).alias("cnt"))
+        n_orders(mart).alias("cnt"))
     top = F.max_by(F.struct("cnt", "m"), F.struct(F.col("cnt"), -F.col("m")))
     low = F.min_by(F.struct("cnt", "m"), F.struct(F.col("cnt"), F.col("m")))
     return monthly.agg(top.alias("hi"), low.alias("lo")).select(
@@ -109,15 +125,15 @@ def peak_month_ratio(mart: DataFrame, cfg: Config) -> DataFrame:
 
 def segment_breakdown(mart: DataFrame, cfg: Config, dim: str = "order_segmentation") -> DataFrame:
     agg = _year(mart, cfg).groupBy(dim).agg(
-        F.count(F.lit(1)).alias("orders"), F.round(F.sum("net_sales"), 2).alias("revenue"))
+        n_orders(mart).alias("orders"), F.round(F.sum("net_sales"), 2).alias("revenue"))
     return _share_of_total(agg, "orders", "pct").select(dim, "orders", "pct", "revenue").orderBy(F.desc("orders"))
 
 
 def returning_vip_share(mart: DataFrame, cfg: Config) -> DataFrame:
     hit = F.col("order_segmentation").isin(RETURNING, VIP)
     return _year(mart, cfg).agg(
-        F.count_if(hit).alias("orders"),
-        F.round(safe_divide(F.count_if(hit) * F.lit(100.0), F.count(F.lit(1))), 1).alias("pct"),
+        n_orders(mart, hit).alias("orders"),
+        F.round(safe_divide(n_orders(mart, hit) * F.lit(100.0), n_orders(mart)), 1).alias("pct"),
     )
 
 
@@ -159,8 +175,8 @@ def same_day_collisions(mart: DataFrame) -> DataFrame:
 
 def history_completeness(mart: DataFrame) -> DataFrame:
     f = F.col("has_complete_12_month_history")
-    return mart.agg(F.count_if(f).alias("full_history"), F.count_if(~f).alias("partial_history"),
-                    F.count(F.lit(1)).alias("total"))
+    return mart.agg(n_orders(mart, f).alias("full_history"), n_orders(mart, ~f).alias("partial_history"),
+                    n_orders(mart).alias("total"))
 
 
 def revenue_reconciliation(mart: DataFrame, lines: DataFrame) -> DataFrame:
@@ -211,8 +227,8 @@ def kpi_tiles(presentation: DataFrame) -> DataFrame:
 def daily_trends(mart: DataFrame) -> DataFrame:
     return mart.groupBy("order_date").agg(
         F.round(F.sum("net_sales"), 2).alias("net_sales"),
-        F.count(F.lit(1)).alias("orders"),
-        F.round(safe_divide(F.sum("net_sales"), F.count(F.lit(1))), 2).alias("average_order_value"),
+        n_orders(mart).alias("orders"),
+        F.round(safe_divide(F.sum("net_sales"), n_orders(mart)), 2).alias("average_order_value"),
     )
 
 
@@ -223,7 +239,7 @@ def month_contribution(mart: DataFrame) -> DataFrame:
     and the total is a window over at most 19."""
     half = F.when(F.col("order_month") <= 6, F.lit(1)).otherwise(F.lit(2)).cast("bigint")
     months = mart.groupBy("order_year", "order_month").agg(
-        F.sum("net_sales").alias("revenue"), F.count(F.lit(1)).alias("orders"))
+        F.sum("net_sales").alias("revenue"), n_orders(mart).alias("orders"))
     r = months.withColumn("order_half", half).rollup("order_year", "order_half", "order_month").agg(
         F.sum("revenue").alias("revenue"), F.sum("orders").alias("orders"),
         F.grouping_id().alias("gid"))
@@ -243,7 +259,7 @@ def month_contribution(mart: DataFrame) -> DataFrame:
 
 def quarter_summary(mart: DataFrame) -> DataFrame:
     q = mart.groupBy("order_year", F.quarter("order_date").cast("bigint").alias("order_quarter")).agg(
-        F.sum("net_sales").alias("revenue"), F.count(F.lit(1)).alias("orders"))
+        F.sum("net_sales").alias("revenue"), n_orders(mart).alias("orders"))
     grand = Window.partitionBy()
     return q.select(
         "order_year", "order_quarter", F.round("revenue", 2).alias("revenue"),
@@ -257,15 +273,15 @@ def sales_by(mart: DataFrame, dim: str) -> DataFrame:
     """Net sales and orders per value of ``dim`` (order segment or customer
     profile)."""
     return mart.groupBy(dim).agg(F.round(F.sum("net_sales"), 2).alias("net_sales"),
-                                 F.count(F.lit(1)).alias("orders"))
+                                 n_orders(mart).alias("orders"))
 
 
 def segment_table(mart: DataFrame, dim: str = "order_segmentation") -> DataFrame:
     return mart.groupBy(dim).agg(
-        F.count(F.lit(1)).alias("orders"),
+        n_orders(mart).alias("orders"),
         F.round(F.sum("net_sales"), 2).alias("net_sales"),
-        F.round(safe_divide(F.sum("net_sales"), F.count(F.lit(1))), 2).alias("average_order_value"),
-        F.round(safe_divide(F.sum("qty_product").cast("double"), F.count(F.lit(1))), 2)
+        F.round(safe_divide(F.sum("net_sales"), n_orders(mart)), 2).alias("average_order_value"),
+        F.round(safe_divide(F.sum("qty_product").cast("double"), n_orders(mart)), 2)
         .alias("avg_products_per_order"),
     )
 
@@ -302,7 +318,7 @@ def units_histogram(line_presentation: DataFrame, width: int = 10) -> DataFrame:
 def segment_share_in_year(mart: DataFrame, cfg: Config) -> DataFrame:
     """Share of orders and of revenue per segment in the report year."""
     agg = _year(mart, cfg).groupBy("order_segmentation").agg(
-        F.count(F.lit(1)).alias("orders"), F.sum("net_sales").alias("revenue"))
+        n_orders(mart).alias("orders"), F.sum("net_sales").alias("revenue"))
     grand = Window.partitionBy()
     return agg.select(
         "order_segmentation", "orders",

@@ -91,6 +91,14 @@ def _r(build: Callable[[Marts], DataFrame]) -> Callable[[SparkSession, str], Dat
     return run
 
 
+def _d(build: Callable) -> Callable[[SparkSession, str], DataFrame]:
+    """A report over daily sums of orders: ``build(days, cfg)``."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        m = _built(spark, sf_dir)
+        return present(build(m.orders_by_day(spark), m.cfg))
+    return run
+
+
 def _m(view, mart: str, build: Callable) -> Callable[[SparkSession, str], DataFrame]:
     """A metric query: ``build(view, mart, rollups)``; the smallest stored
     aggregate that covers it is read, else the mart."""
@@ -173,37 +181,37 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "exercise_4_orders_with_qty": _r(lambda m: m.exercise_4),
     "exercise_6_orders_segmented": _r(lambda m: m.exercise_6),
     # exercises
-    "ex1_orders_in_year": _r(lambda m: rp.orders_in_year(m.mart_orders, m.cfg)),
-    "ex2_orders_per_month": _r(lambda m: rp.orders_per_month(m.mart_orders, m.cfg)),
-    "ex3_avg_qty_per_month": _r(lambda m: rp.avg_qty_per_month(m.mart_orders, m.cfg)),
+    "ex1_orders_in_year": _d(lambda days, cfg: rp.orders_in_year(days, cfg)),
+    "ex2_orders_per_month": _d(lambda days, cfg: rp.orders_per_month(days, cfg)),
+    "ex3_avg_qty_per_month": _d(lambda days, cfg: rp.avg_qty_per_month(days, cfg)),
     # insights
-    "monthly_pattern": _r(lambda m: rp.monthly_pattern(m.mart_orders, m.cfg)),
-    "quarter_share": _r(lambda m: rp.quarter_share(m.mart_orders, m.cfg)),
-    "peak_month_ratio": _r(lambda m: rp.peak_month_ratio(m.mart_orders, m.cfg)),
-    "segment_breakdown": _r(lambda m: rp.segment_breakdown(m.mart_orders, m.cfg)),
-    "returning_vip_share": _r(lambda m: rp.returning_vip_share(m.mart_orders, m.cfg)),
+    "monthly_pattern": _d(lambda days, cfg: rp.monthly_pattern(days, cfg)),
+    "quarter_share": _d(lambda days, cfg: rp.quarter_share(days, cfg)),
+    "peak_month_ratio": _d(lambda days, cfg: rp.peak_month_ratio(days, cfg)),
+    "segment_breakdown": _d(lambda days, cfg: rp.segment_breakdown(days, cfg)),
+    "returning_vip_share": _d(lambda days, cfg: rp.returning_vip_share(days, cfg)),
     "overall_stats": _r(lambda m: rp.overall_stats(m.mart_orders, m.cfg)),
     "orphan_line_count": _r(lambda m: rp.orphan_line_count(m.stg_lines, m.stg_orders)),
     "same_day_collisions": _r(lambda m: rp.same_day_collisions(m.mart_orders)),
-    "history_completeness": _r(lambda m: rp.history_completeness(m.mart_orders)),
+    "history_completeness": _d(lambda days, cfg: rp.history_completeness(days)),
     "revenue_reconciliation": _r(lambda m: rp.revenue_reconciliation(m.mart_orders, m.mart_order_lines)),
     "data_summary": _r(lambda m: rp.data_summary(m.stg_orders, m.stg_lines, m.mart_orders, m.mart_order_lines)),
     "freshness": _r(lambda m: rp.freshness(m.mart_orders)),
     # dashboard
     "kpi_tiles": _r(lambda m: rp.kpi_tiles(m.mart_orders_presentation)),
-    "daily_trends": _r(lambda m: rp.daily_trends(m.mart_orders)),
-    "month_contribution": _r(lambda m: rp.month_contribution(m.mart_orders)),
-    "quarter_summary": _r(lambda m: rp.quarter_summary(m.mart_orders)),
-    "sales_by_order_segment": _r(lambda m: rp.sales_by(m.mart_orders, "order_segmentation")),
-    "sales_by_customer_profile": _r(lambda m: rp.sales_by(m.mart_orders, "customer_profile")),
-    "segment_table": _r(lambda m: rp.segment_table(m.mart_orders)),
+    "daily_trends": _d(lambda days, cfg: rp.daily_trends(days)),
+    "month_contribution": _d(lambda days, cfg: rp.month_contribution(days)),
+    "quarter_summary": _d(lambda days, cfg: rp.quarter_summary(days)),
+    "sales_by_order_segment": _d(lambda days, cfg: rp.sales_by(days, "order_segmentation")),
+    "sales_by_customer_profile": _d(lambda days, cfg: rp.sales_by(days, "customer_profile")),
+    "segment_table": _d(lambda days, cfg: rp.segment_table(days)),
     "top_products_by_revenue": _r(lambda m: rp.top_products(m.mart_product_summary, "revenue", m.cfg.top_n)),
     "top_products_by_units": _r(lambda m: rp.top_products(m.mart_product_summary, "units", m.cfg.top_n)),
     "revenue_by_product": _r(lambda m: rp.revenue_by_product(m.mart_order_lines_presentation)),
     "units_histogram": _r(lambda m: rp.units_histogram(m.mart_order_lines_presentation,
                                                        m.cfg.histogram_bucket_width)),
-    "segment_share_in_year": _r(lambda m: rp.segment_share_in_year(m.mart_orders, m.cfg)),
-    "q4_revenue_share": _r(lambda m: rp.quarter_revenue_share(m.mart_orders, 4)),
+    "segment_share_in_year": _d(lambda days, cfg: rp.segment_share_in_year(days, cfg)),
+    "q4_revenue_share": _d(lambda days, cfg: rp.quarter_revenue_share(days, 4)),
     # data quality
     "dq_check_summary": _r(lambda m: dq.check_summary(m)),
     "dq_mart_orders_null_profile": _r(lambda m: null_count_summary(m.mart_orders, m.mart_orders.columns,

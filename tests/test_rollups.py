@@ -101,3 +101,18 @@ def test_awkward_ids_and_values(spark, tmp_path):
                 measures = list(view.measures)
                 got = explore(view, getattr(m, mart), dims, measures, rollups=m.rollups_of(spark, mart))
                 assert rows(got) == rows(explore(view, getattr(m, mart), dims, measures)), (mart, dims)
+
+
+def test_reports_from_daily_sums_equal_the_mart(spark, built):
+    from basketry.plans import reports as rp
+    days, mart = built.orders_by_day(spark), built.mart_orders
+    for report in (rp.orders_in_year, rp.orders_per_month, rp.avg_qty_per_month, rp.monthly_pattern, rp.quarter_share,
+                   rp.peak_month_ratio, rp.segment_breakdown, rp.returning_vip_share, rp.segment_share_in_year):
+        assert rows(report(days, CFG)) == rows(report(mart, CFG)), report.__name__
+        later = CFG.with_(report_year=2050)   # a year without orders
+        assert rows(report(days, later)) == rows(report(mart, later)), report.__name__
+    for report in (rp.history_completeness, rp.daily_trends, rp.month_contribution, rp.quarter_summary, rp.segment_table, rp.quarter_revenue_share):
+        assert rows(report(days)) == rows(report(mart)), report.__name__
+    for dim in PLAIN:
+        assert rows(rp.sales_by(days, dim)) == rows(rp.sales_by(mart, dim))
+    assert all("/rollups/orders_by_day" in f for f in rp.month_contribution(days).inputFiles())
