@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -67,23 +68,27 @@ class Pieces:
             raise ValueError("the model normalises its text")
         if any(p.type in (USER_DEFINED, UNUSED) for p in spec.pieces):
             raise ValueError("the model has user-defined or unused pieces")
-        self.prefix = SIGN if rules.add_dummy_prefix else ""
-        self.pieces = {p.piece: (p.score, i) for i, p in enumerate(spec.pieces) if p.type == NORMAL}
+        # a space stands for the word sign: texts and stretches stay compact strings
+        self.prefix = " " if rules.add_dummy_prefix else ""
+        self.pieces = {p.piece.replace(SIGN, " "): (p.score, i) for i, p in enumerate(spec.pieces) if p.type == NORMAL}
         self.byte = {int(p.piece[3:5], 16): i for i, p in enumerate(spec.pieces) if p.type == BYTE}
         self.unknown = next(i for i, p in enumerate(spec.pieces) if p.type == UNKNOWN)
         self.surface = [spec.trainer_spec.unk_surface if p.type == UNKNOWN else "" if p.type == CONTROL else p.piece for p in spec.pieces]
         self.bytes_of = {i: b for b, i in self.byte.items()}
         self.inside = {p[k:k + 2] for p in self.pieces for k in range(len(p) - 1)}
         # a stretch begins at a word sign after another character, where no piece has that
-        inner = any(pair[1] == SIGN != pair[0] for pair in self.inside)
-        self.stretch = re.compile("[^\n]+|\n" if inner else f"{SIGN}*[^{SIGN}\n]+|{SIGN}+|\n")
+        inner = any(pair[1] == " " != pair[0] for pair in self.inside)
+        self.stretch = re.compile("[^\n]+|\n" if inner else " *[^ \n]+| +|\n")
         self.held: dict[str, bytes] = {}
         self.long = 0
         self.plain = [s.replace(SIGN, " ").encode() for s in self.surface]
         for i, b in self.bytes_of.items():
             self.plain[i] = bytes([b])
-        # the same as arrays: piece of a character, and rank and piece of a pair of pieces
+        # the same as arrays: piece of a character, and rank (by score; the best is 0) of a pair of pieces
         self.of_char = np.full(0x110000, -1, np.int32)
+        by_score = sorted((-score, i) for score, i in self.pieces.values())
+        rank = {i: k for k, (_, i) in enumerate(by_score)}
+        self.of_rank = np.array([i for _, i in by_score] + [-1], np.int32)
         pairs = []
         for piece, (_, i) in self.pieces.items():
             if len(piece) == 1:
@@ -91,13 +96,15 @@ class Pieces:
             for k in range(1, len(piece)):
                 left, right = self.pieces.get(piece[:k]), self.pieces.get(piece[k:])
                 if left and right:
-                    pairs.append((left[1] * len(spec.pieces) + right[1], -self.pieces[piece][0], i))
+                    pairs.append((left[1] * len(spec.pieces) + right[1], rank[i]))
         pairs.sort()
         self.keys = np.array([x[0] for x in pairs] + [np.iinfo(np.int64).max], np.int64)
-        ranks = np.unique(np.array([x[1] for x in pairs]), return_inverse=True)[1]
-        self.ranks = np.append(ranks, DEAD).astype(np.int32)
-        self.joins = np.array([x[2] for x in pairs] + [-1], np.int32)
+        self.ranks = np.array([x[1] for x in pairs] + [DEAD], np.int32)
         self.count = len(spec.pieces)
+        # pieces of one score are told apart by place, which ranks cannot say
+        scores = Counter(score for score, _ in self.pieces.values())
+        tied = [p for p, (score, _) in self.pieces.items() if scores[score] > 1 and len(p) > 1]
+        self.ties = re.compile("|".join(map(re.escape, sorted({p[:2] for p in tied}))) if tied else "(?!)")
 
     def merged(self, text: str) -> list[int]:
         """Ids of a stretch, by the agenda."""
@@ -148,13 +155,12 @@ class Pieces:
         cuts = [k for k in range(1, len(text)) if text[k - 1:k + 1] not in self.inside]
         return [i for a, b in zip([0, *cuts], [*cuts, len(text)]) for i in self.merged(text[a:b])]
 
-    def rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rank (the best is 0, DEAD: no piece) and piece of each pair."""
+    def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair (DEAD: no piece)."""
         key = left.astype(np.int64) * self.count + right
         key[(left < 0) | (right < 0)] = -1
         at = np.searchsorted(self.keys, key)
-        fits = self.keys[at] == key
-        return np.where(fits, self.ranks[at], DEAD), np.where(fits, self.joins[at], -1)
+        return np.where(self.keys[at] == key, self.ranks[at], DEAD)
 
     def together(self, words: list[str]) -> list[bytes]:
         """Ids of stretches of characters that are pieces, as bytes: an agenda
@@ -167,27 +173,28 @@ class Pieces:
         symbol[:, :wide][used] = self.of_char[codes]
         after = np.broadcast_to(np.arange(1, wide + 2, dtype=np.int32), (n, wide + 1)).copy()
         before = after - 2
-        agenda, join = np.full((n, wide + 1), DEAD, np.int32), np.full((n, wide + 1), -1, np.int32)
-        agenda[:, :wide - 1], join[:, :wide - 1] = (
-            x.reshape(n, wide - 1) for x in self.rank(symbol[:, :wide - 1].ravel(), symbol[:, 1:wide].ravel()))
+        agenda = np.full((n, wide + 1), DEAD, np.int32)
+        pair = used[:, 1:]
+        agenda[:, :wide - 1][pair] = self.rank(symbol[:, :wide - 1][pair], symbol[:, 1:wide][pair])
         rows, left = np.arange(n), agenda
         while True:
             place = left.argmin(1)
-            active = left[np.arange(len(rows)), place] != DEAD
-            if not active.any():
-                break
+            best = left[np.arange(len(rows)), place]
+            active = best != DEAD
             if not active.all():
-                rows, place = rows[active], place[active]
+                rows, place, best = rows[active], place[active], best[active]
+                if not len(rows):
+                    break
             gone = after[rows, place]
-            symbol[rows, place] = join[rows, place]
+            behind = np.minimum(after[rows, gone], wide)
+            joined = symbol[rows, place] = self.of_rank[best]
             symbol[rows, gone], agenda[rows, gone] = -1, DEAD
-            behind = after[rows, place] = after[rows, gone]
-            before[rows, np.minimum(behind, wide)] = place
-            agenda[rows, place], join[rows, place] = self.rank(symbol[rows, place], symbol[rows, np.minimum(behind, wide)])
-            some = before[rows, place] >= 0
-            r, p = rows[some], place[some]
-            ahead = before[r, p]
-            agenda[r, ahead], join[r, ahead] = self.rank(symbol[r, ahead], symbol[r, p])
+            after[rows, place], before[rows, behind] = behind, place
+            ahead = before[rows, place]  # -1: none, and then the row's end has no piece
+            agenda[rows, place] = self.rank(joined, symbol[rows, behind])
+            some = ahead >= 0
+            r, p = rows[some], ahead[some]
+            agenda[r, p] = self.rank(symbol[r, p], joined[some])
             left = agenda[rows]
         alive = symbol >= 0
         ids, ends = symbol[alive].tobytes(), np.cumsum(alive.sum(1)) * 4
@@ -201,6 +208,7 @@ class Pieces:
         size = np.array([len(w) for w in words])
         missing = self.of_char[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)] < 0
         odd = (np.add.reduceat(missing, np.cumsum(size) - size) > 0) | (size > MOST_TOGETHER)
+        odd |= np.array([self.ties.search(w) is not None for w in words])
         for k in np.flatnonzero(odd):
             self.held[words[k]] = np.array(self.parts(words[k]), "<i4").tobytes()
         words = [words[k] for k in np.flatnonzero(~odd)]
@@ -223,7 +231,7 @@ class Pieces:
         if len(self.held) >= MOST_HELD or self.long > MOST_LONG:
             self.held.clear()
             self.long = 0
-        words = [self.stretch.findall(self.prefix + t.replace(" ", SIGN)) if t else [] for t in texts]
+        words = [self.stretch.findall(self.prefix + t.replace(SIGN, " ")) if t else [] for t in texts]
         ids = [list(map(self.held.get, some)) for some in words]
         gaps = [[k for k, x in enumerate(found) if x is None] for found in ids]
         new = {some[k] for some, places in zip(words, gaps) for k in places}

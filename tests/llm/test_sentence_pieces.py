@@ -74,7 +74,7 @@ def test_long_stretches_and_forgetting(pieces, monkeypatch):
 
 def test_heap_and_rows_agree(pieces):
     r = random.Random(7)
-    words = ["▁" * r.randint(0, 20) + "".join(r.choice("etaoinsh") for _ in range(r.randint(1, 40))) for _ in range(500)]
+    words = [" " * r.randint(0, 1) + "".join(r.choice("etaoinsh") for _ in range(r.randint(1, 40))) for _ in range(500)]
     assert pieces.together(words) == [sp.np.array(pieces.merged(w), "<i4").tobytes() for w in words]
 
 
