@@ -6,15 +6,16 @@ is the forecast function of ARIMA(0,1,1). The smoothing weight is chosen per
 series from a grid by the least sum of squared one-step errors.
 
 Scale: raw rows are reduced to one value per (series key, day) by a partial
-aggregate first. A series is then one sorted array whose length is the number
-of calendar days in it (bounded by the calendar, not by the order volume), so
-the fit of every series is a single JVM-side ``aggregate`` over that array and
-all series are fitted in parallel, one row per series.
+aggregate first. A series is then one row with one sorted array whose length
+is the number of calendar days in it (bounded by the calendar, not by the order
+volume). Missing days, weekday index, smoothing, forecast and backtest are all
+computed inside that array by JVM-side ``transform`` and ``aggregate``: two
+exchanges, no join, all series in parallel.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.numeric import CENTS, floor_at_zero
@@ -35,10 +36,7 @@ def _cents(c):
 
 
 def _day_sums(mart: DataFrame, keys, date_col: str, value_col: str) -> DataFrame:
-    """The one aggregation over the order rows: exact sums per (key, day).
-    Actual rows and the zero-filled series are both derived from it, so the
-    order table is scanned and shuffled once (the identical subplans share
-    one exchange)."""
+    """The one aggregation over the order rows: exact sums per (key, day)."""
     return mart.groupBy(*keys, F.col(date_col).alias("date")).agg(F.sum(value_col).alias("__sum"))
 
 
@@ -56,123 +54,113 @@ def daily_series(mart: DataFrame, keys=(), date_col: str = "order_date", value_c
     return _series_from_sums(_day_sums(mart, keys, date_col, value_col), keys)
 
 
-def _actuals_from_sums(sums: DataFrame, keys) -> DataFrame:
-    return sums.select(*keys, "date", _cents(F.col("__sum")).alias(VALUE))
-
-
 def daily_actuals(mart: DataFrame, keys=(), date_col: str = "order_date", value_col: str = "net_sales") -> DataFrame:
     """Only the days that have orders (no zero fill)."""
     keys = list(keys)
-    return _actuals_from_sums(_day_sums(mart, keys, date_col, value_col), keys)
+    return _day_sums(mart, keys, date_col, value_col).select(*keys, "date", _cents(F.col("__sum")).alias(VALUE))
 
 
 def days_without_orders(mart: DataFrame, keys=(), date_col: str = "order_date") -> DataFrame:
     return missing_days(mart, date_col, keys).select(*keys, F.col(date_col).alias("date"))
 
 
-def weekday_index(series: DataFrame, keys=()) -> DataFrame:
-    """Mean per weekday minus the overall mean, per key (7 rows per key)."""
-    keys = list(keys)
-    by_dow = series.groupBy(*keys, F.dayofweek("date").alias("dow")).agg(
-        F.sum(VALUE).alias("__s"), F.count(F.lit(1)).alias("__n"))
-    # The overall mean comes from the (at most 7) weekday rows of the key.
-    per_key = Window.partitionBy(*keys)
-    # Exact decimal sums, converted to DOUBLE once: the index does not depend
-    # on the order in which partial sums are merged.
-    mean = F.sum("__s").over(per_key).cast("double") / F.sum("__n").over(per_key)
-    return by_dow.select(*keys, "dow", (F.col("__s").cast("double") / F.col("__n") - mean).alias("dow_index"))
+def _arrays(mart: DataFrame, keys, date_col: str = "order_date", value_col: str = "net_sales") -> DataFrame:
+    """One row per key: ``points`` (date, sum) of the days with orders, and
+    ``days``, the dense series from the first to the last date in cents."""
+    sums = _day_sums(mart, keys, date_col, value_col)
+    rows = sums.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("date", F.col("__sum").alias("sum")))).alias("points"))
+    return _dense(rows.withColumn("__dated", F.expr("filter(points, p -> p.date IS NOT NULL)")), "round(p.sum, 2)")
+
+
+def _dense(rows: DataFrame, value: str) -> DataFrame:
+    """``days`` and ``first_date`` from ``__dated``, sorted (date, ...): the
+    zeros between two of its dates are put before the second."""
+    zero = "CAST(0 AS DECIMAL(38,2))"
+    filled = (f"flatten(transform(__dated, (p, i) -> concat(array_repeat({zero}, CASE WHEN i = 0 THEN 0 ELSE "
+              f"datediff(p.date, get(__dated, i - 1).date) - 1 END), array(coalesce(CAST({value} AS DECIMAL(38,2)), {zero})))))")
+    return rows.withColumns({"days": F.expr(filled), "first_date": F.expr("get(__dated, 0).date")}).drop("__dated")
 
 
 def _alphas_sql(alphas) -> str:
     return "array(" + ", ".join(f"CAST({a!r} AS DOUBLE)" for a in alphas) + ")"
 
 
-def fit(series: DataFrame, keys=(), alphas=DEFAULT_ALPHAS) -> DataFrame:
-    """One row per key: alpha, level, sse, sigma, n, last date.
+def _fitted(rows: DataFrame, alphas=DEFAULT_ALPHAS) -> DataFrame:
+    """``rows`` (days, first_date) with n, dow (weekday of the first day, 0 is
+    Sunday), dow_index (mean of each weekday minus the overall mean; NULL
+    for a weekday that does not occur), last_date, alpha, level, sse, sigma.
 
+    Weekday means come from exact decimal sums, converted to DOUBLE once.
     Levels: l_1 = y_1, l_t = a*y_t + (1-a)*l_{t-1}; one-step error
     e_t = y_t - l_{t-1}; sigma^2 = sse / (n - 1)."""
-    keys = list(keys)
-    idx = weekday_index(series, keys)
-    s = series.withColumn("dow", F.dayofweek("date"))
-    s = join_on_keys(s, idx, keys, ["dow"], "inner")
-    s = s.withColumn("__y", F.col(VALUE).cast("double") - F.col("dow_index"))
-    arr = s.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("date"), F.col("__y")))).alias("__pts"),
-        F.max("date").alias("last_date"))
-    arr = arr.withColumn("__ys", F.expr("transform(__pts, p -> p.__y)"))
+    rows = rows.withColumns({"n": F.size("days").cast("bigint"), "dow": F.dayofweek("first_date") - 1})
+    total = lambda days: (f"CAST(aggregate({days}, CAST(0 AS DECIMAL(38,2)), "
+                          "(acc, v) -> CAST(acc + v AS DECIMAL(38,2))) AS DOUBLE)")
+    index = (f"transform(transform(sequence(0, 6), w -> filter(days, (v, i) -> (dow + i) % 7 = w)), "
+             f"own -> CASE WHEN size(own) > 0 THEN {total('own')} / size(own) - __mean END)")
+    rows = rows.withColumn("__mean", F.expr(f"CASE WHEN n > 0 THEN {total('days')} / n END"))
+    rows = rows.withColumn("dow_index", F.expr(index))
+    rows = rows.withColumn("__ys", F.expr("transform(days, (v, i) -> CAST(v AS DOUBLE) - get(dow_index, (dow + i) % 7))"))
     # One smoothing pass per weight; the finish function emits the (sse,
     # alpha, level) struct, so the pass is not repeated per field.
     one = (
-        "aggregate(slice(__ys, 2, size(__ys) - 1), "
-        "named_struct('level', __ys[0], 'sse', CAST(0 AS DOUBLE)), "
+        "aggregate(slice(__ys, 2, size(__ys)), "
+        "named_struct('level', get(__ys, 0), 'sse', CAST(0 AS DOUBLE)), "
         "(acc, y) -> named_struct('level', a * y + (1 - a) * acc.level, "
         "'sse', acc.sse + (y - acc.level) * (y - acc.level)), "
         "acc -> named_struct('sse', acc.sse, 'alpha', a, 'level', acc.level))"
     )
-    best = F.expr(f"array_min(transform({_alphas_sql(alphas)}, a -> {one}))")
-    fitted = arr.select(*keys, "last_date", F.size("__ys").cast("bigint").alias("n"), best.alias("__b"))
-    return fitted.select(
-        *keys, "last_date", "n",
-        F.col("__b.alpha").alias("alpha"), F.col("__b.level").alias("level"), F.col("__b.sse").alias("sse"),
-        F.sqrt(F.col("__b.sse") / F.when(F.col("n") > 1, F.col("n") - 1)).alias("sigma"),
-    )
+    best = F.expr(f"CASE WHEN n > 0 THEN array_min(transform({_alphas_sql(alphas)}, a -> {one})) END")
+    rows = rows.withColumn("__b", best).drop("__ys", "__mean")
+    return rows.withColumns({
+        "last_date": F.expr("date_add(first_date, CAST(n AS INT) - 1)"),
+        "alpha": F.col("__b.alpha"), "level": F.col("__b.level"), "sse": F.col("__b.sse"),
+        "sigma": F.sqrt(F.col("__b.sse") / F.when(F.col("n") > 1, F.col("n") - 1))}).drop("__b")
 
 
-def forecast_steps(model: DataFrame, idx: DataFrame, keys=(), horizon: int = 30) -> DataFrame:
-    """Rows for steps 1..horizon after each key's last day, with a 95 %
-    band whose half width grows as sigma * sqrt(1 + (h-1) alpha^2); the lower
-    bound is floored at 0 (a NULL bound stays NULL)."""
-    keys = list(keys)
-    steps = model.select(*keys, "last_date", "alpha", "level", "sigma",
-                         F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("step"))
-    steps = steps.withColumn("date", F.date_add("last_date", F.col("step"))).withColumn(
-        "dow", F.dayofweek("date"))
-    steps = join_on_keys(steps, idx, keys, ["dow"])
-    value = F.col("level") + F.coalesce(F.col("dow_index"), F.lit(0.0))
-    half = F.lit(Z95) * F.col("sigma") * F.sqrt(F.lit(1.0) + (F.col("step") - 1) * F.col("alpha") * F.col("alpha"))
-    return steps.select(
-        *keys, "date", F.col("step").cast("bigint").alias("step"), value.alias("forecast_value"),
-        floor_at_zero(value - half).alias("confidence_lower"), (value + half).alias("confidence_upper"))
+MODEL = ["last_date", "n", "alpha", "level", "sse", "sigma"]
 
 
-def _actual_rows(sums: DataFrame, keys, with_horizon: bool) -> DataFrame:
-    a = _actuals_from_sums(sums, keys)
-    cols = [*keys, "date", F.col(VALUE).cast("double").alias(VALUE),
-            F.lit(None).cast("double").alias("forecast_value"),
-            F.lit(None).cast("double").alias("confidence_lower"),
-            F.lit(None).cast("double").alias("confidence_upper"),
-            F.lit("Actual").alias("series_type")]
-    if with_horizon:
-        cols.append(F.lit(None).cast("bigint").alias("horizon"))
-    return a.select(*cols)
+def fit(series: DataFrame, keys=(), alphas=DEFAULT_ALPHAS) -> DataFrame:
+    """One row per key of a dense daily series: alpha, level, sse, sigma, n,
+    last date."""
+    keys = list(keys)
+    rows = series.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("date", VALUE))).alias("__dated"))
+    return _fitted(_dense(rows, f"p.{VALUE}"), alphas).where("n > 0").select(*keys, *MODEL)
+
+
+def _with_forecast(rows: DataFrame, keys, horizons, alphas, with_horizon: bool) -> DataFrame:
+    """The actual rows of every series and its forecast rows for each horizon:
+    steps 1..horizon after the last day with a 95 % band whose half width grows
+    as sigma * sqrt(1 + (h-1) alpha^2); the lower bound is floored at 0 (a NULL
+    bound stays NULL). All rows of a series come out of its one row."""
+    fitted = _fitted(rows, alphas)
+    actual = "transform(points, p -> struct(p.date AS date, CAST(NULL AS INT) AS step, p.sum AS sum, CAST(NULL AS BIGINT) AS horizon))"
+    ahead = ("flatten(transform(array({}), h -> transform(sequence(1, CAST(h AS INT)), s -> struct(date_add(last_date, s) AS date, s AS step, "
+             "CAST(NULL AS {}) AS sum, h AS horizon))))").format(
+        ", ".join(f"CAST({h} AS BIGINT)" for h in horizons), rows.schema["points"].dataType.elementType["sum"].dataType.simpleString())
+    out = fitted.select(*keys, "n", "dow", "dow_index", "alpha", "level", "sigma", F.inline(F.expr(
+        f"concat({actual}, CASE WHEN n > 0 THEN {ahead} ELSE array() END)")))
+    value = F.col("level") + F.coalesce(F.expr("get(dow_index, CAST((dow + n - 1 + step) % 7 AS INT))"), F.lit(0.0))
+    half = F.lit(Z95) * F.col("sigma") * F.sqrt(F.lit(1.0) + (F.col("step") - 1) * F.col("alpha") * F.col("alpha"))
+    is_step = F.col("step").isNotNull()
+    columns = [*keys, "date", F.when(~is_step, _cents(F.col("sum")).cast("double")).alias(VALUE),
+               F.when(is_step, value).alias("forecast_value"), F.when(is_step, floor_at_zero(value - half)).alias("confidence_lower"),
+               F.when(is_step, value + half).alias("confidence_upper"),
+               F.when(is_step, "Forecast").otherwise("Actual").alias("series_type")]
+    return out.select(*columns, *(["horizon"] if with_horizon else []))
 
 
 def sales_forecast(mart: DataFrame, keys=(), horizon: int = 30, alphas=DEFAULT_ALPHAS) -> DataFrame:
     """Actual daily sales followed by ``horizon`` forecast days."""
     keys = list(keys)
-    sums = _day_sums(mart, keys, "order_date", "net_sales")
-    series = _series_from_sums(sums, keys)
-    idx = weekday_index(series, keys)
-    steps = forecast_steps(fit(series, keys, alphas), idx, keys, horizon)
-    fc = steps.select(*keys, "date", F.lit(None).cast("double").alias(VALUE), "forecast_value",
-                      "confidence_lower", "confidence_upper", F.lit("Forecast").alias("series_type"))
-    return _actual_rows(sums, keys, False).unionByName(fc)
+    return _with_forecast(_arrays(mart, keys), keys, [horizon], alphas, False)
 
 
 def sales_forecast_all(mart: DataFrame, keys=(), horizons=HORIZONS, alphas=DEFAULT_ALPHAS) -> DataFrame:
-    """Actuals plus one block of forecast rows per horizon. The longest
-    horizon is forecast once and replicated for the shorter ones."""
+    """Actuals plus one block of forecast rows per horizon, from one fit."""
     keys = list(keys)
-    sums = _day_sums(mart, keys, "order_date", "net_sales")
-    series = _series_from_sums(sums, keys)
-    idx = weekday_index(series, keys)
-    steps = forecast_steps(fit(series, keys, alphas), idx, keys, max(horizons))
-    hz = F.explode(F.array(*[F.lit(h).cast("bigint") for h in horizons])).alias("horizon")
-    fc = steps.select("*", hz).where(F.col("step") <= F.col("horizon")).select(
-        *keys, "date", F.lit(None).cast("double").alias(VALUE), "forecast_value", "confidence_lower",
-        "confidence_upper", F.lit("Forecast").alias("series_type"), "horizon")
-    return _actual_rows(sums, keys, True).unionByName(fc)
+    return _with_forecast(_arrays(mart, keys), keys, horizons, alphas, True)
 
 
 def horizon_view(forecast_all: DataFrame, horizon: int) -> DataFrame:
@@ -192,39 +180,36 @@ def latest_days(forecast: DataFrame, n: int = 5) -> DataFrame:
 
 def backtest(mart: DataFrame, keys=(), holdouts=HORIZONS, alphas=DEFAULT_ALPHAS) -> DataFrame:
     """Hold out the last h days of every series, fit on the rest, forecast h
-    days and score against the zero-filled actual days of the hold-out.
-    All (key, hold-out) pairs are fitted together as separate series.
-    ME is actual minus forecast (negative = over-forecast). A series without a
-    day left to train on has its row as well, with n = 0 and NULL scores."""
+    days and score against the zero-filled actual days of the hold-out. A
+    series is one array, of which each hold-out fits a beginning and scores the
+    end. ME is actual minus forecast (negative = over-forecast). A series
+    without a day left to train on has its row as well, with n = 0 and NULL
+    scores."""
     keys = list(keys)
-    series = daily_series(mart, keys)
-    # A series holds one row per calendar day, so the window is bounded.
-    last = F.max("date").over(Window.partitionBy(*keys))
-    hz = F.explode(F.array(*[F.lit(h).cast("bigint") for h in holdouts])).alias("holdout_days")
-    tagged = series.select("*", last.alias("__last"), hz)
-    tagged = tagged.withColumn("__train", F.col("date") <= F.date_sub("__last", F.col("holdout_days").cast("int")))
-    k2 = [*keys, "holdout_days"]
-    train = tagged.where("__train").select(*k2, "date", VALUE)
-    test = tagged.where(~F.col("__train")).select(*k2, "date", F.col(VALUE).cast("double").alias("actual"))
-    idx = weekday_index(train, k2)
-    steps = forecast_steps(fit(train, k2, alphas), idx, k2, max(holdouts))
-    j = join_on_keys(test, steps.select(*k2, "date", F.col("forecast_value").alias("forecast")), k2, ["date"])
-    e = F.col("actual") - F.col("forecast")
-    return (j.groupBy(*k2).agg(
-        F.count("forecast").alias("n"),
-        F.avg(F.abs(e)).alias("mae"),
-        F.sqrt(F.avg(e * e)).alias("rmse"),
-        (F.avg(F.abs(e) / F.nullif(F.abs(F.col("actual")), F.lit(0.0))) * 100).alias("mape"),
-        F.avg(e).alias("me"),
-        F.sum(F.when(F.col("forecast").isNotNull(), F.col("actual"))).alias("actual_sum"),
-        F.sum("forecast").alias("forecast_sum"),
-    ))
+    rows = _arrays(mart, keys).where(F.size("days") > 0).select(*keys, "first_date", F.col("days").alias("__all"), F.explode(
+        F.array(*[F.lit(h).cast("bigint") for h in holdouts])).alias("holdout_days"))
+    rows = rows.withColumn("days", F.expr("slice(__all, 1, greatest(size(__all) - CAST(holdout_days AS INT), 0))"))
+    fitted = _fitted(rows, alphas)
+    scored = fitted.withColumn("__test", F.expr(
+        "CASE WHEN n > 0 THEN transform(slice(__all, CAST(n AS INT) + 1, CAST(holdout_days AS INT)), (v, j) -> struct("
+        "CAST(v AS DOUBLE) AS a, level + coalesce(get(dow_index, CAST((dow + n + j) % 7 AS INT)), CAST(0 AS DOUBLE)) AS f)) ELSE array() END"))
+    total = lambda x, keep="true": (f"aggregate(filter(__test, t -> {keep}), CAST(0 AS DOUBLE), (acc, t) -> acc + {x})")
+    mean = lambda x, keep="true": F.expr(
+        f"{total(x, keep)} / nullif(size(filter(__test, t -> {keep})), 0)")
+    return scored.select(
+        *keys, "holdout_days", F.size("__test").cast("bigint").alias("n"),
+        mean("abs(t.a - t.f)").alias("mae"),
+        F.sqrt(mean("(t.a - t.f) * (t.a - t.f)")).alias("rmse"),
+        (mean("abs(t.a - t.f) / abs(t.a)", "t.a <> 0") * 100).alias("mape"),
+        mean("(t.a - t.f)").alias("me"),
+        F.when(F.size("__test") > 0, F.expr(total("t.a"))).alias("actual_sum"),
+        F.when(F.size("__test") > 0, F.expr(total("t.f"))).alias("forecast_sum"))
 
 
 def fitted_models(mart: DataFrame, keys=(), alphas=DEFAULT_ALPHAS) -> DataFrame:
     """The chosen parameters per series (one row per key)."""
     keys = list(keys)
-    return (fit(daily_series(mart, keys), keys, alphas))
+    return _fitted(_arrays(mart, keys), alphas).where("n > 0").select(*keys, *MODEL)
 
 
 def with_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, attr: str,

@@ -282,12 +282,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "drill_new_customer_lines_in_year": _r(lambda m: sm.drill(m.mart_order_lines, Slice(
         m.cfg.year_start, m.cfg.year_end, segment="New"), sm.LINE_DETAIL)),
     # time series and forecast
-    "daily_sales_zero_filled": _r(lambda m: fc.daily_series(m.mart_orders)),
-    "daily_sales_actuals": _r(lambda m: fc.daily_actuals(m.mart_orders)),
+    "daily_sales_zero_filled": _d(lambda days, cfg: fc.daily_series(days)),
+    "daily_sales_actuals": _d(lambda days, cfg: fc.daily_actuals(days)),
     "days_without_orders": _r(lambda m: fc.days_without_orders(m.mart_orders)),
-    "forecast_row_counts": _r(lambda m: fc.row_counts(fc.sales_forecast_all(m.mart_orders))),
-    "sales_forecast": _r(lambda m: _round_cols(fc.sales_forecast(m.mart_orders), _FC, 2)),
-    "sales_forecast_all": _r(lambda m: _round_cols(fc.sales_forecast_all(m.mart_orders), _FC, 2)),
+    "forecast_row_counts": _d(lambda days, cfg: fc.row_counts(fc.sales_forecast_all(days))),
+    "sales_forecast": _d(lambda days, cfg: _round_cols(fc.sales_forecast(days), _FC, 2)),
+    "sales_forecast_all": _d(lambda days, cfg: _round_cols(fc.sales_forecast_all(days), _FC, 2)),
     "sales_forecast_by_segment": _r(lambda m: _round_cols(
         fc.sales_forecast(m.mart_orders, ["order_segmentation"]), _FC, 2)),
     # sse is presented unrounded: it is bit-identical across engines, while a
@@ -300,8 +300,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fc.fitted_models(_by_nation(m, s, d), ["nation"]), ["level", "sigma"], 2)),
     "forecast_backtest_by_brand": _rs(lambda m, s, d: _round_cols(
         fc.backtest(_by_brand(m, s, d), ["brand"]), ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
-    "forecast_backtest": _r(lambda m: _round_cols(
-        fc.backtest(m.mart_orders), ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
+    "forecast_backtest": _d(lambda days, cfg: _round_cols(
+        fc.backtest(days), ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
     # a series key that is NULL for a third of the customers, and series that
     # are no longer than a hold-out
     "sales_forecast_by_customer_group": _r(lambda m: _round_cols(
@@ -309,7 +309,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "forecast_backtest_by_month": _r(lambda m: _round_cols(
         fc.backtest(m.mart_orders, ["order_month_start"]),
         ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
-    "forecast_latest_days": _r(lambda m: _round_cols(fc.latest_days(fc.sales_forecast(m.mart_orders), 5), _FC, 2)),
-    "sales_forecast_horizon_14": _r(lambda m: _round_cols(
-        fc.horizon_view(fc.sales_forecast_all(m.mart_orders), 14), _FC, 2)),
+    "forecast_latest_days": _d(lambda days, cfg: _round_cols(fc.latest_days(fc.sales_forecast(days), 5), _FC, 2)),
+    "sales_forecast_horizon_14": _d(lambda days, cfg: _round_cols(
+        fc.horizon_view(fc.sales_forecast_all(days), 14), _FC, 2)),
 }

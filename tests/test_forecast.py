@@ -119,3 +119,24 @@ def test_short_series_keep_their_backtest_row(spark):
     m = spark.createDataFrame(rows, "order_date date, seg string, net_sales double")
     got = {(r.seg, r.holdout_days): (r.n, r.mae) for r in fc.backtest(m, ["seg"]).collect()}
     assert got == {("short", h): (0, None) for h in (7, 14, 30)} | {("long", h): (h, 0.0) for h in (7, 14, 30)}
+
+
+def test_two_exchanges_and_no_join(spark):
+    """For the total and for keyed series, forecasts and backtests."""
+    m = _mart(spark, [(f"2026-01-{d:02d}", float(d)) for d in range(1, 21)])
+    for df in (fc.sales_forecast_all(m), fc.sales_forecast(m, ["order_date"]), fc.backtest(m), fc.fitted_models(m, ["order_date"])):
+        plan = df._jdf.queryExecution().sparkPlan().toString() + df._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and df._jdf.queryExecution().executedPlan().toString().count("Exchange ") <= 2
+
+
+def test_edges_of_series(spark):
+    """No rows, only rows without a date, one day, a long gap."""
+    none = _mart(spark, [("2026-01-01", 5.0)])
+    assert fc.sales_forecast_all(none.limit(0)).count() == 0 and fc.backtest(none.limit(0)).count() == 0
+    undated = none.withColumn("order_date", F.lit(None).cast("date"))
+    assert [r.series_type for r in fc.sales_forecast(undated).collect()] == ["Actual"] and fc.backtest(undated).count() == 0
+    one = fc.sales_forecast(none, horizon=7).where("series_type = 'Forecast'").collect()
+    assert len(one) == 7 and {r.forecast_value for r in one} == {5.0} and {r.confidence_lower for r in one} == {None}
+    assert [(r.n, r.mae, r.actual_sum) for r in fc.backtest(none).collect()] == [(0, None, None)] * 3
+    gap = _mart(spark, [("2020-01-01", 5.0), ("2026-01-01", 7.0)])
+    assert fc.fitted_models(gap).first().n == 2193 and fc.daily_series(gap).count() == 2193
