@@ -11,8 +11,9 @@ Law: ``bytes``: sizes are near equal. With thousands of slots the shards
 differ by less than the largest record or the smallest slots.
 
 Edge cases: a null text is an empty one of 16 bytes; null ids are hashed like
-any other value; repeated rows share a slot and get places of their own; an
-empty table gives an empty one; further columns are left out.
+any other value, with the text; repeated rows share a slot and get places of
+their own; very long texts count with all their bytes; an empty table gives an
+empty one; further columns are left out.
 """
 
 from __future__ import annotations
@@ -29,8 +30,9 @@ SLOTS = 4096
 
 
 def slot_of(slots: int = SLOTS, id_col: str = "doc_id") -> Column:
-    """The record's virtual slot: the id decides, so copies of a text spread."""
-    return F.pmod(F.xxhash64(F.col(id_col)), F.lit(slots)).cast("int")
+    """The record's virtual slot: id and text decide, so neither copies of a
+    text nor rows of one id (or of none) meet in a slot."""
+    return F.pmod(F.xxhash64(F.col(id_col), F.crc32(F.encode(plain_text(), "UTF-8"))), F.lit(slots)).cast("int")
 
 
 def slot_sizes(docs: DataFrame, slots: int = SLOTS) -> list[tuple[int, int]]:
