@@ -64,10 +64,19 @@ def days_without_orders(mart: DataFrame, keys=(), date_col: str = "order_date")
     return missing_days(mart, date_col, keys).select(*keys, F.col(date_col).alias("date"))
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """SQL of ``body`` in which ``name`` stands for ``value``, computed once
+    however often a lambda inside ``body`` runs (a column that a lambda uses
+    may be put in its place by the optimizer and be computed again each time)."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
 def _arrays(mart: DataFrame, keys, date_col: str = "order_date", value_col: str = "net_sales") -> DataFrame:
     """One row per key: ``points`` (date, sum) of the days with orders, and
     ``days``, the dense series from the first to the last date in cents."""
     sums = _day_sums(mart, keys, date_col, value_col)
+    if keys:  # the aggregate's own exchange, kept wide: series are small in bytes and dear to fit
+        sums = sums.repartition(int(mart.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     rows = sums.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("date", F.col("__sum").alias("sum")))).alias("points"))
     return _dense(rows.withColumn("__dated", F.expr("filter(points, p -> p.date IS NOT NULL)")), "round(p.sum, 2)")
 
@@ -76,8 +85,9 @@ def _dense(rows: DataFrame, value: str) -> DataFrame:
     """``days`` and ``first_date`` from ``__dated``, sorted (date, ...): the
     zeros between two of its dates are put before the second."""
     zero = "CAST(0 AS DECIMAL(38,2))"
-    filled = (f"flatten(transform(__dated, (p, i) -> concat(array_repeat({zero}, CASE WHEN i = 0 THEN 0 ELSE "
-              f"datediff(p.date, get(__dated, i - 1).date) - 1 END), array(coalesce(CAST({value} AS DECIMAL(38,2)), {zero})))))")
+    filled = _let("__dated", "d", (
+        f"flatten(transform(d, (p, i) -> concat(array_repeat({zero}, CASE WHEN i = 0 THEN 0 ELSE "
+        f"datediff(p.date, get(d, i - 1).date) - 1 END), array(coalesce(CAST({value} AS DECIMAL(38,2)), {zero})))))"))
     return rows.withColumns({"days": F.expr(filled), "first_date": F.expr("get(__dated, 0).date")}).drop("__dated")
 
 
@@ -96,22 +106,22 @@ def _fitted(rows: DataFrame, alphas=DEFAULT_ALPHAS) -> DataFrame:
     rows = rows.withColumns({"n": F.size("days").cast("bigint"), "dow": F.dayofweek("first_date") - 1})
     total = lambda days: (f"CAST(aggregate({days}, CAST(0 AS DECIMAL(38,2)), "
                           "(acc, v) -> CAST(acc + v AS DECIMAL(38,2))) AS DOUBLE)")
-    index = (f"transform(transform(sequence(0, 6), w -> filter(days, (v, i) -> (dow + i) % 7 = w)), "
-             f"own -> CASE WHEN size(own) > 0 THEN {total('own')} / size(own) - __mean END)")
-    rows = rows.withColumn("__mean", F.expr(f"CASE WHEN n > 0 THEN {total('days')} / n END"))
+    index = _let(f"CASE WHEN n > 0 THEN {total('days')} / n END", "mean", (
+        "transform(transform(sequence(0, 6), w -> filter(days, (v, i) -> (dow + i) % 7 = w)), "
+        f"own -> CASE WHEN size(own) > 0 THEN {total('own')} / size(own) - mean END)"))
     rows = rows.withColumn("dow_index", F.expr(index))
-    rows = rows.withColumn("__ys", F.expr("transform(days, (v, i) -> CAST(v AS DOUBLE) - get(dow_index, (dow + i) % 7))"))
+    ys = _let("dow_index", "x", "transform(days, (v, i) -> CAST(v AS DOUBLE) - get(x, (dow + i) % 7))")
     # One smoothing pass per weight; the finish function emits the (sse,
     # alpha, level) struct, so the pass is not repeated per field.
     one = (
-        "aggregate(slice(__ys, 2, size(__ys)), "
-        "named_struct('level', get(__ys, 0), 'sse', CAST(0 AS DOUBLE)), "
+        "aggregate(slice(ys, 2, size(ys)), "
+        "named_struct('level', get(ys, 0), 'sse', CAST(0 AS DOUBLE)), "
         "(acc, y) -> named_struct('level', a * y + (1 - a) * acc.level, "
         "'sse', acc.sse + (y - acc.level) * (y - acc.level)), "
         "acc -> named_struct('sse', acc.sse, 'alpha', a, 'level', acc.level))"
     )
-    best = F.expr(f"CASE WHEN n > 0 THEN array_min(transform({_alphas_sql(alphas)}, a -> {one})) END")
-    rows = rows.withColumn("__b", best).drop("__ys", "__mean")
+    best = _let(ys, "ys", f"CASE WHEN n > 0 THEN array_min(transform({_alphas_sql(alphas)}, a -> {one})) END")
+    rows = rows.withColumn("__b", F.expr(best))
     return rows.withColumns({
         "last_date": F.expr("date_add(first_date, CAST(n AS INT) - 1)"),
         "alpha": F.col("__b.alpha"), "level": F.col("__b.level"), "sse": F.col("__b.sse"),
@@ -190,9 +200,10 @@ def backtest(mart: DataFrame, keys=(), holdouts=HORIZONS, alphas=DEFAULT_ALPHAS)
         F.array(*[F.lit(h).cast("bigint") for h in holdouts])).alias("holdout_days"))
     rows = rows.withColumn("days", F.expr("slice(__all, 1, greatest(size(__all) - CAST(holdout_days AS INT), 0))"))
     fitted = _fitted(rows, alphas)
-    scored = fitted.withColumn("__test", F.expr(
-        "CASE WHEN n > 0 THEN transform(slice(__all, CAST(n AS INT) + 1, CAST(holdout_days AS INT)), (v, j) -> struct("
-        "CAST(v AS DOUBLE) AS a, level + coalesce(get(dow_index, CAST((dow + n + j) % 7 AS INT)), CAST(0 AS DOUBLE)) AS f)) ELSE array() END"))
+    scored = fitted.withColumn("__test", F.expr("CASE WHEN n > 0 THEN " + _let(
+        "struct(level, dow_index)", "m", "transform(slice(__all, CAST(n AS INT) + 1, CAST(holdout_days AS INT)), (v, j) -> struct("
+        "CAST(v AS DOUBLE) AS a, m.level + coalesce(get(m.dow_index, CAST((dow + n + j) % 7 AS INT)), CAST(0 AS DOUBLE)) AS f))")
+        + " ELSE array() END"))
     total = lambda x, keep="true": (f"aggregate(filter(__test, t -> {keep}), CAST(0 AS DOUBLE), (acc, t) -> acc + {x})")
     mean = lambda x, keep="true": F.expr(
         f"{total(x, keep)} / nullif(size(filter(__test, t -> {keep})), 0)")

@@ -38,9 +38,7 @@ NOTES = {
     "kpi_tiles": "Reads the materialised order mart: one global aggregate with a distinct count.",
     "exercise_6_orders_segmented": "A pruned scan with the date range pushed to parquet.",
     "sales_forecast_all":
-        "One partial aggregate per day over the materialised mart (the only step that touches the big table; "
-        "repeated identical subplans are reused at run time); the spine, weekday index, fit and steps run on "
-        "(series, day)-sized tables.",
+        "Daily sums, one array a series, and every step of the model inside that array.",
 }
 
 KEEP = re.compile(r"(Exchange|Join|Window \[|HashAggregate|Expand|Generate|Union|Scan parquet|TakeOrdered)")
@@ -60,8 +58,7 @@ def main() -> None:
     from basketry import registry
     from basketry.registry import QUERIES
     # downstream queries read materialised marts: build them first
-    registry._BUILT[(id(spark), spark.sparkContext.applicationId, sf_dir.rstrip("/"))] = \
-        registry._marts(spark, sf_dir).materialize(spark)
+    registry.set_built(spark, sf_dir, registry._marts(spark, sf_dir).materialize(spark))
     print("# Plan digests (broadcast joins disabled, as for large inputs)\n")
     print(f"Generated by `scripts/plan_digest.py` on `{sf_dir}`. Model queries are planned from the raw")
     print("tables; downstream queries read the materialised marts.\n")
