@@ -223,6 +223,32 @@ def fitted_models(mart: DataFrame, keys=(), alphas=DEFAULT_ALPHAS) -> DataFrame:
     return _fitted(_arrays(mart, keys), alphas).where("n > 0").select(*keys, *MODEL)
 
 
+def model_rows(mart: DataFrame, alphas=DEFAULT_ALPHAS) -> DataFrame:
+    """The model of the total series in one row, with its weekday index: what
+    forecasts of any horizon are made of."""
+    return _fitted(_arrays(mart, []), alphas).where("n > 0").select(
+        "last_date", "n", "dow", "dow_index", "alpha", "level", "sigma")
+
+
+def register_table_function(spark, mart: DataFrame, name: str = "v_sales_forecast_h", alphas=DEFAULT_ALPHAS) -> None:
+    """``SELECT * FROM v_sales_forecast_h(14)``: the actual days and as many
+    forecast days as the argument says, as a SQL table function over two views
+    (the days and the fitted model), which Catalyst inlines."""
+    actual, model = f"{name}_actuals", f"{name}_model"
+    daily_actuals(mart).createOrReplaceTempView(actual)
+    model_rows(mart, alphas).createOrReplaceTempView(model)
+    value = "level + coalesce(get(dow_index, CAST((dow + n - 1 + step) % 7 AS INT)), CAST(0 AS DOUBLE))"
+    half = f"CAST({Z95!r} AS DOUBLE) * sigma * sqrt(CAST(1 AS DOUBLE) + (step - 1) * alpha * alpha)"
+    spark.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(days INT) RETURNS TABLE (date DATE, {VALUE} DOUBLE, forecast_value DOUBLE,
+            confidence_lower DOUBLE, confidence_upper DOUBLE, series_type STRING)
+        RETURN SELECT date, CAST({VALUE} AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), 'Actual' FROM {actual}
+        UNION ALL SELECT date_add(last_date, step), CAST(NULL AS DOUBLE), value,
+            CASE WHEN value - half < 0 THEN CAST(0 AS DOUBLE) ELSE value - half END, value + half, 'Forecast'
+        FROM (SELECT last_date, step, {value} AS value, {half} AS half
+              FROM (SELECT *, explode(sequence(1, {name}.days)) AS step FROM {model} WHERE {name}.days > 0))""")
+
+
 def with_dimension(facts: DataFrame, dim: DataFrame, fact_key: str, dim_key: str, attr: str,
                    name: str) -> DataFrame:
     """Attach one attribute of a dimension table (e.g. a customer's market

@@ -6,6 +6,7 @@ rounded to cents and presented as DOUBLE."""
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -161,6 +162,46 @@ def _round_cols(df: DataFrame, cols, digits: int) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
+def _loaded(kind: str):
+    """A raw table as the load reads it: written as CSV with a header from the
+    test tables, read with the declared schema and required columns."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from basketry.session import shared_table_root
+        from basketry.sources import readers
+        path = f"{shared_table_root(spark)}/load-{uuid.uuid4().hex}"
+        getattr(_marts(spark, sf_dir), kind).write.option("header", "true").csv(path)
+        load = readers.load_orders if kind == "raw_orders" else readers.load_sales
+        return present(load_profile(load(spark, path, fmt="csv"), "date_date"))
+    return run
+
+
+def _in_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw headers loaded into a table of a namespace, read by its name."""
+    from basketry.session import shared_table_root
+    from basketry.sources import sinks
+    path = f"{shared_table_root(spark)}/load-{uuid.uuid4().hex}"
+    sinks.write_table(_marts(spark, sf_dir).raw_orders, path)
+    name = f"raw_orders_{uuid.uuid4().hex[:8]}"
+    sinks.ensure_namespace(spark, "basketry_raw")
+    sinks.register_table(spark, "basketry_raw", name, path)
+    return present(load_profile(spark.table(f"basketry_raw.{name}"), "date_date"))
+
+
+def _by_sql_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The segment rule as a SQL function over the order mart."""
+    from basketry.functions.segments import register_sql_functions
+    m = _built(spark, sf_dir)
+    register_sql_functions(spark, m.cfg)
+    return m.mart_orders.groupBy(F.expr("order_segment(prior_orders_last_12_months)").alias("segment")).agg(
+        F.count(F.lit(1)).alias("orders"))
+
+
+def _table_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = _built(spark, sf_dir)
+    fc.register_table_function(spark, m.orders_by_day(spark))
+    return _round_cols(spark.sql("SELECT * FROM v_sales_forecast_h(14)"), _FC, 2)
+
+
 _FC = ["daily_net_sales", "forecast_value", "confidence_lower", "confidence_upper"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -168,6 +209,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "raw_orders_profile": _q(lambda m: load_profile(m.raw_orders, "date_date")),
     "raw_orders_null_counts": _q(lambda m: null_counts(m.raw_orders)),
     "raw_sales_profile": _q(lambda m: load_profile(m.raw_sales, "date_date")),
+    "load_csv_orders": _loaded("raw_orders"),
+    "load_csv_sales": _loaded("raw_sales"),
+    "load_into_namespace": _in_namespace,
     # staging / intermediate / marts
     "stg_orders": _q(lambda m: m.stg_orders),
     "stg_sales": _q(lambda m: m.stg_sales),
@@ -310,6 +354,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         fc.backtest(m.mart_orders, ["order_month_start"]),
         ["mae", "rmse", "mape", "me", "actual_sum", "forecast_sum"], 4)),
     "forecast_latest_days": _d(lambda days, cfg: _round_cols(fc.latest_days(fc.sales_forecast(days), 5), _FC, 2)),
+    "order_segment_sql_function": _by_sql_function,
+    "sales_forecast_table_function": _table_function,
     "sales_forecast_horizon_14": _d(lambda days, cfg: _round_cols(
         fc.horizon_view(fc.sales_forecast_all(days), 14), _FC, 2)),
 }

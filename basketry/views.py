@@ -3,7 +3,8 @@
 Staging models and presentation views are lazy temp views (re-evaluated per
 query, like the source's views); the forecast outputs are registered the same
 way, so ``SELECT * FROM v_sales_forecast_all`` behaves like the source's
-zero-argument table functions. The segment rule is registered as the SQL
+zero-argument table functions; ``v_sales_forecast_h(days)`` is a SQL table
+function of any horizon. The segment rule is registered as the SQL
 function ``order_segment(n)``.
 """
 
@@ -33,6 +34,7 @@ def register_views(spark: SparkSession, m: Marts, with_forecast: bool = True) ->
     if with_forecast:
         views["v_sales_forecast"] = fc.sales_forecast(m.mart_orders)
         views["v_sales_forecast_all"] = fc.sales_forecast_all(m.mart_orders)
+        fc.register_table_function(spark, m.mart_orders)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     register_sql_functions(spark, m.cfg)

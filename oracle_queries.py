@@ -911,3 +911,12 @@ UNION ALL
 SELECT 'mart_orders' AS table_name, 'customer_profile' AS column_name, COUNT(*) FILTER (WHERE customer_profile IS NULL) AS null_count FROM mart_orders
 UNION ALL
 SELECT 'mart_orders' AS table_name, 'order_count' AS column_name, COUNT(*) FILTER (WHERE order_count IS NULL) AS null_count FROM mart_orders""")
+
+# the same tables by the load's own way, and the two SQL functions
+ORACLE["load_csv_orders"] = ORACLE["load_into_namespace"] = ORACLE["raw_orders_profile"]
+ORACLE["load_csv_sales"] = ORACLE["raw_sales_profile"]
+ORACLE["order_segment_sql_function"] = q("""
+SELECT order_segmentation AS segment, COUNT(*) AS orders FROM mart_orders GROUP BY 1""")
+ORACLE["sales_forecast_table_function"] = qr(
+    _fc_ctes([]) + ",\nu AS (" + _actuals([], True) + "\nUNION ALL\n" + _fc_rows([], True) + ")\nSELECT * EXCLUDE (horizon) FROM u "
+    "WHERE series_type = 'Actual' OR (series_type = 'Forecast' AND horizon = 14)")
