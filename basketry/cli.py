@@ -2,7 +2,7 @@
 forecasts. Only one-row summaries, check counts, the rows of the bounded
 reports and what ``--show N`` asks for reach the driver.
 
-    python -m basketry load --orders PATH --sales PATH --dest DIR [--format csv] [--namespace NAME]
+    python -m basketry load --orders PATH --sales PATH --dest DIR [--format csv] [--namespace NAME] [--enforce]
     python -m basketry build --raw DIR [--dest DIR | --publish DIR [--gate error]] [--config reference|driver]
     python -m basketry build --tables SF_DIR            # the generated test tables
     python -m basketry builds --publish DIR [--drop] [--keep N] [--unpublished]
@@ -72,13 +72,19 @@ def _marts(spark, args, build: bool = True):
 
 
 def cmd_load(args) -> int:
-    from basketry.sources import readers, sinks
+    from basketry.sources import contracts, readers, sinks
     spark = _session()
     summary = {}
     if args.namespace:
         sinks.ensure_namespace(spark, args.namespace)
     for name, path, loader in (("raw_orders", args.orders, readers.load_orders),
                                ("raw_sales", args.sales, readers.load_sales)):
+        if args.enforce:
+            raw = spark.read.format(args.format).options(**({"header": "true"} if args.format == "csv" else {})).load(path)
+            summary[name] = contracts.write(raw, contracts.CONTRACTS[name], args.dest)
+            if args.namespace:
+                sinks.register_table(spark, args.namespace, name, f"{args.dest}/{name}")
+            continue
         df = loader(spark, path, fmt=args.format)
         watched = ["date_date", "customers_id", "orders_id", "net_sales"] if name == "raw_orders" else []
         observed, obs = sinks.with_load_observation(df, name, "date_date", watched)
@@ -247,6 +253,7 @@ def main(argv=None) -> int:
     ld.add_argument("--dest", required=True)
     ld.add_argument("--format", default="parquet", choices=["parquet", "csv", "json", "orc"])
     ld.add_argument("--namespace", help="create it where it is missing and register the raw tables in it")
+    ld.add_argument("--enforce", action="store_true", help="rows that break the contract go to <table>_quarantine")
     bs = sub.add_parser("builds")
     bs.add_argument("--publish", required=True, help="destination of published builds")
     bs.add_argument("--drop", action="store_true", help="drop all but the last --keep published builds")

@@ -58,6 +58,10 @@ class Folder:
             self.fs.delete(self.at(aside), False)
             raise FileExistsError(name)
 
+    def move(self, name: str, to: str) -> None:
+        if not self.fs.rename(self.at(name), self.at(to)):
+            raise FileExistsError(to)
+
     def drop(self, name: str) -> None:
         self.fs.delete(self.at(name), True)
 
