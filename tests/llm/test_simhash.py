@@ -70,7 +70,6 @@ def test_links_keep_every_component(most, hashed):
         index, left = np.array([x[0] for x in own]), np.array([x[1] for x in own])
         a, b = sh.colliding(fp[index], left, low, most)
         pairs += list(zip(index[a], index[b]))
-    assert all((int(fp[a]) ^ int(fp[b])).bit_count() <= 2 * 64 for a, b in pairs)
     a, b = (np.array(x, np.int64) for x in zip(*pairs))
     near = np.argwhere(np.bitwise_count(fp[:, None] ^ fp[None, :]) <= most)
     assert (forest(len(fp), a, b) == forest(len(fp), near[:, 0], near[:, 1])).all()
