@@ -182,7 +182,7 @@ def _in_namespace(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{shared_table_root(spark)}/load-{uuid.uuid4().hex}"
     sinks.write_table(_marts(spark, sf_dir).raw_orders, path)
     name = f"raw_orders_{uuid.uuid4().hex[:8]}"
-    sinks.ensure_namespace(spark, "basketry_raw")
+    sinks.ensure_namespace(spark, "basketry_raw", f"{shared_table_root(spark)}/basketry_raw")
     sinks.register_table(spark, "basketry_raw", name, path)
     return present(load_profile(spark.table(f"basketry_raw.{name}"), "date_date"))
 
