@@ -6,8 +6,10 @@ with it, so a rule is an interval of the sorted keys, and two intervals nest
 or are apart. A url stands at one key for each of its parent domains, as deep
 as the deepest rule's host.
 
-Keys of urls and starts of rules are dealt over key ranges and swept in order.
-Each start carries the stack of the rules that are open there (itself and the
+Keys of urls, each at most ``salts`` times, and starts of rules are dealt over
+key ranges and swept in order; what fits a key goes back to its urls by (key,
+salt), so home pages of one top-level domain, which share a key, neither meet in
+one range nor in one join task. Each start carries the stack of the rules that are open there (itself and the
 rules around it); a url takes the last stack before it and pops the rules
 whose interval has ended. Range bounds are starts as well, which carry the
 rules open at the bound, so every range is swept alone.
@@ -65,6 +67,19 @@ def _stacks(points: DataFrame, rules: DataFrame) -> DataFrame:
             .agg(F.sort_array(F.collect_list("open")).alias("stack")))
 
 
+def _url_keys(pages: DataFrame, depth: int, salts: int) -> DataFrame:
+    """__url, __salt, key, __deal: the keys of each url, down to ``depth``
+    labels. __deal, below ``salts``, parts the urls of one key."""
+    labels = _labels(host_of(F.col("__url")))
+    return (pages.select("__url", "__salt").distinct()
+            .select("__url", "__salt", path_of(F.col("__url")).alias("path"), labels.alias("labels"))
+            .select("__url", "__salt", F.explode(F.transform(
+                F.sequence(F.lit(1), F.least(F.size("labels"), F.lit(depth))),
+                lambda n: F.concat(F.array_join(F.slice("labels", F.lit(1), n), "."), F.lit("/"), F.col("path"))))
+                .alias("key"))
+            .withColumn("__deal", F.pmod(F.xxhash64("__url", "__salt"), F.lit(salts))))
+
+
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: str = "page_id",
           url_col: str = "url", ranges: int | None = None, sample_rows: int = 4096, salts: int = 64) -> DataFrame:
     """``pages`` with host, path, rule (null where none fits) and verdict.
@@ -72,7 +87,8 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
     rules: host, path, verdict. ranges: key ranges of the sweep (default: four
     for each shuffle partition); their bounds come from a sample of
     ``sample_rows`` keys, which moves work only, never results. Copies of one
-    url are judged as ``salts`` rows at most and joined back by (url, salt).
+    url are judged as ``salts`` rows at most and joined back by (url, salt), and
+    urls with one key are swept as ``salts`` rows at most.
     """
     spark = pages.sparkSession
     keep = [c for c in pages.columns if c not in OUTPUT]
@@ -85,15 +101,10 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
         return pages.select(*keep, host_of(F.col("__url")).alias("host"), path_of(F.col("__url")).alias("path"),
                             F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
 
-    labels = _labels(host_of(F.col("__url")))
-    keys = (pages.select("__url", "__salt").distinct()
-            .select("__url", "__salt", path_of(F.col("__url")).alias("path"), labels.alias("labels"))
-            .select("__url", "__salt", F.explode(F.transform(
-                F.sequence(F.lit(1), F.least(F.size("labels"), F.lit(depth))),
-                lambda n: F.concat(F.array_join(F.slice("labels", F.lit(1), n), "."), F.lit("/"), F.col("path"))))
-                .alias("key")))
+    keys = _url_keys(pages, depth, salts)
+    dealt = keys.select("key", "__deal").distinct()
     ranges = min(ranges or 4 * shuffle_partitions(spark), sample_rows)
-    sample = sorted(r[0] for r in keys.select("key", F.xxhash64("key", "__salt").alias("h"))
+    sample = sorted(r[0] for r in dealt.select("key", F.xxhash64("key", "__deal").alias("h"))
                     .orderBy("h", "key").limit(sample_rows).select("key").collect())
     bounds = sorted({sample[i * len(sample) // ranges] for i in range(1, ranges)}) if sample else []
 
@@ -101,15 +112,15 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
     if bounds:
         points = points.union(spark.createDataFrame([(b,) for b in bounds], "key string"))
     starts = _stacks(points, rules)
-    events = (keys.select("key", F.lit(1).alias("kind"), "__url", "__salt")
+    events = (dealt.select("key", F.lit(1).alias("kind"), "__deal")
               .unionByName(starts.select("key", F.lit(0).alias("kind"), "stack"), allowMissingColumns=True)
               .withColumn("range", search(bounds, F.col("key"))))
     order = Window.partitionBy("range").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    best = (events.withColumn("stack", F.last("stack", ignorenulls=True).over(order))
+    fits = (events.withColumn("stack", F.last("stack", ignorenulls=True).over(order))
             .where("kind = 1")
             .withColumn("fits", F.filter("stack", lambda r: F.startswith(F.col("key"), r["start"])))
-            .withColumn("fit", F.get("fits", F.size("fits") - 1))
-            .groupBy("__url", "__salt").agg(F.max("fit").alias("fit")))
+            .select("key", "__deal", F.get("fits", F.size("fits") - 1).alias("fit")).where("fit IS NOT NULL"))
+    best = keys.join(fits, ["key", "__deal"]).groupBy("__url", "__salt").agg(F.max("fit").alias("fit"))
     return (pages.join(best, ["__url", "__salt"], "left")
             .select(*keep, host_of(F.col("__url")).alias("host"), path_of(F.col("__url")).alias("path"),
                     F.col("fit.rule").alias("rule"), F.coalesce("fit.verdict", F.lit(default)).alias("verdict")))

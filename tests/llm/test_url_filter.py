@@ -47,11 +47,26 @@ def test_nested_rules_over_many_ranges(spark):
         assert got == {i: brute(u, rules, "block") for i, u in enumerate(urls)}
 
 
+def test_home_pages_of_one_domain_share_no_task(spark):
+    """A third of all pages stand at the key com//: the sweep gets it ``salts``
+    times at most, and the join back is dealt by (key, salt)."""
+    urls = [f"http://h{i}.com/" for i in range(3000)] + [f"http://h{i}.net/es/{i % 50}" for i in range(3000)] + \
+           [f"http://example.com/en/{i}" for i in range(3000)]
+    assert _judged(spark, urls, uf.RULES, salts=8) == {i: brute(u, uf.RULES) for i, u in enumerate(urls)}
+    pages = spark.createDataFrame([(u, 0) for u in urls], "__url string, __salt int")
+    keys = uf._url_keys(pages, 3, 8)
+    assert keys.where("key = 'com//'").count() == 3000
+    swept = keys.select("key", "__deal").distinct()
+    assert swept.where("key = 'com//'").count() == 8
+    dealt = [r["count"] for r in keys.groupBy("key", "__deal").count().where("key = 'com//'").collect()]
+    assert len(dealt) == 8 and max(dealt) < 2 * 3000 / 8
+
+
 def test_edges(spark):
     pages = spark.createDataFrame([(1, "http://a.com/", "x"), (1, "http://a.com/", "x"), (None, "http://b.net/es/1", None)],
                                   "page_id long, url string, verdict string").withColumn("range", F.lit(3))
     out = uf.judge(pages, _rules(spark, uf.RULES))
-    assert out.columns == ["page_id", "url", "range", "host", "path", "rule", "verdict"]
+    assert out.columns == ["page_id", "url", "range", "host", "path", "rule", "verdict"]  # one verdict only
     assert sorted(r["verdict"] for r in out.collect()) == ["allow", "allow", "block"]
     assert uf.judge(pages.limit(0), _rules(spark, uf.RULES)).count() == 0
     assert {r["verdict"] for r in uf.judge(pages, _rules(spark, []), default="block").collect()} == {"block"}
