@@ -101,6 +101,13 @@ def _by_bucket(words, buckets: int) -> dict[int, list[bytes]]:
             for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(own)}
 
 
+def _pair_bucket(pairs: np.ndarray, buckets: int) -> np.ndarray:
+    """A pair's bucket, from both of its ids: pairs of a very frequent first
+    id are spread like any others."""
+    mixed = pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+
+
 def _counted(group: pd.DataFrame, buckets: int, path: str) -> pd.DataFrame:
     """A block's words with their training counts, and the pairs of ids of
     its training documents, by bucket."""
@@ -116,7 +123,7 @@ def _counted(group: pd.DataFrame, buckets: int, path: str) -> pd.DataFrame:
         lines += [to_ids.of(words), end]
     line = np.concatenate(lines)
     pairs, n = np.unique(line[:-1] * np.uint32(IDS) + line[1:], return_counts=True)  # IDS**2 < 2**32
-    bucket = (pairs // np.uint32(IDS) % np.uint32(buckets)).astype(np.int64)
+    bucket = _pair_bucket(pairs, buckets)
     order = np.argsort(bucket, kind="stable")
     for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         if len(own):

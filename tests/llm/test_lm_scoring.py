@@ -128,3 +128,14 @@ def test_every_place_sees_nine_ids():
         changed[place - 9] = (changed[place - 9] + 1) % (net.SPACE - 2)
         x2, y2, _ = net.windows([changed], net.SPACE - 2)
         assert net.probability(w, x2, y2)[counts][place] != p[place], place
+
+
+def test_pairs_of_one_frequent_id_are_spread():
+    """A third of the pairs begin with one id, a third end with it."""
+    rng = np.random.default_rng(1)
+    other = rng.permutation(lm.IDS)[:20_000].astype(np.uint32)
+    pairs = np.unique(np.concatenate([np.uint32(7) * np.uint32(lm.IDS) + other, other * np.uint32(lm.IDS) + np.uint32(7),
+                                      other * np.uint32(lm.IDS) + np.roll(other, 1)]))
+    for buckets in (8, 64, 1000):
+        bucket = lm._pair_bucket(pairs, buckets)
+        assert bucket.min() >= 0 and np.bincount(bucket, minlength=buckets).max() < 2 * len(pairs) / buckets
