@@ -16,7 +16,7 @@ reports and what ``--show N`` asks for reach the driver.
                                [--dest DIR] [--show N]
     python -m basketry drill --raw DIR | --tables SF_DIR [--marts DIR] [--view orders|order_lines]
                                [--segment VIP] [--profile VIP] [--date-from D] [--date-to D] [--complete-only]
-                               [--product-id N] [--customer-id N] [--dest DIR] [--show N]
+                               [--product-id N] [--customer-id N] [--order-id N ...] [--dest DIR] [--show N]
 
 ``--marts DIR`` reads the tables that ``build --dest DIR`` wrote, or the
 current snapshot of ``build --publish DIR``; without it the tables are built
@@ -207,6 +207,8 @@ def cmd_drill(args) -> int:
     df = m.slice(spark, table, **keys) if keys and table in m.layouts else getattr(m, table)
     for k, v in keys.items():
         df = df.where(df[k] == v)
+    if args.order_id:  # a predicate that the files' Bloom filters answer
+        df = m.among(df, args.order_id)
     out = sm.drill(df, _filter(args), columns)
     if args.dest:
         write_table(out, args.dest)
@@ -298,6 +300,7 @@ def main(argv=None) -> int:
         if name == "drill":
             sp.add_argument("--product-id", type=int)
             sp.add_argument("--customer-id", type=int)
+            sp.add_argument("--order-id", type=int, action="append", default=[])
     args = p.parse_args(argv)
     return {"load": cmd_load, "build": cmd_build, "check": cmd_check, "forecast": cmd_forecast,
             "insights": cmd_insights, "explore": cmd_explore, "drill": cmd_drill, "builds": cmd_builds}[args.cmd](args)

@@ -41,6 +41,35 @@ def unique(df: DataFrame, column) -> DataFrame:
     return present.groupBy(*cols).agg(F.count(F.lit(1)).alias("n_records")).where("n_records > 1")
 
 
+#: Words that are sent to every task: 16 MB at most.
+WORDS = 1_000_000
+
+
+def unique_ids(df: DataFrame, column: str, limit: int = WORDS) -> DataFrame:
+    """What :func:`unique` returns for an integer column, but only candidates
+    are shuffled by value.
+
+    Ids travel as words of 64 neighbours, with a mask of those seen and their
+    number: one row for each word a task has, where tables that keep nearby
+    ids together have dozens of ids a word. A word with more rows than bits has
+    a repeated id; the ids of such words are counted exactly. The repeated
+    words are written to the shared folder and counted; more than ``limit`` of
+    them are not worth a filter, and all ids are counted then."""
+    import uuid
+    from basketry.session import shared_table_root
+    present = df.where(F.col(column).isNotNull())
+    word = F.shiftright(F.col(column).cast("long"), 6)
+    bit = F.expr(f"shiftleft(1L, CAST(`{column}` & 63 AS INT))")
+    found = (present.groupBy(word.alias("__word")).agg(F.count(F.lit(1)).alias("__rows"), F.bit_or(bit).alias("__seen"))
+             .where("__rows > bit_count(__seen)").select("__word"))
+    path = f"{shared_table_root(df.sparkSession).rstrip('/')}/words-{uuid.uuid4().hex[:12]}"
+    found.write.parquet(path)
+    words = df.sparkSession.read.schema("__word long").parquet(path)
+    if words.count() > limit:
+        return unique(df, column)
+    return unique(present.join(F.broadcast(words), word == F.col("__word"), "left_semi"), column)
+
+
 def accepted_values(df: DataFrame, column: str, values) -> DataFrame:
     """Rows whose value is outside ``values``; NULL is not judged here (use
     :func:`not_null` for that)."""

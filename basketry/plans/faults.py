@@ -42,3 +42,9 @@ def faulted_headers(stg_orders: DataFrame, stg_lines: DataFrame) -> DataFrame:
     total = F.coalesce(F.col("__sum") + off, F.col("net_sales"))
     return (stg_orders.join(sums, F.col("order_id") == F.col("__id"), "left")
             .withColumn("net_sales", total.cast(stg_orders.schema["net_sales"].dataType)).drop("__id", "__sum"))
+
+
+def doubled_headers(stg_orders: DataFrame) -> DataFrame:
+    """Headers of which some stand twice, and some of those three times."""
+    return (stg_orders.unionByName(stg_orders.where(_hit(HEADERLESS)))
+            .unionByName(stg_orders.where(_hit(2 * HEADERLESS))))

@@ -30,6 +30,10 @@ from basketry.operators.lookback import with_prior_orders
 from basketry.plans.staging import stg_orders as _stg_orders, stg_sales as _stg_sales
 
 
+#: Orders of one point look-up; each is a test of every row group's filter.
+MAX_LOOKUP = 100
+
+
 def _zero():
     return F.lit(0).cast("bigint")
 
@@ -213,6 +217,7 @@ class Marts:
         self.row_counts: dict = {}  # rows written per table (write-time metrics)
         self.layouts: dict = {}  # table -> Layout of its folders
         self._rollups = None
+        self.buckets = None  # the staged tables by order id, if stored
         self.checks: dict = {}  # results of the row checks, from the passes of the build
 
     @classmethod
@@ -330,6 +335,17 @@ class Marts:
             self._rollups = store(spark, ROLLUPS, self, f"{self.root.rstrip('/')}/rollups")
         return self._rollups
 
+    def bucketed(self, spark: SparkSession, **how) -> "Marts":
+        """These models with the staged headers and lines stored by order id
+        (:mod:`basketry.sources.buckets`): the per-order sums and the checks
+        between the two read them without an exchange."""
+        from basketry.sources.buckets import store
+        out = Marts(self.raw_orders, self.raw_sales, self.cfg, self.raw_lines)
+        out.__dict__.update(self.__dict__)
+        out.buckets = store(spark, self.stg_orders, self.stg_lines, **how)
+        out.__dict__["order_product_summary"] = out.buckets.apply(order_product_summary)
+        return out
+
     def rollups_of(self, spark: SparkSession, mart: str) -> list:
         return [s for s in self.rolled(spark) if s.rollup.mart == mart]
 
@@ -348,6 +364,22 @@ class Marts:
             f"{self.root.rstrip('/')}/{self.TABLES[table]}")
         return rows.where(self.layouts[table].slice(**wanted)).select(*getattr(self, table).columns)
 
+    def lookup(self, table: str, order_ids) -> DataFrame:
+        """Rows of a few orders of a written mart, which are not clustered by
+        their id: row groups are skipped by the Bloom filters of the id."""
+        return self.among(getattr(self, table), [order_ids] if isinstance(order_ids, int) else order_ids)
+
+    @staticmethod
+    def among(rows: DataFrame, order_ids) -> DataFrame:
+        """``rows`` of a few orders."""
+        ids = sorted(set(order_ids))
+        if len(ids) > MAX_LOOKUP:
+            raise ValueError(f"at most {MAX_LOOKUP} ids; join the table for more")
+        same = F.lit(False)
+        for i in ids:
+            same |= F.col("order_id") == F.lit(i)
+        return rows.where(same)
+
     def materialize(self, spark: SparkSession, root: str | None = None, clustered: bool = True,
                     rows_per_zone: int | None = None) -> "Marts":
         """Write the table-materialised models (intermediate models and
@@ -411,9 +443,9 @@ class Marts:
         out.__dict__["order_customer_history"] = history.drop("__current_prior")
         layout = lambda keys, rows: Layout.of(keys, rows, years, rows_per_zone or ROWS_PER_ZONE) if clustered else None
         written(orders_from_history(history, summary, self.cfg), "mart_orders", layout=layout(
-            {"customer_id": customers, "order_segmentation": sorted(SEGMENTS)}, checks["rows:raw_orders"]))
+            {"customer_id": customers, "order_segmentation": sorted(SEGMENTS)}, checks["rows:raw_orders"]), lookup=["order_id"])
         written(mart_order_lines(self.stg_sales, out.mart_orders), "mart_order_lines", layout=layout(
-            {"product_id": products, "customer_id": customers}, checks["rows:raw_sales"]))
+            {"product_id": products, "customer_id": customers}, checks["rows:raw_sales"]), lookup=["order_id"])
         # One row per product, already hash-partitioned on product_id by its
         # aggregates: a local sort orders every file by product.
         products = mart_product_summary(out.mart_order_lines).select("*", nth("product_id"))

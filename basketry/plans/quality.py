@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from basketry.config import Config
 from basketry.functions.dates import in_range, within
 from basketry.functions.segments import SEGMENTS, segment_sql
-from basketry.operators.checks import Check, accepted_values, not_null, relationships, unique
+from basketry.operators.checks import Check, accepted_values, not_null, relationships, unique, unique_ids
 from basketry.plans.marts import Marts
 from basketry.plans.reports import combine_rows, orphan_lines, union_all
 from basketry.plans.staging import staged_orders, staged_sales
@@ -46,6 +46,12 @@ def _rel(m: Marts, name: str) -> DataFrame:
     return getattr(m, name)
 
 
+def _repeated(df: DataFrame, column: str) -> DataFrame:
+    """Repeated values; integers by words of ids, others by themselves."""
+    whole = df.schema[column].dataType.typeName() in ("byte", "short", "integer", "long")
+    return unique_ids(df, column) if whole else unique(df, column)
+
+
 # -- singular checks -----------------------------------------------------------
 # Row-level checks are predicates, so the summary can evaluate all of them for
 # one relation in a single aggregate pass.
@@ -198,7 +204,7 @@ def declared_checks(m: Marts) -> list[Check]:
         for c in cols:
             checks.append(Check(f"not_null:{rel}.{c}", lambda rel=rel, c=c: not_null(_rel(m, rel), c)))
     for rel, c in UNIQUE:
-        checks.append(Check(f"unique:{rel}.{c}", lambda rel=rel, c=c: unique(_rel(m, rel), c)))
+        checks.append(Check(f"unique:{rel}.{c}", lambda rel=rel, c=c: _repeated(_rel(m, rel), c)))
     for rel, c in ACCEPTED:
         checks.append(Check(f"accepted_values:{rel}.{c}",
                             lambda rel=rel, c=c: accepted_values(_rel(m, rel), c, SEGMENTS)))
@@ -352,11 +358,15 @@ def _per_order_pass(m: Marts) -> DataFrame:
 
 def _header_lines_pass(m: Marts, tolerance: float = 0.01) -> DataFrame:
     """Header totals against line sums and lines without a header, from one
-    full join of the headers with one row per order of the lines."""
-    sums = m.stg_lines.groupBy(F.col("order_id").alias("__id")).agg(
-        F.sum("line_net_sales").alias("__sum"), F.count(F.lit(1)).alias("__lines"))
-    j = (m.stg_orders.select("order_id", "net_sales", F.lit(True).alias("__header"))
-         .join(sums, F.col("order_id") == F.col("__id"), "full_outer"))
+    full join of the headers with one row per order of the lines. With tables
+    bucketed by order id (``m.buckets``) neither is shuffled."""
+    def part(orders, lines):
+        sums = lines.groupBy(F.col("order_id").alias("__id")).agg(
+            F.sum("line_net_sales").alias("__sum"), F.count(F.lit(1)).alias("__lines"))
+        return (orders.select("order_id", "net_sales", F.lit(True).alias("__header"))
+                .join(sums, F.col("order_id") == F.col("__id"), "full_outer"))
+
+    j = m.buckets.apply(part) if m.buckets else part(m.stg_orders, m.stg_lines)
     diff = F.abs(F.coalesce("net_sales", F.lit(0)) - F.coalesce("__sum", F.lit(-1)))
     orphan = F.col("__header").isNull()
     count = lambda pred: F.coalesce(F.sum(F.when(pred, F.col("__lines"))), F.lit(0))

@@ -15,7 +15,7 @@ from pyspark.sql.types import DecimalType
 
 from basketry.config import DRIVER_CONFIG as CFG
 from basketry.functions.numeric import money
-from basketry.operators.checks import null_count_summary
+from basketry.operators.checks import null_count_summary, unique_ids
 from basketry.operators.explore import explore
 from basketry.operators.rollups import Slice
 from basketry.plans import faults as ft
@@ -23,8 +23,9 @@ from basketry.plans import forecast as fc
 from basketry.plans import quality as dq
 from basketry.plans import reports as rp
 from basketry.plans import semantic as sm
-from basketry.plans.marts import Marts, exercise_6_orders_segmented
+from basketry.plans.marts import Marts, exercise_6_orders_segmented, order_product_summary
 from basketry.session import input_version
+from basketry.sources.buckets import store
 from basketry.sources.readers import load_profile, null_counts
 
 
@@ -36,6 +37,7 @@ def present(df: DataFrame) -> DataFrame:
 
 _MARTS: dict = {}
 _BUILT: dict = {}
+_BUCKETS: dict = {}
 
 
 def _cached(cache: dict, spark: SparkSession, sf_dir: str, make) -> Marts:
@@ -74,6 +76,34 @@ def set_built(spark: SparkSession, sf_dir: str, marts: Marts) -> None:
 def refresh() -> None:
     _MARTS.clear()
     _BUILT.clear()
+    _BUCKETS.clear()
+
+
+def _b(frames: Callable[[Marts], tuple], per_order) -> Callable[[SparkSession, str], DataFrame]:
+    """A query order by order over (headers, lines) stored by order id, once
+    per session and state of the data folder."""
+    def run(spark, sf_dir):
+        stored = _cached(_BUCKETS.setdefault(frames, {}), spark, sf_dir, lambda: store(spark, *frames(_marts(spark, sf_dir))))
+        return present(stored.apply(per_order))
+    return run
+
+
+def _largest_order(m: Marts) -> DataFrame:
+    """The lines of the order with the largest net sales."""
+    best = m.mart_orders.orderBy(F.desc("net_sales"), "order_id").select("order_id").first()
+    return sm.drill(m.lookup("mart_order_lines", [r for r in best or []]), None, sm.LINE_DETAIL)
+
+
+def _staged(m: Marts) -> tuple:
+    return m.stg_orders, m.stg_lines
+
+
+def _faulted_headers(m: Marts) -> tuple:
+    return ft.faulted_headers(m.stg_orders, m.stg_lines), m.stg_lines
+
+
+def _faulted_lines(m: Marts) -> tuple:
+    return m.stg_orders, ft.faulted_lines(m.stg_lines)
 
 
 def _q(build: Callable[[Marts], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -290,6 +320,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "faults_order_grain_in_year": _r(lambda m: dq.order_grain_in_year(ft.faulted_mart(m.mart_orders), m.cfg)),
     "faults_order_sales_match": _r(lambda m: dq.order_sales_match(
         ft.faulted_headers(m.stg_orders, m.stg_lines), m.stg_lines)),
+    # over headers and lines stored by order id: no exchange over either
+    "bucketed_order_product_summary": _b(_staged, order_product_summary),
+    "bucketed_order_sales_match": _b(_faulted_headers, dq.order_sales_match),
+    "bucketed_lines_without_header": _b(_faulted_lines, lambda o, l: dq.lines_without_header(l, o)),
+    "faults_unique_order_ids": _r(lambda m: unique_ids(ft.doubled_headers(m.stg_orders), "order_id")),
+    "lookup_largest_order": _r(_largest_order),
     # metric layer
     "metrics_orders_by_month": _mo(["order_date_at_selected_grain"], _ORDERS_MEASURES, "month"),
     "metrics_orders_by_week": _mo(["order_date_at_selected_grain"], ["order_count", "total_net_sales", "unique_customers"], "week"),

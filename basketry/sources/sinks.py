@@ -30,15 +30,26 @@ def cluster(df: DataFrame, keys, num_partitions: int | None = None, tiebreak=Non
     return parts.sortWithinPartitions(*range_keys)
 
 
+def lookup_options(columns) -> dict:
+    """Parquet options for Bloom filters of ``columns``: the smallest of several
+    candidate sizes that holds a row group's values is kept, 1 MB at most."""
+    if not columns:
+        return {}
+    return {"parquet.bloom.filter.adaptive.enabled": "true", "parquet.bloom.filter.max.bytes": str(1 << 20),
+            **{f"parquet.bloom.filter.enabled#{c}": "true" for c in columns}}
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                 cluster_by=None, partition_by=None, num_partitions: int | None = None,
-                tiebreak=None, observation=None, layout=None, metrics=(), hidden=()) -> None:
+                tiebreak=None, observation=None, layout=None, metrics=(), hidden=(), lookup=()) -> None:
     """Truncate-and-write (``overwrite``) or append. ``observation``: an
     ``Observation`` filled with the written row count and the aggregates in
     ``metrics``; it is attached above the last exchange, in the stage that
     writes, where each task counts once however often it is tried. ``layout``:
     a :class:`basketry.sources.layout.Layout` (year and zone folders).
-    ``hidden``: columns for the metrics only, which are not written."""
+    ``hidden``: columns for the metrics only, which are not written.
+    ``lookup``: columns for point look-ups; every row group gets a Bloom filter
+    of each, as small as its values allow."""
     from basketry.sources.layout import YEAR, ZONE
     if layout is not None:
         out, partition_by = layout.arranged(df), [YEAR, ZONE]
@@ -47,7 +58,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"), *metrics)
     out = out.drop(*hidden)
-    w = out.write.mode(mode).format(fmt)
+    w = out.write.mode(mode).format(fmt).options(**lookup_options(lookup))
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.save(path)
@@ -68,7 +79,7 @@ def register_table(spark: SparkSession, namespace: str, name: str, path: str) ->
 def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view",
                 root: str | None = None, cluster_by=None, register_view: bool = False,
                 tiebreak=None, counts: dict | None = None, layout=None, metrics=(), hidden=(),
-                checks: dict | None = None) -> DataFrame:
+                checks: dict | None = None, lookup=()) -> DataFrame:
     """``view``: register a lazy temp view. ``table``: write parquet under
     ``root`` (default: the shared table folder) and return the re-read table,
     which cuts the lineage (a view of it is registered only on request).
@@ -86,7 +97,7 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, kind: str = "view
     from pyspark.sql import Observation
     obs = Observation(f"rows_{name}")
     write_table(df, path, cluster_by=cluster_by, tiebreak=tiebreak, observation=obs, layout=layout,
-                metrics=metrics, hidden=hidden)
+                metrics=metrics, hidden=hidden, lookup=lookup)
     if counts is not None:
         counts[name] = obs.get.get("rows")
     if checks is not None:

@@ -104,5 +104,10 @@ def test_publish_drill_and_namespaces(spark, capsys, tmp_path):
     assert cli.main(["drill", *marts, "--view", "order_lines", "--product-id", str(product[0]), "--dest", f"{d}/rows"]) == 0
     assert spark.read.parquet(f"{d}/rows").count() == product[1]
     assert f'"product_id": {product[0]}' in capsys.readouterr().out
+    best = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").groupBy("l_orderkey").count().orderBy("l_orderkey").take(2)
+    ids = [x for r in best for x in ("--order-id", str(r[0]))]
+    assert cli.main(["drill", *marts, "--view", "order_lines", *ids, "--dest", f"{d}/orders"]) == 0
+    assert spark.read.parquet(f"{d}/orders").count() == sum(r[1] for r in best)
+    capsys.readouterr()
     assert cli.main(["drill", *marts, "--segment", "New", "--date-from", str(CFG.year_start), "--date-to", str(CFG.year_end), "--show", "2"]) == 0
     assert capsys.readouterr().out.count('"order_segmentation": "New"') == 2
