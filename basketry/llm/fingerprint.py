@@ -15,26 +15,31 @@ likeness of two fingerprints is the larger of
 * the share of common spans, estimated from the smallest hashes of both.
 
 The next document is found without a global window: rows are dealt over ranges
-of doc_id with bounds from quantiles, compressed by range and batch; each range
-is sorted and gone through, and one more row, the first of the range below,
-closes the gap.
+of (doc_id, hash of the text), about RANGE_BYTES of texts each, compressed by
+range and batch; each range is sorted and gone through, and one more row, the
+first of the range below, closes the gap. Bounds come from quantiles of the
+ids; an id that is several quantiles at once, such as null for a third of the
+rows, is split by the hash into as many ranges.
 
 Edge cases: a null text is an empty one, and two empty texts are alike (1.0);
-null ids are below all others; rows with one id follow each other by their
-texts; a single row is its own next; an empty table
+null ids are below all others; rows with one id follow each other by a hash of
+their texts, the largest first; a very long text is one row of its range, held
+whole; repeated rows are each other's next; a single row is its own next; an empty table
 gives an empty one; further columns are left out.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.shared import expanded, plain_text, search, ship, shuffle_partitions, squeezed, worker_state
+from basketry.llm.shared import (expanded, plain_text, search, ship, shuffle_partitions, squeezed, text_bytes,
+                                 worker_state)
 
 ship(__name__)
 
@@ -44,6 +49,7 @@ SPAN = 24
 SKETCH = 64
 RUNGS = 8
 MOST_LENGTH = 1 << 31
+RANGE_BYTES = 128 << 20  #: texts of a range, about: what a task holds at a time
 
 
 def ladder() -> np.ndarray:
@@ -186,10 +192,10 @@ def _packed(batches):
     """range, payload: the rows of a batch by range, compressed."""
     for batch in batches:
         held: dict[int, list] = {}
-        for own, closed, place, doc_id, text in zip(*(batch.column(k).to_pylist() for k in range(5))):
-            held.setdefault(own, []).append((False, -place, text, doc_id))
+        for own, closed, key, doc_id, text in zip(*(batch.column(k).to_pylist() for k in range(5))):
+            held.setdefault(own, []).append((False, key, text, doc_id))
             if closed is not None:
-                held.setdefault(closed, []).append((True, -place, text, doc_id))
+                held.setdefault(closed, []).append((True, key, text, doc_id))
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(held), pa.int32()), pa.array([squeezed(x) for x in held.values()], pa.binary())], ["range", "payload"])
 
@@ -197,7 +203,8 @@ def _packed(batches):
 def _rows_of(payloads: list[bytes]):
     """The output of one range: its rows in order, each with the one after it;
     the first of the closing rows comes after the last."""
-    rows = sorted((r for p in payloads for r in expanded(p)[0]), key=lambda r: r[:3])
+    rows = sorted((r for p in payloads for r in expanded(p)[0]), key=lambda r: r[1], reverse=True)
+    rows.sort(key=lambda r: r[0])
     own = None
     for k, (closing, _, text, doc_id) in enumerate(rows):
         if closing:
@@ -225,24 +232,43 @@ def _stream(batches):
     yield made(list(_rows_of(held)))
 
 
+def _key(place: int, share: float = 0.0) -> str:
+    """The key of an id and of a hash that lies at ``share`` of all hashes."""
+    return f"{place + (1 << 63):016X}{min((1 << 64) - 1, int(share * (1 << 64))):016X}"
+
+
+def _bounds(points: list[int]) -> list[str]:
+    """Range bounds from quantiles of the ids. One that stands there r times
+    holds about r ranges' rows and is cut into r by the hash."""
+    times = Counter(points)
+    return sorted(_key(place, k / r) for place, r in times.items() for k in range(r))
+
+
+def ranged(docs: DataFrame, ranges: int) -> DataFrame:
+    """``docs`` (doc_id, text) with the sort key of each row and its range."""
+    place = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    digits = lambda c: F.lpad(F.hex(c), 16, "0")
+    key = F.concat(digits(place.bitwiseXOR(F.lit(-(1 << 63)))), digits(F.xxhash64("text")))
+    points = docs.agg(F.percentile_approx(place, [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0]
+    bounds = _bounds(points or [])
+    table = F.split(F.lit(",".join(bounds)), ",")  # one literal, however many
+    return docs.withColumn("key", key).withColumn("range", search(bounds, F.col("key"), table))
+
+
 def fingerprints(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next of every row."""
-    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    docs = docs.select(F.col("doc_id").cast("long"), order.alias("place"), plain_text().alias("text"))
-    ranges = ranges or 8 * shuffle_partitions(docs.sparkSession)
-    points = docs.agg(F.percentile_approx("place", [i / ranges for i in range(1, ranges)], 10 * ranges)).first()[0]
-    bounds = sorted(set(points or []))
-    docs = docs.withColumn("range", search(bounds, F.col("place")))
+    spark = docs.sparkSession
+    docs = docs.select(F.col("doc_id").cast("long"), plain_text().alias("text"))
+    ranges = ranges or max(8 * shuffle_partitions(spark), text_bytes(docs) // RANGE_BYTES)
+    docs = ranged(docs, ranges)
     # the first row of a range closes the next range above that has rows; the
     # first of all closes the lowest
-    ends = docs.groupBy("range").agg(F.max("place").alias("most")).orderBy("range").collect()
-    closes = [None] * (len(bounds) + 1)
-    for at, end in enumerate(ends):
-        closes[end["range"]] = (end["most"], ends[(at + 1) % len(ends)]["range"])
-    pick = lambda k, kind: F.get(F.array(*[F.lit(c and c[k]).cast(kind) for c in closes]), F.col("range"))
-    closed = F.when(F.col("place") == pick(0, "long"), pick(1, "int"))
-    packed = docs.select("range", closed, "place", "doc_id", "text").mapInArrow(_packed, "range int, payload binary")
+    ends = docs.groupBy("range").agg(F.max("key").alias("first")).orderBy("range").collect()
+    closes = [(end["first"], ends[(at + 1) % len(ends)]["range"]) for at, end in enumerate(ends)]
+    closing = F.broadcast(spark.createDataFrame(closes, "first string, closed int"))  # a row a range
+    packed = (docs.join(closing, F.col("key") == F.col("first"), "left").select("range", "closed", "key", "doc_id", "text")
+              .mapInArrow(_packed, "range int, payload binary"))
     return packed.repartition("range").sortWithinPartitions("range").mapInArrow(_stream, SCHEMA)
 
 

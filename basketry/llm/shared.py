@@ -48,16 +48,17 @@ def text_bytes(docs: DataFrame) -> int:
     return int(docs.agg(F.sum(F.octet_length(plain_text()).cast("long"))).first()[0] or 0)
 
 
-def search(bounds: list, value: Column) -> Column:
+def search(bounds: list, value: Column, table: Column | None = None) -> Column:
     """How many of the sorted literal ``bounds`` are at most ``value``: binary
-    search inside the expression, log2(len) steps a row."""
+    search inside the expression, log2(len) steps a row. ``table``: the bounds
+    as one array literal, where there are very many."""
     if not bounds:
         return F.lit(0)
     steps, step = [], 1
     while step <= len(bounds):
         steps.insert(0, step)
         step *= 2
-    table = F.array(*[F.lit(b) for b in bounds])
+    table = F.array(*[F.lit(b) for b in bounds]) if table is None else table
     return F.aggregate(
         F.array(*[F.lit(s) for s in steps]), F.lit(0),
         lambda low, s: F.when(F.get(table, low + s - 1) <= value, low + s).otherwise(low))

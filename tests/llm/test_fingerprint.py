@@ -56,6 +56,39 @@ def test_table_over_many_ranges(spark):
             assert r["near_next"] == fp.likeness(fp.Fingerprint(dict(data)[r["doc_id"]]), fp.Fingerprint(following))
 
 
+def test_an_id_of_a_third_of_all_rows_is_split(spark):
+    """Null ids and one id, a third of the rows each: no range gets more than
+    a few times its share, and every row is the next of one row."""
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"text {i} of many, with some words") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes = [r["count"] for r in fp.ranged(docs, 30).groupBy("range").count().collect()]
+    assert sum(sizes) == 3000 and len(sizes) > 25 and max(sizes) < 3 * 3000 / 30
+    keys = {(r["doc_id"], r["text"]): r["key"] for r in fp.ranged(docs, 30).collect()}
+    ordered = sorted(rows, key=keys.get, reverse=True)
+    assert [i for i, _ in ordered] == sorted((i for i, _ in rows), key=lambda i: -(1 << 63) if i is None else i, reverse=True)
+    for ranges in (30, 200):
+        _check(ordered, fp.fingerprints(docs, ranges).collect())
+
+
+def test_repeated_rows(spark):
+    """Any of them may come first: all have the same result but the last."""
+    rows = [(1, "one and the same text")] * 50 + [(0, "another")]
+    _check(rows, fp.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"), 8).collect())
+
+
+def test_fingerprint_by_big_integers():
+    """The whole text's hash, and its span hashes, as sums of plain integers."""
+    for text in ("", "a", "abc abd", "één ünïcode tekst 漢字 😀 " * 9, LONG[:3000]):
+        p = fp.Prefixes.of(text)
+        for i, n in ((0, len(text)), (len(text) // 3, len(text) // 2)):
+            n = min(n, len(text) - i)
+            for j in range(max(0, len(text) - n - 5), len(text) - n + 1):
+                want = text[i:i + n] == text[j:j + n]
+                plain = lambda at: tuple(sum(ord(c) * pow(b, k, m) for k, c in enumerate(text[at:at + n])) % m
+                                         for m, b in zip(fp.PRIMES, fp.BASES))
+                assert (plain(i) == plain(j)) == want == p.equal(i, p, j, n)
+
+
 def test_edges(spark):
     from llm_cases import rows
     got = fp.fingerprints(clashing(frame(spark), range=1, place=2, closing=True)).collect()
