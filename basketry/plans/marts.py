@@ -10,15 +10,16 @@ Shuffle plan (per build, at any scale):
 * mart_orders: history joined 1:1 with the lines' per-order sums on ``order_id``;
 * order lines: one inner join of lines with order attributes on
   ``order_id`` (existence test and attribute lookup in one join);
-* product summary: lines -> (product, order, customer, month) -> product, one
-  pass over the lines for the sums and the distinct counts.
+* product summary: one exchange of the lines by product, sorts inside it for
+  the distinct counts; products with a large share of the lines, known from
+  the quantiles of the profile, are dealt out by order, customer and month.
 """
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -129,33 +130,56 @@ def mart_order_lines(stg_sales: DataFrame, mart_orders_df: DataFrame) -> DataFra
     )
 
 
-def mart_product_summary(order_lines: DataFrame) -> DataFrame:
+def frequent(quantiles) -> list:
+    """The values that fill two or more neighbouring quantiles: each of them
+    may be a share of the rows that is too large for a task."""
+    return sorted({a for a, b in zip(quantiles, quantiles[1:]) if a == b})
+
+
+def _product_sums(lines: DataFrame) -> list[Column]:
+    revenue_of = lambda segment: F.round(F.sum(F.when(F.col("order_segmentation") == segment, F.col("net_sales"))
+                                               .otherwise(F.lit(0))), 2)
+    return [F.sum("quantity").alias("total_units_sold"), F.sum("net_sales").alias("__revenue"),
+            revenue_of(NEW).alias("new_customer_revenue"), revenue_of(RETURNING).alias("returning_customer_revenue"),
+            revenue_of(VIP).alias("vip_revenue"),
+            F.min("order_date").alias("first_order_date"), F.max("order_date").alias("last_order_date")]
+
+
+_PRODUCT_COUNTS = {"order_id": "orders_containing_product", "customer_id": "customers_buying_product",
+                   "__month": "active_months"}
+
+
+def _per_product(lines: DataFrame) -> DataFrame:
+    """Sums and distinct counts by product from one exchange by product: the
+    first line of each order, customer and month of a product is marked, and
+    the marks are counted. Sorted, not hashed: memory is bounded by the sort's."""
+    dealt = lines.repartition("product_id")
+    for c in _PRODUCT_COUNTS:
+        by = Window.partitionBy("product_id", c).orderBy("product_id", c)
+        dealt = dealt.withColumn(f"__first_{c}", (F.row_number().over(by) == 1) & F.col(c).isNotNull())
+    return dealt.groupBy("product_id").agg(
+        *_product_sums(lines), *[F.count_if(f"__first_{c}").alias(n) for c, n in _PRODUCT_COUNTS.items()])
+
+
+def _per_frequent_product(lines: DataFrame) -> DataFrame:
+    """The same for a few products with many lines: dealt out by order,
+    customer and month and pre-aggregated by product."""
+    return lines.groupBy("product_id").agg(
+        *_product_sums(lines), *[F.countDistinct(c).alias(n) for c, n in _PRODUCT_COUNTS.items()])
+
+
+def mart_product_summary(order_lines: DataFrame, hot=()) -> DataFrame:
     """One row per product. ``avg_monthly_revenue`` divides the already
-    rounded revenue (kept as specified).
-
-    Two aggregates in a row over one pass of the lines: first to (product,
-    order, customer, month), which carries all sums, then to the product, with
-    the three distinct counts over those rows. A product with a large share of
-    the lines is dealt out by order in the first and pre-aggregated in the
-    second."""
-    revenue_of = lambda segment: F.sum(F.when(F.col("order_segmentation") == segment, F.col("net_sales"))
-                                       .otherwise(F.lit(0)))
-    grain = order_lines.groupBy("product_id", "order_id", "customer_id", month_start("order_date").alias("__month")).agg(
-        F.sum("quantity").alias("__units"), F.sum("net_sales").alias("__revenue"),
-        revenue_of(NEW).alias("__new"), revenue_of(RETURNING).alias("__returning"), revenue_of(VIP).alias("__vip"),
-        F.min("order_date").alias("__first"), F.max("order_date").alias("__last"))
-    j = grain.groupBy("product_id").agg(
-        F.sum("__units").alias("total_units_sold"),
-        F.sum("__revenue").alias("__revenue"),
-        F.round(F.sum("__new"), 2).alias("new_customer_revenue"),
-        F.round(F.sum("__returning"), 2).alias("returning_customer_revenue"),
-        F.round(F.sum("__vip"), 2).alias("vip_revenue"),
-        F.min("__first").alias("first_order_date"),
-        F.max("__last").alias("last_order_date"),
-        F.countDistinct("order_id").alias("orders_containing_product"),
-        F.countDistinct("customer_id").alias("customers_buying_product"),
-        F.countDistinct("__month").alias("active_months"),
-    )
+    rounded revenue (kept as specified). ``hot``: products with a large share
+    of the lines (:func:`frequent`), which are dealt out over the tasks; the
+    lines of all others go to their product's task, once."""
+    lines = order_lines.select("product_id", "order_id", "customer_id", "order_date", "quantity", "net_sales",
+                               "order_segmentation", month_start("order_date").alias("__month"))
+    if hot:
+        often = F.coalesce(F.col("product_id").isin(*hot), F.lit(False))
+        j = _per_product(lines.where(~often)).unionByName(_per_frequent_product(lines.where(often)))
+    else:
+        j = _per_product(lines)
     revenue = F.round(F.col("__revenue"), 2)
     return j.select(
         "product_id", "total_units_sold",
@@ -259,6 +283,13 @@ class Marts:
     def mart_product_summary(self) -> DataFrame:
         return mart_product_summary(self.mart_order_lines)
 
+    def product_summary_dealt(self) -> DataFrame:
+        """The product summary with frequent products dealt out: one pass over
+        the raw lines finds them."""
+        from basketry.plans.quality import lines_profile
+        hot = frequent(lines_profile(self)[1])
+        return mart_product_summary(self.mart_order_lines, hot) if hot else self.mart_product_summary
+
     @cached_property
     def mart_orders_presentation(self) -> DataFrame:
         return mart_orders_presentation(self.mart_orders)
@@ -440,14 +471,15 @@ class Marts:
             summary = summary.result()
             found, products = lines_profile.result()
             checks.update(found)
+            hot_products = frequent(products)
         out.__dict__["order_customer_history"] = history.drop("__current_prior")
         layout = lambda keys, rows: Layout.of(keys, rows, years, rows_per_zone or ROWS_PER_ZONE) if clustered else None
         written(orders_from_history(history, summary, self.cfg), "mart_orders", layout=layout(
             {"customer_id": customers, "order_segmentation": sorted(SEGMENTS)}, checks["rows:raw_orders"]), lookup=["order_id"])
         written(mart_order_lines(self.stg_sales, out.mart_orders), "mart_order_lines", layout=layout(
             {"product_id": products, "customer_id": customers}, checks["rows:raw_sales"]), lookup=["order_id"])
-        # One row per product, already hash-partitioned on product_id by its
-        # aggregates: a local sort orders every file by product.
-        products = mart_product_summary(out.mart_order_lines).select("*", nth("product_id"))
-        written(products.sortWithinPartitions("product_id") if clustered else products, "mart_product_summary", hidden=["__nth"])
+        # One row per product, hash-partitioned on product_id (but for frequent
+        # ones): a local sort orders every file by product.
+        summed = mart_product_summary(out.mart_order_lines, hot_products).select("*", nth("product_id"))
+        written(summed.sortWithinPartitions("product_id") if clustered else summed, "mart_product_summary", hidden=["__nth"])
         return out

@@ -249,7 +249,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "int_order_customer_history": _q(lambda m: m.order_customer_history),
     "mart_orders": _q(lambda m: m.mart_orders),
     "mart_order_lines": _q(lambda m: m.mart_order_lines),
-    "mart_product_summary": _q(lambda m: m.mart_product_summary),
+    "mart_product_summary": _q(lambda m: m.product_summary_dealt()),
     "mart_orders_presentation": _r(lambda m: m.mart_orders_presentation),
     "mart_order_lines_presentation": _r(lambda m: m.mart_order_lines_presentation),
     "exercise_4_orders_with_qty": _r(lambda m: m.exercise_4),

@@ -117,3 +117,27 @@ def test_profile_reconciliation_finds_wrong_rows(spark):
                              .otherwise(F.col("customer_profile")))
     rows = dq.profile_reconciliation(broken, DRIVER_CONFIG).collect()
     assert [r.order_id for r in rows] == [target] and rows[0].stored_profile == "Unknown"
+
+
+def test_frequent_products_are_dealt_out_with_the_same_sums(spark):
+    """A product with most lines, nulls, copies and an order of two customers;
+    no aggregate over multiplied rows for the others."""
+    from basketry.plans.marts import frequent, mart_product_summary
+    lines = [(i % 40, i % 7 if i % 9 else None, None if i % 11 == 0 else 5 if i % 3 else i % 13,
+              None if i % 17 == 0 else f"2024-{1 + i % 12:02d}-{1 + i % 28:02d}", i % 5, None if i % 19 == 0 else str(i / 4),
+              ("New", "Returning", "VIP")[i % 3]) for i in range(600)] * 2
+    df = spark.createDataFrame(lines, "order_id long, customer_id long, product_id long, order_date string, quantity long, "
+                               "net_sales string, order_segmentation string")
+    df = df.selectExpr("* except (order_date, net_sales)", "cast(order_date as date) order_date", "cast(net_sales as decimal(38,9)) net_sales")
+    plain = mart_product_summary(df)
+    assert "Expand" not in plain._jdf.queryExecution().executedPlan().toString()
+    got = {r.product_id: r for r in plain.collect()}
+    assert sorted(map(repr, mart_product_summary(df, [5]).collect())) == sorted(map(repr, got.values()))
+    assert set(got) == {x[2] for x in lines}
+    for p, r in got.items():
+        own = [x for x in lines if x[2] == p]
+        assert r.orders_containing_product == len({x[0] for x in own})
+        assert r.customers_buying_product == len({x[1] for x in own} - {None})
+        assert r.active_months == len({x[3][:7] for x in own if x[3]})
+        assert r.total_units_sold == sum(x[4] for x in own)
+    assert frequent([1, 2, 2, 2, 3, 4, 4]) == [2, 4] and frequent([]) == []
