@@ -2,8 +2,8 @@
 
 A :class:`Rollup` keeps one mart at a date grain (day, month) and a few plain
 dimensions: additive sums, under the mart's own column names, and sets of ids
-as exact bitmaps (one row of 32,768 bits for each bucket of ids that occurs),
-which merge by OR. So distinct counts roll up as sums do: any dimension that
+as exact bitmaps (one row of 64 bits, a long, for each word of ids that occurs),
+which merge by OR in hash aggregates and take no more rows than there are ids. So distinct counts roll up as sums do: any dimension that
 the stored ones determine - a week, a quarter, a segment, the total - needs no
 scan of the mart.
 
@@ -100,14 +100,15 @@ class Rollup:
         return self.at_grain(df).groupBy(*self.keys).agg(*aggs)
 
     def sets_of(self, df: DataFrame, stored: bool = False) -> DataFrame:
-        """keys, kind (the id column), bucket, bits."""
+        """keys, kind (the id column), word (the id without its last six bits),
+        bits (a bit for each id of the word)."""
         df = self.at_grain(df)
         if stored:
-            return df.groupBy(*self.keys, "kind", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+            return df.groupBy(*self.keys, "kind", "word").agg(F.bit_or("bits").alias("bits"))
         ids = F.explode(F.array(*[F.struct(F.lit(c).alias("kind"), F.col(c).cast("long").alias("id")) for c in self.sets]))
         rows = df.select(*self.keys, ids.alias("x")).where("x.id IS NOT NULL").select(
-            *self.keys, "x.kind", F.bitmap_bucket_number("x.id").alias("bucket"), F.bitmap_bit_position("x.id").alias("bit"))
-        return rows.groupBy(*self.keys, "kind", "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+            *self.keys, "x.kind", F.shiftright("x.id", 6).alias("word"), F.expr("shiftleft(1L, cast(x.id & 63 as int))").alias("bit"))
+        return rows.groupBy(*self.keys, "kind", "word").agg(F.bit_or("bit").alias("bits"))
 
 
 @dataclass(frozen=True)
@@ -116,6 +117,11 @@ class Stored:
     sums: DataFrame
     sets: DataFrame | None
     rows: int = 0
+    set_rows: int = 0
+
+    def cost(self, measures: list) -> int:
+        """Rows that an answer reads."""
+        return self.rows + (self.set_rows if any(m.ids is not None for m in measures) else 0)
 
     def covers(self, dims: list, measures: list, wanted: Slice | None, params: dict) -> bool:
         """dims: Dimension objects; measures: Measure objects."""
@@ -147,10 +153,10 @@ class Stored:
         sums = over(self.sums).groupBy(*by).agg(*[m.rolled().alias(m.name) for m in own] or [F.count(F.lit(1)).alias("__n")])
         if not ids:
             return sums.select(*names, *[m.name for m in own])
-        bits = over(self.sets).where(F.col("kind").isin([m.ids for m in ids])).groupBy(*by, "kind", "bucket").agg(
-            F.bitmap_or_agg("bits").alias("bits"))
+        bits = over(self.sets).where(F.col("kind").isin([m.ids for m in ids])).groupBy(*by, "kind", "word").agg(
+            F.bit_or("bits").alias("bits"))
         counts = bits.groupBy(*names).agg(*[
-            F.sum(F.when(F.col("kind") == m.ids, F.bitmap_count("bits"))).alias(m.name) for m in ids])
+            F.sum(F.when(F.col("kind") == m.ids, F.bit_count("bits"))).alias(m.name) for m in ids])
         # both have a row a group: put side by side by one more aggregate
         both = sums.unionByName(counts, allowMissingColumns=True).groupBy(*names).agg(
             *[F.max(m.name).alias(m.name) for m in own],
@@ -163,7 +169,7 @@ def choose(stored, dims: list, measures: list, wanted, params: dict) -> Stored |
     if wanted is not None and not isinstance(wanted, Slice):
         return None
     fits = [s for s in stored if s.covers(dims, measures, wanted, params)]
-    return min(fits, key=lambda s: (s.rows, len(s.rollup.keys)), default=None)
+    return min(fits, key=lambda s: (s.cost(measures), len(s.rollup.keys)), default=None)
 
 
 def store(spark: SparkSession, rollups: list[Rollup], marts, root: str) -> list[Stored]:
@@ -181,5 +187,5 @@ def store(spark: SparkSession, rollups: list[Rollup], marts, root: str) -> list[
         if r.sets:
             known = parent is not None and set(r.sets) <= set(parent.rollup.sets)
             sets = write(r.sets_of(parent.sets, True) if known else r.sets_of(base), f"{r.name}_ids")
-        out[r.name] = Stored(r, sums, sets, counts[r.name] + counts.get(f"{r.name}_ids", 0))
+        out[r.name] = Stored(r, sums, sets, counts[r.name], counts.get(f"{r.name}_ids", 0))
     return list(out.values())

@@ -181,7 +181,7 @@ _ORDER_SUMS = {"order_count": lambda: F.count(F.lit(1)), "net_sales": lambda: F.
 _LINE_SUMS = {"net_sales": lambda: F.sum("net_sales"), "quantity": lambda: F.sum("quantity"),
               "order_line_count": lambda: F.count(F.lit(1))}
 #: The stored aggregates, parents before children. Days keep the customers'
-#: bitmaps, of which a day has few buckets; the line mart's three id sets are
+#: words, at most one an order; the line mart's three id sets are
 #: kept by month.
 ROLLUPS = [
     Rollup("orders_by_day", "mart_orders", "day", _PLAIN, _ORDER_SUMS, ("customer_id",)),

@@ -116,3 +116,13 @@ def test_reports_from_daily_sums_equal_the_mart(spark, built):
     for dim in PLAIN:
         assert rows(rp.sales_by(days, dim)) == rows(rp.sales_by(mart, dim))
     assert all("/rollups/orders_by_day" in f for f in rp.month_contribution(days).inputFiles())
+
+
+def test_id_sets_take_no_more_rows_than_ids(spark):
+    """Few ids far apart: a long each, summed by hash aggregates."""
+    from basketry.operators.rollups import Rollup
+    df = spark.createDataFrame([(k, i * 40_000 - 5) for k in (1, 2) for i in range(50)] * 3, "k long, id long")
+    sets = Rollup("r", "m", None, ("k",), {}, ("id",)).sets_of(df)
+    assert "SortAggregate" not in sets._jdf.queryExecution().executedPlan().toString()
+    assert sets.count() == 100 and dict(sets.dtypes)["bits"] == "bigint"
+    assert sets.agg(F.sum(F.bit_count("bits"))).first()[0] == 100
