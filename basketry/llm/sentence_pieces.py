@@ -232,15 +232,19 @@ class Pieces:
             self.held.clear()
             self.long = 0
         words = [self.stretch.findall(self.prefix + t.replace(SIGN, " ")) if t else [] for t in texts]
-        ids = [list(map(self.held.get, some)) for some in words]
-        gaps = [[k for k, x in enumerate(found) if x is None] for found in ids]
-        new = {some[k] for some, places in zip(words, gaps) for k in places}
+        held, out, late = self.held.__getitem__, [], []
+        for some in words:
+            try:
+                out.append(b"".join(map(held, some)))
+            except KeyError:
+                late.append(len(out))
+                out.append(b"")
+        new = {w for w in set().union(*(words[k] for k in late)) if w not in self.held}
         self.long += sum(len(w) for w in new if len(w) > MOST_TOGETHER)
         self.learn(new)
-        for some, found, places in zip(words, ids, gaps):
-            for k in places:
-                found[k] = self.held[some[k]]
-        return [np.frombuffer(b"".join(found), "<i4") for found in ids]
+        for k in late:
+            out[k] = b"".join(map(held, words[k]))
+        return [np.frombuffer(ids, "<i4") for ids in out]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0].tolist()
