@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.shared import plain_text, ship, shuffle_partitions, text_bytes, written
+from basketry.llm.shared import forget, plain_text, ship, shuffle_partitions, text_bytes, written
 
 ship(__name__)
 
@@ -153,6 +153,7 @@ class Trie:
 def _keys(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, text_sha256 of every row."""
     def run(batches):
+        forget("quality")  # an earlier stage's words, in a worker that ran both
         for batch in batches:
             texts = batch.column(1).to_pylist()
             yield pa.RecordBatch.from_arrays(

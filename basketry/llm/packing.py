@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.shared import plain_text, ship, worker_state
+from basketry.llm.shared import forget, plain_text, ship, sliced, worker_state
 
 ship(__name__)
 
@@ -206,10 +206,12 @@ def packed(docs: DataFrame, path: str, context: int = CONTEXT, least: int = LEAS
     of two; end: the ids that close a document, as bytes.
     """
     def run(batches):
+        forget("quality")  # an earlier stage's words, in a worker that ran both
         ids, packer = worker_ids(path), Packer(TaskContext.get().partitionId(), context, least, step_ids)
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                packer.add(doc_id, ids.of(text) + end)
+            for few in sliced([batch]):
+                for doc_id, text in zip(few.column(0).to_pylist(), few.column(1).to_pylist()):
+                    packer.add(doc_id, ids.of(text) + end)
             packer.pack()
             yield packer.flush()
         packer.pack(last=True)

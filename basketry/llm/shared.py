@@ -72,6 +72,14 @@ def worker_state(name: str) -> dict:
     return home.__dict__.setdefault(name, {})
 
 
+def forget(name: str) -> None:
+    """Drop what an operator whose tasks are over keeps in this worker, and
+    give freed Arrow memory back."""
+    import pyarrow as pa
+    worker_state(name).clear()
+    pa.default_memory_pool().release_unused()
+
+
 BATCH_BYTES = 8 << 20
 SLICE_ROWS = 500
 

@@ -67,3 +67,16 @@ def test_steps_hold_equal_numbers_of_ids(spark):
     for t in set(tier.values()):
         own = [n for s, n in sorted(steps.items()) if tier[s] == t]
         assert all(n == 8192 for n in own[:-1])
+
+
+def test_an_earlier_operators_words_are_dropped(spark):
+    """A worker that has run the quality stage starts packing without its cache."""
+    def run(batches):
+        import pyarrow as pa
+        from basketry.llm.shared import forget, worker_state
+        worker_state("quality")["word"] = 1
+        forget("quality")
+        for _ in batches:
+            pass
+        yield pa.RecordBatch.from_pydict({"n": pa.array([len(worker_state("quality"))], pa.int64())})
+    assert {r["n"] for r in spark.range(4).mapInArrow(run, "n long").collect()} == {0}
