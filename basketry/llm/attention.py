@@ -4,8 +4,9 @@ One attention layer with a learned bias for each distance reads the ids before
 a place; its output and the last id's embedding give the next id's class and
 its member of the class (ids are split into ``CLASSES`` equal classes by the
 company they keep), so a place costs two small softmaxes instead of one over
-all ids. Queries, keys and values of an id are rows of tables, so after
-training the exponential of every query-key product is a table as well.
+all ids. Queries, keys and values of an id are rows of tables. Places are put
+in the order of their next id's class once, so a class takes one product with
+the columns of all classes and of its members side by side.
 
 Long sequences go in windows of ``CONTEXT`` + ``STRIDE`` places that overlap
 by CONTEXT, so that each place is scored once, in batches, with a causal mask.
@@ -26,6 +27,7 @@ CONTEXT, STRIDE = 8, 24
 SPACE = CLASSES * CLASSES  #: ids of the model, the last one stands for all others
 LENGTH = CONTEXT + STRIDE
 NONE = 65535
+AT_ONCE = 128  #: windows scored at a time, which a core's cache holds
 BATCH, RATE = 192, 0.01  #: windows of a training step, and its rate at first
 MASK = np.where(np.tril(np.ones((LENGTH, LENGTH))) > 0, 0, -1e9).astype(np.float32)[CONTEXT:]
 DISTANCE = np.clip(np.arange(CONTEXT, LENGTH)[:, None] - np.arange(LENGTH)[None, :], 0, LENGTH - 1)
@@ -92,118 +94,119 @@ def start(order: np.ndarray, seed: int = 3) -> dict:
 
 
 def finished(w: dict) -> dict:
-    """The weights with ``A``, the exponentials of all query-key products."""
-    return w | {"A": np.exp(w["Q"] @ w["K"].T * HEAD ** -0.5).astype(np.float32).ravel()}
-
-
-def hidden(w: dict, x: np.ndarray, keep: bool = False) -> tuple:
-    """The state before each scored place, and what its gradient needs."""
-    now = x[:, CONTEXT:]
-    v, q, k = w["V"][x], None, None
-    if "A" in w:
-        a = w["A"].take(now[:, :, None] * SPACE + x[:, None, :])
-        a *= np.exp(w["D"][DISTANCE] + MASK)
-    else:
-        q, k = w["Q"][now], w["K"][x]
-        q *= HEAD ** -0.5
-        a = np.matmul(q, k.transpose(0, 2, 1))
-        a += w["D"][DISTANCE] + MASK
-        np.exp(a, out=a)
-    whole = a.sum(axis=-1, keepdims=True)
-    o = np.matmul(a, v)
-    o /= whole
-    o = o.reshape(-1, HEAD)
-    if keep:
-        a /= whole
-    h = np.empty((len(o), WIDTH + 1), np.float32)
-    h[:, :WIDTH] = w["E"][now.ravel()]
-    h[:, :WIDTH] += o @ w["O"]
-    h[:, WIDTH] = 1
-    return h, (now, q, k, v, a, o)
-
-
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
-    return x
-
-
-def _exponentials(x: np.ndarray, shift: bool) -> np.ndarray:
-    """exp of each row but for a factor."""
-    if shift:
-        x -= x.max(axis=1, keepdims=True)
-    return np.exp(x, out=x)
+    """The tables that :func:`forward` reads: queries with their scale, keys
+    beside values, embeddings with a one for the bias, and for each class its
+    logit columns beside those of its members."""
+    kind = w["E"].dtype
+    e, o = np.ones((SPACE, WIDTH + 1), kind), np.zeros((HEAD, WIDTH + 1), kind)
+    e[:, :WIDTH], o[:, :WIDTH] = w["E"], w["O"]
+    both = np.empty((CLASSES, WIDTH + 1, 2 * CLASSES), kind)
+    both[:, :, :CLASSES], both[:, :, CLASSES:] = w["C"], w["M"]
+    return {"place": w["place"], "q": w["Q"] * kind.type(HEAD ** -0.5), "kv": np.concatenate([w["K"], w["V"]], axis=1),
+            "e": e, "o": o, "both": both, "bias": (w["D"][DISTANCE] + MASK).astype(kind)}
+
+
+def _exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp of each run of CLASSES numbers but for a factor, and its sum."""
+    runs, ones = x.reshape(-1, CLASSES), np.ones(CLASSES, x.dtype)
+    # no number of a row is far from 0 but where weights are odd
+    if max(x.max(initial=0), -x.min(initial=0)) > 60:
+        runs -= runs.max(axis=1, keepdims=True)
+    np.exp(runs, out=runs)
+    return x, (runs @ ones).reshape(len(x), -1)
+
+
+def forward(t: dict, x: np.ndarray, y: np.ndarray) -> dict:
+    """All that leads to the probability of each next id, for the tables ``t``
+    of :func:`finished`. Places stand in the ``order`` of their next id's class
+    (``cuts``: where each begins) from ``h``, the state before them, on: ``p``
+    has the exponentials of the classes and of the members, ``total`` their
+    sums, ``goal`` the two columns of the next id."""
+    x = x.astype(np.intp)
+    now = x[:, CONTEXT:].ravel()
+    q = t["q"].take(now, axis=0).reshape(len(x), STRIDE, HEAD)
+    kv = t["kv"].take(x, axis=0)
+    a = np.matmul(q, kv[:, :, :HEAD].transpose(0, 2, 1))
+    a += t["bias"]
+    np.exp(a, out=a)
+    whole = a.reshape(-1, LENGTH) @ np.ones(LENGTH, a.dtype)
+    o = np.matmul(a, kv[:, :, HEAD:]).reshape(-1, HEAD)
+    o /= whole[:, None]
+    place = t["place"].take(y.ravel())
+    kind = (place // CLASSES).astype(np.uint8)
+    order = np.argsort(kind, kind="stable")
+    goal = np.stack([kind, CLASSES + place % CLASSES], axis=1)[order]
+    cuts = np.searchsorted(goal[:, 0], np.arange(CLASSES + 1)).tolist()
+    seen = o.take(order, axis=0)
+    h = t["e"].take(now.take(order), axis=0)
+    h += seen @ t["o"]
+    p = np.empty((len(h), 2 * CLASSES), h.dtype)
+    for c, (i, j) in enumerate(zip(cuts, cuts[1:])):
+        if j > i:
+            np.matmul(h[i:j], t["both"][c], out=p[i:j])
+    p, total = _exponentials(p)
+    return {"x": x, "q": q, "kv": kv, "a": a, "whole": whole, "o": o, "order": order, "cuts": cuts, "seen": seen, "h": h,
+            "p": p, "total": total, "goal": goal}
 
 
 def probability(w: dict, x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The model's probability of each next id (n, STRIDE)."""
-    h, _ = hidden(w, x)
-    place = w["place"][y.ravel()]
-    kind, member = place // CLASSES, place % CLASSES
-    rows = np.arange(len(place))
-    # the largest logit there can be decides if exp needs a shift
-    norm = max(np.sqrt((w["C"] ** 2).sum(axis=0).max()), np.sqrt((w["M"] ** 2).sum(axis=1).max()))
-    shift = bool(np.sqrt(np.einsum("ij,ij->i", h, h).max()) * norm > 60)
-    p = _exponentials(h @ w["C"], shift)
-    out = p[rows, kind] / p.sum(axis=1)
-    order = np.argsort(kind.astype(np.uint8), kind="stable")
-    h, member = h[order], member[order]
-    cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1)).tolist()
-    inside = np.empty(len(place), np.float32)
-    for c, (i, j) in enumerate(zip(cuts, cuts[1:])):
-        if j > i:
-            m = _exponentials(h[i:j] @ w["M"][c], shift)
-            inside[i:j] = m[rows[:j - i], member[i:j]] / m.sum(axis=1)
-    out[order] *= inside
-    return out.reshape(y.shape)
+    """The model's probability of each next id (n, STRIDE); ``w``: the weights,
+    or what :func:`finished` makes of them."""
+    t, out = w if "both" in w else finished(w), np.empty(y.shape, np.float32)
+    for i in range(0, len(x), AT_ONCE):
+        f = forward(t, x[i:i + AT_ONCE], y[i:i + AT_ONCE])
+        own = f["p"][np.arange(len(f["p"]))[:, None], f["goal"]] / f["total"]
+        out[i:i + AT_ONCE].reshape(-1)[f["order"]] = own[:, 0] * own[:, 1]
+    return out
 
 
-def _scatter(shape: tuple, ids: np.ndarray, grads: np.ndarray) -> np.ndarray:
+def _scatter(ids: np.ndarray, grads: np.ndarray) -> np.ndarray:
     """Sums of the rows of ``grads`` by id."""
-    out = np.zeros(shape, np.float32)
+    out = np.zeros((SPACE, grads.shape[1]), grads.dtype)
     order = np.argsort(ids, kind="stable")
     ids = ids[order]
     first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-    out[ids[first]] = np.add.reduceat(grads[order], first, axis=0)
+    out[ids[first]] = np.add.reduceat(grads.take(order, axis=0), first, axis=0)
     return out
 
 
 def gradient(w: dict, x: np.ndarray, y: np.ndarray, counts: np.ndarray) -> tuple[float, dict]:
     """Mean negative log probability of the places that count, and its
     gradient."""
-    h, (now, q, k, v, a, o) = hidden(w, x, keep=True)  # q is scaled
-    place = w["place"][y.ravel()]
-    kind, member, weight = place // CLASSES, place % CLASSES, counts.ravel() / max(1, counts.sum())
-    weight = weight.astype(np.float32)
-    rows = np.arange(len(place))
-    p = _softmax(h @ w["C"])
-    loss = -(np.log(p[rows, kind] + 1e-30) * weight).sum()
-    p[rows, kind] -= 1
-    p *= weight[:, None]
-    g = {"C": h.T @ p, "M": np.zeros_like(w["M"])}
-    dh = p @ w["C"].T
-    order = np.argsort(kind, kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1)).tolist()
-    for c, (i, j) in enumerate(zip(cuts, cuts[1:])):
+    t = finished(w)
+    f = forward(t, x, y)
+    a, kv, o, order, h, p = (f[k] for k in ("a", "kv", "o", "order", "h", "p"))
+    weight = (counts.ravel() / max(1, counts.sum())).astype(h.dtype)[order][:, None]
+    goal, runs = f["goal"] + np.arange(len(p))[:, None] * p.shape[1], p.reshape(-1, 2, CLASSES)
+    own = p.ravel().take(goal)
+    loss = -(np.log(own / f["total"] + 1e-30) * weight).sum()
+    weights = weight / f["total"]
+    runs *= weights[:, :, None]
+    p.ravel()[goal] = own * weights - weight
+    both, dh = np.zeros_like(t["both"]), np.empty((len(p), WIDTH), h.dtype)
+    for c, (i, j) in enumerate(zip(f["cuts"], f["cuts"][1:])):
         if j > i:
-            at = order[i:j]
-            m = _softmax(h[at] @ w["M"][c])
-            loss -= (np.log(m[rows[:j - i], member[at]] + 1e-30) * weight[at]).sum()
-            m[rows[:j - i], member[at]] -= 1
-            m *= weight[at][:, None]
-            g["M"][c] = h[at].T @ m
-            dh[at] += m @ w["M"][c].T
-    dh = dh[:, :WIDTH]
-    g["E"] = _scatter(w["E"].shape, now.ravel(), dh)
-    g["O"] = o.T @ dh
-    do = (dh @ w["O"].T).reshape(*now.shape, HEAD)
-    g["V"] = _scatter(w["V"].shape, x.ravel(), np.matmul(a.transpose(0, 2, 1), do).reshape(-1, HEAD))
-    da = np.matmul(do, v.transpose(0, 2, 1))
-    da = a * (da - (da * a).sum(axis=-1, keepdims=True))
-    g["D"] = np.bincount(DISTANCE.ravel(), da.sum(axis=0).ravel(), LENGTH).astype(np.float32)
-    g["Q"] = _scatter(w["Q"].shape, now.ravel(), np.matmul(da, k).reshape(-1, HEAD) * HEAD ** -0.5)
-    g["K"] = _scatter(w["K"].shape, x.ravel(), np.matmul(da.transpose(0, 2, 1), q).reshape(-1, HEAD))
+            np.matmul(h[i:j].T, p[i:j], out=both[c])
+            np.matmul(p[i:j], t["both"][c, :WIDTH].T, out=dh[i:j])
+    g = {"C": both[:, :, :CLASSES].sum(axis=0), "M": both[:, :, CLASSES:], "O": f["seen"].T @ dh}
+    do = np.empty_like(o)
+    do[order] = dh @ w["O"].T
+    do /= f["whole"][:, None]
+    mean = np.einsum("ij,ij->i", do, o).reshape(len(x), STRIDE, 1)
+    do = do.reshape(len(x), STRIDE, HEAD)
+    da = np.matmul(do, kv[:, :, HEAD:].transpose(0, 2, 1))
+    da -= mean
+    da *= a
+    dkv = np.empty_like(kv)
+    np.matmul(da.transpose(0, 2, 1), f["q"], out=dkv[:, :, :HEAD])
+    np.matmul(a.transpose(0, 2, 1), do, out=dkv[:, :, HEAD:])
+    g["D"] = np.bincount(DISTANCE.ravel(), da.sum(axis=0).ravel(), LENGTH).astype(h.dtype)
+    ids = f["x"].astype(np.uint16)
+    dkv = _scatter(ids.ravel(), dkv.reshape(-1, 2 * HEAD))
+    g["K"], g["V"] = dkv[:, :HEAD], dkv[:, HEAD:]
+    ids = ids[:, CONTEXT:].ravel()
+    g["Q"] = _scatter(ids, np.matmul(da, kv[:, :, :HEAD]).reshape(-1, HEAD)) * h.dtype.type(HEAD ** -0.5)
+    g["E"] = _scatter(ids[order], dh)
     return float(loss), g
 
 
@@ -213,22 +216,42 @@ def moments(w: dict) -> dict:
     return {"steps": 0, "first": {n: np.zeros_like(w[n]) for n in names}, "second": {n: np.zeros_like(w[n]) for n in names}}
 
 
+def keep_freed() -> None:
+    """Freeing one large block makes the C library keep freed arrays of a few
+    MB for the next step instead of giving them back to the system."""
+    np.empty(30 << 20, np.uint8)
+
+
+def _views(flat: np.ndarray, w: dict, names: list[str]) -> dict:
+    """The arrays that lie one after the other in ``flat``, shaped as in ``w``."""
+    cuts = np.cumsum([w[n].size for n in names])[:-1]
+    return {n: part.reshape(w[n].shape) for n, part in zip(names, np.split(flat, cuts))}
+
+
 def trained(w: dict, state: dict, rows: np.ndarray, begin: float, upto: float, end: int, passes: int = 1, seed: int = 5) -> tuple[dict, dict]:
     """Adam over all the ``rows`` of :func:`packed_windows`, ``passes`` times in
     random order. begin, upto: the share of the whole training that is done
     before and after; the rate falls to zero with it."""
     rng = np.random.default_rng(seed)
-    w = {n: a.copy() for n, a in w.items()}
-    first, second = ({n: a.copy() for n, a in state[m].items()} for m in ("first", "second"))
+    names = list(state["first"])
+    flat, first, second = (np.concatenate([m[n].ravel() for n in names]) for m in (w, state["first"], state["second"]))
+    w, slope = {"place": w["place"]} | _views(flat, w, names), np.empty_like(flat)
+    spare = np.empty_like(flat)
+    keep_freed()
+    parts = _views(slope, w, names)
     step, each = state["steps"], -(-len(rows) // BATCH)
     for one in range(passes):
         for i, pick in enumerate(np.array_split(rng.permutation(len(rows)), each)):
             step += 1
             done = begin + (upto - begin) * (one * each + i) / (passes * each)
             _, g = gradient(w, *unpacked_windows(rows[pick], end))
+            for n in names:
+                parts[n][...] = g[n]
             now = RATE * min(1, step / 50) * (1 - done) * (1 - 0.98 ** step) ** 0.5 / (1 - 0.9 ** step)
-            for n in first:
-                first[n] += 0.1 * (g[n] - first[n])
-                second[n] += 0.02 * (g[n] * g[n] - second[n])
-                w[n] -= now * first[n] / (np.sqrt(second[n]) + 1e-8)
-    return w, {"steps": step, "first": first, "second": second}
+            first += np.multiply(np.subtract(slope, first, out=spare), 0.1, out=spare)
+            slope *= slope
+            second += np.multiply(np.subtract(slope, second, out=spare), 0.02, out=spare)
+            np.sqrt(second, out=slope)
+            slope += 1e-8
+            flat -= np.divide(np.multiply(first, now, out=spare), slope, out=spare)
+    return w, {"steps": step, "first": _views(first, w, names), "second": _views(second, w, names)}

@@ -12,8 +12,11 @@ part from the weights of the last round, and the weights are averaged, so both
 the steps and the parts of a step grow with the input. Of a small input there
 are as many passes as make ``steps`` steps.
 
-Words are counted by block of documents, summed by word, and the sums go back
-to each block that has the word, so no vocabulary is broadcast or collected.
+Texts are read and split once: a block of documents is stored as the numbers
+of its words, and its distinct words go to buckets. There each distinct word of
+the corpus is counted and turned into ids once, counts and ids go back to each
+block that has the word, and the block's lines of ids are stored for the pairs,
+the windows and the scores. So no vocabulary is broadcast or collected.
 
 score: log10 of the model's probability of the ids and the end of the text;
 base_score: the same of words and end under add-0.1 unigram counts.
@@ -33,21 +36,22 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import public_tokenizers
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm import attention as net
 from basketry.llm.packing import worker_ids
-from basketry.llm.shared import (block_rows, blocks_of, expanded, plain_text, ship, shuffle_partitions, sliced,
-                                 squeezed, text_bytes, written)
+from basketry.llm.shared import SLICE_ROWS, expanded, plain_text, ship, shuffle_partitions, sliced, squeezed, text_bytes, written
 from basketry.session import shared_table_root
 
 ship(__name__)
 
 BLOCK_BYTES = 4 << 20
 FOLDS = 10
-END_WORD = b"\n"  #: no word has white space
+WORDS, PAIRS, DOCS, LINES = range(4)  #: kinds of stored rows
 END_ID, IDS = 49407, 49408
 STEPS = 2000  #: at least; a large input takes more in its one pass
 PART_IDS, CHUNK = 2_000_000, 4096  #: training ids of a task in a round, about; windows in a row
@@ -59,46 +63,80 @@ def is_held_out(doc_id) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % FOLDS == 0
 
 
-class _Index(dict):
-    """Word -> its number, in the order of first appearance."""
+def _numbered(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """Words of each text, the distinct words, and the numbers of all words one
+    text after the other. A-Z are lower-cased."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat = split.flatten()
+    full = pc.greater(pc.binary_length(flat), 0)  # white space at an end of a text leaves an empty one
+    text = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+    found = flat.filter(full).dictionary_encode()
+    sizes = np.bincount(text[full.to_numpy(zero_copy_only=False)], minlength=len(texts))
+    return sizes, found.dictionary.cast(pa.binary()), found.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def __missing__(self, word: bytes) -> int:
-        self[word] = n = len(self)
-        return n
 
+def _chosen(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The runs ``at`` of ``flat``, one after the other; ``size``: of each run."""
+    start, own = np.cumsum(size) - size, size[at]
+    return flat[np.repeat(start[at] - (np.cumsum(own) - own), own) + np.arange(own.sum())]
 
-def _indexed(rows: list[tuple]) -> tuple[_Index, list[np.ndarray]]:
-    """The words of a block (the end first) and each row as word numbers."""
-    index = _Index({END_WORD: 0})
-    texts = []
-    for _, text in rows:
-        words = text.lower().split()
-        texts.append(np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
-    return index, texts
 
+def _block(rows: list[pa.RecordBatch], block: int, buckets: int) -> list[tuple]:
+    """A block's documents as numbers of its words, which stand by bucket, and
+    for each bucket its words with their training counts."""
+    ids = [i for r in rows for i in r.column(0).to_pylist()]
+    sizes, words, numbers = _numbered(pa.concat_arrays([r.column(1) for r in rows]))
+    held = np.fromiter(map(is_held_out, ids), bool, len(ids))
+    words = words.to_numpy(zero_copy_only=False)
+    bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
+    order = np.argsort(bucket, kind="stable")
+    rank = np.empty_like(order)
+    rank[order] = np.arange(len(order))
+    numbers, bucket, words = rank[numbers], bucket[order], words[order]
+    counts = np.bincount(numbers[np.repeat(~held, sizes)], minlength=len(order)).astype(np.uint32)
+    size, letters = np.fromiter(map(len, words), np.int32, len(words)), b"".join(words)
+    ends = np.concatenate([[0], np.cumsum(size)]).tolist()
+    out = [(DOCS, -1, block, int((~held).sum()), squeezed(
+        np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], bool), held, sizes.astype(np.uint32),
+        numbers.astype(np.uint32)))]
+    cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(order)]
+    for i, j in zip(cuts, cuts[1:]):
+        if j > i:
+            out.append((WORDS, int(bucket[i]), block, 0, squeezed(size[i:j], letters[ends[i]:ends[j]], counts[i:j])))
+    return out
 
-class _Lines:
-    """Tokenizer ids of rows of word numbers."""
-
-    def __init__(self, index: _Index, ids):
-        each = [b"" if word == END_WORD else ids[word] for word in index]
-        self.size = np.array([len(x) // 4 for x in each], np.int64)
-        self.start = np.concatenate([[0], np.cumsum(self.size)[:-1]])
-        self.flat = np.frombuffer(b"".join(each), "<u4")
 
-    def of(self, words: np.ndarray) -> np.ndarray:
-        size = self.size[words]
-        before = np.cumsum(size) - size
-        return self.flat[np.repeat(self.start[words] - before, size) + np.arange(size.sum())]
+def blocked(docs: DataFrame, buckets: int) -> str:
+    """The folder of a table kind, bucket, block, used, payload: what
+    :func:`_block` makes, in a folder per kind. A block has about BLOCK_BYTES
+    and ends where a slice of training documents does, if that is not far."""
+    def run(batches):
+        blocks = ((TaskContext.get().partitionId() << 32) + n for n in range(1 << 32))
 
+        def made(rows):
+            out = _block(rows, next(blocks), buckets)
+            types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-def _by_bucket(words, buckets: int) -> dict[int, list[bytes]]:
-    """The words by bucket, in the order given."""
-    words = list(words)
-    bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
-    order = np.argsort(bucket, kind="stable")
-    return {int(bucket[own[0]]): [words[i] for i in own]
-            for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1) if len(own)}
+        rows, size, used = [], 0, 0
+        for batch in batches:
+            begin, lengths = 0, pc.binary_length(batch.column(1)).to_pylist()
+            for at, (doc_id, length) in enumerate(zip(batch.column(0).to_pylist(), lengths), 1):
+                size += length + 16
+                used += not is_held_out(doc_id)
+                if size >= 4 * BLOCK_BYTES or size >= BLOCK_BYTES and used % SLICE_ROWS == 0:
+                    yield made([*rows, batch.slice(begin, at - begin)])
+                    rows, size, used, begin = [], 0, 0, at
+            if begin < batch.num_rows:
+                rows.append(batch.slice(begin))
+        if rows:
+            yield made(rows)
+
+    names = ["kind", "bucket", "block", "used", "payload"]
+    folder = f"{shared_table_root(docs.sparkSession)}/llm-{uuid.uuid4().hex}/blocks"
+    docs.select("doc_id", "text").mapInArrow(run, "kind int, bucket int, block long, used long, payload binary").write.partitionBy(
+        "kind").parquet(folder)
+    return folder
 
 
 def _pair_bucket(pairs: np.ndarray, buckets: int) -> np.ndarray:
@@ -108,58 +146,95 @@ def _pair_bucket(pairs: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _counted(group: pd.DataFrame, buckets: int, path: str) -> pd.DataFrame:
-    """A block's words with their training counts, and the pairs of ids of
-    its training documents, by bucket."""
-    rows, block = block_rows(group["payload"]), int(group["block"].iloc[0])
-    index, texts = _indexed(rows)
-    used = [words for (doc_id, _), words in zip(rows, texts) if not is_held_out(doc_id)]
-    counts = np.bincount(np.concatenate([np.zeros(len(used), np.int64), *used]), minlength=len(index))
-    out = [(0, bucket, block, squeezed(b" ".join(own), counts[[index[w] for w in own]]))
-           for bucket, own in _by_bucket(index, buckets).items()]
-    to_ids, end = _Lines(index, worker_ids(path)), np.array([END_ID], np.uint32)
-    lines = [end]
-    for words in used:
-        lines += [to_ids.of(words), end]
-    line = np.concatenate(lines)
+def _summed(group: pd.DataFrame, path: str) -> pd.DataFrame:
+    """For each block the corpus counts of its words and their ids, in their
+    order; tokens and distinct words of the bucket are in its first row."""
+    parts = [expanded(p) for p in group["payload"]]
+    size = np.concatenate([p[0] for p in parts])
+    ends = np.concatenate([[0], np.cumsum(size)])
+    words = pa.Array.from_buffers(pa.large_binary(), len(size), [
+        None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(p[1] for p in parts))])
+    found = words.dictionary_encode()
+    own = found.indices.to_numpy().astype(np.int64)
+    total = np.bincount(own, np.concatenate([p[2] for p in parts])).astype(np.int64)
+    ids = worker_ids(path)
+    each = [ids[w] for w in found.dictionary.to_numpy(zero_copy_only=False)]
+    n = np.array([len(x) // 4 for x in each], np.int64)
+    flat = np.frombuffer(b"".join(each), "<u4").astype(np.uint16)  # IDS < 2**16
+    out, at = [], 0
+    for block, part in zip(group["block"], parts):
+        mine = own[at:at + len(part[0])]
+        at += len(mine)
+        out.append((int(group["bucket"].iloc[0]), int(block), squeezed(total[mine], n[mine].astype(np.uint32), _chosen(flat, n, mine)), 0, 0))
+    out[0] = (*out[0][:3], int(total.sum()), int((total > 0).sum()))
+    return pd.DataFrame(out, columns=["bucket", "block", "payload", "tokens", "words"])
+
+
+def _lines(docs: pd.DataFrame, replies: pd.DataFrame, buckets: int, tokens: int, distinct: int, ends: int) -> pd.DataFrame:
+    """A block's lines of ids with what is known of its documents but their
+    score, and the pairs of ids of its training documents by bucket."""
+    ids, null, held, sizes, numbers = expanded(docs["payload"].iloc[0])
+    parts = [expanded(p) for p in replies.sort_values("bucket")["payload"]]
+    counts, n, flat = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3))
+    n = n.astype(np.int64)
+    text = np.repeat(np.arange(len(ids)), sizes)
+    logs = np.log10((np.append(counts, ends) + 0.1) / (tokens + 0.1 * (distinct + 1)))
+    base = np.bincount(text, logs[numbers], len(ids)) + logs[-1]
+    known = np.bincount(text, counts[numbers] > 0, len(ids)).astype(np.int64) + int(ends > 0)
+    flat = _chosen(flat, n, numbers).astype(np.uint16)
+    size = np.bincount(text, n[numbers], len(ids)).astype(np.int64)
+    out = [(LINES, -1, squeezed(flat, size, held, ids, null, sizes.astype(np.int64) + 1, known, base))]
+    own = flat[np.repeat(~held, size)].astype(np.uint32)
+    line = np.concatenate([[np.uint32(END_ID)], np.insert(own, np.cumsum(size[~held]), END_ID)])
     pairs, n = np.unique(line[:-1] * np.uint32(IDS) + line[1:], return_counts=True)  # IDS**2 < 2**32
     bucket = _pair_bucket(pairs, buckets)
     order = np.argsort(bucket, kind="stable")
     for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         if len(own):
-            out.append((1, int(bucket[own[0]]), block, squeezed(pairs[own], n[own])))
-    return pd.DataFrame(out, columns=["kind", "bucket", "block", "payload"])
+            out.append((PAIRS, int(bucket[own[0]]), squeezed(pairs[own], n[own])))
+    return pd.DataFrame(out, columns=["kind", "bucket", "payload"])
 
 
-def _summed(group: pd.DataFrame) -> pd.DataFrame:
-    """kind 0: for each block the corpus counts of its words, in their order;
-    tokens and distinct words of the bucket are in its first row. kind 1: the
-    sums of the pairs."""
-    kind, bucket = int(group["kind"].iloc[0]), int(group["bucket"].iloc[0])
+def _pair_sums(group: pd.DataFrame) -> pd.DataFrame:
     parts = [expanded(p) for p in group["payload"]]
-    if kind:
-        pairs, n = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        pairs, where = np.unique(pairs, return_inverse=True)
-        return pd.DataFrame([(1, bucket, -1, squeezed(pairs, np.bincount(where, n).astype(np.int64)), 0, 0)],
-                            columns=["kind", "bucket", "block", "payload", "tokens", "words"])
-    total: dict[bytes, int] = {}
-    lists = [p[0].split(b" ") for p in parts]
-    for words, (_, counts) in zip(lists, parts):
-        for word, n in zip(words, counts.tolist()):
-            total[word] = total.get(word, 0) + n
-    out = [(0, bucket, int(block), squeezed(np.fromiter(map(total.__getitem__, words), np.int64, len(words))), 0, 0)
-           for block, words in zip(group["block"], lists)]
-    out[0] = (*out[0][:4], sum(total.values()), sum(n > 0 for n in total.values()))
-    return pd.DataFrame(out, columns=["kind", "bucket", "block", "payload", "tokens", "words"])
-
-
-def gathered(packed: DataFrame, buckets: int, path: str) -> DataFrame:
-    """kind, bucket, block, payload, tokens, words: what :func:`_summed`
-    makes, in the shared folder."""
-    counted = packed.groupBy("block").applyInPandas(
-        lambda g: _counted(g, buckets, path), "kind int, bucket int, block int, payload binary")
-    return written(counted.groupBy("kind", "bucket").applyInPandas(
-        _summed, "kind int, bucket int, block int, payload binary, tokens long, words long"), "gathered")
+    pairs, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    n = np.bincount(where, np.concatenate([p[1] for p in parts])).astype(np.int64)
+    return pd.DataFrame({"payload": [squeezed(pairs, n)]})
+
+
+def gathered(docs: DataFrame, buckets: int, path: str) -> tuple[DataFrame, DataFrame, int]:
+    """(lines, pairs, tokens): tables with a payload, in the shared folder, and
+    the number of training tokens."""
+    spark = docs.sparkSession
+    blocks = spark.read.schema("bucket int, block long, used long, payload binary, kind int").parquet(blocked(docs, buckets))
+    replies = written(blocks.where(F.col("kind") == WORDS).groupBy("bucket").applyInPandas(
+        lambda g: _summed(g, path), "bucket int, block long, payload binary, tokens long, words long"), "replies")
+    ends = int(blocks.agg(F.sum("used")).first()[0] or 0)
+    tokens, distinct = (int(x or 0) for x in replies.agg(F.sum("tokens"), F.sum("words")).first())
+    tokens, distinct = tokens + ends, distinct + int(ends > 0)
+    folder = f"{shared_table_root(spark)}/llm-{uuid.uuid4().hex}/lines"
+    (blocks.where(F.col("kind") == DOCS).select("block", "payload").groupBy("block")
+     .cogroup(replies.select("block", "bucket", "payload").groupBy("block"))
+     .applyInPandas(lambda d, r: _lines(d, r, buckets, tokens, distinct, ends), "kind int, bucket int, payload binary")
+     .write.partitionBy("kind").parquet(folder))
+    table = spark.read.schema("bucket int, payload binary, kind int").parquet(folder)
+    pairs = written(table.where(F.col("kind") == PAIRS).groupBy("bucket").applyInPandas(_pair_sums, "payload binary"), "pairs")
+    return table.where(F.col("kind") == LINES).select("payload"), pairs, tokens
+
+
+def id_lines(docs: DataFrame, path: str) -> DataFrame:
+    """payload: lines of the ids of the training documents among ``docs``
+    (doc_id, text), for :func:`dealt`."""
+    def run(batches):
+        ids = worker_ids(path)
+        for few in sliced(batches):
+            each = [ids.of(text) for text in few.column(0).to_pylist()]
+            size = np.array([len(x) // 4 for x in each], np.int64)
+            flat = np.frombuffer(b"".join(each), "<u4").astype(np.uint16)
+            yield pa.RecordBatch.from_arrays([pa.array([squeezed(flat, size, np.zeros(len(each), bool))], pa.binary())], ["payload"])
+
+    fold = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(FOLDS))
+    return docs.where(F.col("doc_id").isNull() | (fold != 0)).select("text").mapInArrow(run, "payload binary")
 
 
 def vocabulary(pairs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -213,31 +288,32 @@ def pair_counts(pairs: DataFrame, model: np.ndarray) -> np.ndarray:
 
 def dealt(docs: DataFrame, model: np.ndarray, parts: int, rounds: int, path: str) -> str:
     """The folder of a table round, part, payload: all windows of all training
-    documents, by part, in a folder per round."""
+    documents, by part, in a folder per round. docs: documents, or their stored
+    lines (payload)."""
+    lines = id_lines(docs, path) if "text" in docs.columns else docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        ids, to_model = worker_ids(path), shared.value
-        for batch in batches:
-            for few in sliced([batch]):
+        to_model = shared.value
+        for payload in (p for batch in batches for p in batch.column(0).to_pylist()):
+            flat, size, out = expanded(payload)[:3]
+            texts = np.split(to_model[flat], np.cumsum(size)[:-1])
+            texts = [text for text, no in zip(texts, out) if not no]
+            lines, held = [], 0
+            for at, text in enumerate(texts, 1):
+                lines.append(text)
+                held += len(text)
+                if held < CHUNK * net.STRIDE and at < len(texts) and at % SLICE_ROWS:
+                    continue
+                rows = net.packed_windows(lines, net.SPACE - 2)
+                payloads = [squeezed(rows[i:i + CHUNK]) for i in range(0, len(rows), CHUNK)]
+                part = [zlib.crc32(p) % parts for p in payloads]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p % rounds for p in part], pa.int32()), pa.array(part, pa.int32()),
+                     pa.array(payloads, pa.binary())], ["round", "part", "payload"])
                 lines, held = [], 0
-                texts = few.column(0).to_pylist()
-                for at, text in enumerate(texts):
-                    lines.append(to_model[np.frombuffer(ids.of(text), "<u4")])
-                    held += len(lines[-1])
-                    if held < CHUNK * net.STRIDE and at + 1 < len(texts):
-                        continue
-                    rows = net.packed_windows(lines, net.SPACE - 2)
-                    payloads = [squeezed(rows[i:i + CHUNK]) for i in range(0, len(rows), CHUNK)]
-                    part = [zlib.crc32(p) % parts for p in payloads]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([p % rounds for p in part], pa.int32()), pa.array(part, pa.int32()),
-                         pa.array(payloads, pa.binary())], ["round", "part", "payload"])
-                    lines, held = [], 0
 
-    fold = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(FOLDS))
-    rows = docs.where(F.col("doc_id").isNull() | (fold != 0)).select("text").mapInArrow(
-        run, "round int, part int, payload binary")
+    rows = lines.select("payload").mapInArrow(run, "round int, part int, payload binary")
     folder = f"{shared_table_root(docs.sparkSession)}/llm-{uuid.uuid4().hex}/windows"
     rows.repartition(min(parts, shuffle_partitions(docs.sparkSession)), "part").write.partitionBy("round").parquet(folder)
     return folder
@@ -330,23 +406,14 @@ def log_probability(model: dict, lines: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _scored(docs: pd.DataFrame, replies: pd.DataFrame, buckets: int, tokens: int, distinct: int, model: dict,
-            path: str) -> pd.DataFrame:
-    rows = block_rows(docs["payload"])
-    index, texts = _indexed(rows)
-    by_bucket, counts = _by_bucket(index, buckets), np.zeros(len(index), np.int64)
-    for bucket, payload in zip(replies["bucket"], replies["payload"]):
-        counts[[index[w] for w in by_bucket[bucket]]] = expanded(payload)[0]
-    logs = np.log10((counts + 0.1) / (tokens + 0.1 * (distinct + 1)))
-    known = counts > 0
-    out = [(doc_id, is_held_out(doc_id), len(words) + 1, int(known[words].sum()) + int(known[0]), tokens,
-            float(logs[words].sum() + logs[0])) for (doc_id, _), words in zip(rows, texts)]
-    to_ids, scores = _Lines(index, worker_ids(path)), []
-    for i in range(0, len(texts), 500):
-        scores.append(log_probability(model, [to_ids.of(words) for words in texts[i:i + 500]]))
-    frame = pd.DataFrame(out, columns=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score"])
-    frame["score"] = np.concatenate(scores)
-    return frame.astype({"doc_id": "Int64"})
+def _scored(payload: bytes, model: dict, tokens: int) -> pd.DataFrame:
+    flat, size, held, ids, null, n_tokens, known, base = expanded(payload)
+    net.keep_freed()
+    texts = np.split(flat, np.cumsum(size)[:-1])
+    scores = [log_probability(model, texts[i:i + SLICE_ROWS]) for i in range(0, len(texts), SLICE_ROWS)]
+    return pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "held_out": held, "n_tokens": n_tokens, "n_known": known,
+                         "train_tokens": tokens, "base_score": base, "score": np.concatenate(scores)}).assign(
+        doc_id=lambda f: f["doc_id"].mask(null))
 
 
 def scored(docs: DataFrame, path: str, steps: int = STEPS) -> DataFrame:
@@ -354,17 +421,11 @@ def scored(docs: DataFrame, path: str, steps: int = STEPS) -> DataFrame:
     every row. path: the tokenizer's file, on every executor."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), plain_text().alias("text"))
-    least = shuffle_partitions(spark)
-    blocks = buckets = max(least, text_bytes(docs) // BLOCK_BYTES)
-    packed = blocks_of(docs, blocks)
-    table = gathered(packed, buckets, path)
-    words, pairs = table.where("kind = 0"), table.where("kind = 1")
-    tokens, distinct = (int(x or 0) for x in words.agg(F.sum("tokens"), F.sum("words")).first())
-    model = spark.sparkContext.broadcast(train(docs, pairs, path, steps))  # a few MB at any size
-    return (packed.groupBy("block").cogroup(words.select("block", "bucket", "payload").groupBy("block"))
-            .applyInPandas(lambda d, r: _scored(d, r, buckets, tokens, distinct, model.value, path),
-                           "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                           "base_score double, score double"))
+    lines, pairs, tokens = gathered(docs, max(shuffle_partitions(spark), text_bytes(docs) // BLOCK_BYTES), path)
+    model = spark.sparkContext.broadcast(train(lines, pairs, path, steps))  # a few MB at any size
+    return lines.mapInPandas(
+        lambda frames: (_scored(p, model.value, tokens) for frame in frames for p in frame["payload"]),
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def query(spark, sf_dir: str, tokenizer: str = "word_bpe_49k.json") -> DataFrame:

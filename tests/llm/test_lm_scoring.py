@@ -139,3 +139,40 @@ def test_pairs_of_one_frequent_id_are_spread():
     for buckets in (8, 64, 1000):
         bucket = lm._pair_bucket(pairs, buckets)
         assert bucket.min() >= 0 and np.bincount(bucket, minlength=buckets).max() < 2 * len(pairs) / buckets
+
+
+def test_texts_are_read_and_split_once(spark):
+    """Sizing reads the texts, then one pass splits them; dealing and scoring
+    go by the stored lines, which hold the ids of every document."""
+    from pyspark.sql import functions as F
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        read.add(1)
+        return text
+
+    data = rows() + [(100 + i, f"some words of text {i}", "en", "s", 20) for i in range(600)]
+    docs = frame(spark, data).withColumn("text", F.udf(seen, "string")("text"))
+    _check([(i, t) for i, t, *_ in data], lm.scored(docs, PATH, steps=5).collect())
+    assert read.value <= 2 * len(data)
+    docs = frame(spark, data).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    lines, _, tokens = lm.gathered(docs, 7, PATH)
+    ids, got = lm.worker_ids(PATH), []
+    for r in lines.collect():
+        flat, size, held, own, null, n_tokens, *_ = lm.expanded(r["payload"])
+        each = np.split(flat, np.cumsum(size)[:-1])
+        got += [(None if no else int(i), x.tolist(), bool(h), int(n)) for i, no, x, h, n in zip(own, null, each, held, n_tokens)]
+    want = [(i, np.frombuffer(ids.of(t or ""), "<u4").tolist(), lm.is_held_out(i), len(split(t)) + 1) for i, t, *_ in data]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert tokens == sum(n for _, _, h, n in want if not h)
+
+
+def test_odd_weights_stay_finite():
+    """Logits far beyond the range of exp still give probabilities."""
+    w, rng = _weights(), np.random.default_rng(6)
+    w = {k: v if k == "place" else v * (300 if k in "CM" else 1) for k, v in w.items()}
+    x, y, counts = net.windows([rng.integers(0, 50, 70).astype(np.int32)], net.SPACE - 2)
+    p = net.probability(w, x, y)
+    assert np.isfinite(p).all() and (p <= 1.001).all()
+    loss, g = net.gradient(w, x, y, counts)
+    assert np.isfinite(loss) and all(np.isfinite(a).all() for a in g.values())
