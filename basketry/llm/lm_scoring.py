@@ -12,11 +12,13 @@ part from the weights of the last round, and the weights are averaged, so both
 the steps and the parts of a step grow with the input. Of a small input there
 are as many passes as make ``steps`` steps.
 
-Texts are read and split once: a block of documents is stored as the numbers
-of its words, and its distinct words go to buckets. There each distinct word of
-the corpus is counted and turned into ids once, counts and ids go back to each
-block that has the word, and the block's lines of ids are stored for the pairs,
-the windows and the scores. So no vocabulary is broadcast or collected.
+Texts are read and split once: documents are stored by block as the numbers of
+their words, and the distinct words of a unit of some blocks go to buckets.
+There each distinct word of the corpus is counted and turned into ids once,
+counts and ids go back to each unit that has the word, and the lines of ids of
+its blocks are stored for the pairs, the windows and the scores. So no
+vocabulary is broadcast or collected. Rows by unit and bucket grow with the
+square of the input: about 2,000 for 1 GB of text, 200,000 for 10 GB.
 
 score: log10 of the model's probability of the ids and the end of the text;
 base_score: the same of words and end under add-0.1 unigram counts.
@@ -50,6 +52,8 @@ from basketry.session import shared_table_root
 ship(__name__)
 
 BLOCK_BYTES = 4 << 20
+UNIT_BYTES, BUCKET_BYTES = 16 << 20, 32 << 20  #: of texts whose words are listed together; of all texts for each bucket of words
+FEW_WORDS = 1 << 16  #: words that are Python objects at a time
 FOLDS = 10
 WORDS, PAIRS, DOCS, LINES = range(4)  #: kinds of stored rows
 END_ID, IDS = 49407, 49408
@@ -59,6 +63,11 @@ PAIR_SHARE = 0.05
 BATCH = 4000
 
 
+def stored(*arrays) -> bytes:
+    """Compressed at little cost: every id passes through here a few times."""
+    return squeezed(*arrays, level=1)
+
+
 def is_held_out(doc_id) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % FOLDS == 0
 
@@ -81,60 +90,78 @@ def _chosen(flat: np.ndarray, size: np.ndarray, at: np.ndarray) -> np.ndarray:
     return flat[np.repeat(start[at] - (np.cumsum(own) - own), own) + np.arange(own.sum())]
 
 
-def _block(rows: list[pa.RecordBatch], block: int, buckets: int) -> list[tuple]:
-    """A block's documents as numbers of its words, which stand by bucket, and
-    for each bucket its words with their training counts."""
+def _block(rows: list[pa.RecordBatch]) -> tuple:
+    """A block's documents (ids, which are null, which are held out, words of
+    each), the numbers of their words, and its distinct words."""
     ids = [i for r in rows for i in r.column(0).to_pylist()]
     sizes, words, numbers = _numbered(pa.concat_arrays([r.column(1) for r in rows]))
-    held = np.fromiter(map(is_held_out, ids), bool, len(ids))
-    words = words.to_numpy(zero_copy_only=False)
+    return (np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], bool),
+            np.fromiter(map(is_held_out, ids), bool, len(ids)), sizes.astype(np.uint32), numbers.astype(np.uint32), words)
+
+
+def _unit(blocks: list[tuple], unit: int, buckets: int) -> list[tuple]:
+    """The documents of each block of a unit as numbers of the unit's words,
+    which stand by bucket, and for each bucket its words with their training
+    counts."""
+    found = pa.concat_arrays([words for *_, words in blocks]).dictionary_encode()
+    own, at, words = found.indices.to_numpy(zero_copy_only=False), 0, found.dictionary.to_numpy(zero_copy_only=False)
     bucket = np.fromiter(map(zlib.crc32, words), np.int64, len(words)) % buckets
     order = np.argsort(bucket, kind="stable")
-    rank = np.empty_like(order)
-    rank[order] = np.arange(len(order))
-    numbers, bucket, words = rank[numbers], bucket[order], words[order]
-    counts = np.bincount(numbers[np.repeat(~held, sizes)], minlength=len(order)).astype(np.uint32)
+    rank = np.empty(len(order), np.uint32)
+    rank[order] = np.arange(len(order), dtype=np.uint32)
+    counts, out = np.zeros(len(order), np.int64), []
+    for ids, null, held, sizes, numbers, own_words in blocks:
+        to = rank[own[at:at + len(own_words)]]
+        at += len(own_words)
+        counts[to] += np.bincount(numbers[np.repeat(~held, sizes)], minlength=len(to))
+        out.append((DOCS, -1, unit, int((~held).sum()), stored(ids, null, held, sizes, to[numbers])))
+    bucket, words = bucket[order], words[order]
     size, letters = np.fromiter(map(len, words), np.int32, len(words)), b"".join(words)
     ends = np.concatenate([[0], np.cumsum(size)]).tolist()
-    out = [(DOCS, -1, block, int((~held).sum()), squeezed(
-        np.array([i or 0 for i in ids], np.int64), np.array([i is None for i in ids], bool), held, sizes.astype(np.uint32),
-        numbers.astype(np.uint32)))]
     cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(order)]
     for i, j in zip(cuts, cuts[1:]):
         if j > i:
-            out.append((WORDS, int(bucket[i]), block, 0, squeezed(size[i:j], letters[ends[i]:ends[j]], counts[i:j])))
+            out.append((WORDS, int(bucket[i]), unit, 0, stored(size[i:j], letters[ends[i]:ends[j]], counts[i:j].astype(np.uint32))))
     return out
 
 
 def blocked(docs: DataFrame, buckets: int) -> str:
-    """The folder of a table kind, bucket, block, used, payload: what
-    :func:`_block` makes, in a folder per kind. A block has about BLOCK_BYTES
-    and ends where a slice of training documents does, if that is not far."""
+    """The folder of a table kind, bucket, unit, used, payload: what
+    :func:`_unit` makes, in a folder per kind. A block has about BLOCK_BYTES
+    and ends where a slice of training documents does, if that is not far; the
+    blocks of about UNIT_BYTES are a unit, so that a word travels once for all
+    of them, and rows by unit and bucket stay few."""
     def run(batches):
-        blocks = ((TaskContext.get().partitionId() << 32) + n for n in range(1 << 32))
+        units = ((TaskContext.get().partitionId() << 32) + n for n in range(1 << 32))
 
-        def made(rows):
-            out = _block(rows, next(blocks), buckets)
+        def made(blocks):
+            out = _unit(blocks, next(units), buckets)
             types = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-        rows, size, used = [], 0, 0
+        blocks, held, rows, size, used = [], 0, [], 0, 0
         for batch in batches:
             begin, lengths = 0, pc.binary_length(batch.column(1)).to_pylist()
             for at, (doc_id, length) in enumerate(zip(batch.column(0).to_pylist(), lengths), 1):
                 size += length + 16
                 used += not is_held_out(doc_id)
                 if size >= 4 * BLOCK_BYTES or size >= BLOCK_BYTES and used % SLICE_ROWS == 0:
-                    yield made([*rows, batch.slice(begin, at - begin)])
+                    blocks.append(_block([*rows, batch.slice(begin, at - begin)]))
+                    held += size
                     rows, size, used, begin = [], 0, 0, at
+                    if held >= UNIT_BYTES:
+                        yield made(blocks)
+                        blocks, held = [], 0
             if begin < batch.num_rows:
                 rows.append(batch.slice(begin))
         if rows:
-            yield made(rows)
+            blocks.append(_block(rows))
+        if blocks:
+            yield made(blocks)
 
-    names = ["kind", "bucket", "block", "used", "payload"]
+    names = ["kind", "bucket", "unit", "used", "payload"]
     folder = f"{shared_table_root(docs.sparkSession)}/llm-{uuid.uuid4().hex}/blocks"
-    docs.select("doc_id", "text").mapInArrow(run, "kind int, bucket int, block long, used long, payload binary").write.partitionBy(
+    docs.select("doc_id", "text").mapInArrow(run, "kind int, bucket int, unit long, used long, payload binary").write.partitionBy(
         "kind").parquet(folder)
     return folder
 
@@ -147,7 +174,7 @@ def _pair_bucket(pairs: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _summed(group: pd.DataFrame, path: str) -> pd.DataFrame:
-    """For each block the corpus counts of its words and their ids, in their
+    """For each unit the corpus counts of its words and their ids, in their
     order; tokens and distinct words of the bucket are in its first row."""
     parts = [expanded(p) for p in group["payload"]]
     size = np.concatenate([p[0] for p in parts])
@@ -155,43 +182,48 @@ def _summed(group: pd.DataFrame, path: str) -> pd.DataFrame:
     words = pa.Array.from_buffers(pa.large_binary(), len(size), [
         None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(p[1] for p in parts))])
     found = words.dictionary_encode()
-    own = found.indices.to_numpy().astype(np.int64)
+    own, words = found.indices.to_numpy(), found.dictionary
     total = np.bincount(own, np.concatenate([p[2] for p in parts])).astype(np.int64)
-    ids = worker_ids(path)
-    each = [ids[w] for w in found.dictionary.to_numpy(zero_copy_only=False)]
-    n = np.array([len(x) // 4 for x in each], np.int64)
-    flat = np.frombuffer(b"".join(each), "<u4").astype(np.uint16)  # IDS < 2**16
+    ids, n, flat = worker_ids(path), [], []
+    for at in range(0, len(words), FEW_WORDS):
+        each = [ids[w] for w in words.slice(at, FEW_WORDS).to_numpy(zero_copy_only=False)]
+        n.append(np.fromiter(map(len, each), np.int64, len(each)) // 4)
+        flat.append(np.frombuffer(b"".join(each), "<u4").astype(np.uint16))  # IDS < 2**16
+    n, flat = np.concatenate(n), np.concatenate(flat)
     out, at = [], 0
-    for block, part in zip(group["block"], parts):
+    for unit, part in zip(group["unit"], parts):
         mine = own[at:at + len(part[0])]
         at += len(mine)
-        out.append((int(group["bucket"].iloc[0]), int(block), squeezed(total[mine], n[mine].astype(np.uint32), _chosen(flat, n, mine)), 0, 0))
+        out.append((int(group["bucket"].iloc[0]), int(unit), stored(total[mine], n[mine].astype(np.uint32), _chosen(flat, n, mine)), 0, 0))
     out[0] = (*out[0][:3], int(total.sum()), int((total > 0).sum()))
-    return pd.DataFrame(out, columns=["bucket", "block", "payload", "tokens", "words"])
+    return pd.DataFrame(out, columns=["bucket", "unit", "payload", "tokens", "words"])
 
 
 def _lines(docs: pd.DataFrame, replies: pd.DataFrame, buckets: int, tokens: int, distinct: int, ends: int) -> pd.DataFrame:
-    """A block's lines of ids with what is known of its documents but their
-    score, and the pairs of ids of its training documents by bucket."""
-    ids, null, held, sizes, numbers = expanded(docs["payload"].iloc[0])
+    """The lines of ids of a unit's blocks with what is known of their documents
+    but their score, and the pairs of ids of its training documents by bucket."""
     parts = [expanded(p) for p in replies.sort_values("bucket")["payload"]]
     counts, n, flat = (np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int64) for k in range(3))
     n = n.astype(np.int64)
-    text = np.repeat(np.arange(len(ids)), sizes)
     logs = np.log10((np.append(counts, ends) + 0.1) / (tokens + 0.1 * (distinct + 1)))
-    base = np.bincount(text, logs[numbers], len(ids)) + logs[-1]
-    known = np.bincount(text, counts[numbers] > 0, len(ids)).astype(np.int64) + int(ends > 0)
-    flat = _chosen(flat, n, numbers).astype(np.uint16)
-    size = np.bincount(text, n[numbers], len(ids)).astype(np.int64)
-    out = [(LINES, -1, squeezed(flat, size, held, ids, null, sizes.astype(np.int64) + 1, known, base))]
-    own = flat[np.repeat(~held, size)].astype(np.uint32)
-    line = np.concatenate([[np.uint32(END_ID)], np.insert(own, np.cumsum(size[~held]), END_ID)])
-    pairs, n = np.unique(line[:-1] * np.uint32(IDS) + line[1:], return_counts=True)  # IDS**2 < 2**32
+    out, pairs = [], []
+    for payload in docs["payload"]:
+        ids, null, held, sizes, numbers = expanded(payload)
+        text = np.repeat(np.arange(len(ids)), sizes)
+        base = np.bincount(text, logs[numbers], len(ids)) + logs[-1]
+        known = np.bincount(text, counts[numbers] > 0, len(ids)).astype(np.int64) + int(ends > 0)
+        line = _chosen(flat, n, numbers).astype(np.uint16)
+        size = np.bincount(text, n[numbers], len(ids)).astype(np.int64)
+        out.append((LINES, -1, stored(line, size, held, ids, null, sizes.astype(np.int64) + 1, known, base)))
+        own = line[np.repeat(~held, size)].astype(np.uint32)
+        line = np.concatenate([[np.uint32(END_ID)], np.insert(own, np.cumsum(size[~held]), END_ID)])
+        pairs.append(line[:-1] * np.uint32(IDS) + line[1:])  # IDS**2 < 2**32
+    pairs, n = np.unique(np.concatenate(pairs), return_counts=True)
     bucket = _pair_bucket(pairs, buckets)
     order = np.argsort(bucket, kind="stable")
     for own in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
         if len(own):
-            out.append((PAIRS, int(bucket[own[0]]), squeezed(pairs[own], n[own])))
+            out.append((PAIRS, int(bucket[own[0]]), stored(pairs[own], n[own])))
     return pd.DataFrame(out, columns=["kind", "bucket", "payload"])
 
 
@@ -199,22 +231,22 @@ def _pair_sums(group: pd.DataFrame) -> pd.DataFrame:
     parts = [expanded(p) for p in group["payload"]]
     pairs, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
     n = np.bincount(where, np.concatenate([p[1] for p in parts])).astype(np.int64)
-    return pd.DataFrame({"payload": [squeezed(pairs, n)]})
+    return pd.DataFrame({"payload": [stored(pairs, n)]})
 
 
 def gathered(docs: DataFrame, buckets: int, path: str) -> tuple[DataFrame, DataFrame, int]:
     """(lines, pairs, tokens): tables with a payload, in the shared folder, and
     the number of training tokens."""
     spark = docs.sparkSession
-    blocks = spark.read.schema("bucket int, block long, used long, payload binary, kind int").parquet(blocked(docs, buckets))
+    blocks = spark.read.schema("bucket int, unit long, used long, payload binary, kind int").parquet(blocked(docs, buckets))
     replies = written(blocks.where(F.col("kind") == WORDS).groupBy("bucket").applyInPandas(
-        lambda g: _summed(g, path), "bucket int, block long, payload binary, tokens long, words long"), "replies")
+        lambda g: _summed(g, path), "bucket int, unit long, payload binary, tokens long, words long"), "replies")
     ends = int(blocks.agg(F.sum("used")).first()[0] or 0)
     tokens, distinct = (int(x or 0) for x in replies.agg(F.sum("tokens"), F.sum("words")).first())
     tokens, distinct = tokens + ends, distinct + int(ends > 0)
     folder = f"{shared_table_root(spark)}/llm-{uuid.uuid4().hex}/lines"
-    (blocks.where(F.col("kind") == DOCS).select("block", "payload").groupBy("block")
-     .cogroup(replies.select("block", "bucket", "payload").groupBy("block"))
+    (blocks.where(F.col("kind") == DOCS).select("unit", "payload").groupBy("unit")
+     .cogroup(replies.select("unit", "bucket", "payload").groupBy("unit"))
      .applyInPandas(lambda d, r: _lines(d, r, buckets, tokens, distinct, ends), "kind int, bucket int, payload binary")
      .write.partitionBy("kind").parquet(folder))
     table = spark.read.schema("bucket int, payload binary, kind int").parquet(folder)
@@ -231,7 +263,7 @@ def id_lines(docs: DataFrame, path: str) -> DataFrame:
             each = [ids.of(text) for text in few.column(0).to_pylist()]
             size = np.array([len(x) // 4 for x in each], np.int64)
             flat = np.frombuffer(b"".join(each), "<u4").astype(np.uint16)
-            yield pa.RecordBatch.from_arrays([pa.array([squeezed(flat, size, np.zeros(len(each), bool))], pa.binary())], ["payload"])
+            yield pa.RecordBatch.from_arrays([pa.array([stored(flat, size, np.zeros(len(each), bool))], pa.binary())], ["payload"])
 
     fold = F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(FOLDS))
     return docs.where(F.col("doc_id").isNull() | (fold != 0)).select("text").mapInArrow(run, "payload binary")
@@ -325,7 +357,7 @@ def _added(payloads) -> bytes:
     for n, step, arrays in map(expanded, payloads):
         whole, steps = whole + n, max(steps, step)
         total = arrays if total is None else {k: total[k] + a for k, a in arrays.items()}
-    return squeezed(whole, steps, total)
+    return stored(whole, steps, total)
 
 
 def averaged(weights: DataFrame, groups: int) -> tuple[int, dict] | None:
@@ -375,7 +407,7 @@ def train(docs: DataFrame, pairs: DataFrame, path: str, steps: int = STEPS) -> d
     """The model: attention weights, vocabulary and pair model."""
     model, share = vocabulary(pairs)
     counts = pair_counts(pairs, model)
-    w = net.finished(fitted(docs, model, counts, path, steps))
+    w = fitted(docs, model, counts, path, steps)
     unigram = counts.sum(axis=0) + 0.5
     unigram /= unigram.sum()
     rows, kinds = counts.sum(axis=1, keepdims=True), (counts > 0).sum(axis=1, keepdims=True)
@@ -396,7 +428,7 @@ def log_probability(model: dict, lines: list[np.ndarray]) -> np.ndarray:
         x, y, counts = net.windows(own[at:upto], net.SPACE - 2)
         logs = np.empty(y.shape)
         for i in range(0, len(x), BATCH):
-            p = net.probability(model["weights"], x[i:i + BATCH], y[i:i + BATCH]) * np.float32(1 - PAIR_SHARE)
+            p = net.probability(model["tables"], x[i:i + BATCH], y[i:i + BATCH]) * np.float32(1 - PAIR_SHARE)
             p += model["pairs"][x[i:i + BATCH, net.CONTEXT:], y[i:i + BATCH]]
             logs[i:i + BATCH] = np.log10(p)
         logs[~counts] = 0
@@ -421,10 +453,15 @@ def scored(docs: DataFrame, path: str, steps: int = STEPS) -> DataFrame:
     every row. path: the tokenizer's file, on every executor."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), plain_text().alias("text"))
-    lines, pairs, tokens = gathered(docs, max(shuffle_partitions(spark), text_bytes(docs) // BLOCK_BYTES), path)
+    lines, pairs, tokens = gathered(docs, max(shuffle_partitions(spark), text_bytes(docs) // BUCKET_BYTES), path)
     model = spark.sparkContext.broadcast(train(lines, pairs, path, steps))  # a few MB at any size
+
+    def run(frames):
+        own = model.value | {"tables": net.tables(model.value["weights"])}
+        yield from (_scored(p, own, tokens) for frame in frames for p in frame["payload"])
+
     return lines.mapInPandas(
-        lambda frames: (_scored(p, model.value, tokens) for frame in frames for p in frame["payload"]),
+        run,
         "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 

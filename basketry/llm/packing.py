@@ -22,6 +22,7 @@ one; further columns are left out.
 
 from __future__ import annotations
 
+import struct
 import zlib
 
 import numpy as np
@@ -66,7 +67,7 @@ class Ids(dict):
     def __missing__(self, word: bytes) -> bytes:
         core = word.rstrip(b".,;:!?")
         letters = core.decode()
-        if letters.isalpha() and max(letters) <= "\xff":
+        if letters.isalpha() and (letters.isascii() or max(letters) <= "\xff"):
             ids = self.part(letters.lower()) + (self.part(word[len(core):].decode()) if len(core) < len(word) else b"")
         else:
             ids = self.encoded(word.decode())
@@ -83,7 +84,7 @@ class Ids(dict):
             # one run of letters or of punctuation is one piece for the
             # tokenizer's model, which is asked directly
             pieces = self.tokenizer.model.tokenize(text.translate(self.signs))
-            ids = self.parts[text] = np.array([p.id for p in pieces], "<u4").tobytes()
+            ids = self.parts[text] = struct.pack(f"<{len(pieces)}I", *[p.id for p in pieces])
         return ids
 
     def encoded(self, text: str) -> bytes:

@@ -135,12 +135,12 @@ def block_rows(payloads) -> list[tuple]:
     return sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
 
 
-def squeezed(*arrays) -> bytes:
+def squeezed(*arrays, level: int = 3) -> bytes:
     """Arrays and byte strings as one compressed value."""
     import pickle
 
     import zstandard
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(arrays))
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(arrays))
 
 
 def expanded(payload: bytes) -> tuple:

@@ -176,3 +176,71 @@ def test_odd_weights_stay_finite():
     assert np.isfinite(p).all() and (p <= 1.001).all()
     loss, g = net.gradient(w, x, y, counts)
     assert np.isfinite(loss) and all(np.isfinite(a).all() for a in g.values())
+
+
+def test_words_travel_once_a_unit(spark, monkeypatch):
+    """Rows by bucket go by units of many blocks, not by blocks; the blocks'
+    lines are whatever the unit is."""
+    from pyspark.sql import functions as F
+    data = rows() + [(100 + i, f"some words of text {i} and {i % 7}", "en", "s", 20) for i in range(3000)]
+    docs = frame(spark, data).select("doc_id", F.coalesce("text", F.lit("")).alias("text")).coalesce(1)
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 4000)
+    monkeypatch.setattr(lm, "SLICE_ROWS", 20)
+    got = {}
+    for unit in (1, 1 << 30):
+        monkeypatch.setattr(lm, "UNIT_BYTES", unit)
+        kinds = [r["kind"] for r in spark.read.parquet(lm.blocked(docs, 5)).select("kind").collect()]
+        lines, pairs, tokens = lm.gathered(docs, 5, PATH)
+        blocks = sorted(tuple(np.asarray(x).tolist() for x in lm.expanded(r["payload"])) for r in lines.collect())
+        sums = Counter()
+        for r in pairs.collect():
+            sums.update(dict(zip(*(x.tolist() for x in lm.expanded(r["payload"])))))
+        got[unit] = blocks, sums, tokens, kinds.count(lm.DOCS), kinds.count(lm.WORDS)
+    assert got[1][:4] == got[1 << 30][:4] and got[1][3] > 20
+    assert got[1 << 30][4] <= 5 < 20 < got[1][4]
+
+
+def test_rows_by_bucket_at_10_gb_of_text():
+    """Their number is that of units by buckets, 2,560 by 2,560 before."""
+    assert (10 << 30) ** 2 / lm.UNIT_BYTES / lm.BUCKET_BYTES < 250_000
+
+
+def _naive(w, x, y):
+    """Next ids' probabilities place by place, in 64 bits."""
+    w = {k: v if k == "place" else v.astype(np.float64) for k, v in w.items()}
+    out = np.empty(y.shape)
+
+    def share(logits, at):
+        return np.exp(logits[at] - logits.max()) / np.exp(logits - logits.max()).sum()
+
+    for i, line in enumerate(x):
+        for j in range(net.STRIDE):
+            at = net.CONTEXT + j
+            seen = line[:at + 1]
+            a = w["K"][seen] @ w["Q"][line[at]] * net.HEAD ** -0.5 + w["D"][at - np.arange(at + 1)]
+            a = np.exp(a - a.max())
+            h = np.append(w["E"][line[at]] + a / a.sum() @ w["V"][seen] @ w["O"], 1)
+            c, m = divmod(int(w["place"][y[i, j]]), net.CLASSES)
+            out[i, j] = share(h @ w["C"], c) * share(h @ w["M"][c], m)
+    return out
+
+
+def test_probability_by_definition():
+    """The tables of single ids and pairs give what the definition gives; so does
+    the training step, and attention far beyond the range of exp is finite."""
+    rng = np.random.default_rng(7)
+    x, y, counts = net.windows([rng.integers(0, net.SPACE - 2, 70).astype(np.int32), rng.integers(0, 9, 5).astype(np.int32)], net.SPACE - 2)
+    for odd in (1, 60):
+        w = {k: v if k == "place" else v * (odd if k in "QK" else np.float32(0.25)) for k, v in _weights().items()}
+        want = _naive(w, x, y)
+        assert np.allclose(net.probability(w, x, y), want, rtol=2e-3, atol=1e-9), odd
+        loss, g = net.gradient(w, x, y, counts)
+        assert abs(loss + np.log(want[counts]).mean()) < 1e-2 and all(np.isfinite(v).all() for v in g.values()), odd
+
+
+def test_sums_by_id():
+    rng = np.random.default_rng(8)
+    ids, grads = rng.integers(0, 90, 700).astype(np.uint16), rng.normal(size=(700, 16)).astype(np.float32)
+    want = np.zeros((net.SPACE, 16))
+    np.add.at(want, ids, grads.astype(np.float64))
+    assert np.allclose(net._scatter(ids, grads), want, atol=1e-4)
